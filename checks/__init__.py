@@ -1,0 +1,5 @@
+"""Registered queries over the shared tables, each with the SQL that must give the same rows."""
+
+from checks import documents, joins, projections
+
+REGISTRIES = [m.R for m in (projections, joins, documents)]

@@ -13,6 +13,11 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def trim_all(c: Column | str) -> Column:
+    """Without white space at both ends, line ends included."""
+    return F.btrim(_c(c), F.lit(" \t\n\r\f\v"))
+
+
 def quote_name(c: Column | str, mode: str = "auto") -> Column:
     """``always``, ``never``, or ``auto``: only with a blank, digit or lower-case letter."""
     c = _c(c)
@@ -129,12 +134,12 @@ def json_kind(c: Column | str) -> Column:
 
 def number_or_null(c: Column | str) -> Column:
     """a number when the text is one, else NULL (also for an empty text)."""
-    return F.trim(_c(c).cast("string")).try_cast("double")
+    return trim_all(_c(c).cast("string")).try_cast("double")
 
 
 def strip_outer_parens(c: Column | str) -> Column:
     """F16: trim and drop one outer pair, only when the first parenthesis closes at the very end."""
-    t = F.trim(_c(c))
+    t = trim_all(c)
     # depth after each character; the opening one is closed at the end only if no earlier depth is 0
     chars = F.filter(F.split(F.regexp_replace(t, "[^()]", ""), ""), lambda x: x != "")
     depths = F.aggregate(
@@ -149,7 +154,7 @@ def strip_outer_parens(c: Column | str) -> Column:
         ),
     )
     outer = F.startswith(t, F.lit("(")) & F.endswith(t, F.lit(")")) & (depths["zeros"] == 1) & (depths["d"] == 0)
-    return F.when(outer, F.trim(F.substring(t, F.lit(2), F.length(t) - 2))).otherwise(t)
+    return F.when(outer, trim_all(F.substring(t, F.lit(2), F.length(t) - 2))).otherwise(t)
 
 
 def split_statements(c: Column | str) -> Column:
@@ -157,7 +162,7 @@ def split_statements(c: Column | str) -> Column:
 
     An array of (pos, statement); ``pos`` counts the parts kept.
     """
-    parts = F.filter(F.split(_c(c), "\n\n"), lambda p: F.trim(p) != "")
+    parts = F.filter(F.split(_c(c), "\n\n"), lambda p: trim_all(p) != "")
     return F.transform(
         parts,
         lambda p, i: F.struct(

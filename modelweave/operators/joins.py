@@ -144,16 +144,11 @@ def nest_where(
     """
     if not on:
         raise ValueError("the subquery needs at least one pair of equal columns")
-    outer = [c for c in parent.columns if c in where or c in key or c in [p for p, _ in on]]
-    left = parent.select(*[F.col(c).alias(c if c not in key else f"_p_{c}") for c in outer], *[c for c in key if c in where])
-    pairs = [(p if p not in key else f"_p_{p}", c) for p, c in on]
-    met = left.join(child, same_keys(left, child, pairs)).filter(F.expr(where))
-    grouped, paged = collect_groups(
-        met, [f"_p_{k}" for k in key], F.struct(*fields), order, name, page_rows=page_rows
-    )
+    left = parent.select("*", *[F.col(k).alias(f"_p_{k}") for k in key])
+    met = left.join(child, same_keys(left, child, on)).filter(F.expr(where))
+    grouped, paged = collect_groups(met, [f"_p_{k}" for k in key], F.struct(*fields), order, name, page_rows=page_rows)
     empty = F.array().cast(grouped.schema[name].dataType)
-    back = [(k, f"_p_{k}") for k in key]
-    return attach(with_pages(parent), grouped, back, name, empty, paged).drop("_pages")
+    return attach(with_pages(parent), grouped, [(k, f"_p_{k}") for k in key], name, empty, paged).drop("_pages")
 
 
 def join_self(df: DataFrame, alias_a: str, alias_b: str, on: str) -> DataFrame:
@@ -285,7 +280,7 @@ def without_mutual_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
     return edges.join(back, same_keys(edges, back, [(src, "_s"), (dst, "_d")]), "left_anti")
 
 
-_PIECES = r"[A-Za-z0-9_]+|[^A-Za-z0-9_]+"
+TERM_PIECES = r"[A-Za-z0-9_]+|[^A-Za-z0-9_]+"
 
 
 def terms_used(corpus: DataFrame, text: str, dictionary: DataFrame, term: str) -> DataFrame:
@@ -296,7 +291,7 @@ def terms_used(corpus: DataFrame, text: str, dictionary: DataFrame, term: str) -
     collected (a handful of numbers); all else stays distributed, and runs meet
     the dictionary before they are made distinct.
     """
-    cut = lambda c: F.regexp_extract_all(F.lower(c), F.lit(_PIECES), F.lit(0))
+    cut = lambda c: F.regexp_extract_all(F.lower(c), F.lit(TERM_PIECES), F.lit(0))
     words = dictionary.select(F.lower(F.col(term)).alias("_t"), F.size(cut(F.col(term))).alias("_k")).distinct()
     lengths = sorted(r[0] for r in words.filter("_k > 0").select("_k").distinct().collect())
     pieces = corpus.select(cut(F.col(text)).alias("_p"))

@@ -64,15 +64,15 @@ def _cut(df: DataFrame, path: str) -> DataFrame:
     return edit_path(df, block, lambda s, _: F.when(s.isNotNull(), s.dropFields(name)))
 
 
-def set_where(df: DataFrame, match: dict[str, Any], values: dict[str, Any]) -> DataFrame:
+def set_where(df: DataFrame, match: dict[str, Any], values: dict[str, Any], only: Column | None = None) -> DataFrame:
     """Records that have all the given values get new ones."""
     hit = F.coalesce(reduce(and_, [F.col(k) == v for k, v in match.items()]), F.lit(False))
-    return _assign(df, hit, values)
+    return _assign(df, hit, values, only)
 
 
-def _assign(df: DataFrame, hit: Column, values: dict[str, Any]) -> DataFrame:
+def _assign(df: DataFrame, hit: Column, values: dict[str, Any], only: Column | None) -> DataFrame:
     # the condition is taken before any value changes
-    df = df.withColumn("_hit", hit)
+    df = df.withColumn("_hit", hit if only is None else hit & only)
     for path, value in values.items():
         dtype = _type_at(df.schema, path)
         if dtype is None:
@@ -83,11 +83,12 @@ def _assign(df: DataFrame, hit: Column, values: dict[str, Any]) -> DataFrame:
 
 
 def move_path(df: DataFrame, source: str, target: str) -> DataFrame:
-    """A nested value at another path; a missing source changes nothing."""
+    """A nested value at another path; a record without it keeps what the target holds."""
     if _type_at(df.schema, source) is None:
         return df
     # kept aside, so that the target may lie inside the source or beside it
-    df = df.withColumn("_moved", F.col(source))
+    there = _type_at(df.schema, target) is not None
+    df = df.withColumn("_moved", F.coalesce(F.col(source), F.col(target)) if there else F.col(source))
     df = _cut(df, source)
     return _put(df, target, F.col("_moved")).drop("_moved")
 
@@ -105,21 +106,27 @@ def rename_block(df: DataFrame, old: str, new: str, sub: dict[str, str]) -> Data
     return _put(_cut(df, old), new, F.col("_block")).drop("_block")
 
 
-def add_missing_id(df: DataFrame, block: str, path: str, key: Sequence[str]) -> DataFrame:
+def add_missing_id(
+    df: DataFrame, block: str, path: str, key: Sequence[str], only: Column | None = None
+) -> DataFrame:
     """An id for a block without one, from the key of the record, so that a second run gives the same."""
     made = F.sha2(F.to_json(F.struct(F.lit(block).alias("block"), *key)), 256)
-    present = F.col(block).isNotNull()
+    present = F.col(block).isNotNull() if only is None else F.col(block).isNotNull() & only
     known = F.col(path) if _type_at(df.schema, path) is not None else F.lit(None).cast("string")
-    return _put(df, path, F.when(present, F.coalesce(known, made)))
+    return _put(df, path, F.coalesce(known, F.when(present, made)))
 
 
-def add_fields(df: DataFrame, path: str, values: dict[str, Any]) -> DataFrame:
+def add_fields(df: DataFrame, path: str, values: dict[str, Any], only: Column | None = None) -> DataFrame:
     """Constants below ``path``, where that block exists."""
     if _type_at(df.schema, path) is None:
         return df
+    df = df.withColumn("_hit", F.col(path).isNotNull() if only is None else F.col(path).isNotNull() & only)
     for name, value in values.items():
-        df = edit_path(df, path, lambda s, _, n=name, v=value: F.when(s.isNotNull(), s.withField(n, F.lit(v))))
-    return df
+        full = f"{path}.{name}"
+        dtype = _type_at(df.schema, full)
+        old = F.col(full) if dtype is not None else F.lit(None)
+        df = _put(df, full, F.when(F.col("_hit"), F.lit(value)).otherwise(old))
+    return df.drop("_hit")
 
 
 def remove_fields(df: DataFrame, path: str, names: Sequence[str]) -> DataFrame:
@@ -160,9 +167,9 @@ def condition(df: DataFrame, tree: dict[str, Any]) -> Column:
     return F.col(tree["key"]).eqNullSafe(F.lit(tree["value"]))
 
 
-def assign_if(df: DataFrame, tree: dict[str, Any], values: dict[str, Any]) -> DataFrame:
+def assign_if(df: DataFrame, tree: dict[str, Any], values: dict[str, Any], only: Column | None = None) -> DataFrame:
     """New values where the condition tree holds."""
-    return _assign(df, condition(df, tree), values)
+    return _assign(df, condition(df, tree), values, only)
 
 
 def flags_to_lists(
@@ -210,27 +217,22 @@ def _number(version: str) -> int:
     return reduce(lambda acc, p: acc * 1000 + int(p), version.split("."), 0)
 
 
+_GUARDED = {"set_where", "assign_if", "add_fields", "add_missing_id"}
+
+
 def migrate(df: DataFrame, version_col: str, target: str, rules: dict[str, Sequence[Rule]]) -> DataFrame:
     """Each record goes through the rules of all versions after its own, up to ``target``.
 
-    Versions are applied in numeric order. Records of every version share one
-    schema, so a rule that reshapes a block runs on all rows and changes only
-    values of the older ones where it assigns; the version column is raised.
+    Versions are applied in numeric order, in one pass over the records. Rules
+    that assign look at the version of the record; rules that move or remove
+    find nothing to do in a newer record.
     """
     for version in sorted(rules, key=_number):
         if _number(version) > _number(target):
             break
         older = version_number(F.col(version_col)) < _number(version)
-        before = df
         for rule in rules[version]:
-            df = _OPS[rule.op](df, **rule.args)
-        if df.schema == before.schema:
-            # same shape: rows that are new enough keep their values
-            done = before.filter(~older).unionByName(_apply(before.filter(older), rules[version]))
-            df = done
+            guard = {"only": older} if rule.op in _GUARDED else {}
+            df = _OPS[rule.op](df, **rule.args, **guard)
         df = df.withColumn(version_col, F.when(older, F.lit(version)).otherwise(F.col(version_col)))
     return df
-
-
-def _apply(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    return reduce(lambda d, r: _OPS[r.op](d, **r.args), rules, df)

@@ -10,6 +10,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modelweave.functions.scalars import trim_all
+
 
 def project(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The named columns; an unknown name gives an empty text column."""
@@ -44,7 +46,8 @@ def select_by_type(df: DataFrame, types: Iterable[str]) -> DataFrame:
 
 def filter_optional(df: DataFrame, predicates: Iterable[Column | str | None]) -> DataFrame:
     """All predicates that are set, joined by AND; none set keeps every row."""
-    given = [F.expr(p) if isinstance(p, str) else p for p in predicates if p is not None and not (isinstance(p, str) and not p.strip())]
+    set_ones = [p for p in predicates if p is not None and not (isinstance(p, str) and not p.strip())]
+    given = [F.expr(p) if isinstance(p, str) else p for p in set_ones]
     return df.filter(reduce(and_, given)) if given else df
 
 
@@ -91,5 +94,5 @@ def split_by(df: DataFrame, predicate: Column | str, missing: bool = False) -> t
 
 def drop_blank(df: DataFrame, text: str) -> DataFrame:
     """Trimmed texts without the blank ones; a group of blanks only vanishes with them."""
-    trimmed = F.trim(F.col(text))
+    trimmed = trim_all(text)
     return df.filter(trimmed != "").withColumn(text, trimmed)
