@@ -1,5 +1,5 @@
 """Registered queries over the shared tables, each with the SQL that must give the same rows."""
 
-from checks import documents, joins, projections
+from checks import aggregates, documents, joins, projections, scalars, setops
 
-REGISTRIES = [m.R for m in (projections, joins, documents)]
+REGISTRIES = [m.R for m in (projections, joins, aggregates, setops, scalars, documents)]

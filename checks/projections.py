@@ -60,7 +60,7 @@ def _(t):
     )
     path = new_folder(t("orders").sparkSession, "external_csv")
     lines.write.text(path)
-    schema = T.StructType().add("o_orderkey", "bigint").add("o_custkey", "bigint")
+    schema = T.StructType().add("o_orderkey", T.LongType()).add("o_custkey", T.LongType())
     rows, rejects = external.read_external(lines.sparkSession, [path], "csv", schema)
     return rows.agg(F.count("*").alias("n")).select(F.lit("rows").alias("part"), "n").unionByName(
         rejects.agg(F.count("*").alias("n")).select(F.lit("rejects").alias("part"), "n")
