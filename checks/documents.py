@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks.common import Registry, dec
 from modelweave.model import DocField, DocNode, Tags
 from modelweave.operators import documents as D
+from modelweave.plans.workspace import store
 from modelweave.sources.tables import read_table
 
 R = Registry()
@@ -185,6 +186,15 @@ def _(t):
     return merged.select("event_id", F.array_join(pairs, ",").alias("doc"))
 
 
+@R.add(
+    "d02_flex_documents",
+    """SELECT event_id AS id, '{"id":' || event_id || ',"event_type":"' || event_type || '",' || replace(substring(props, 2), ': ', ':') AS doc FROM events""",
+)
+def _(t):
+    fields = (DocField("event_id", key="id"), DocField("event_type"), DocField("props", flex=True))
+    return D.build_documents(DocNode("events", fields, key=("event_id",)), {"events": t("events")}, as_json=True)
+
+
 @R.add(
     "d03_etag",
     """SELECT c_custkey AS id, sha256(to_json({'id': CAST(c_custkey AS VARCHAR), 'c_name': c_name, 'nation': {'n_name': n_name}})) AS _etag
@@ -218,7 +228,7 @@ def _one_line_per_key(t) -> DataFrame:
     lines = _lines(t("lineitem"))
     rest = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
     small = lines.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct(*rest)).alias("m"))
-    return small.select("l_orderkey", "l_linenumber", "m.*")
+    return store(small.select("l_orderkey", "l_linenumber", "m.*"), "lines")
 
 
 _ONE_LINE = """lines AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_price FROM (

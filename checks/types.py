@@ -191,7 +191,7 @@ def _(t):
     orders = t("orders").withColumn("foreign_type", foreign)
     names = {name: canonical[0] for name, canonical in T.CANONICAL_TYPES.items()}
     typed = T.map_codes(orders, "foreign_type", names, T.DEFAULT_TYPES["default"], "type")
-    codes = typed.sparkSession.createDataFrame([("f", "done"), ("O ", "open")], "code string, value string")
+    codes = typed.sparkSession.sql("SELECT * FROM VALUES ('f', 'done'), ('O ', 'open') AS codes(code, value)")
     return T.map_codes(typed, "o_orderstatus", codes, F.col("o_orderstatus"), "status").select("o_orderkey", "type", "status")
 
 

@@ -14,10 +14,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelweave.functions.scalars import json_kind
+from modelweave.functions.scalars import json_kind, trim_all
 from modelweave.model import Model, Table
 from modelweave.operators.joins import fk_orphans
 from modelweave.plans.pages import PAGE_ROWS, collect_groups, same_keys
+from modelweave.plans.workspace import store
 
 
 def count_by(a: DataFrame, b: DataFrame, on: Sequence[tuple[str, str]], name: str = "n") -> DataFrame:
@@ -55,7 +56,7 @@ def collect_by_key(df: DataFrame, key: Sequence[str], value: str, name: str = "i
 
 
 def _full(column: str) -> Column:
-    return F.col(column).isNotNull() & (F.trim(F.col(column).cast("string")) != "")
+    return F.col(column).isNotNull() & (trim_all(F.col(column).cast("string")) != "")
 
 
 def first_non_empty(df: DataFrame, key: Sequence[str], column: str, order: Sequence[str]) -> DataFrame:
@@ -178,6 +179,8 @@ def table_stats(df: DataFrame, value: Column | None = None) -> DataFrame:
 def inverted_index(df: DataFrame, id_col: str, members: Column, page_rows: int = PAGE_ROWS) -> DataFrame:
     """(value, ids, page): rows that hold a member; common members fill several pages."""
     pairs = df.select(F.col(id_col), F.explode(F.array_distinct(members)).alias("value")).distinct()
+    # read twice, to count and to collect: the members are taken out of the rows once
+    pairs = store(pairs, "members")
     grouped, _ = collect_groups(pairs, ["value"], F.col(id_col), (), "ids", page_rows=page_rows)
     return grouped.select("value", "ids", F.col("_page").alias("page"))
 
@@ -207,9 +210,6 @@ def _row_tests(table: Table) -> list[tuple[str, str, bool, Column]]:
     return tests
 
 
-_REPORT = "constraint_name string, kind string, state string, violations bigint"
-
-
 def constraint_report(frames: dict[str, DataFrame], model: Model) -> DataFrame:
     """A10: (constraint, kind, state, violations) over all tables of the model.
 
@@ -218,7 +218,7 @@ def constraint_report(frames: dict[str, DataFrame], model: Model) -> DataFrame:
     ``violations`` counts failing rows.
     """
     parts: list[DataFrame] = []
-    idle: list[tuple[str, str, str, None]] = []
+    idle: list[tuple[str, str, str]] = []
     spark = next(iter(frames.values())).sparkSession
     for table in model.tables:
         if table.name not in frames:
@@ -226,7 +226,7 @@ def constraint_report(frames: dict[str, DataFrame], model: Model) -> DataFrame:
         df = frames[table.name]
         tests = _row_tests(table)
         live = [t for t in tests if t[2]]
-        idle += [(n, kind, "NOVALIDATE", None) for n, kind, validate, _ in tests if not validate]
+        idle += [(n, kind, "NOVALIDATE") for n, kind, validate, _ in tests if not validate]
         if live:
             row = df.agg(*[F.count(F.when(~ok, 1)).alias(f"_{i}") for i, (_, _, _, ok) in enumerate(live)])
             entries = [
@@ -243,7 +243,7 @@ def constraint_report(frames: dict[str, DataFrame], model: Model) -> DataFrame:
             kind = "PRIMARY KEY" if key.primary else "UNIQUE"
             state = " ".join(["VALIDATE" if key.validate else "NOVALIDATE", *(["RELY"] if key.rely else []), *(["DEFERRABLE"] if key.deferrable else [])])
             if not key.validate:
-                idle.append((f"{table.name}.{key.name}", kind, state, None))
+                idle.append((f"{table.name}.{key.name}", kind, state))
                 continue
             bad = key_violations(df, key.columns, key.primary)
             parts.append(_counted(bad, F.coalesce(F.sum("n"), F.lit(0)), f"{table.name}.{key.name}", kind, state))
@@ -252,12 +252,14 @@ def constraint_report(frames: dict[str, DataFrame], model: Model) -> DataFrame:
             continue
         state = "VALIDATE" if fk.validate and fk.active else "NOVALIDATE"
         if state == "NOVALIDATE":
-            idle.append((f"{fk.child}.{fk.name}", "FOREIGN KEY", state, None))
+            idle.append((f"{fk.child}.{fk.name}", "FOREIGN KEY", state))
             continue
         lost = fk_orphans(frames[fk.child], frames[fk.parent], fk.columns, fk.parent_columns)
         parts.append(_counted(lost, F.count("*"), f"{fk.child}.{fk.name}", "FOREIGN KEY", state))
     if idle:
-        parts.append(spark.createDataFrame(idle, _REPORT))
+        rows = [F.struct(F.lit(n).alias("constraint_name"), F.lit(k).alias("kind"), F.lit(st).alias("state")) for n, k, st in idle]
+        listed = spark.range(1).select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+        parts.append(listed.withColumn("violations", F.lit(None).cast("bigint")))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -9,13 +9,13 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from modelweave.model import DocNode
 from modelweave.operators.joins import once
 from modelweave.operators.projections import filtered_view
 from modelweave.operators.setops import snapshot_diff
 from modelweave.plans.pages import PAGE_ROWS, attach, collect_groups, same_keys, with_pages
+from modelweave.plans.workspace import store
 
 
 def has_arrays(node: DocNode) -> bool:
@@ -46,7 +46,7 @@ def _needed(node: DocNode, own: Sequence[str]) -> list[str]:
 
 
 def _labels(node: DocNode) -> list[str]:
-    names = [f.label for f in node.fields if not f.flex]
+    names = [f.label for f in node.fields]
     for child in node.children:
         names += _labels(child) if child.kind == "object" and child.unnest else [child.name]
     twice = sorted({n for n in names if names.count(n) > 1})
@@ -57,7 +57,7 @@ def _labels(node: DocNode) -> list[str]:
 
 def _values(node: DocNode) -> list[Column]:
     """Fields and children of a node under their output keys."""
-    values = [_q(_raw(f.column)).alias(f.label) for f in node.fields if not f.flex]
+    values = [_q(_raw(f.column)).alias(f.label) for f in node.fields]
     for child in node.children:
         value = _q(f"v:{child.name}")
         if child.kind == "object" and child.unnest:
@@ -129,14 +129,30 @@ def nest(root: DocNode, tables: dict[str, DataFrame], page_rows: int = PAGE_ROWS
 def build_documents(
     root: DocNode, tables: dict[str, DataFrame], as_json: bool = False, page_rows: int = PAGE_ROWS
 ) -> DataFrame:
-    """Whole documents under their output keys; ``as_json`` gives (root key fields, doc, _page)."""
+    """Whole documents under their output keys; ``as_json`` gives (root key fields, doc, _page).
+
+    A flex column is a JSON text under its own key; in the text form of a
+    document the entries of the root's flex column stand beside the fields.
+    """
     docs = nest(root, tables, page_rows)
     if not as_json:
         return docs
-    body = [c for c in docs.columns if c != "_page"]
+    flex = [f.label for f in root.fields if f.flex]
+    body = [c for c in docs.columns if c != "_page" and c not in flex]
     keys = [f.label for f in root.fields if f.column in root.key]
     page = ["_page"] if "_page" in docs.columns else []
-    return docs.select(*keys, F.to_json(F.struct(*body), {"ignoreNullFields": "false"}).alias("doc"), *page)
+    doc = F.to_json(F.struct(*body), {"ignoreNullFields": "false"})
+    for label in flex:
+        doc = _beside(doc, label, body)
+    return docs.select(*keys, doc.alias("doc"), *page)
+
+
+def _beside(doc: Column, flex: str, taken: Sequence[str]) -> Column:
+    """The text of an object with the entries of a JSON column put after its fields; a field wins."""
+    entries = F.try_variant_get(F.try_parse_json(flex), F.lit("$"), "map<string,variant>")
+    free = F.map_filter(entries, lambda k, _: ~k.isin(*taken))
+    more = F.concat(F.substring(doc, F.lit(1), F.length(doc) - 1), F.lit(","), F.substring(F.to_json(free), 2, 1 << 30))
+    return F.when(F.size(free) > 0, more).otherwise(doc)
 
 
 def rename_fields(columns: dict[str, str]) -> Column:
@@ -160,7 +176,7 @@ def _counts(tags, node_tags) -> bool:
 
 def _checked(node: DocNode, get) -> Column:
     parts = [
-        get(f.label).cast("string").alias(f.label) for f in node.fields if not f.flex and _counts(f.tags, node.tags)
+        get(f.label).cast("string").alias(f.label) for f in node.fields if _counts(f.tags, node.tags)
     ]
     for child in node.children:
         if child.kind == "object" and child.unnest:
@@ -202,12 +218,12 @@ def etag_conflicts(stored: DataFrame, docs: DataFrame, root: DocNode, key: Seque
 
 def _shred(node: DocNode, docs: DataFrame, get, linked: dict[str, Column], out: dict[str, list[DataFrame]]) -> None:
     """Rows of ``node`` out of frames whose columns ``get`` reads; ``linked`` are join columns of its parent."""
-    columns = {f.column: get(f.label) for f in node.fields if not f.flex}
+    columns = {f.column: get(f.label) for f in node.fields}
     for child in node.children:
         if child.kind != "object":
             continue
         source = get if child.unnest else (lambda label, c=child: get(c.name)[label])
-        known = {f.column: f.label for f in child.fields if not f.flex}
+        known = {f.column: f.label for f in child.fields}
         for parent_col, child_col in child.on:
             if parent_col not in columns and child_col in known:
                 columns[parent_col] = source(known[child_col])
@@ -280,7 +296,11 @@ def apply_documents(
     are inserted or updated, never deleted. What the rights of a table or column
     do not allow is a reject (table, key, action), and so are conflicting
     contents and keys that come twice.
+
+    The documents, and the changes of each table, are stored once: rows after
+    and rejects are then two views of the same comparison.
     """
+    docs = store(docs, "docs")
     new_rows, conflicts = shred(docs, root)
     after = dict(tables)
     rejects: list[DataFrame] = []
@@ -290,7 +310,7 @@ def apply_documents(
         key = list(node.key)
         fresh = new_rows[node.table]
         columns = list(fresh.columns)
-        diff = snapshot_diff(stored_scope.select(*columns), _typed(fresh, stored_scope), key)
+        diff = store(snapshot_diff(stored_scope.select(*columns), _typed(fresh, stored_scope), key), "changes")
         fixed = [c for c in columns if c not in key and not _may_update(node, c)]
         blocked = F.lit(False)
         if fixed:
@@ -343,8 +363,3 @@ def _merge(stored: DataFrame, changes: DataFrame, key: Sequence[str], columns: S
     )
     added = changes.filter("change = 'added'").select(*[F.col(f"new.{c}").alias(c) for c in columns])
     return kept.unionByName(added, allowMissingColumns=True).select(*stored.columns)
-
-
-def flat_fields(schema: T.StructType) -> list[str]:
-    """Names of the scalar root fields of a document."""
-    return [f.name for f in schema.fields if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]

@@ -280,35 +280,43 @@ def without_mutual_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
     return edges.join(back, same_keys(edges, back, [(src, "_s"), (dst, "_d")]), "left_anti")
 
 
-TERM_PIECES = r"[A-Za-z0-9_]+|[^A-Za-z0-9_]+"
+_WORD, _GAP = "[a-z0-9_]+", "[^a-z0-9_]+"
+TERM_PIECES = f"{_WORD}|{_GAP}"
+
+
+def text_runs(text: Column, k: int, word_first: bool) -> Column:
+    """All runs of ``k`` pieces of a lower-case text, each word and each gap between words being a piece.
+
+    A look-ahead finds runs that overlap, in one pass of the regular expression.
+    """
+    classes = [_WORD if (i % 2 == 0) == word_first else _GAP for i in range(k)]
+    if k == 1:
+        return F.regexp_extract_all(text, F.lit(classes[0]), F.lit(0))
+    # a run begins where a piece does: what stands before is of the other class
+    start = f"(?<!{classes[0][:-1]})"
+    return F.regexp_extract_all(text, F.lit(f"{start}(?=({''.join(classes)}))"), F.lit(1))
 
 
 def terms_used(corpus: DataFrame, text: str, dictionary: DataFrame, term: str) -> DataFrame:
     """Dictionary rows whose term occurs as a whole word somewhere in the corpus, ignoring case.
 
-    Text and term are cut into words and what stands between them; a term of k
-    pieces is looked for among the runs of k pieces. The lengths k in use are
-    collected (a handful of numbers); all else stays distributed, and runs meet
-    the dictionary before they are made distinct.
+    A term of k pieces is looked for among the runs of k pieces of a text, all
+    lengths in one scan. The terms are stored first, and the lengths in use are
+    collected: a few numbers.
     """
-    cut = lambda c: F.regexp_extract_all(F.lower(c), F.lit(TERM_PIECES), F.lit(0))
-    words = dictionary.select(F.lower(F.col(term)).alias("_t"), F.size(cut(F.col(term))).alias("_k")).distinct()
-    lengths = sorted(r[0] for r in words.filter("_k > 0").select("_k").distinct().collect())
-    pieces = corpus.select(cut(F.col(text)).alias("_p"))
-    found = None
-    for k in lengths:
-        starts = F.sequence(F.lit(1), F.size("_p") - F.lit(k - 1))
-        if k == 1:
-            runs = F.array_distinct("_p")
-        else:
-            runs = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("_p", i, k), "")))
-        seen = pieces.filter(F.size("_p") >= k).select(F.explode(runs).alias("_t"))
-        wanted = words.filter(F.col("_k") == k).select("_t")
-        hits = seen.join(wanted, "_t", "left_semi").distinct()
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
+    pieces = F.regexp_extract_all(F.lower(term), F.lit(TERM_PIECES), F.lit(0))
+    words = dictionary.select(
+        F.lower(term).alias("_t"), F.size(pieces).alias("_k"), F.lower(term).rlike(f"^{_WORD}").alias("_w")
+    )
+    words = store(words.distinct(), "terms")
+    shapes = sorted((r[0], r[1]) for r in words.filter("_k > 0").select("_k", "_w").distinct().collect())
+    if not shapes:
         return dictionary.limit(0)
-    return dictionary.join(found.distinct(), F.lower(dictionary[term]) == F.col("_t"), "left_semi")
+    runs = [text_runs(F.lower(text), k, w) for k, w in shapes]
+    # distinct inside a text first: fewer rows to look up, and to shuffle if the dictionary is large
+    seen = corpus.select(F.explode(F.array_distinct(F.concat(*runs))).alias("_t"))
+    found = seen.join(words.select("_t"), "_t", "left_semi").distinct()
+    return dictionary.join(found, F.lower(dictionary[term]) == F.col("_t"), "left_semi")
 
 
 def resolve_ids(df: DataFrame, id_col: str, dim: DataFrame, dim_id: str, dim_name: str, name: str, flag: str = "") -> DataFrame:

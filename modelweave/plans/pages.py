@@ -30,6 +30,8 @@ def same_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
 
 
 def _lists(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    # a list is no smaller on the map side: shuffle the rows, then collect once
+    rows = rows.repartition(*[F.col(f"`{k}`") for k in keys])
     items = F.transform(F.sort_array(F.collect_list("_x")), lambda x: x["_i"])
     return rows.groupBy(*keys).agg(items.alias(name), F.sum("_w").alias("_weight"))
 

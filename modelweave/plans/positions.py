@@ -31,8 +31,8 @@ def sortable(dtype: T.DataType) -> bool:
     return True
 
 
-def _in_order(df: DataFrame, order: Sequence[str | Column], unique: bool) -> DataFrame:
-    """``df`` range-partitioned and sorted, stored, with ``_at`` = partition and row number.
+def in_order(df: DataFrame, order: Sequence[str | Column], unique: bool = False, partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted.
 
     Unless ``order`` is declared unique, ties are ordered by the remaining
     columns and exact copies by a number, so that a third of all rows with one
@@ -40,15 +40,19 @@ def _in_order(df: DataFrame, order: Sequence[str | Column], unique: bool) -> Dat
     The sort before the number makes it the same when a lost task runs again.
     """
     by = [F.col(c) if isinstance(c, str) else c for c in order]
+    columns = df.columns
     if not unique:
         named = {c for c in order if isinstance(c, str)}
         by += [F.col(f"`{f.name}`") for f in df.schema.fields if f.name not in named and sortable(f.dataType)]
         df = df.sortWithinPartitions(*by).withColumn("_tie", F.monotonically_increasing_id())
         by.append(F.col("_tie"))
-    placed = df.repartitionByRange(*by).sortWithinPartitions(*by)
-    if not unique:
-        placed = placed.drop("_tie")
-    return store(placed.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    placed = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    return placed.sortWithinPartitions(*by).select(*[F.col(f"`{c}`") for c in columns])
+
+
+def _numbered(df: DataFrame, order: Sequence[str | Column], unique: bool) -> DataFrame:
+    """``in_order``, stored, with ``_at`` = partition and row number."""
+    return store(in_order(df, order, unique).withColumn("_at", F.monotonically_increasing_id()), "ordered")
 
 
 def _offsets(placed: DataFrame, amount: Column) -> DataFrame:
@@ -60,7 +64,7 @@ def _offsets(placed: DataFrame, amount: Column) -> DataFrame:
 
 def dense_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx", unique: bool = False) -> DataFrame:
     """0-based position of each row in ``order``; runs one range shuffle and one write."""
-    placed = _in_order(df, order, unique).withColumn("_part", F.shiftrightunsigned("_at", _ROW_BITS))
+    placed = _numbered(df, order, unique).withColumn("_part", F.shiftrightunsigned("_at", _ROW_BITS))
     # broadcast is bounded: one row per shuffle partition
     offsets = F.broadcast(_offsets(placed, F.lit(1)))
     position = F.col("_before") + F.col("_at").bitwiseAND(F.lit(_ROW_MASK))
@@ -69,7 +73,7 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx",
 
 def running_total(df: DataFrame, order: Sequence[str | Column], amount: str, name: str) -> DataFrame:
     """Sum of ``amount`` over all rows before this one in ``order``."""
-    placed = _in_order(df, order, unique=False).withColumn("_part", F.shiftrightunsigned("_at", _ROW_BITS))
+    placed = _numbered(df, order, unique=False).withColumn("_part", F.shiftrightunsigned("_at", _ROW_BITS))
     offsets = F.broadcast(_offsets(placed, F.col(amount)))
     inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     local = F.coalesce(F.sum(amount).over(inside), F.lit(0))

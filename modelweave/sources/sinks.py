@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modelweave.plans.positions import in_order
 from modelweave.plans.workspace import new_folder
 
 DUPLICATE_MAX_ROWS = 1_000_000
@@ -55,8 +56,8 @@ def retention_check(deletes: DataFrame, ts_col: str, days: int, now: Column) ->
 
 
 def distribute(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
-    """Rows spread over ``n`` partitions by key (a sharded table)."""
-    return df.repartition(n, *key)
+    """Rows spread over ``n`` shards by key; at run time a shard that holds too much is split."""
+    return df.hint("rebalance", n, *[F.col(k) for k in key])
 
 
 def duplicate(df: DataFrame, max_rows: int = DUPLICATE_MAX_ROWS) -> DataFrame:
@@ -73,8 +74,10 @@ def duplicate(df: DataFrame, max_rows: int = DUPLICATE_MAX_ROWS) -> DataFrame:
 def write_clustered(
     df: DataFrame, keys: Sequence[tuple[str, str]], path: str, partitions: int | None = None
 ) -> DataFrame:
-    """Files sorted and range-split by the index keys, so that min/max statistics skip files."""
+    """Files sorted and range-split by the index keys, so that min/max statistics skip files.
+
+    Rows that share a key value may fill several files.
+    """
     by = [F.col(c).desc() if direction == "desc" else F.col(c).asc() for c, direction in keys]
-    placed = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
-    placed.sortWithinPartitions(*by).write.mode("errorifexists").parquet(path)
+    in_order(df, by, partitions=partitions).write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
