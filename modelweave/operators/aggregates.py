@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from modelweave.functions.scalars import json_kind, trim_all
 from modelweave.model import Model, Table
 from modelweave.operators.joins import fk_orphans
-from modelweave.plans.pages import PAGE_ROWS, collect_groups, same_keys
+from modelweave.plans.keys import by_name, lookup
+from modelweave.plans.pages import PAGE_ROWS, collect_groups
 from modelweave.plans.workspace import store
 
 
@@ -25,8 +26,8 @@ def count_by(a: DataFrame, b: DataFrame, on: Sequence[tuple[str, str]], name: st
     """Number of rows of ``b`` for each row of ``a``, 0 when there are none."""
     counts = b.groupBy(*[F.col(k).alias(f"_k{i}") for i, (_, k) in enumerate(on)]).agg(F.count("*").alias("_n"))
     pairs = [(k, f"_k{i}") for i, (k, _) in enumerate(on)]
-    joined = a.join(counts, same_keys(a, counts, pairs), "left")
-    return joined.select(*[a[c] for c in a.columns], F.coalesce("_n", F.lit(0)).alias(name))
+    joined = a.join(counts, by_name(pairs), "left")
+    return joined.select(*a.columns, F.coalesce("_n", F.lit(0)).alias(name))
 
 
 def json_object(mapping: dict[str, Column | str]) -> Column:
@@ -292,7 +293,7 @@ def exceptions_table(frames: dict[str, DataFrame], model: Model, row: dict[str,
             if not key.validate:
                 continue
             bad = key_violations(df, key.columns, key.primary)
-            hit = df.join(bad, same_keys(df, bad, [(c, c) for c in key.columns], True), "left_semi")
+            hit = lookup(df, bad, [(c, c) for c in key.columns], "left_semi", null_safe=True, unique=True)
             parts.append(_tagged(hit, table.name, f"{table.name}.{key.name}", text))
     for fk in model.foreign_keys:
         if fk.child in frames and fk.parent in frames and fk.validate and fk.active:

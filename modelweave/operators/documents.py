@@ -14,7 +14,8 @@ from modelweave.model import DocNode
 from modelweave.operators.joins import once
 from modelweave.operators.projections import filtered_view
 from modelweave.operators.setops import snapshot_diff
-from modelweave.plans.pages import PAGE_ROWS, attach, collect_groups, same_keys, with_pages
+from modelweave.plans.keys import by_name, lookup
+from modelweave.plans.pages import PAGE_ROWS, attach, collect_groups, with_pages
 from modelweave.plans.workspace import store
 
 
@@ -182,9 +183,10 @@ def _checked(node: DocNode, get) -> Column:
         if child.kind == "object" and child.unnest:
             value = _checked(child, get)
         elif child.kind == "object":
-            value = _checked(child, lambda label, c=child: get(c.name)[label])
+            whole = get(child.name)
+            value = _checked(child, whole.getItem)
         else:
-            value = F.transform(get(child.name), lambda x, c=child: _checked(c, lambda label: x[label]))
+            value = F.transform(get(child.name), lambda x: _checked(child, x.getItem))
         parts.append(value.alias(child.name))
     return F.struct(*parts)
 
@@ -211,9 +213,9 @@ def etag_conflicts(stored: DataFrame, docs: DataFrame, root: DocNode, key: Seque
     pages = ["_page"] if "_page" in stored.columns and "_page" in docs.columns else []
     now = stored.select(*[F.col(k).alias(f"_s_{k}") for k in [*key, *pages]], etag_of(root).alias("stored_etag"))
     pairs = [(k, f"_s_{k}") for k in [*key, *pages]]
-    joined = docs.join(now, same_keys(docs, now, pairs))
+    joined = docs.join(now, by_name(pairs))
     wrong = ~F.col(tag).eqNullSafe(F.col("stored_etag"))
-    return joined.filter(wrong).select(*[docs[c] for c in docs.columns], "stored_etag")
+    return joined.filter(wrong).select(*docs.columns, "stored_etag")
 
 
 def _shred(node: DocNode, docs: DataFrame, get, linked: dict[str, Column], out: dict[str, list[DataFrame]]) -> None:
@@ -270,7 +272,7 @@ def shred(docs: DataFrame, root: DocNode) -> tuple[dict[str, DataFrame], dict[st
         same = F.col("_a").eqNullSafe(F.col("_b"))
         rows[table] = seen.filter(same).select(*key, *[F.col("_a")[c].alias(c) for c in rest]).select(*df.columns)
         bad = seen.filter(~same).select(*key)
-        conflicts[table] = df.join(bad, same_keys(df, bad, [(k, k) for k in key], True), "left_semi")
+        conflicts[table] = lookup(df, bad, [(k, k) for k in key], "left_semi", null_safe=True, unique=True)
     return rows, conflicts
 
 
@@ -332,19 +334,15 @@ def apply_documents(
             stored = tables[child.table]
             if child.kind == "array":
                 linked = [(p, c) for p, c in child.on]
-                parents = stored_scope.select(*[p for p, _ in linked]).distinct()
-                scope = stored.join(parents, same_keys(stored, parents, [(c, p) for p, c in linked]), "left_semi")
+                scope = lookup(stored, stored_scope, [(c, p) for p, c in linked], "left_semi")
             else:
-                keys = new_rows[child.table].select(*child.key).distinct()
-                scope = stored.join(keys, same_keys(stored, keys, [(k, k) for k in child.key]), "left_semi")
+                scope = lookup(stored, new_rows[child.table], [(k, k) for k in child.key], "left_semi")
             visit(child, scope)
 
     keys = new_rows[root.table].select(*root.key)
     if deleted is not None:
         keys = keys.unionByName(deleted.select(*root.key))
-    keys = keys.distinct()
-    stored = tables[root.table]
-    visit(root, stored.join(keys, same_keys(stored, keys, [(k, k) for k in root.key]), "left_semi"))
+    visit(root, lookup(tables[root.table], keys, [(k, k) for k in root.key], "left_semi"))
     return after, reduce(DataFrame.unionByName, rejects)
 
 
@@ -355,7 +353,7 @@ def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
 def _merge(stored: DataFrame, changes: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Stored rows with allowed changes in place: removed rows out, new values in, added rows after them."""
     edits = changes.select(*[F.col(k).alias(f"_e_{k}") for k in key], "change", "new").filter("change <> 'added'")
-    joined = stored.join(edits, same_keys(stored, edits, [(k, f"_e_{k}") for k in key], True), "left")
+    joined = stored.join(edits, by_name([(k, f"_e_{k}") for k in key], null_safe=True), "left")
     joined = joined.filter(~F.col("change").eqNullSafe(F.lit("removed")))
     hit = F.col("change") == "modified"
     kept = joined.select(

@@ -13,11 +13,10 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelweave.plans.pages import PAGE_ROWS, attach, collect_groups, same_keys, with_pages
+from modelweave.plans.keys import Pairs, by_name, lookup, same_keys
+from modelweave.plans.pages import PAGE_ROWS, attach, collect_groups, with_pages
 from modelweave.plans.workspace import store
 
-Pairs = Sequence[tuple[str, str]]
-
 
 def join_inner(a: DataFrame, b: DataFrame, on: Pairs, where: str = "") -> DataFrame:
     """Inner join, then a filter on either side (pushed below the join by Spark)."""
@@ -36,7 +35,7 @@ def join_left_flag(
 
 def anti_by_null(a: DataFrame, b: DataFrame, on: Pairs) -> DataFrame:
     """LEFT JOIN ... WHERE right IS NULL."""
-    return a.join(b, same_keys(a, b, on), "left_anti")
+    return lookup(a, b, on, "left_anti")
 
 
 def not_in(a: DataFrame, b: DataFrame, on: Pairs, sql_nulls: bool = False) -> DataFrame:
@@ -46,7 +45,7 @@ def not_in(a: DataFrame, b: DataFrame, on: Pairs, sql_nulls: bool = False) -> Da
     result, and a NULL key of ``a`` is dropped unless ``b`` is empty. The NULL
     test is a one-row aggregate, so no null-aware broadcast join is needed.
     """
-    left = a.join(b, same_keys(a, b, on), "left_anti")
+    left = lookup(a, b, on, "left_anti")
     if not sql_nulls:
         return left
     missing = reduce(or_, [F.col(f"`{k}`").isNull() for _, k in on])
@@ -88,7 +87,7 @@ def nest_one(
         )
         right = right.select(*[f"_k{i}" for i in range(len(keys))], once("_n", "_v", name))
     pairs = [(p, f"_k{i}") for i, (p, _) in enumerate(on)]
-    return parent.join(right, same_keys(parent, right, pairs), "left").select(*[parent[c] for c in parent.columns], name)
+    return parent.join(right, by_name(pairs), "left").select(*parent.columns, name)
 
 
 def once(count: str, value: str, name: str) -> Column:
@@ -171,14 +170,11 @@ def fk_orphans(child: DataFrame, parent: DataFrame, fk: Sequence[str], pk: Seque
     if not active:
         return child.limit(0)
     refers = child.filter(reduce(and_, [F.col(c).isNotNull() for c in fk]))
-    keys = parent.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(pk)])
-    pairs = [(c, f"_k{i}") for i, c in enumerate(fk)]
-    return refers.join(keys, same_keys(refers, keys, pairs), "left_anti")
+    return lookup(refers, parent, list(zip(fk, pk)), "left_anti")
 
 
 def _hit_rows(child: DataFrame, lost: DataFrame, fk, how: str) -> DataFrame:
-    keys = lost.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(fk.parent_columns)])
-    return child.join(keys, same_keys(child, keys, [(c, f"_k{i}") for i, c in enumerate(fk.columns)]), how)
+    return lookup(child, lost, list(zip(fk.columns, fk.parent_columns)), how)
 
 
 def _parents_first(edges: Sequence, root: str) -> list[str] | None:
@@ -257,27 +253,26 @@ def set_null_on_delete(child: DataFrame, deletes: DataFrame, fk: Sequence[str],
     """The foreign key becomes NULL where its parent is deleted."""
     lost = deletes.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(pk)]).distinct().withColumn("_hit", F.lit(True))
     pairs = [(c, f"_k{i}") for i, c in enumerate(fk)]
-    joined = child.join(lost, same_keys(child, lost, pairs), "left")
+    joined = child.join(lost, by_name(pairs), "left")
     return joined.select(
         *[F.when(F.col("_hit"), None).otherwise(F.col(c)).alias(c) if c in fk else F.col(c) for c in child.columns]
     )
 
 
-def _facing(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    """Every edge turned round once; self loops are not mutual."""
-    return edges.filter(F.col(src) != F.col(dst)).select(F.col(dst).alias("_s"), F.col(src).alias("_d")).distinct()
+def _facing(edges: DataFrame, src: str, dst: str, how: str) -> DataFrame:
+    """Edges that have, or have not, their reverse; self loops are not mutual."""
+    back = edges.filter(F.col(src) != F.col(dst))
+    return lookup(edges, back, [(src, dst), (dst, src)], how)
 
 
 def mutual_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """Edges whose reverse is there as well."""
-    back = _facing(edges, src, dst)
-    return edges.join(back, same_keys(edges, back, [(src, "_s"), (dst, "_d")]), "left_semi")
+    return _facing(edges, src, dst, "left_semi")
 
 
 def without_mutual_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """Edges without a reverse, self loops included."""
-    back = _facing(edges, src, dst)
-    return edges.join(back, same_keys(edges, back, [(src, "_s"), (dst, "_d")]), "left_anti")
+    return _facing(edges, src, dst, "left_anti")
 
 
 _WORD, _GAP = "[a-z0-9_]+", "[^a-z0-9_]+"

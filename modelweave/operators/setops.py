@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelweave.plans.pages import same_keys
+from modelweave.plans.keys import by_name, lookup
 
 
 def combine(frames: dict[str, DataFrame], tag: str = "origin") -> DataFrame:
@@ -19,7 +19,7 @@ def combine(frames: dict[str, DataFrame], tag: str = "origin") -> DataFrame:
 
 def subtract_by_key(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``a`` whose key is not in ``b``, compared part by part; NULL equals NULL."""
-    return a.join(b, same_keys(a, b, [(k, k) for k in keys], null_safe=True), "left_anti")
+    return lookup(a, b, [(k, k) for k in keys], "left_anti", null_safe=True)
 
 
 def _one_side(df: DataFrame, key: Sequence[str], columns: Sequence[str], side: str) -> DataFrame:
@@ -36,7 +36,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
     """
     columns = list(new.columns)
     a, b = _one_side(old, key, columns, "old"), _one_side(new, key, columns, "new")
-    both = a.join(b, same_keys(a, b, [(f"_old_{k}", f"_new_{k}") for k in key], null_safe=True), "full_outer")
+    both = a.join(b, by_name([(f"_old_{k}", f"_new_{k}") for k in key], null_safe=True), "full_outer")
     change = (
         F.when((F.coalesce("_n_old", F.lit(0)) > 1) | (F.coalesce("_n_new", F.lit(0)) > 1), "ambiguous")
         .when(F.col("_n_old").isNull(), "added")

@@ -8,27 +8,17 @@ Groups below the limit, normally all, take the plain one-shuffle path.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modelweave.plans.keys import by_name, lookup
 from modelweave.plans.positions import running_total
 from modelweave.plans.workspace import store
 
 PAGE_ROWS = 100_000
 
 
-def same_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool = False) -> Column:
-    """Join condition over column pairs."""
-    parts = [
-        left[f"`{a}`"].eqNullSafe(right[f"`{b}`"]) if null_safe else left[f"`{a}`"] == right[f"`{b}`"]
-        for a, b in pairs
-    ]
-    return reduce(and_, parts)
-
-
 def _lists(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     # a list is no smaller on the map side: shuffle the rows, then collect once
     rows = rows.repartition(*[F.col(f"`{k}`") for k in keys])
@@ -63,27 +53,29 @@ def collect_groups(
 
     big = store(big, "big_keys")
     pairs = [(k, k) for k in keys]
-    small = _lists(rows.join(big, same_keys(rows, big, pairs, True), "left_anti"), keys, name)
+    small = _lists(lookup(rows, big, pairs, "left_anti", null_safe=True, unique=True), keys, name)
     small = small.withColumns({"_page": F.lit(0).cast("long"), "_pages": F.lit(1).cast("long")})
 
-    hot = rows.join(big, same_keys(rows, big, pairs, True), "left_semi")
+    hot = lookup(rows, big, pairs, "left_semi", null_safe=True, unique=True)
     hot = running_total(hot, [*keys, "_x"], "_w", "_pos")
-    first = hot.groupBy(*keys).agg(F.min("_pos").alias("_first"))
-    paged = hot.join(first, same_keys(hot, first, pairs, True)).select(
-        *[hot[f"`{k}`"] for k in keys],
-        "_x",
-        "_w",
-        F.floor((F.col("_pos") - F.col("_first")) / F.lit(page_rows)).alias("_p"),
+    paged = _beside(hot, keys, F.min("_pos").alias("_first")).withColumn(
+        "_page", F.floor((F.col("_pos") - F.col("_first")) / F.lit(page_rows))
     )
-    paged = _lists(paged, [*keys, "_p"], name)
+    paged = _lists(paged, [*keys, "_page"], name)
     # a number may stay unused where one entry outweighs a page
-    last = paged.groupBy(*keys).agg((F.max("_p") + 1).alias("_pages"))
-    paged = paged.join(last, same_keys(paged, last, pairs, True)).select(
-        *[paged[f"`{k}`"] for k in keys], name, "_weight", F.col("_p").alias("_page"), "_pages"
-    )
+    paged = _beside(paged, keys, (F.max("_page") + 1).alias("_pages"))
+    paged = paged.select(*[F.col(f"`{k}`") for k in keys], name, "_weight", "_page", "_pages")
     return small.unionByName(paged), True
 
 
+def _beside(df: DataFrame, keys: Sequence[str], total: Column) -> DataFrame:
+    """Every row with an aggregate of its key: a partial aggregate and a join, no window over the group."""
+    named = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]
+    totals = df.groupBy(*named).agg(total)
+    met = df.join(totals, by_name([(k, f"_k{i}") for i, k in enumerate(keys)], null_safe=True))
+    return met.drop(*[f"_k{i}" for i in range(len(keys))])
+
+
 def with_pages(df: DataFrame) -> DataFrame:
     """Every row starts as page 0 of 1."""
     if "_page" in df.columns:
@@ -115,7 +107,7 @@ def attach(
     renamed = [(a, f"_k{i}") for i, (a, _) in enumerate(pairs)]
     keep = [f"`{c}`" for c in parent.columns if c not in ("_page", "_pages", "_weight", name)]
     has_weight = "_weight" in parent.columns
-    hit = same_keys(parent, right, renamed)
+    hit = by_name(renamed)
 
     def shaped(joined: DataFrame, page: Column, pages: Column, override: dict[str, Column]) -> DataFrame:
         cols = [override[c].alias(c) if c in override else F.col(f"`{c}`") for c in map(lambda q: q.strip("`"), keep)]
@@ -127,6 +119,6 @@ def attach(
     if not paged:
         return shaped(parent.join(right, hit, "left"), F.col("_page"), F.col("_pages"), {})
     pages = F.greatest("_pages", F.coalesce("_rps", F.lit(1)))
-    same = parent.join(right, hit & (parent["_page"] == right["_rp"]), "left")
-    more = parent.filter("_page = 0").join(right, hit & (right["_rp"] >= parent["_pages"]))
+    same = parent.join(right, hit & (F.col("_page") == F.col("_rp")), "left")
+    more = parent.filter("_page = 0").join(right, hit & (F.col("_rp") >= F.col("_pages")))
     return shaped(same, F.col("_page"), pages, {}).unionByName(shaped(more, F.col("_rp"), pages, reset or {}))
