@@ -205,7 +205,7 @@ def _(t):
 )
 def _(t):
     words = F.regexp_extract_all("text", F.lit("[A-Za-z0-9_]+"), F.lit(0))
-    index = A.inverted_index(t("documents"), "doc_id", words)
+    index = A.inverted_index(t("documents"), "doc_id", words, unique=True)
     return index.select("value", F.array_join("ids", ",").alias("ids"), "page")
 
 

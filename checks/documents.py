@@ -48,7 +48,7 @@ def order_node(where: str = "", tags: Tags = _ALL, line_tags: Tags = _ALL) -> Do
                 "lines",
                 "array",
                 (("o_orderkey", "l_orderkey"),),
-                order=("l_linenumber", "l_partkey", "l_suppkey", "l_price", "l_quantity"),
+                order=("l_linenumber",),
                 key=("l_orderkey", "l_linenumber"),
                 tags=line_tags,
             ),

@@ -55,7 +55,7 @@ def _lists(t) -> DataFrame:
     orders = t("orders").select("o_orderkey", F.struct("o_orderstatus", "o_orderpriority").alias("info"))
     lines = t("lineitem")
     fields = ["l_linenumber", "l_partkey", "l_returnflag"]
-    return nest_many(orders, lines, [("o_orderkey", "l_orderkey")], fields, "lines", fields)
+    return nest_many(orders, lines, [("o_orderkey", "l_orderkey")], fields, "lines")
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def _(t):
     lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", mark.alias("mark"))
     orders = t("orders").select("o_orderkey", F.struct("o_orderstatus", "o_orderpriority").alias("info"))
     fields = ["l_linenumber", "l_partkey", "l_returnflag", "mark"]
-    nested = nest_many(orders, lines, [("o_orderkey", "l_orderkey")], fields, "lines", fields)
+    nested = nest_many(orders, lines, [("o_orderkey", "l_orderkey")], fields, "lines")
     kept, _ = E.change_field_type(nested, "lines.mark", "date")
     kept, _ = E.change_field_type(kept, "lines.l_partkey", "string")
     return _flat(E.drop_field(kept, "lines.mark"))

@@ -94,7 +94,7 @@ def _(t):
 def _(t):
     fields = ["l_linenumber", "l_partkey", "l_suppkey"]
     nested = J.nest_many(
-        t("orders").select("o_orderkey"), t("lineitem"), [("o_orderkey", "l_orderkey")], fields, "lines", fields
+        t("orders").select("o_orderkey"), t("lineitem"), [("o_orderkey", "l_orderkey")], fields, "lines"
     )
     texts = F.transform("lines", lambda x: F.concat_ws(":", *[x[f] for f in fields]))
     return nested.groupBy("o_orderkey").agg(
@@ -126,7 +126,6 @@ def _(t):
         ["o_orderkey"],
         ["l_linenumber", "l_partkey"],
         "lines",
-        ["l_linenumber", "l_partkey"],
     )
     total = F.aggregate("lines", F.lit(0).cast("bigint"), lambda acc, x: acc + x["l_partkey"])
     return nested.groupBy("o_orderkey").agg(

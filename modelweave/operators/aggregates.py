@@ -51,9 +51,16 @@ def to_json_array(
 
 def collect_by_key(df: DataFrame, key: Sequence[str], value: str, name: str = "items", page_rows: int = PAGE_ROWS) -> DataFrame:
     """Key to its list of values (NULL left out), with ``is_empty`` and the page of a long list."""
-    grouped, _ = collect_groups(df, key, F.col(value), (), "_items", page_rows=page_rows)
-    items = F.array_compact("_items")
-    return grouped.select(*key, items.alias(name), (F.size(items) == 0).alias("is_empty"), F.col("_page").alias("page"))
+    keys = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).distinct()
+    grouped, _ = collect_groups(df.filter(F.col(value).isNotNull()), key, F.col(value), (), "_items", page_rows=page_rows)
+    met = keys.join(grouped, by_name([(f"_k{i}", k) for i, k in enumerate(key)], null_safe=True), "left")
+    none = F.array().cast(grouped.schema["_items"].dataType)
+    return met.select(
+        *[F.col(f"_k{i}").alias(k) for i, k in enumerate(key)],
+        F.coalesce("_items", none).alias(name),
+        F.col("_items").isNull().alias("is_empty"),
+        F.coalesce("_page", F.lit(0)).cast("long").alias("page"),
+    )
 
 
 def _full(column: str) -> Column:
@@ -177,9 +184,16 @@ def table_stats(df: DataFrame, value: Column | None = None) -> DataFrame:
     return df.agg(F.count("*").alias("documents"), F.avg(F.octet_length(text)).alias("avg_bytes"))
 
 
-def inverted_index(df: DataFrame, id_col: str, members: Column, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """(value, ids, page): rows that hold a member; common members fill several pages."""
-    pairs = df.select(F.col(id_col), F.explode(F.array_distinct(members)).alias("value")).distinct()
+def inverted_index(
+    df: DataFrame, id_col: str, members: Column, unique: bool = False, page_rows: int = PAGE_ROWS
+) -> DataFrame:
+    """(value, ids, page): rows that hold a member; common members fill several pages.
+
+    ``unique`` declares the id a key: members are then made distinct inside a row only.
+    """
+    pairs = df.select(F.col(id_col), F.explode(F.array_distinct(members)).alias("value"))
+    if not unique:
+        pairs = pairs.distinct()
     # read twice, to count and to collect: the members are taken out of the rows once
     pairs = store(pairs, "members")
     grouped, _ = collect_groups(pairs, ["value"], F.col(id_col), (), "ids", page_rows=page_rows)

@@ -105,7 +105,7 @@ def nest_many(
     order: Sequence[str] = (),
     page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
-    """Child rows as an ordered list, empty when there are none.
+    """Child rows as a list ordered by ``order``, then by the fields; empty when there are none.
 
     Lists above ``page_rows`` go on in further rows of the parent (``_page`` 1, 2, ...).
     """

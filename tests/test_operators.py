@@ -171,6 +171,14 @@ def test_resolve_id_array_keeps_order_and_unknown_ids(spark):
     assert rows(got) == sorted([(1, ["drei", "one", "9", "one"]), (2, []), (3, [])], key=repr)
 
 
+def test_lists_per_key_leave_out_nulls(spark):
+    df = spark.createDataFrame([("a", 2), ("a", None), ("a", 1), ("b", None), (None, 5)], "k string, v int")
+    want = sorted([("a", [1, 2], False, 0), ("b", [], True, 0), (None, [5], False, 0)], key=repr)
+    assert rows(A.collect_by_key(df, ["k"], "v")) == want
+    paged = A.collect_by_key(df, ["k"], "v", page_rows=1)
+    assert rows(paged.filter("k = 'a'"), "items", "is_empty", "page") == [([1], False, 0), ([2], False, 1)]
+
+
 # scalars
 
 
