@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from checks.common import Registry
@@ -12,13 +10,19 @@ from modelweave.plans.workspace import new_folder
 
 R = Registry()
 
-_YEARS = [(f"y{y}", datetime(y + 1, 1, 1)) for y in range(1995, 2001)]
+
+
+def _years() -> list:
+    """One partition per year, bounds without a time zone."""
+    return [(f"y{y}", F.lit(f"{y + 1}-01-01 00:00:00").cast("timestamp_ntz")) for y in range(1995, 2001)]
+
+
 _YEAR_SQL = "CASE " + " ".join(f"WHEN o_orderdate < TIMESTAMP '{y + 1}-01-01 00:00:00' THEN 'y{y}'" for y in range(1995, 2001)) + " END"
 
 
 @R.add("r01_partition_range", f"SELECT o_orderkey, coalesce({_YEAR_SQL}, 'reject') AS p FROM orders")
 def _(t):
-    rows, rejects = L.partition_range(t("orders").select("o_orderkey", "o_orderdate"), "o_orderdate", _YEARS)
+    rows, rejects = L.partition_range(t("orders").select("o_orderkey", "o_orderdate"), "o_orderdate", _years())
     return rows.select("o_orderkey", "p").unionByName(rejects.select("o_orderkey", F.lit("reject").alias("p")))
 
 
@@ -65,7 +69,7 @@ def _(t):
     f"SELECT l_orderkey, l_linenumber, l_partkey, {_YEAR_SQL} AS p FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE {_YEAR_SQL} IS NOT NULL",
 )
 def _(t):
-    parent, _ = L.partition_range(t("orders"), "o_orderdate", _YEARS)
+    parent, _ = L.partition_range(t("orders"), "o_orderdate", _years())
     placed = L.partition_by_reference(t("lineitem"), parent, [("l_orderkey", "o_orderkey")])
     return placed.select("l_orderkey", "l_linenumber", "l_partkey", "p")
 
@@ -84,7 +88,7 @@ def _(t):
 def _(t):
     orders = t("orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     tagged = L.partition_composite(
-        orders, L.range_name("o_orderdate", _YEARS, "later"), L.list_name("o_orderstatus", {}, automatic=True)
+        orders, L.range_name("o_orderdate", _years(), "later"), L.list_name("o_orderstatus", {}, automatic=True)
     )
     stored = L.write_partitioned(tagged, ["p", "sp"], new_folder(orders.sparkSession, "composite"))
     return stored.filter("p IN ('y1996', 'y1997') AND sp = 'F'").select("o_orderkey", "p", "sp")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,10 +25,6 @@ _TABLES = (
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _TABLES),
 )
 def _(t):
-    from functools import reduce
-
-    from pyspark.sql import DataFrame
-
     counts = [t(n).agg(F.count("*").alias("n")).select(F.lit(n).alias("table_name"), "n") for n in _TABLES]
     return reduce(DataFrame.unionByName, counts)
 
@@ -125,7 +122,7 @@ def _(t):
 )
 def _(t):
     deletes = t("events").filter("event_type = 'error'")
-    now = F.lit(datetime(2024, 1, 31)).cast("timestamp_ntz")
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
     return sinks.retention_check(deletes, "ts", 16, now).select("event_id", "ts")
 
 
@@ -156,8 +153,6 @@ def _(t):
         F.min("l_shipdate").alias("low"),
         F.max("l_shipdate").alias("high"),
     )
-    from pyspark.sql import Window
-
     # one line per file: a file may share its first value with the one before, not go below it
     before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
     return files.withColumn("over", F.col("low") < before).agg(

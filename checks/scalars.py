@@ -211,7 +211,7 @@ def _(t):
 @R.add(
     "f19_parse_time",
     """SELECT event_id, CAST(ts AS DATE) AS day, date_trunc('second', ts) AS sec, date_trunc('millisecond', ts) AS milli, ts AS micro,
-    date_trunc('millisecond', ts) - INTERVAL 2 HOUR AS zoned, TRUE AS refused FROM events""",
+    epoch_ms(date_trunc('millisecond', ts)) - 7200000 AS zoned, TRUE AS refused FROM events""",
 )
 def _(t):
     def text(pattern: str):
@@ -223,7 +223,7 @@ def _(t):
         S.parse_time(text("yyyy-MM-dd HH:mm:ss")).alias("sec"),
         S.parse_time(text("yyyy-MM-dd HH:mm:ss.SSS"), frac=3).alias("milli"),
         S.parse_time(F.concat(text("yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("000")), frac=9).alias("micro"),
-        S.parse_time(F.concat(text("yyyy-MM-dd HH:mm:ss.SSS"), F.lit("+0200")), frac=3, tz=True).cast("timestamp_ntz").alias("zoned"),
+        F.unix_millis(S.parse_time(F.concat(text("yyyy-MM-dd HH:mm:ss.SSS"), F.lit("+0200")), frac=3, tz=True)).alias("zoned"),
         S.parse_time(text("yyyy/MM/dd"), "date").isNull().alias("refused"),
     )
 

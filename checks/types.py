@@ -107,7 +107,7 @@ def _(t):
 )
 def _(t):
     joined = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    seconds = F.unix_seconds(F.col("l_shipdate").cast("timestamp")) - F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    seconds = T.interval_number(F.col("l_shipdate") - F.col("o_orderdate"), "day")
     return joined.select(
         "l_orderkey",
         "l_linenumber",
