@@ -302,6 +302,9 @@ def apply_documents(
     The documents, and the changes of each table, are stored once: rows after
     and rejects are then two views of the same comparison.
     """
+    names = [n.table for n in _walk(root)]
+    if len(set(names)) < len(names):
+        raise ValueError("a table stands at two places of the document: write back is not defined")
     docs = store(docs, "docs")
     new_rows, conflicts = shred(docs, root)
     after = dict(tables)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelweave.plans.keys import by_name, lookup
+from modelweave.plans.workspace import store
 
 
 def combine(frames: dict[str, DataFrame], tag: str = "origin") -> DataFrame:
@@ -63,8 +64,9 @@ def snapshot_diff_two_keys(old: DataFrame, new: DataFrame, id_col: str, name_col
     label = F.when(twice, "ambiguous").otherwise("id")
     by_id = sides.filter(twice | (F.col("_n_old").isNotNull() & F.col("_n_new").isNotNull()))
     by_id = by_id.select(label.alias("matched_by"), "old", "new")
-    rest_o = sides.filter(~twice & F.col("_n_new").isNull())
-    rest_n = sides.filter(~twice & F.col("_n_old").isNull())
+    # what has no partner by id, normally little, is read four times below
+    rest = store(sides.filter(~twice & (F.col("_n_old").isNull() | F.col("_n_new").isNull())), "unmatched")
+    rest_o, rest_n = rest.filter("_n_new IS NULL"), rest.filter("_n_old IS NULL")
     first = rest_o.groupBy(F.col("_oname").alias("_name")).agg(F.min_by("old", f"_old_{id_col}").alias("_first"))
     fresh = rest_n.join(first, F.col("_name") == F.col("_nname"), "left").select(
         F.when(F.col("_name").isNull(), "added").otherwise("name").alias("matched_by"),

@@ -176,3 +176,23 @@ def test_flex_entries_stand_beside_the_fields(spark):
     assert rows(D.shred(D.build_documents(root, {"t": df}), root)[0]["t"]) == rows(df)
     merged = D.flex_merge(df, ["id"], "more").select("id", F.map_keys("doc").alias("k"))
     assert rows(merged) == [(1, ["id", "z"]), (2, ["id"]), (3, ["id"])]
+
+
+def test_write_back_of_a_stream_of_documents(spark, frames, tmp_path):
+    edited(spark, frames, spec(), change).write.parquet(str(tmp_path / "in"))
+    seen = []
+
+    def batch(docs, _):
+        after, rejects = D.apply_documents(frames, docs, spec())
+        seen.append((rejects.count(), rows(after["lines"])))
+
+    stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
+    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    query.start().awaitTermination()
+    assert seen == [(0, [(1, 2, 40), (1, 9, 1), (2, 1, 30)])]
+
+
+def test_a_table_at_two_places_is_not_written_back(frames):
+    twice = dataclasses.replace(spec(), children=(*spec().children, dataclasses.replace(spec().children[0], name="seller")))
+    with pytest.raises(ValueError, match="two places"):
+        D.apply_documents(frames, frames["orders"], twice)
