@@ -35,7 +35,12 @@ def view_project(frames: dict[str, DataFrame], columns: Sequence[tuple[str, str,
 
 def view_sql(spark: SparkSession, select_statement: str, **tables: DataFrame) -> DataFrame:
     """A select text; ``${name}`` in it stands for the frame given under that name."""
-    return spark.sql(re.sub(r"\$\{(\w+)\}", r"{\1}", select_statement), **tables)
+    if not tables:
+        return spark.sql(select_statement)
+    parts = re.split(r"\$\{(\w+)\}", select_statement)
+    # other braces are part of the text
+    text = [p.replace("{", "{{").replace("}", "}}") if i % 2 == 0 else f"{{{p}}}" for i, p in enumerate(parts)]
+    return spark.sql("".join(text), **tables)
 
 
 def select_by_type(df: DataFrame, types: Iterable[str]) -> DataFrame:

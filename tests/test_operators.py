@@ -95,6 +95,20 @@ def test_key_with_many_rows_for_an_object_raises(spark):
     assert J.nest_one(parent, child.limit(1), [("v", "k")], ["n"], "o").filter("o is null").count() == 1
 
 
+def test_view_text_keeps_other_braces(spark):
+    df = one(spark, ['{"a":1}', "{}"])
+    assert values(P.view_sql(spark, "SELECT v FROM ${t} WHERE v <> '{}'", t=df), "v") == ['{"a":1}']
+    assert values(P.view_sql(spark, "SELECT '{x}' AS v"), "v") == ["{x}"]
+
+
+def test_view_of_several_tables_needs_keys(spark):
+    a, b = one(spark, [1, 2], "int"), one(spark, [2, 3], "int")
+    columns = [("a", "v", ""), ("b", "v", "w")]
+    assert rows(P.view_project({"a": a, "b": b}, columns, "a.v = b.v")) == [(2, 2)]
+    with pytest.raises(ValueError):
+        P.view_project({"a": a, "b": b}, columns)
+
+
 # joins
 
 
