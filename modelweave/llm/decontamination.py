@@ -3,7 +3,8 @@
 The set of n-grams is broadcast while its counted size stays under a bound and
 shuffled beyond it. A document is looked at word by word only if it holds one
 of the anchors (the longest word of each n-gram), since no n-gram can occur
-without its anchor. Every hash hit is verified on the words themselves.
+without its anchor. Every hash hit is verified on the words themselves, in the
+row that carries them: one scan, and one shuffle of a narrow row per document.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelweave.llm.words import EMPTY_SHA256, literal_array, right_keys, same, words_of
+from modelweave.llm.words import literal_array, right_keys, same, words_of
 from modelweave.plans.workspace import store
 
 BROADCAST_GRAMS = 500_000  # rows of about 150 bytes
@@ -27,14 +28,18 @@ def item_grams(benchmark: DataFrame, n: int, item_id: str = "item_id", text: str
     return grams.select("item_id", "gram", F.size("gram").alias("_len"), F.xxhash64("gram").alias("_h")).distinct()
 
 
-_WINDOWS = "array<struct<s:int,k:int,h:bigint>>"
+_WINDOWS = "array<struct<s:int,k:int,h:bigint,g:array<string>>>"
+_CHUNK = 256  # window starts per row between the two explodes: bounds a row of a very long text
 
 
 def _windows(k: int) -> Column:
-    """Start from 1, length and hash of every window of ``k`` words of _w."""
-    starts = F.sequence(F.lit(1), F.size("_w") - (k - 1))
-    made = F.transform(starts, lambda i: F.struct(i.alias("s"), F.lit(k).alias("k"), F.xxhash64(F.slice("_w", i, k)).alias("h")))
-    return F.when(F.size("_w") >= k, made).otherwise(F.array().cast(_WINDOWS))
+    """Start from 0, length, hash and words of every window of ``k`` words that starts in the chunk."""
+    starts = F.sequence(F.lit(1), F.least(F.size("_c") - (k - 1), F.lit(_CHUNK)))
+    cut = F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice("_c", i, k).alias("g")))
+    made = F.transform(
+        cut, lambda x: F.struct((F.col("_at") + x["i"] - 1).alias("s"), F.lit(k).alias("k"), F.xxhash64(x["g"]).alias("h"), x["g"].alias("g"))
+    )
+    return F.when(F.size("_c") >= k, made).otherwise(F.array().cast(_WINDOWS))
 
 
 def _longest(gram: Column) -> Column:
@@ -54,6 +59,9 @@ def judge(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, d
     found = grams.agg(F.count("*"), F.collect_set("_len")).first()
     lengths = sorted(found[1] or [])
     anchors = [r[0] for r in grams.select(_longest(F.col("gram")).alias("a")).distinct().limit(ANCHOR_WORDS + 1).collect()]
+    texts = grams.groupBy("_h", "gram").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
+    if found[0] <= BROADCAST_GRAMS:
+        texts = F.broadcast(texts)
 
     key = ["_id", "_th"]
     words = docs.select(
@@ -62,58 +70,37 @@ def judge(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, d
         words_of(F.col(f"`{text}`")).alias("_w"),
     )
     maybe = F.arrays_overlap("_w", literal_array(anchors)) if len(anchors) <= ANCHOR_WORDS else F.lit(True)
-    scanned = store(
-        words.select(*key, F.size("_w").cast("long").alias("n_words"), F.when(maybe, F.col("_w")).alias("_w")), "scanned"
+    ats = F.when(maybe, F.sequence(F.lit(0), F.greatest(F.size("_w") - 1, F.lit(0)), F.lit(_CHUNK))).otherwise(F.array(F.lit(0)))
+    reach = _CHUNK + max(lengths, default=1) - 1
+    chunk = F.transform(ats, lambda i: F.struct(i.alias("at"), F.when(maybe, F.slice("_w", i + 1, reach)).otherwise(F.array().cast("array<string>")).alias("c")))
+    chunks = words.select(*key, F.size("_w").cast("long").alias("n_words"), F.explode(chunk).alias("_x"))
+    chunks = chunks.select(*key, "n_words", F.col("_x.at").alias("_at"), F.col("_x.c").alias("_c"))
+    # one row more per text, so that every text has a row behind the join
+    mark = F.when(F.col("_at") == 0, F.array(F.struct(F.lit(-1), F.lit(0), F.lit(None).cast("long"), F.lit(None).cast("array<string>"))).cast(_WINDOWS))
+    windows = F.concat(F.coalesce(mark, F.array().cast(_WINDOWS)), *[_windows(k) for k in lengths])
+    rows = chunks.select(*key, "n_words", F.explode(windows).alias("_x")).select(*key, "n_words", "_x.s", "_x.k", F.col("_x.h").alias("_h"), "_x.g")
+    met = rows.join(texts, "_h", "left").filter((F.col("s") < 0) | (F.col("g") == F.col("gram")))
+    hit = F.col("s") >= 0
+    told = met.groupBy(*key).agg(
+        F.max("n_words").alias("n_words"),
+        F.count(F.when(~hit, 1)).alias("_copies"),
+        F.collect_set(F.when(hit, F.struct("s", "k"))).alias("_hits"),
+        F.collect_set(F.when(hit, F.col("items"))).alias("_items"),
     )
-
-    # the words of repeated rows are the same, so one of them is scanned
-    open_docs = scanned.filter("_w is not null").dropDuplicates(key)
-    windows = F.flatten(F.array(*[_windows(k) for k in lengths])) if lengths else F.array().cast(_WINDOWS)
-    met = open_docs.select(*key, F.explode(windows).alias("_x")).select(*key, "_x.s", "_x.k", F.col("_x.h").alias("_h"))
-    texts = grams.select("_h", F.col("_len").alias("k"), "gram").distinct()
-    if found[0] <= BROADCAST_GRAMS:
-        texts = F.broadcast(texts)
-    hits = met.join(texts, ["_h", "k"]).groupBy(*key).agg(
-        F.collect_list(F.struct("s", "k", F.col("_h").alias("h"), "gram")).alias("_hits")
-    )
-    right = hits.select(*right_keys(key), "_hits")
-    true_hits = open_docs.join(right, same(open_docs, right, key)).select(
-        *key, F.filter("_hits", lambda x: F.slice("_w", x["s"], x["k"]) == x["gram"]).alias("_hits")
-    )
-    true_hits = store(true_hits.filter(F.size("_hits") > 0), "hits")
-
     covered = F.array_distinct(F.flatten(F.transform("_hits", lambda x: F.sequence(x["s"], x["s"] + x["k"] - 1))))
-    places = true_hits.select(*key, F.size(covered).cast("long").alias("n_hit"), _merged(F.col("_hits")).alias("spans"))
-    owners = grams.select(F.col("_h").alias("h"), "gram", "item_id")
-    if found[0] <= BROADCAST_GRAMS:
-        owners = F.broadcast(owners)
-    once = true_hits.select(*key, F.explode(F.array_distinct(F.transform("_hits", lambda x: F.struct(x["h"], x["gram"])))).alias("_x"))
-    items = (
-        once.select(*key, "_x.h", "_x.gram")
-        .join(owners, ["h", "gram"])
-        .groupBy(*key)
-        .agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("_items"))
-    )
-    named = items.select(*right_keys(key), "_items")
-    told = places.join(named, same(places, named, key)).select(
-        *right_keys(key), "n_hit", "spans",
-        F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "_items"), 256).alias("items_sha256"),
+    items = F.array_sort(F.array_distinct(F.flatten("_items")))
+    judged = told.select(
+        *key, "n_words", F.size(covered).cast("long").alias("n_hit"), _merged(F.col("_hits")).alias("spans"),
+        F.size(items).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), "_copies",
     )
-    told = told.select(*[F.col(c).alias(c.replace("_r_", "_t_")) for c in told.columns])
-    base = scanned.drop("_w").join(told, scanned["_id"].eqNullSafe(told["_t__id"]) & (scanned["_th"] == told["_t__th"]), "left")
-    return base.select(
-        "_id", "_th", "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
-        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("items_sha256", F.lit(EMPTY_SHA256)).alias("items_sha256"),
-    ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words")))
+    judged = judged.withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words")))
+    repeated = judged.withColumn("_copies", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int"))))
+    return repeated.drop("_copies")
 
 
 def _merged(hits: Column) -> Column:
     """Overlapping or touching hits as one (start, end), word positions from 0."""
-    order = F.array_sort(F.transform(hits, lambda x: F.struct((x["s"] - 1).alias("start"), (x["s"] - 1 + x["k"]).alias("end"))))
+    order = F.array_sort(F.transform(hits, lambda x: F.struct(x["s"].alias("start"), (x["s"] + x["k"]).alias("end"))))
     none = F.array().cast("array<struct<start:int,end:int>>")
 
     def step(done: Column, x: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelweave.llm import decontamination, licenses
+from modelweave.llm import decontamination, licenses, substrings
 from modelweave.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,5 +20,9 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination_digest(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_licenses, op9_decontaminate)}
+def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.substring_digest(read_table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_licenses, op7_substrings, op9_decontaminate)}
 SQL: dict[str, str] = {"op3_licenses": licenses.SQL, "op9_decontaminate": decontamination.SQL}
