@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelweave.llm.tokens import Words, find_words, pieces, run_hashes
+from modelweave.llm.tokens import Words, find_words, group_rows, pieces, run_hashes
 
 MER = 4
 _TAG = 40  # a place is a word position below this bit and a tag of the text above it
@@ -71,39 +71,6 @@ def _tags(words: Words) -> np.ndarray:
     return ((h >> np.uint64(42)).astype(np.int64)) << _TAG
 
 
-def _grouped(key: np.ndarray, columns: dict[str, np.ndarray], ids: np.ndarray, places: np.ndarray, same: str | None) -> Iterator[pa.RecordBatch]:
-    """One row per key of a task: count, first (id, place), and the other places if there are any."""
-    order = np.lexsort((places, ids, key))
-    key, ids, places = key[order], ids[order], places[order]
-    head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    count = np.diff(np.append(head, len(key)))
-    out = {}
-    for name, values in columns.items():
-        values = values[order]
-        if name == same and len(key):
-            # the common value of the group, 0 if it differs
-            lo, hi = np.minimum.reduceat(values, head), np.maximum.reduceat(values, head)
-            out[name] = np.where(lo == hi, lo, 0)
-        else:
-            out[name] = values[head]
-    for a in range(0, len(head), 20_000):
-        part = slice(a, a + 20_000)
-        begin, size = head[part], count[part]
-        rest = size - 1
-        offsets = np.concatenate([[0], np.cumsum(rest)])
-        take = np.repeat(begin + 1 - offsets[:-1], rest) + np.arange(offsets[-1])
-        more = pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()),
-            pa.StructArray.from_arrays([pa.array(ids[take], pa.int64()), pa.array(places[take], pa.int64())], ["id", "at"]),
-            mask=pa.array(rest == 0),
-        )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[begin].view(np.int64)), pa.array(size, pa.int64()), pa.array(ids[begin], pa.int64()), pa.array(places[begin], pa.int64()), more]
-            + [pa.array(v[part]) for v in out.values()],
-            ["key", "n", "id", "at", "more", *out],
-        )
-
-
 _ROW = "key long, n long, id long, at long, more array<struct<id:long,at:long>>"
 
 
@@ -122,7 +89,7 @@ def _occurrences(window: int, mer: int) -> Callable:
             ids.append(batch.column(0).to_numpy(zero_copy_only=False)[doc])
             places.append(at - words.first[doc] + _tags(words)[doc])
         if keys:
-            yield from _grouped(np.concatenate(keys), {"follows": np.concatenate(nexts)}, np.concatenate(ids), np.concatenate(places), "follows")
+            yield from group_rows(np.concatenate(keys), {"follows": np.concatenate(nexts)}, np.concatenate(ids), np.concatenate(places), "follows")
 
     return run
 
@@ -182,7 +149,7 @@ def _crossing(window: int, mer: int) -> Callable:
         if keys:
             k, i, p, n, sure_all = (np.concatenate(v) for v in (keys, ids, places, sizes, sure))
             for part in (sure_all, ~sure_all):
-                yield from _grouped(k[part], {"words": n[part].astype(np.int64), "sure": sure_all[part]}, i[part], p[part], None)
+                yield from group_rows(k[part], {"words": n[part].astype(np.int64), "sure": sure_all[part]}, i[part], p[part], None)
 
     return run
 

@@ -119,3 +119,38 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
             to = max(at + 1, int(np.searchsorted(sizes, before + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+
+
+def group_rows(
+    key: np.ndarray, columns: dict[str, np.ndarray], ids: np.ndarray, places: np.ndarray, same: str | None = None
+) -> Iterator[pa.RecordBatch]:
+    """One row per key of a task: count, first (id, place), and the other places if there are any."""
+    order = np.lexsort((places, ids, key))
+    key, ids, places = key[order], ids[order], places[order]
+    head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    count = np.diff(np.append(head, len(key)))
+    out = {}
+    for name, values in columns.items():
+        values = values[order]
+        if name == same and len(key):
+            # the common value of the group, 0 if it differs
+            lo, hi = np.minimum.reduceat(values, head), np.maximum.reduceat(values, head)
+            out[name] = np.where(lo == hi, lo, 0)
+        else:
+            out[name] = values[head]
+    for a in range(0, len(head), 20_000):
+        part = slice(a, a + 20_000)
+        begin, size = head[part], count[part]
+        rest = size - 1
+        offsets = np.concatenate([[0], np.cumsum(rest)])
+        take = np.repeat(begin + 1 - offsets[:-1], rest) + np.arange(offsets[-1])
+        more = pa.ListArray.from_arrays(
+            pa.array(offsets, pa.int32()),
+            pa.StructArray.from_arrays([pa.array(ids[take], pa.int64()), pa.array(places[take], pa.int64())], ["id", "at"]),
+            mask=pa.array(rest == 0),
+        )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key[begin].view(np.int64)), pa.array(size, pa.int64()), pa.array(ids[begin], pa.int64()), pa.array(places[begin], pa.int64()), more]
+            + [pa.array(v[part]) for v in out.values()],
+            ["key", "n", "id", "at", "more", *out],
+        )
