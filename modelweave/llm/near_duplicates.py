@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modelweave.llm.components import smallest_reachable
-from modelweave.llm.tokens import find_words, group_rows, mix, pieces, run_hashes
+from modelweave.llm.tokens import find_words, group_rows, group_schema, group_size, mix, pieces, run_hashes
 from modelweave.plans.workspace import store
 
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability 5e-7
@@ -256,8 +256,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     sets = base.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     nodes = store(base.filter("n > 0").select("id", "d1", "d2").distinct().join(sets, ["d1", "d2"]).select("id", "d1", "rep").distinct(), "nodes")
 
-    met = base.select("id", "keys").mapInArrow(_buckets, "key long, n long, id long, at long, more array<struct<id:long,at:long>>")
-    met = met.withColumn("_n", F.sum("n").over(Window.partitionBy("key"))).filter("_n > 1")
+    met = base.select("id", "keys").mapInArrow(_buckets, group_schema())
+    met = met.withColumn("_n", F.sum(group_size()).over(Window.partitionBy("key"))).filter("_n > 1")
     others = F.coalesce(F.transform("more", lambda x: x["id"]), F.array().cast("array<long>"))
     held = met.select("key", F.explode(F.concat(F.array("id"), others)).alias("id"))
     held = held.join(nodes.select("id", "rep"), "id").select("key", "rep").distinct()

@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelweave.llm.tokens import Words, find_words, group_rows, pieces, run_hashes
+from modelweave.llm.tokens import Words, find_words, group_rows, group_schema, group_size, pieces, run_hashes
 
 MER = 4
-_TAG = 40  # a place is a word position below this bit and a tag of the text above it
+_TAG = 22  # a place is a tag of the text below this bit and a word position above it
+_MASK = (1 << _TAG) - 1
 _NULL_ID = -(1 << 63)
 _LARGEST = np.uint64(2**64 - 1)
 
@@ -68,10 +69,7 @@ def _sliding(x: np.ndarray, width: int, of: Callable, fill: int) -> np.ndarray:
 def _tags(words: Words) -> np.ndarray:
     """A tag of each text, so that rows which share an id stay apart."""
     h = run_hashes(words.sums(), words.first[:-1], words.first[1:])
-    return ((h >> np.uint64(42)).astype(np.int64)) << _TAG
-
-
-_ROW = "key long, n long, id long, at long, more array<struct<id:long,at:long>>"
+    return (h >> np.uint64(64 - _TAG)).astype(np.int64)
 
 
 def _occurrences(window: int, mer: int) -> Callable:
@@ -87,7 +85,7 @@ def _occurrences(window: int, mer: int) -> Callable:
             keys.append(x[at])
             nexts.append(follows.view(np.int64))
             ids.append(batch.column(0).to_numpy(zero_copy_only=False)[doc])
-            places.append(at - words.first[doc] + _tags(words)[doc])
+            places.append(((at - words.first[doc]) << _TAG) + _tags(words)[doc])
         if keys:
             yield from group_rows(np.concatenate(keys), {"follows": np.concatenate(nexts)}, np.concatenate(ids), np.concatenate(places), "follows")
 
@@ -98,14 +96,13 @@ def _crossing(window: int, mer: int) -> Callable:
     """Repeated paths that are not the first of their kind, and the windows that still have to be compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, places, sizes, sure = [], [], [], [], []
+        keys, ids, places, sizes = [], [], [], []
 
-        def put(k: np.ndarray, i: np.ndarray, p: np.ndarray, length: np.ndarray, s: bool) -> None:
+        def put(k: np.ndarray, i: np.ndarray, p: np.ndarray, length: np.ndarray) -> None:
             keys.append(k)
             ids.append(i)
             places.append(p)
             sizes.append(length)
-            sure.append(np.full(len(k), s))
 
         for batch in pieces(batches, "_mw_text"):
             words = find_words(batch.column(1))
@@ -119,9 +116,9 @@ def _crossing(window: int, mer: int) -> Callable:
             owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             flat = lists.flatten()
             told = {f.name: flat.field(k).to_numpy(zero_copy_only=False) for k, f in enumerate(flat.type)}
-            valid = (told["at"] >> _TAG) == (tags[owner] >> _TAG) if len(owner) else np.zeros(0, bool)
+            valid = (told["at"] & _MASK) == tags[owner] if len(owner) else np.zeros(0, bool)
             owner = owner[valid]
-            spot = np.searchsorted(at, words.first[owner] + (told["at"][valid] & ((1 << _TAG) - 1)))
+            spot = np.searchsorted(at, words.first[owner] + (told["at"][valid] >> _TAG))
             times, goes_on, is_first = np.zeros(len(at), np.int64), np.zeros(len(at), bool), np.zeros(len(at), bool)
             times[spot], goes_on[spot], is_first[spot] = told["n"][valid], told["goes_on"][valid], told["is_first"][valid]
 
@@ -131,10 +128,10 @@ def _crossing(window: int, mer: int) -> Callable:
             heads = np.flatnonzero(head)
             lasts = np.append(heads[1:], len(at)) - 1
             begin, end = at[heads], at[lasts] + mer
-            # no window stands inside a shorter path; a path of one anchor is never longer than a window
-            inner = np.flatnonzero((end - begin >= window) & (times[heads] > 1) & ~is_first[heads])
+            # longer than a window, so that the length tells these rows from the others
+            inner = np.flatnonzero((end - begin > window) & (times[heads] > 1) & ~is_first[heads])
             d = doc[heads[inner]]
-            put(run_hashes(words.sums(), begin[inner], end[inner]), own[d], begin[inner] - words.first[d] + tags[d], end[inner] - begin[inner], True)
+            put(run_hashes(words.sums(), begin[inner], end[inner]), own[d], ((begin[inner] - words.first[d]) << _TAG) + tags[d], end[inner] - begin[inner])
 
             s = np.flatnonzero(starts)
             best, where = x[s].copy(), s.copy()
@@ -143,13 +140,14 @@ def _crossing(window: int, mer: int) -> Callable:
                 best[less], where[less] = x[s + j][less], s[less] + j
             anchor = np.searchsorted(at, where)
             keep = times[anchor] > 1
-            keep &= ~((s >= begin[path[anchor]]) & (s + window <= end[path[anchor]]))
+            own_path = path[anchor]
+            keep &= ~((s >= begin[own_path]) & (s + window <= end[own_path]) & (end[own_path] - begin[own_path] > window))
             s, d = s[keep], doc[anchor[keep]]
-            put(run_hashes(words.sums(), s, s + window), own[d], s - words.first[d] + tags[d], np.full(len(s), window), False)
+            put(run_hashes(words.sums(), s, s + window), own[d], ((s - words.first[d]) << _TAG) + tags[d], np.full(len(s), window))
         if keys:
-            k, i, p, n, sure_all = (np.concatenate(v) for v in (keys, ids, places, sizes, sure))
-            for part in (sure_all, ~sure_all):
-                yield from group_rows(k[part], {"words": n[part].astype(np.int64), "sure": sure_all[part]}, i[part], p[part], None)
+            k, i, p, n = (np.concatenate(v) for v in (keys, ids, places, sizes))
+            for part in (n > window, n == window):
+                yield from group_rows(k[part], {"words": n[part].astype(np.int64)}, i[part], p[part])
 
     return run
 
@@ -158,7 +156,7 @@ def _meet(rows: DataFrame, *more: tuple[str, object]) -> DataFrame:
     """Rows of a key with the count and the first place over all tasks; a key has a row per task at most."""
     over = Window.partitionBy("key")
     first = F.min(F.struct("id", "at")).over(over)
-    met = rows.withColumns({"_n": F.sum("n").over(over), "_first": first, **dict(more)})
+    met = rows.withColumns({"_n": F.sum(group_size()).over(over), "_first": first, **dict(more)})
     places = F.concat(F.array(F.struct("id", "at")), F.coalesce("more", F.array().cast("array<struct<id:long,at:long>>")))
     return met.withColumn("_p", places)
 
@@ -176,7 +174,7 @@ def repeated_stretches(docs: DataFrame, window: int = 20, mer: int = MER, doc_id
     """
     texts = _keyed(docs, doc_id, text)
     over = Window.partitionBy("key")
-    seen = texts.mapInArrow(_occurrences(window, mer), f"{_ROW}, follows long")
+    seen = texts.mapInArrow(_occurrences(window, mer), group_schema("follows long"))
     lo, hi = F.min("follows").over(over), F.max("follows").over(over)
     met = _meet(seen, ("_go", (lo == hi) & (lo != 0))).filter("_n > 1")
     flat = met.select("_n", "_go", "_first", F.explode("_p").alias("_p"))
@@ -184,8 +182,9 @@ def repeated_stretches(docs: DataFrame, window: int = 20, mer: int = MER, doc_id
     per_doc = flat.select(F.col("_p.id").alias("_k"), item.alias("_x")).groupBy("_k").agg(F.collect_list("_x").alias("_x"))
     empty = F.array().cast("array<struct<at:bigint,n:bigint,goes_on:boolean,is_first:boolean>>")
     beside = texts.join(per_doc, texts["_mw_id"] == per_doc["_k"], "left").select("_mw_id", "_mw_text", F.coalesce("_x", empty).alias("_x"))
-    windows = beside.mapInArrow(_crossing(window, mer), f"{_ROW}, words long, sure boolean")
-    judged = _meet(windows).select("_first", "sure", "words", F.explode("_p").alias("_p")).filter(F.col("sure") | (F.col("_p") != F.col("_first")))
+    windows = beside.mapInArrow(_crossing(window, mer), group_schema("words long"))
+    judged = _meet(windows).select("_first", "words", F.explode("_p").alias("_p"))
+    judged = judged.filter((F.col("words") > window) | (F.col("_p") != F.col("_first")))
     return judged.groupBy(F.col("_p.id").alias("_mw_key")).agg(F.collect_list(F.struct(F.col("_p.at").alias("at"), "words")).alias("_mw_spans"))
 
 
@@ -198,11 +197,11 @@ def _with_stretches(texts: DataFrame, gone: DataFrame) -> DataFrame:
 
 def _gone(words: Words, spans: pa.ListArray) -> np.ndarray:
     """True for each word of a batch that a stretch of its own text covers."""
-    tags = _tags(words) >> _TAG
+    tags = _tags(words)
     owner = np.repeat(np.arange(len(spans)), np.diff(spans.offsets.to_numpy()))
     at, length = (spans.flatten().field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-    own = (at >> _TAG) == tags[owner] if len(owner) else np.zeros(0, bool)
-    begin = words.first[owner[own]] + (at[own] & ((1 << _TAG) - 1))
+    own = (at & _MASK) == tags[owner] if len(owner) else np.zeros(0, bool)
+    begin = words.first[owner[own]] + (at[own] >> _TAG)
     steps = np.zeros(len(words.start) + 1, np.int64)
     np.add.at(steps, begin, 1)
     np.add.at(steps, begin + length[own], -1)

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -124,7 +126,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
 def group_rows(
     key: np.ndarray, columns: dict[str, np.ndarray], ids: np.ndarray, places: np.ndarray, same: str | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """One row per key of a task: count, first (id, place), and the other places if there are any."""
+    """One row per key of a task: the first (id, place), and the other places if there are any."""
     order = np.lexsort((places, ids, key))
     key, ids, places = key[order], ids[order], places[order]
     head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
@@ -149,8 +151,19 @@ def group_rows(
             pa.StructArray.from_arrays([pa.array(ids[take], pa.int64()), pa.array(places[take], pa.int64())], ["id", "at"]),
             mask=pa.array(rest == 0),
         )
+        # numbers with leading zeros stand side by side, which halves what a shuffle of these rows takes
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key[begin].view(np.int64)), pa.array(size, pa.int64()), pa.array(ids[begin], pa.int64()), pa.array(places[begin], pa.int64()), more]
-            + [pa.array(v[part]) for v in out.values()],
-            ["key", "n", "id", "at", "more", *out],
+            [pa.array(key[begin].view(np.int64)), *[pa.array(v[part]) for v in out.values()]]
+            + [pa.array(places[begin], pa.int64()), pa.array(ids[begin], pa.int64()), more],
+            ["key", *out, "at", "id", "more"],
         )
+
+
+def group_schema(*more: str) -> str:
+    """Schema of ``group_rows`` with its further columns."""
+    return ", ".join(["key long", *more, "at long, id long, more array<struct<id:long,at:long>>"])
+
+
+def group_size() -> Column:
+    """How many rows a row of ``group_rows`` stands for."""
+    return F.when(F.col("more").isNull(), F.lit(1)).otherwise(F.size("more") + 1)
