@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelweave.llm import decontamination, licenses, near_duplicates, substrings
+from modelweave.llm import decontamination, licenses, near_duplicates, packing, substrings
 from modelweave.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +24,13 @@ def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicate_digest(read_table(spark, folder, "documents"))
 
 
+def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read_table(spark, folder, "documents"))
+
+
 def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.substring_digest(read_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_licenses, op5_near_duplicates, op7_substrings, op9_decontaminate)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_licenses, op5_near_duplicates, op6_pack, op7_substrings, op9_decontaminate)}
 SQL: dict[str, str] = {"op3_licenses": licenses.SQL, "op9_decontaminate": decontamination.SQL}
