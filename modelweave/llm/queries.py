@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelweave.llm import decontamination, licenses, near_duplicates, packing, substrings
+from modelweave.llm import decontamination, languages, licenses, near_duplicates, packing, sharding, substrings
 from modelweave.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,18 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, folder, "documents"))
 
 
+def op8_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.language_digest(read_table(spark, folder, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination_digest(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
+def op4_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, folder, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicate_digest(read_table(spark, folder, "documents"))
 
@@ -32,5 +40,5 @@ def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.substring_digest(read_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_licenses, op5_near_duplicates, op6_pack, op7_substrings, op9_decontaminate)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_licenses, op4_shards, op5_near_duplicates, op6_pack, op7_substrings, op8_languages, op9_decontaminate)}
 SQL: dict[str, str] = {"op3_licenses": licenses.SQL, "op9_decontaminate": decontamination.SQL}
