@@ -29,12 +29,18 @@ def item_grams(benchmark: DataFrame, n: int, item_id: str = "item_id", text: str
 
 
 _WINDOWS = "array<struct<s:int,k:int,h:bigint,g:array<string>>>"
-_CHUNK = 256  # window starts per row between the two explodes: bounds a row of a very long text
+_CHUNK = 4096  # window starts per row between the two explodes: bounds a row of a very long text
 
 
-def _windows(k: int) -> Column:
-    """Start from 0, length, hash and words of every window of ``k`` words that starts in the chunk."""
-    starts = F.sequence(F.lit(1), F.least(F.size("_c") - (k - 1), F.lit(_CHUNK)))
+def _windows(k: int, every: bool) -> Column:
+    """Start from 0, length, hash and words of the windows of ``k`` words that start in the chunk and hold an anchor."""
+    last = F.least(F.size("_c") - (k - 1), F.lit(_CHUNK))
+
+    def around(p: Column) -> Column:
+        low, high = F.greatest(p - (k - 1), F.lit(1)), F.least(p, last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    starts = F.sequence(F.lit(1), last) if every else F.array_distinct(F.flatten(F.transform("_p", around)))
     cut = F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice("_c", i, k).alias("g")))
     made = F.transform(
         cut, lambda x: F.struct((F.col("_at") + x["i"] - 1).alias("s"), F.lit(k).alias("k"), F.xxhash64(x["g"]).alias("h"), x["g"].alias("g"))
@@ -69,15 +75,20 @@ def judge(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, d
         F.xxhash64(F.col(f"`{text}`")).alias("_th"),
         words_of(F.col(f"`{text}`")).alias("_w"),
     )
-    maybe = F.arrays_overlap("_w", literal_array(anchors)) if len(anchors) <= ANCHOR_WORDS else F.lit(True)
+    every = len(anchors) > ANCHOR_WORDS
+    maybe = F.lit(True) if every else F.arrays_overlap("_w", literal_array(anchors))
     ats = F.when(maybe, F.sequence(F.lit(0), F.greatest(F.size("_w") - 1, F.lit(0)), F.lit(_CHUNK))).otherwise(F.array(F.lit(0)))
     reach = _CHUNK + max(lengths, default=1) - 1
     chunk = F.transform(ats, lambda i: F.struct(i.alias("at"), F.when(maybe, F.slice("_w", i + 1, reach)).otherwise(F.array().cast("array<string>")).alias("c")))
     chunks = words.select(*key, F.size("_w").cast("long").alias("n_words"), F.explode(chunk).alias("_x"))
     chunks = chunks.select(*key, "n_words", F.col("_x.at").alias("_at"), F.col("_x.c").alias("_c"))
+    if not every:
+        chunks = chunks.withColumn("_a", F.when(F.size("_c") > 0, F.array_intersect("_c", literal_array(anchors))).otherwise(F.array().cast("array<string>")))
+        at = F.filter(F.sequence(F.lit(1), F.size("_c")), lambda i: F.array_contains(F.col("_a"), F.get("_c", i - 1)))
+        chunks = chunks.withColumn("_p", F.when(F.size("_a") > 0, at).otherwise(F.array().cast("array<int>")))
     # one row more per text, so that every text has a row behind the join
     mark = F.when(F.col("_at") == 0, F.array(F.struct(F.lit(-1), F.lit(0), F.lit(None).cast("long"), F.lit(None).cast("array<string>"))).cast(_WINDOWS))
-    windows = F.concat(F.coalesce(mark, F.array().cast(_WINDOWS)), *[_windows(k) for k in lengths])
+    windows = F.concat(F.coalesce(mark, F.array().cast(_WINDOWS)), *[_windows(k, every) for k in lengths])
     rows = chunks.select(*key, "n_words", F.explode(windows).alias("_x")).select(*key, "n_words", "_x.s", "_x.k", F.col("_x.h").alias("_h"), "_x.g")
     met = rows.join(texts, "_h", "left").filter((F.col("s") < 0) | (F.col("g") == F.col("gram")))
     hit = F.col("s") >= 0
