@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelweave.llm import decontamination, languages, licenses, near_duplicates, packing, sharding, substrings, toxicity
+from modelweave.llm import decontamination, languages, licenses, near_duplicates, packing, pages, sharding, substrings, toxicity
 from modelweave.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_digest(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract_main_text(read_table(spark, folder, "pages"))
+
+
 def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, folder, "documents"))
 
@@ -44,5 +48,5 @@ def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.substring_digest(read_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op3_licenses, op4_shards, op5_near_duplicates, op6_pack, op7_substrings, op8_languages, op9_decontaminate)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_licenses, op4_shards, op5_near_duplicates, op6_pack, op7_substrings, op8_languages, op9_decontaminate)}
 SQL: dict[str, str] = {"op3_licenses": licenses.SQL, "op9_decontaminate": decontamination.SQL}
