@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelweave.llm import decontamination, languages, licenses, near_duplicates, packing, pages, sharding, substrings, toxicity
+from modelweave.llm import decontamination, languages, licenses, near_duplicates, neighbours, packing, pages, sharding, substrings, toxicity
 from modelweave.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,5 +48,9 @@ def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.substring_digest(read_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_licenses, op4_shards, op5_near_duplicates, op6_pack, op7_substrings, op8_languages, op9_decontaminate)}
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.neighbour_digest(read_table(spark, folder, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_licenses, op4_shards, op5_near_duplicates, op6_pack, op7_substrings, op8_languages, op9_decontaminate, op10_neighbours)}
 SQL: dict[str, str] = {"op3_licenses": licenses.SQL, "op9_decontaminate": decontamination.SQL}
