@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelweave.llm.words import literal_array, right_keys, same, words_of
+from modelweave.llm.words import literal_array, right_keys, words_of
 from modelweave.plans.workspace import store
 
 BROADCAST_GRAMS = 500_000  # rows of about 150 bytes
@@ -128,9 +128,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, share
     judged = judge(docs, benchmark, n, share, doc_id, text).dropDuplicates(["_id", "_th"])
     added = [c for c in judged.columns if c[0] != "_"]
     kept = [c for c in docs.columns if c not in added]
-    right = judged.select(*right_keys(["_id", "_th"]), *added)
-    left = docs.withColumns({"_id": F.col(f"`{doc_id}`"), "_th": F.xxhash64(F.col(f"`{text}`"))})
-    return left.join(right, same(left, right, ["_id", "_th"])).select(*[F.col(f"`{c}`") for c in kept], *added)
+    right = judged.select(*right_keys(["_id", "_th"]), *[F.col(c).alias(f"_r_{c}") for c in added])
+    met = docs.join(right, _same_text(docs, right, doc_id, text))
+    return met.select(*[docs[f"`{c}`"] for c in kept], *[right[f"_r_{c}"].alias(c) for c in added])
+
+
+def _same_text(docs: DataFrame, right: DataFrame, doc_id: str, text: str) -> Column:
+    return docs[f"`{doc_id}`"].eqNullSafe(right["_r__id"]) & (F.xxhash64(docs[f"`{text}`"]) == right["_r__th"])
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
@@ -139,8 +143,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 13, share:
     Only the keys of contaminated documents are shuffled against the texts.
     """
     bad = judge(docs, benchmark, n, share).filter("contaminated").select(*right_keys(["_id", "_th"])).distinct()
-    left = docs.withColumns({"_id": F.col("doc_id"), "_th": F.xxhash64("text")})
-    return left.join(bad, same(left, bad, ["_id", "_th"]), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.join(bad, _same_text(docs, bad, "doc_id", "text"), "left_anti")
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

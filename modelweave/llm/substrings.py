@@ -163,7 +163,7 @@ def _meet(rows: DataFrame, *more: tuple[str, object]) -> DataFrame:
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
     key = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NULL_ID)).alias("_mw_id")
-    return docs.select(key, F.col(f"`{text}`").alias("_mw_text"), *[F.col(f"`{c}`") for c in more])
+    return docs.select(key, F.col(f"`{text}`").alias("_mw_text"), *[F.col(f"`{c}`").alias(f"_mw_{i}") for i, c in enumerate(more)])
 
 
 def repeated_stretches(docs: DataFrame, window: int = 20, mer: int = MER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
