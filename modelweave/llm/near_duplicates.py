@@ -181,10 +181,16 @@ def _details(size: int) -> Callable:
     """Registers and set of each wanted text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # repeated rows meet in one task
         for batch in pieces(batches, "_t"):
             hashes, first = shingle_sets(batch.column(1), size)
             one, _ = _digests(hashes, first)
-            wanted = np.flatnonzero(one == batch.column(2).to_numpy(zero_copy_only=False))
+            new = np.zeros(batch.num_rows, bool)
+            for d, i in enumerate(batch.column(0).to_pylist()):
+                new[d] = i not in seen and one[d] == batch.column(2)[d].as_py()
+                if new[d]:
+                    seen.add(i)
+            wanted = np.flatnonzero(new)
             regs = registers(hashes, first)
             packed = hashes.view(np.uint8).reshape(-1, 8)[:, :_SET_BYTES]
             yield pa.RecordBatch.from_arrays(
@@ -241,6 +247,18 @@ def _confirmed(percent: int) -> Callable:
     return run
 
 
+def _true_links(pairs: DataFrame, details: DataFrame, percent: int) -> DataFrame:
+    """The pairs that hold on the full sets; only likely ones get to see these."""
+
+    def side(name: str, column: str) -> DataFrame:
+        return details.select(F.col("id").alias(name), F.col(column).alias(f"_{name}"), F.col("n").alias(f"_n{name}"))
+
+    with_regs = pairs.join(side("a", "regs"), "a").join(side("b", "regs"), "b").select("a", "b", "_a", "_b", "_na", "_nb")
+    likely = with_regs.mapInArrow(_likely(percent / 100), "a long, b long")
+    with_sets = likely.join(side("a", "members"), "a").join(side("b", "members"), "b").select("a", "b", "_a", "_b")
+    return with_sets.mapInArrow(_confirmed(percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n (shingles), component_id and kept.
 
@@ -254,58 +272,47 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     base = store(texts.mapInArrow(_banded(shingle), "id long, n long, d1 long, d2 long, keys array<long>"), "bands")
     # equal sets are one node, named by the smallest id
     sets = base.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    nodes = store(base.filter("n > 0").select("id", "d1", "d2").distinct().join(sets, ["d1", "d2"]).select("id", "d1", "rep").distinct(), "nodes")
+    named = base.filter("n > 0").join(sets, ["d1", "d2"])
+    nodes = store(named.select("id", "d1", "d2", "rep").distinct(), "nodes")
 
-    met = base.select("id", "keys").mapInArrow(_buckets, group_schema())
+    met = named.filter("id = rep").select("id", "keys").mapInArrow(_buckets, group_schema())
     met = met.withColumn("_n", F.sum(group_size()).over(Window.partitionBy("key"))).filter("_n > 1")
     others = F.coalesce(F.transform("more", lambda x: x["id"]), F.array().cast("array<long>"))
-    held = met.select("key", F.explode(F.concat(F.array("id"), others)).alias("id"))
-    held = held.join(nodes.select("id", "rep"), "id").select("key", "rep").distinct()
-    shared = store(held.withColumn("_n", F.count("*").over(Window.partitionBy("key"))).filter("_n > 1").drop("_n"), "buckets")
+    shared = store(met.select("key", F.explode(F.array_distinct(F.concat(F.array("id"), others))).alias("rep")), "buckets")
 
     wanted = shared.select(F.col("rep").alias("_id")).distinct()
     wanted = wanted.join(nodes.filter("id = rep").select(F.col("id").alias("_id"), F.col("d1").alias("_d1")), "_id")
     chosen = texts.join(wanted, texts["id"] == wanted["_id"]).select("id", "_t", "_d1")
-    details = store(chosen.mapInArrow(_details(shingle), "id long, n long, regs binary, members binary").dropDuplicates(["id", "n"]), "details")
+    details = store(chosen.mapInArrow(_details(shingle), "id long, n long, regs binary, members binary"), "details")
 
     tested = links = comps = None
     turn = 0
+    over = Window.partitionBy("key")
     while True:
         # the first round takes the smallest id of a bucket, later rounds another member each time
         rank = F.col("rep") if turn == 0 else F.xxhash64("rep", "key", F.lit(turn))
-        opened = shared
+        opened = shared.withColumn("comp", F.col("rep"))
         if comps is not None:
-            named = shared.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp"))
-            mixed = named.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).filter("_lo != _hi").select("key")
-            opened = named.join(mixed, "key")
-        else:
-            opened = shared.withColumn("comp", F.col("rep"))
-        opened = store(opened, "opened")
-        pivots = store(opened.groupBy("key").agg(F.min(F.struct(rank.alias("r"), F.col("rep").alias("p"), F.col("comp").alias("c"))).alias("_p")), "pivots")
-        pairs = opened.join(pivots, "key").filter(F.col("comp") != F.col("_p.c")).select(F.col("rep").alias("a"), F.col("_p.p").alias("b")).distinct()
+            opened = shared.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        pivot = F.min(F.struct(rank.alias("r"), F.col("rep").alias("p"), F.col("comp").alias("c"))).over(over)
+        opened = opened.withColumn("_p", pivot).filter(F.col("comp") != F.col("_p.c"))
+        pairs = opened.select(F.col("rep").alias("a"), F.col("_p.p").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = store(pairs, "pairs")
-        left = details.select(F.col("id").alias("a"), F.col("regs").alias("ra"), F.col("n").alias("na"))
-        right = details.select(F.col("id").alias("b"), F.col("regs").alias("rb"), F.col("n").alias("nb"))
-        with_regs = pairs.join(left, "a").join(right, "b").select("a", "b", "ra", "rb", "na", "nb")
-        likely = store(with_regs.mapInArrow(_likely(percent / 100), "a long, b long").distinct(), "likely")
-        left = details.select(F.col("id").alias("a"), F.col("members").alias("ma"))
-        right = details.select(F.col("id").alias("b"), F.col("members").alias("mb"))
-        with_sets = likely.join(left, "a").join(right, "b").select("a", "b", "ma", "mb")
-        found = store(with_sets.mapInArrow(_confirmed(percent), "a long, b long").distinct(), "links")
-        new = found.limit(1).count()
-        if turn and not new:
+        if turn and not pairs.limit(1).count():
+            break
+        found = store(_true_links(pairs, details, percent), "links")
+        if turn and not found.limit(1).count():
             break
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
         comps = smallest_reachable(links)
         turn += 1
-        if not new:
-            break
 
-    reps = nodes.select(F.col("id").alias("_i"), F.col("d1").alias("_d"), "rep")
-    out = base.select("id", "n", "d1").join(reps, (base["id"] == reps["_i"]) & (base["d1"] == reps["_d"]) & (base["n"] > 0), "left")
+    reps = nodes.select(F.col("id").alias("_i"), F.col("d1").alias("_1"), F.col("d2").alias("_2"), "rep")
+    own = (base["id"] == reps["_i"]) & (base["d1"] == reps["_1"]) & (base["d2"] == reps["_2"])
+    out = base.select("id", "n", "d1", "d2").join(reps, own, "left")
     out = out.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left")
     out = out.select("id", "n", F.coalesce("comp", "rep", "id").alias("component_id"))
     real = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
