@@ -18,6 +18,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,15 +167,46 @@ def _banded(size: int) -> Callable:
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The keys of a task, each with all its ids: a hot bucket has one row per task."""
-    keys, ids = [], []
+    """The buckets of a task: one row per bucket and component, with all its ids.
+
+    However many copies a task holds, a bucket that they share is one row.
+    """
+    keys, ids, comps = [], [], []
     for batch in batches:
         lists = batch.column(1)
+        n = np.diff(lists.offsets.to_numpy())
         keys.append(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-        ids.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())))
+        ids.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n))
+        comps.append(np.repeat(batch.column(2).to_numpy(zero_copy_only=False), n))
     if keys:
-        key, own = np.concatenate(keys), np.concatenate(ids)
-        yield from group_rows(key, {}, own, np.zeros(len(own), np.int64))
+        key, own, comp = np.concatenate(keys), np.concatenate(ids), np.concatenate(comps)
+        both = mix(key + mix(comp.view(np.uint64)))
+        more = {"bucket": key.view(np.int64), "comp": comp, "part": np.full(len(key), TaskContext.get().partitionId())}
+        yield from group_rows(both, more, own, np.zeros(len(own), np.int64))
+
+
+def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int) -> DataFrame:
+    """(a, b): each text of a bucket with the bucket's pivot, where they are not in one component yet.
+
+    The ids of a task that meet one pivot in many buckets are put together
+    before they become rows.
+    """
+    over = Window.partitionBy("bucket")
+    schema = group_schema("bucket long", "comp long", "part long")
+    if comps is None:
+        # the first round: all ids are open, the pivot is the smallest
+        met = keyed.select("id", "keys", F.lit(0).cast("long").alias("comp")).mapInArrow(_buckets, schema)
+        met = met.withColumns({"_n": F.sum(group_size()).over(over), "_p": F.min("id").over(over)}).filter("_n > 1")
+    else:
+        named = keyed.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").select("id", "keys", F.coalesce("comp", "id").alias("comp"))
+        met = named.mapInArrow(_buckets, schema)
+        pivot = F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn)).alias("h"), "id", "comp")).over(over)
+        met = met.withColumns({"_x": pivot, "_other": F.min("comp").over(over) != F.max("comp").over(over)})
+        met = met.filter(F.col("_other") & (F.col("comp") != F.col("_x.comp"))).withColumn("_p", F.col("_x.id"))
+    ids = F.concat(F.array("id"), F.coalesce(F.transform("more", lambda x: x["id"]), F.array().cast("array<long>")))
+    lists = met.select("part", "_p", ids.alias("_ids")).groupBy("part", "_p").agg(F.collect_set("_ids").alias("_ids"))
+    pairs = lists.select(F.explode(F.array_distinct(F.flatten("_ids"))).alias("a"), F.col("_p").alias("b"))
+    return pairs.filter("a != b").distinct()
 
 
 def _details(size: int) -> Callable:
@@ -275,32 +307,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     named = base.filter("n > 0").join(sets, ["d1", "d2"])
     nodes = store(named.select("id", "d1", "d2", "rep").distinct(), "nodes")
 
-    met = named.filter("id = rep").select("id", "keys").mapInArrow(_buckets, group_schema())
-    met = met.withColumn("_n", F.sum(group_size()).over(Window.partitionBy("key"))).filter("_n > 1")
-    others = F.coalesce(F.transform("more", lambda x: x["id"]), F.array().cast("array<long>"))
-    shared = store(met.select("key", F.explode(F.array_distinct(F.concat(F.array("id"), others))).alias("rep")), "buckets")
-
-    wanted = shared.select(F.col("rep").alias("_id")).distinct()
-    wanted = wanted.join(nodes.filter("id = rep").select(F.col("id").alias("_id"), F.col("d1").alias("_d1")), "_id")
-    chosen = texts.join(wanted, texts["id"] == wanted["_id"]).select("id", "_t", "_d1")
-    details = store(chosen.mapInArrow(_details(shingle), "id long, n long, regs binary, members binary"), "details")
+    keyed = store(named.filter("id = rep").select("id", "keys"), "keys")
 
-    tested = links = comps = None
+    tested = links = comps = details = None
     turn = 0
-    over = Window.partitionBy("key")
     while True:
-        # the first round takes the smallest id of a bucket, later rounds another member each time
-        rank = F.col("rep") if turn == 0 else F.xxhash64("rep", "key", F.lit(turn))
-        opened = shared.withColumn("comp", F.col("rep"))
-        if comps is not None:
-            opened = shared.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        pivot = F.min(F.struct(rank.alias("r"), F.col("rep").alias("p"), F.col("comp").alias("c"))).over(over)
-        opened = opened.withColumn("_p", pivot).filter(F.col("comp") != F.col("_p.c"))
-        pairs = opened.select(F.col("rep").alias("a"), F.col("_p.p").alias("b")).distinct()
+        pairs = _candidates(keyed, comps, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = store(pairs, "pairs")
-        if turn and not pairs.limit(1).count():
+        if turn == 0:
+            wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
+            wanted = wanted.join(nodes.filter("id = rep").select(F.col("id").alias("_id"), F.col("d1").alias("_d1")), "_id")
+            chosen = texts.join(wanted, texts["id"] == wanted["_id"]).select("id", "_t", "_d1")
+            details = store(chosen.mapInArrow(_details(shingle), "id long, n long, regs binary, members binary"), "details")
+        elif not pairs.limit(1).count():
             break
         found = store(_true_links(pairs, details, percent), "links")
         if turn and not found.limit(1).count():
