@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modelweave.llm.components import smallest_reachable
-from modelweave.llm.tokens import find_words, group_rows, group_schema, group_size, mix, pieces, run_hashes
+from modelweave.llm.tokens import find_words, group_places, group_rows, group_schema, group_size, mix, pieces, run_hashes
 from modelweave.plans.workspace import store
 
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability 5e-7
@@ -203,7 +203,7 @@ def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int) -> DataFra
         pivot = F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn)).alias("h"), "id", "comp")).over(over)
         met = met.withColumns({"_x": pivot, "_other": F.min("comp").over(over) != F.max("comp").over(over)})
         met = met.filter(F.col("_other") & (F.col("comp") != F.col("_x.comp"))).withColumn("_p", F.col("_x.id"))
-    ids = F.concat(F.array("id"), F.coalesce(F.transform("more", lambda x: x["id"]), F.array().cast("array<long>")))
+    ids = F.transform(group_places(), lambda x: x["id"])
     lists = met.select("part", "_p", ids.alias("_ids")).groupBy("part", "_p").agg(F.collect_set("_ids").alias("_ids"))
     pairs = lists.select(F.explode(F.array_distinct(F.flatten("_ids"))).alias("a"), F.col("_p").alias("b"))
     return pairs.filter("a != b").distinct()

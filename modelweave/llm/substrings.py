@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelweave.llm.tokens import Words, find_words, group_rows, group_schema, group_size, pieces, run_hashes
+from modelweave.llm.tokens import Words, find_words, group_places, group_rows, group_schema, group_size, mix, pieces, run_hashes
 
 MER = 4
-_TAG = 22  # a place is a tag of the text below this bit and a word position above it
+# a place: a tag of the text, above it the position of the first word, above it the words of a path (0: a window)
+_TAG, _POSITION, _WORDS = 22, 28, 13
 _MASK = (1 << _TAG) - 1
+_LONGEST = (1 << _WORDS) - 1
 _NULL_ID = -(1 << 63)
 _LARGEST = np.uint64(2**64 - 1)
 
@@ -96,13 +98,12 @@ def _crossing(window: int, mer: int) -> Callable:
     """Repeated paths that are not the first of their kind, and the windows that still have to be compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, places, sizes = [], [], [], []
+        keys, ids, places = [], [], []
 
-        def put(k: np.ndarray, i: np.ndarray, p: np.ndarray, length: np.ndarray) -> None:
+        def put(k: np.ndarray, i: np.ndarray, p: np.ndarray) -> None:
             keys.append(k)
             ids.append(i)
             places.append(p)
-            sizes.append(length)
 
         for batch in pieces(batches, "_mw_text"):
             words = find_words(batch.column(1))
@@ -112,15 +113,12 @@ def _crossing(window: int, mer: int) -> Callable:
             tags, own = _tags(words), batch.column(0).to_numpy(zero_copy_only=False)
             doc = np.searchsorted(words.first, at, "right") - 1
             # what the first shuffle found, laid beside the anchors
-            lists = batch.column(2).combine_chunks() if isinstance(batch.column(2), pa.ChunkedArray) else batch.column(2)
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            flat = lists.flatten()
-            told = {f.name: flat.field(k).to_numpy(zero_copy_only=False) for k, f in enumerate(flat.type)}
-            valid = (told["at"] & _MASK) == tags[owner] if len(owner) else np.zeros(0, bool)
-            owner = owner[valid]
-            spot = np.searchsorted(at, words.first[owner] + (told["at"][valid] >> _TAG))
+            owner, told = _list(batch.column(2))
+            _, code = _list(batch.column(3))
+            valid = (told & _MASK) == tags[owner]
+            spot = np.searchsorted(at, words.first[owner[valid]] + (told[valid] >> _TAG))
             times, goes_on, is_first = np.zeros(len(at), np.int64), np.zeros(len(at), bool), np.zeros(len(at), bool)
-            times[spot], goes_on[spot], is_first[spot] = told["n"][valid], told["goes_on"][valid], told["is_first"][valid]
+            times[spot], goes_on[spot], is_first[spot] = code[valid] >> 2, code[valid] & 2, code[valid] & 1
 
             link = (times[:-1] > 1) & goes_on[:-1] & (times[:-1] == times[1:]) & (doc[:-1] == doc[1:])
             head = np.concatenate([[True], ~link])
@@ -128,10 +126,15 @@ def _crossing(window: int, mer: int) -> Callable:
             heads = np.flatnonzero(head)
             lasts = np.append(heads[1:], len(at)) - 1
             begin, end = at[heads], at[lasts] + mer
-            # longer than a window, so that the length tells these rows from the others
-            inner = np.flatnonzero((end - begin > window) & (times[heads] > 1) & ~is_first[heads])
-            d = doc[heads[inner]]
-            put(run_hashes(words.sums(), begin[inner], end[inner]), own[d], ((begin[inner] - words.first[d]) << _TAG) + tags[d], end[inner] - begin[inner])
+            inner = np.flatnonzero((end - begin >= window) & (times[heads] > 1) & ~is_first[heads])
+            # a very long path goes in parts
+            parts = -(-(end[inner] - begin[inner]) // _LONGEST)
+            inner = np.repeat(inner, parts)
+            p = begin[inner] + _LONGEST * (np.arange(len(inner)) - np.repeat(np.cumsum(parts) - parts, parts))
+            length, d = np.minimum(end[inner] - p, _LONGEST), doc[heads[inner]]
+            # the keys of these rows are their own: nothing else may have them
+            own_key = mix(own[d].view(np.uint64) + mix(((p << np.int64(20)) + tags[d]).view(np.uint64)))
+            put(own_key, own[d], (length << (_TAG + _POSITION)) + ((p - words.first[d]) << _TAG) + tags[d])
 
             s = np.flatnonzero(starts)
             best, where = x[s].copy(), s.copy()
@@ -141,13 +144,11 @@ def _crossing(window: int, mer: int) -> Callable:
             anchor = np.searchsorted(at, where)
             keep = times[anchor] > 1
             own_path = path[anchor]
-            keep &= ~((s >= begin[own_path]) & (s + window <= end[own_path]) & (end[own_path] - begin[own_path] > window))
+            keep &= ~((s >= begin[own_path]) & (s + window <= end[own_path]))
             s, d = s[keep], doc[anchor[keep]]
-            put(run_hashes(words.sums(), s, s + window), own[d], ((s - words.first[d]) << _TAG) + tags[d], np.full(len(s), window))
+            put(run_hashes(words.sums(), s, s + window), own[d], ((s - words.first[d]) << _TAG) + tags[d])
         if keys:
-            k, i, p, n = (np.concatenate(v) for v in (keys, ids, places, sizes))
-            for part in (n > window, n == window):
-                yield from group_rows(k[part], {"words": n[part].astype(np.int64)}, i[part], p[part])
+            yield from group_rows(np.concatenate(keys), {}, np.concatenate(ids), np.concatenate(places))
 
     return run
 
@@ -157,8 +158,7 @@ def _meet(rows: DataFrame, *more: tuple[str, object]) -> DataFrame:
     over = Window.partitionBy("key")
     first = F.min(F.struct("id", "at")).over(over)
     met = rows.withColumns({"_n": F.sum(group_size()).over(over), "_first": first, **dict(more)})
-    places = F.concat(F.array(F.struct("id", "at")), F.coalesce("more", F.array().cast("array<struct<id:long,at:long>>")))
-    return met.withColumn("_p", places)
+    return met.withColumn("_p", group_places())
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
@@ -178,53 +178,67 @@ def repeated_stretches(docs: DataFrame, window: int = 20, mer: int = MER, doc_id
     lo, hi = F.min("follows").over(over), F.max("follows").over(over)
     met = _meet(seen, ("_go", (lo == hi) & (lo != 0))).filter("_n > 1")
     flat = met.select("_n", "_go", "_first", F.explode("_p").alias("_p"))
-    item = F.struct(F.col("_p.at").alias("at"), F.col("_n").alias("n"), F.col("_go").alias("goes_on"), (F.col("_p") == F.col("_first")).alias("is_first"))
-    per_doc = flat.select(F.col("_p.id").alias("_k"), item.alias("_x")).groupBy("_k").agg(F.collect_list("_x").alias("_x"))
-    empty = F.array().cast("array<struct<at:bigint,n:bigint,goes_on:boolean,is_first:boolean>>")
-    beside = texts.join(per_doc, texts["_mw_id"] == per_doc["_k"], "left").select("_mw_id", "_mw_text", F.coalesce("_x", empty).alias("_x"))
-    windows = beside.mapInArrow(_crossing(window, mer), group_schema("words long"))
-    judged = _meet(windows).select("_first", "words", F.explode("_p").alias("_p"))
-    judged = judged.filter((F.col("words") > window) | (F.col("_p") != F.col("_first")))
-    return judged.groupBy(F.col("_p.id").alias("_mw_key")).agg(F.collect_list(F.struct(F.col("_p.at").alias("at"), "words")).alias("_mw_spans"))
+    code = F.col("_n") * 4 + F.when(F.col("_go"), 2).otherwise(0) + F.when(F.col("_p") == F.col("_first"), 1).otherwise(0)
+    flat = flat.select(F.col("_p.id").alias("_k"), F.col("_p.at").alias("_at"), code.cast("long").alias("_code"))
+    # two lists of one aggregate keep one order
+    per_doc = flat.groupBy("_k").agg(F.collect_list("_at").alias("_at"), F.collect_list("_code").alias("_code"))
+    none = F.array().cast("array<long>")
+    beside = texts.join(per_doc, texts["_mw_id"] == per_doc["_k"], "left")
+    beside = beside.select("_mw_id", "_mw_text", F.coalesce("_at", none).alias("_at"), F.coalesce("_code", none).alias("_code"))
+    windows = beside.mapInArrow(_crossing(window, mer), group_schema())
+    judged = _meet(windows).select("_first", F.explode("_p").alias("_p"))
+    path = F.shiftright(F.col("_p.at"), _TAG + _POSITION) > 0
+    gone = judged.filter(path | (F.col("_p") != F.col("_first"))).select(F.col("_p.id").alias("_mw_key"), F.col("_p.at").alias("_at"))
+    return gone.groupBy("_mw_key").agg(F.collect_list("_at").alias("_mw_spans"))
 
 
 def _with_stretches(texts: DataFrame, gone: DataFrame) -> DataFrame:
     """The keyed rows with their stretches as third column."""
-    none = F.array().cast("array<struct<at:bigint,words:bigint>>")
+    none = F.array().cast("array<long>")
     others = [F.col(f"`{c}`") for c in texts.columns[2:]]
     return texts.join(gone, texts["_mw_id"] == gone["_mw_key"], "left").select("_mw_id", "_mw_text", F.coalesce("_mw_spans", none).alias("_mw_spans"), *others)
 
 
-def _gone(words: Words, spans: pa.ListArray) -> np.ndarray:
+def _list(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of every entry of a list column."""
+    return np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy())), column.flatten().to_numpy(zero_copy_only=False).copy()
+
+
+def _gone(words: Words, spans: pa.ListArray, window: int) -> np.ndarray:
     """True for each word of a batch that a stretch of its own text covers."""
     tags = _tags(words)
-    owner = np.repeat(np.arange(len(spans)), np.diff(spans.offsets.to_numpy()))
-    at, length = (spans.flatten().field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-    own = (at & _MASK) == tags[owner] if len(owner) else np.zeros(0, bool)
-    begin = words.first[owner[own]] + (at[own] >> _TAG)
+    owner, at = _list(spans)
+    own = (at & _MASK) == tags[owner]
+    owner, at = owner[own], at[own]
+    length = at >> (_TAG + _POSITION)
+    length[length == 0] = window
+    begin = words.first[owner] + ((at >> _TAG) & ((1 << _POSITION) - 1))
     steps = np.zeros(len(words.start) + 1, np.int64)
     np.add.at(steps, begin, 1)
-    np.add.at(steps, begin + length[own], -1)
+    np.add.at(steps, begin + length, -1)
     return np.cumsum(steps[:-1]) > 0
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "_mw_text"):
-        words = find_words(batch.column(1))
-        gone = _gone(words, batch.column(2))
-        sums = np.concatenate([[0], np.cumsum(gone)])
-        removed = sums[words.first[1:]] - sums[words.first[:-1]]
-        hashes = []
-        for d, text in enumerate(batch.column(1).to_pylist()):
-            own = (text or "").encode().split()
-            if removed[d]:
-                drop = gone[words.first[d] : words.first[d + 1]]
-                own = [w for w, g in zip(own, drop.tolist()) if not g]
-            hashes.append(hashlib.sha256(b" ".join(own)).hexdigest())
-        ids = batch.column(0)
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(np.diff(words.first), pa.int64()), pa.array(removed, pa.int64()), pa.array(hashes)], ["doc_id", "n_words", "n_removed", "kept_sha256"]
-        )
+def _digest(window: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "_mw_text"):
+            words = find_words(batch.column(1))
+            gone = _gone(words, batch.column(2), window)
+            sums = np.concatenate([[0], np.cumsum(gone)])
+            removed = sums[words.first[1:]] - sums[words.first[:-1]]
+            hashes = []
+            for d, text in enumerate(batch.column(1).to_pylist()):
+                own = (text or "").encode().split()
+                if removed[d]:
+                    drop = gone[words.first[d] : words.first[d + 1]]
+                    own = [w for w, g in zip(own, drop.tolist()) if not g]
+                hashes.append(hashlib.sha256(b" ".join(own)).hexdigest())
+            ids = batch.column(0)
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(np.diff(words.first), pa.int64()), pa.array(removed, pa.int64()), pa.array(hashes)], ["doc_id", "n_words", "n_removed", "kept_sha256"]
+            )
+
+    return run
 
 
 def substring_digest(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -234,7 +248,7 @@ def substring_digest(docs: DataFrame, window: int = 20) -> DataFrame:
     their texts; equal rows count as one document. Ids must be whole numbers or
     null, which comes before all others.
     """
-    found = _with_stretches(_keyed(docs, "doc_id", "text"), repeated_stretches(docs, window)).mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    found = _with_stretches(_keyed(docs, "doc_id", "text"), repeated_stretches(docs, window)).mapInArrow(_digest(window), "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return found.withColumn("doc_id", F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")))
 
 
@@ -245,11 +259,11 @@ def _kept_text(raw: bytes, begin: np.ndarray, drop: np.ndarray) -> str:
     return b"".join(kept).strip().decode()
 
 
-def _cut(names: list[str], text: str, length: str | None) -> Callable:
+def _cut(names: list[str], text: str, length: str | None, window: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_mw_text"):
             words = find_words(batch.column(1))
-            gone = _gone(words, batch.column(2))
+            gone = _gone(words, batch.column(2), window)
             texts = batch.column(1).to_pylist()
             sums = np.concatenate([[0], np.cumsum(gone)])
             touched = np.flatnonzero(sums[words.first[1:]] > sums[words.first[:-1]])
@@ -278,4 +292,4 @@ def remove_repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", te
     """
     keyed = _keyed(docs, doc_id, text, *docs.columns)
     beside = _with_stretches(keyed, repeated_stretches(docs, window, doc_id=doc_id, text=text))
-    return beside.mapInArrow(_cut(docs.columns, text, length), docs.schema)
+    return beside.mapInArrow(_cut(docs.columns, text, length, window), docs.schema)

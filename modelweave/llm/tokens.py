@@ -146,11 +146,9 @@ def group_rows(
         rest = size - 1
         offsets = np.concatenate([[0], np.cumsum(rest)])
         take = np.repeat(begin + 1 - offsets[:-1], rest) + np.arange(offsets[-1])
-        more = pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()),
-            pa.StructArray.from_arrays([pa.array(ids[take], pa.int64()), pa.array(places[take], pa.int64())], ["id", "at"]),
-            mask=pa.array(rest == 0),
-        )
+        # id and place by turns: plain numbers are half as long in a shuffle as structs
+        turns = np.stack([ids[take], places[take]], 1).reshape(-1)
+        more = pa.ListArray.from_arrays(pa.array(2 * offsets, pa.int32()), pa.array(turns, pa.int64()), mask=pa.array(rest == 0))
         # numbers with leading zeros stand side by side, which halves what a shuffle of these rows takes
         yield pa.RecordBatch.from_arrays(
             [pa.array(key[begin].view(np.int64)), *[pa.array(v[part]) for v in out.values()]]
@@ -161,9 +159,16 @@ def group_rows(
 
 def group_schema(*more: str) -> str:
     """Schema of ``group_rows`` with its further columns."""
-    return ", ".join(["key long", *more, "at long, id long, more array<struct<id:long,at:long>>"])
+    return ", ".join(["key long", *more, "at long, id long, more array<long>"])
 
 
 def group_size() -> Column:
     """How many rows a row of ``group_rows`` stands for."""
-    return F.when(F.col("more").isNull(), F.lit(1)).otherwise(F.size("more") + 1)
+    return F.when(F.col("more").isNull(), F.lit(1)).otherwise(F.size("more") / 2 + 1).cast("long")
+
+
+def group_places() -> Column:
+    """All (id, at) of a row of ``group_rows``."""
+    pairs = F.transform(F.sequence(F.lit(0), F.size("more") - 2, F.lit(2)), lambda i: F.struct(F.get("more", i).alias("id"), F.get("more", i + 1).alias("at")))
+    one = F.array(F.struct("id", "at"))
+    return F.when(F.col("more").isNull(), one).otherwise(F.concat(one, pairs))
