@@ -12,6 +12,7 @@ model over the sums of the hits gives the score.
 from __future__ import annotations
 
 import string
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -197,60 +198,58 @@ class Reader:
         return [float(x) for x in (exact > 0, log(exact), log(near), log(quoted), log(addressed), log(len(kinds)), log(densest), log(100 * open_hits / len(words)), exact + near > 1)]
 
 
-def learn_terms(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS, terms: int = TERMS) -> Model:
-    """Lexicon of (text, toxic) rows: every row counts.
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and clean texts of a task each word stands."""
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
 
-    Only words of toxic texts are counted among the clean ones, so the counts
-    that are shuffled stay few. Stems are counted over all the
-    words they begin.
-    """
+    def told() -> pa.RecordBatch:
+        words = list(counts[0].keys() | counts[1].keys())
+        columns = [pa.array(words, pa.string())] + [pa.array([counts[k][w] for w in words], pa.int64()) for k in (1, 0)]
+        counts[0].clear()
+        counts[1].clear()
+        return pa.RecordBatch.from_arrays(columns, ["word", "pos", "neg"])
+
+    for batch in pieces(batches, "text"):
+        for kind, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts[kind].update({clean_word(w) for w in set((text or "").lower().split())})
+        if len(counts[0]) + len(counts[1]) > 1_000_000:
+            yield told()
+    yield told()
+
+
+def learn_terms(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS, terms: int = TERMS) -> Model:
+    """Lexicon of (text, toxic) rows: every row counts. Words are counted within a task before they are shuffled."""
     totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad:
         return Model([], [], [])
-    word = F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.regexp_replace(w, r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", "")))
-    used = labelled.select("toxic", F.explode(word).alias("word"))
-    toxic = used.filter("toxic = 1 and length(word) between 3 and 64").groupBy("word").agg(F.count("*").alias("pos"))
-    toxic = store(toxic, "toxic_words")
-    # a word of toxic texts is a row here; clean words are dropped before their counts are shuffled
-    clean = used.filter("toxic = 0").join(toxic.select("word"), "word").groupBy("word").agg(F.count("*").alias("neg"))
-    both = store(toxic.join(clean, "word", "left").select("word", "pos", F.coalesce("neg", F.lit(0)).alias("neg")), "words")
+    counted = labelled.select("toxic", "text").mapInArrow(_counted, "word string, pos long, neg long")
+    counted = counted.filter("length(word) between 3 and 64").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counted = store(counted, "words")
 
     def ratio(pos: str, neg: str):
         return ((F.col(pos) + 0.5) / (bad + 1)) / ((F.col(neg) + 0.5) / (good + 1))
 
-    strong = both.filter((F.col("pos") >= support) & (ratio("pos", "neg") >= odds))
+    strong = counted.filter((F.col("pos") >= support) & (ratio("pos", "neg") >= odds))
     words = [r[0] for r in strong.orderBy(F.desc("pos"), "word").limit(terms).select("word").collect()]
-
-    def stems_of(rows: DataFrame, *more: str) -> DataFrame:
-        cut = F.explode(F.array(*[F.when(F.length("word") > k, F.substring("word", 1, k)) for k in _STEMS])).alias("stem")
-        return rows.select(*more, cut).filter("stem is not null")
-
-    stems = stems_of(both.filter("neg * 20 <= pos"), "pos").groupBy("stem").agg(F.sum("pos").alias("pos"), F.count("*").alias("kinds"))
-    stems = store(stems.filter((F.col("pos") >= 3 * support) & (F.col("kinds") >= 3)), "stems")
-    begun = stems_of(used.filter("toxic = 0"), "toxic").join(stems.select("stem"), "stem").groupBy("stem").agg(F.count("*").alias("neg"))
-    stems = stems.join(begun, "stem", "left").select("stem", "pos", F.coalesce("neg", F.lit(0)).alias("neg"))
-    stems = stems.filter((ratio("pos", "neg") >= odds) & (F.col("neg") * 20 <= F.col("pos")))
+    cut = F.explode(F.array(*[F.when(F.length("word") > k, F.substring("word", 1, k)) for k in _STEMS])).alias("stem")
+    stems = counted.select("pos", "neg", cut).filter("stem is not null").groupBy("stem")
+    stems = stems.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count(F.when(F.col("neg") * 20 <= F.col("pos"), 1)).alias("kinds"))
+    stems = stems.filter((F.col("pos") >= 3 * support) & (F.col("kinds") >= 3) & (ratio("pos", "neg") >= odds) & (F.col("neg") * 20 <= F.col("pos")))
     found = [r[0] for r in stems.orderBy(F.desc("pos"), "stem").limit(terms).select("stem").collect()]
     names = set(found)
-    shortest = [s for s in found if not any(s[:k] in names for k in range(1, len(s)))]
-    return Model(words, shortest, [])
-
+    model = Model(words, [s for s in found if not any(s[:k] in names for k in range(1, len(s)))], [])
+    # the words of clean texts that the machine would take for a misspelled term
+    near = counted.filter("neg > 0").select("word").mapInArrow(_near(model), "word string")
+    model.spared = sorted(r[0] for r in near.collect())
+    return model
 
-def _spared(model: Model) -> Callable:
-    """Words of clean texts that a machine would take for a misspelled term."""
 
+def _near(model: Model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(model)
-        near: set[str] = set()
-        for batch in pieces(batches, "text"):
-            for text in batch.column(0).to_pylist():
-                for w in set((text or "").lower().split()) - reader.passed:
-                    if w not in reader.hits:
-                        reader._look(w)
-                    if reader.hits.get(w, 0) > 0:
-                        near.add(clean_word(w))
-        yield pa.RecordBatch.from_arrays([pa.array(sorted(near), pa.string())], ["word"])
+        machine = Machine(model.terms, model.stems)
+        for batch in batches:
+            yield batch.filter(pa.array([machine.edits(w) > 0 for w in batch.column(0).to_pylist()], pa.bool_()))
 
     return run
 
@@ -286,8 +285,6 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     rows = docs.select(F.col(f"`{doc_id}`").alias("_d"), F.col(f"`{text}`").alias("text"))
     labelled = store(rows.join(marks, rows["_d"] == marks["_l"]).select("_d", "toxic", "text"), "labelled")
     model = learn_terms(labelled)
-    clean = labelled.filter("toxic = 0").select("text")
-    model.spared = sorted(r[0] for r in clean.mapInArrow(_spared(model), "word string").distinct().collect()) if model.terms else []
     few = labelled.withColumn("_o", F.xxhash64("_d")).orderBy("_o", "_d").limit(sample) if labelled.count() > sample else labelled
     table = few.select("toxic", "text").mapInArrow(_featured(model), "toxic int, x array<double>").toArrow()
     if table.num_rows:
