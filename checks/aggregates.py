@@ -210,7 +210,7 @@ def _(t):
 
 
 _RULES = {
-    "l_discount": {"maximum": 0.05, "minimum": 0},
+    "l_discount": {"maximum": 0.05, "minimum": 0, "multiple_of": 0.02},
     "l_quantity": {"exclusive_maximum": 50, "exclusive_minimum": 1, "multiple_of": 2},
     "l_returnflag": {"enum": ["A", "N"], "min_length": 1, "max_length": 1, "pattern": "^[AR]$"},
 }
@@ -220,6 +220,7 @@ _RULE_SQL = {
     ("l_quantity", "exclusive_maximum"): "l_quantity >= 50",
     ("l_quantity", "exclusive_minimum"): "l_quantity <= 1",
     ("l_quantity", "multiple_of"): "l_quantity % 2 <> 0",
+    ("l_discount", "multiple_of"): "CAST(round(l_discount * 100) AS INTEGER) % 2 <> 0",
     ("l_returnflag", "enum"): "l_returnflag NOT IN ('A', 'N')",
     ("l_returnflag", "min_length"): "length(l_returnflag) < 1",
     ("l_returnflag", "max_length"): "length(l_returnflag) > 1",

@@ -342,6 +342,18 @@ def _(t):
     return D.etag_conflicts(stored, read, root, ["id"]).select("id", "stored_etag")
 
 
+@R.add(
+    "d06_deleted",
+    """SELECT c_custkey AS id, CAST(NULL AS VARCHAR) AS stored_etag FROM customer WHERE c_acctbal < 0""",
+)
+def _(t):
+    # customers in debt are deleted before the documents come back
+    root = _tagged_customer()
+    read = D.etag(D.build_documents(root, {n: t(n) for n in ("customer", "nation")}), root)
+    stored = D.build_documents(root, {"customer": t("customer").filter("c_acctbal >= 0"), "nation": t("nation")})
+    return D.etag_conflicts(stored, read, root, ["id"]).select("id", "stored_etag")
+
+
 @R.add("d07_rename_fields", "SELECT p_partkey, p_name AS label, p_retailprice AS price FROM part")
 def _(t):
     named = t("part").select("p_partkey", D.rename_fields({"p_name": "label", "p_retailprice": "price"}).alias("doc"))

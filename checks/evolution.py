@@ -276,39 +276,71 @@ def _(t):
     return lists.select("l_orderkey", "flag", F.array_join("items", ",").alias("items"))
 
 
-# Rules of the shape of a field's record, as data.
+# Rules of this test only: a customer record goes from version 1.0 to 2.0.
 _RULES = {
-    "0.2.17": [M.Rule("set_where", {"match": {"primary_key": True, "unique": True}, "values": {"unique": False}})],
-    "0.2.22": [
-        M.Rule("assign_if", {"tree": {"key": "identity", "exist": True}, "values": {"generated.as_identity": True}}),
-        M.Rule("move_path", {"source": "identity", "target": "generated.identity"}),
-        M.Rule("move_path", {"source": "generated.identity.generated", "target": "generated.type"}),
-        M.Rule("add_missing_id", {"block": "generated", "path": "generated.guid", "key": ["c_custkey"]}),
+    "1.2": [M.Rule("add_fields", {"path": "identity", "values": {"unit": "row"}})],
+    "1.10": [M.Rule("assign_if", {"tree": {"key": "identity.step", "exist": True}, "values": {"active": True}})],
+    "2.0": [
+        M.Rule("move_path", {"source": "identity.step", "target": "stride"}),
+        M.Rule("remove_fields", {"path": "identity", "names": ["generated"]}),
     ],
-    "0.1.45": [M.Rule("set_where", {"match": {"db_version": "23c"}, "values": {"db_version": "23ai"}})],
 }
+_VERSIONS = "CASE WHEN c_custkey % 5 = 0 THEN '1.0' WHEN c_custkey % 5 = 1 THEN '1.2.0' WHEN c_custkey % 5 = 2 THEN '1.10' WHEN c_custkey % 5 = 3 THEN '3.0' ELSE 'draft' END"
+
+
+def _migrated(t, target: str):
+    """Records of versions below, at and above the rules, and some without a version."""
+    versions = t("customer").select("c_custkey", F.expr(_VERSIONS).alias("version"))
+    return M.migrate(_record(t).join(versions, "c_custkey"), "version", target, _RULES)
 
 
 @R.add(
     "m09_migrate",
-    """WITH v AS (SELECT c_custkey, c_acctbal, c_mktsegment, CASE WHEN c_nationkey < 8 THEN '0.1.9' WHEN c_nationkey < 16 THEN '0.2.3' ELSE '0.2.17' END AS version FROM customer)
-    SELECT c_custkey, '0.2.22' AS version, version <> '0.1.9' AND FALSE OR CASE WHEN version = '0.1.9' THEN '23ai' ELSE '23c' END = '23c' AS old_name,
-    version = '0.2.17' AS "unique", CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS type, CASE WHEN c_acctbal >= 0 THEN TRUE END AS as_identity,
-    CASE WHEN c_acctbal >= 0 THEN sha256(to_json({'block': 'generated', 'c_custkey': c_custkey})) END AS guid FROM v""",
+    f"""WITH v AS (SELECT c_custkey, c_acctbal >= 0 AS there, c_nationkey, {_VERSIONS} AS old FROM customer)
+    SELECT c_custkey, CASE WHEN old = '3.0' THEN '3.0' ELSE '2.0' END AS version, CASE WHEN there THEN c_custkey END AS start,
+    CASE WHEN old = '1.0' AND there THEN 'row' END AS unit, CASE WHEN old IN ('1.0', '1.2.0') AND there THEN TRUE END AS active,
+    CASE WHEN old <> '3.0' AND there THEN c_nationkey END AS stride
+    FROM v WHERE old <> 'draft'""",
 )
 def _(t):
-    version = F.when(F.col("c_nationkey") < 8, "0.1.9").when(F.col("c_nationkey") < 16, "0.2.3").otherwise("0.2.17")
-    rows = t("customer").select("c_custkey", version.alias("version"))
-    df = _record(t).join(rows, "c_custkey").withColumns(
-        {"primary_key": F.lit(True), "unique": F.lit(True), "db_version": F.lit("23c")}
-    )
-    done = M.migrate(df, "version", "0.2.22", _RULES)
-    return done.select(
-        "c_custkey",
-        "version",
-        (F.col("db_version") == "23c").alias("old_name"),
-        "unique",
-        F.col("generated.type").alias("type"),
-        F.col("generated.as_identity").alias("as_identity"),
-        F.col("generated.guid").alias("guid"),
-    )
+    done, _ = _migrated(t, "2.5")
+    return done.select("c_custkey", "version", "identity.start", "identity.unit", "active", "stride")
+
+
+@R.add(
+    "m09_newer_records",
+    f"""SELECT c_custkey, '3.0' AS version, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS generated, CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS step
+    FROM customer WHERE {_VERSIONS} = '3.0'""",
+)
+def _(t):
+    done, _ = _migrated(t, "2.0")
+    return done.filter("version = '3.0'").select("c_custkey", "version", "identity.generated", "identity.step")
+
+
+@R.add(
+    "e08_rejects",
+    "SELECT p_partkey, 'info.price: no int' AS reason FROM part WHERE CAST(p_retailprice AS DECIMAL(18,2)) <> floor(CAST(p_retailprice AS DECIMAL(18,2)))",
+)
+def _(t):
+    info = F.struct(F.col("p_retailprice").cast("decimal(18,2)").alias("price"), F.col("p_size").alias("size"))
+    _, rejects = E.change_field_type(t("part").select("p_partkey", info.alias("info")), "info.price", "int")
+    return rejects.select("p_partkey", F.col("reasons")[0].alias("reason"))
+
+
+@R.add(
+    "e11_nested_drift",
+    """WITH o AS (SELECT count(*) AS n FROM events)
+    SELECT 'o' AS field, 'same' AS change, 'object' AS old_kinds, 'object' AS new_kinds, n AS old_rows, n AS new_rows FROM o
+    UNION ALL SELECT 'o.a', 'type changed', 'number', 'string', n, n FROM o""",
+)
+def _(t):
+    value = F.get_json_object("props", "$.k")
+    old = t("events").select(F.concat(F.lit('{"o":{"a":'), value, F.lit("}}")).alias("props"))
+    new = t("events").select(F.concat(F.lit('{"o":{"a":"'), value, F.lit('"}}')).alias("props"))
+    return E.field_drift(old, new, "props")
+
+
+@R.add("m09_rejects", f"SELECT c_custkey, 'version: no version' AS reason FROM customer WHERE {_VERSIONS} = 'draft'")
+def _(t):
+    _, rejects = _migrated(t, "2.0")
+    return rejects.select("c_custkey", F.col("reasons")[0].alias("reason"))

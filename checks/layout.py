@@ -70,10 +70,29 @@ def _(t):
 )
 def _(t):
     parent, _ = L.partition_range(t("orders"), "o_orderdate", _years())
-    placed = L.partition_by_reference(t("lineitem"), parent, [("l_orderkey", "o_orderkey")])
+    placed, _ = L.partition_by_reference(t("lineitem"), parent, [("l_orderkey", "o_orderkey")])
     return placed.select("l_orderkey", "l_linenumber", "l_partkey", "p")
 
 
+@R.add(
+    "r05_rejects",
+    f"SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'F' WHERE o_orderkey IS NULL OR {_YEAR_SQL} IS NULL",
+)
+def _(t):
+    # lines of orders that are missing, and of orders above the last bound
+    parent, _ = L.partition_range(t("orders").filter("o_orderstatus <> 'F'"), "o_orderdate", _years())
+    _, rejects = L.partition_by_reference(t("lineitem"), parent, [("l_orderkey", "o_orderkey")])
+    return rejects.select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@R.add(
+    "r02_partition_interval_mid_month",
+    """SELECT o_orderkey, CAST(floor(((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 - CASE WHEN day(o_orderdate) < 15 THEN 1 ELSE 0 END) / 1.0) AS BIGINT) AS p FROM orders""",
+)
+def _(t):
+    return L.partition_interval(t("orders"), "o_orderdate", 1, "1995-01-15", "month").select("o_orderkey", "p")
+
+
 @R.add("r06_partition_system", "SELECT count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, CAST(8 AS BIGINT) AS parts FROM lineitem")
 def _(t):
     placed = L.partition_system(t("lineitem").select("l_orderkey"), 8).withColumn("part", F.spark_partition_id())

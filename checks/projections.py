@@ -96,6 +96,7 @@ def _(t):
         """SELECT r_name, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS revenue
         FROM mv_orders JOIN mv_customer ON c_custkey = o_custkey JOIN mv_nation ON n_nationkey = c_nationkey
         JOIN mv_region ON r_regionkey = n_regionkey GROUP BY r_name""",
+        new_folder(spark, "views"),
     )
 
 

@@ -82,6 +82,22 @@ def _(t):
     return diff.select("matched_by", F.col("old.c_custkey").alias("old_id"), F.col("new.c_custkey").alias("new_id"))
 
 
+@R.add(
+    "u04_same_names",
+    """WITH o AS (SELECT p_partkey AS id, p_brand || p_size AS n FROM part), w AS (SELECT id + 1000000 AS id, n FROM o WHERE id % 3 = 0),
+    c AS (SELECT n, count(*) AS k FROM o GROUP BY n), d AS (SELECT n, count(*) AS k FROM w GROUP BY n)
+    SELECT CASE WHEN d.n IS NULL THEN 'removed' ELSE 'ambiguous' END AS matched_by, o.id AS old_id, CAST(NULL AS BIGINT) AS new_id FROM o JOIN c USING (n) LEFT JOIN d USING (n) WHERE d.n IS NULL OR c.k > 1 OR d.k > 1
+    UNION ALL SELECT 'ambiguous', NULL, w.id FROM w JOIN c USING (n) JOIN d USING (n) WHERE c.k > 1 OR d.k > 1
+    UNION ALL SELECT 'name', o.id, w.id FROM o JOIN w USING (n) JOIN c USING (n) JOIN d USING (n) WHERE c.k = 1 AND d.k = 1""",
+)
+def _(t):
+    # every third part comes back under a new id; many parts share a brand and size
+    old = t("part").select(F.col("p_partkey").alias("id"), F.concat("p_brand", F.col("p_size").cast("string")).alias("n"))
+    new = old.filter("id % 3 = 0").withColumn("id", F.col("id") + 1000000)
+    diff = U.snapshot_diff_two_keys(old, new, "id", "n")
+    return diff.select("matched_by", F.col("old.id").alias("old_id"), F.col("new.id").alias("new_id"))
+
+
 def _part(t) -> DataFrame:
     return t("part").select("p_partkey", "p_name", "p_type", F.col("p_retailprice").cast("decimal(18,2)").alias("price"))
 

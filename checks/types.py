@@ -137,7 +137,7 @@ def _(t):
     "SELECT event_id, 'ARRAY' AS kind FROM events UNION ALL SELECT event_id, 'OBJECT' FROM events WHERE event_type = 'error'",
 )
 def _(t):
-    broken = F.when(F.col("event_type") == "error", F.substring("props", 2, 100)).otherwise(F.col("props"))
+    broken = F.when(F.col("event_type") == "error", F.substring("props", F.lit(2), F.length("props"))).otherwise(F.col("props"))
     made = t("events").select("event_id", broken.alias("props"))
     parts = [T.json_kind_violations(made, "props", k).select("event_id", F.lit(k).alias("kind")) for k in ("ARRAY", "OBJECT")]
     return parts[0].unionByName(parts[1])

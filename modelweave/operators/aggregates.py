@@ -130,7 +130,9 @@ def domain_rule(column: str, rule: str, value: Any) -> Column:
     elif rule == "exclusive_maximum":
         ok = c < value
     elif rule == "multiple_of":
-        ok = c % F.lit(value) == 0
+        # in decimals, from the text of both: 0.3 is a multiple of 0.1
+        exact = c.cast("string").try_cast("decimal(38,18)") % F.lit(str(value)).cast("decimal(38,18)")
+        ok = F.coalesce(exact == 0, c % F.lit(value) == 0)
     elif rule == "enum":
         ok = c.isin(*value)
     elif rule == "min_length":

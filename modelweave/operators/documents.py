@@ -152,7 +152,7 @@ def _beside(doc: Column, flex: str, taken: Sequence[str]) -> Column:
     """The text of an object with the entries of a JSON column put after its fields; a field wins."""
     entries = F.try_variant_get(F.try_parse_json(flex), F.lit("$"), "map<string,variant>")
     free = F.map_filter(entries, lambda k, _: ~k.isin(*taken))
-    more = F.concat(F.substring(doc, F.lit(1), F.length(doc) - 1), F.lit(","), F.substring(F.to_json(free), 2, 1 << 30))
+    more = F.concat(F.substring(doc, F.lit(1), F.length(doc) - 1), F.lit(","), F.substring(F.to_json(free), F.lit(2), F.length(F.to_json(free))))
     return F.when(F.size(free) > 0, more).otherwise(doc)
 
 
@@ -208,12 +208,14 @@ def etag(docs: DataFrame, root: DocNode, name: str = "_etag") -> DataFrame:
 def etag_conflicts(stored: DataFrame, docs: DataFrame, root: DocNode, key: Sequence[str], tag: str = "_etag") -> DataFrame:
     """Incoming documents whose tag is not the one of the stored document.
 
-    ``stored`` are documents as they are now; each page is compared with its like.
+    ``stored`` are documents as they are now; each page is compared with its
+    like. A document with a tag of which nothing is stored any more was deleted
+    meanwhile: a conflict. One without a tag and without a stored document is new.
     """
     pages = ["_page"] if "_page" in stored.columns and "_page" in docs.columns else []
     now = stored.select(*[F.col(k).alias(f"_s_{k}") for k in [*key, *pages]], etag_of(root).alias("stored_etag"))
     pairs = [(k, f"_s_{k}") for k in [*key, *pages]]
-    joined = docs.join(now, by_name(pairs))
+    joined = docs.join(now, by_name(pairs), "left")
     wrong = ~F.col(tag).eqNullSafe(F.col("stored_etag"))
     return joined.filter(wrong).select(*docs.columns, "stored_etag")
 

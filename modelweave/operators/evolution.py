@@ -16,7 +16,7 @@ from modelweave.model import ForeignKey, Step
 from modelweave.operators.joins import fk_orphans
 from modelweave.operators.projections import generated_column
 from modelweave.operators.sequences import assign_identity
-from modelweave.operators.types import cast_check
+from modelweave.operators.types import cast_check, lossy
 
 
 def add_column(df: DataFrame, column: ColumnDef, order: Sequence[str] = ()) -> DataFrame:
@@ -98,7 +98,7 @@ def rename_field(df: DataFrame, path: str, new: str) -> DataFrame:
 
 
 def change_field_type(df: DataFrame, path: str, target: str) -> tuple[DataFrame, DataFrame]:
-    """(rows in the new type, rejects): a row is rejected when a value at ``path`` has no counterpart."""
+    """(rows in the new type, rejects): a row is rejected when a value at ``path`` has no counterpart or changes."""
     block, name = _split(path)
     bad = _any_lost(F.col(block.split(".")[0]), df.schema[block.split(".")[0]].dataType, block.split(".")[1:], name, target)
     bad = F.coalesce(bad, F.lit(False))
@@ -114,7 +114,8 @@ def _any_lost(value: Column, dtype: T.DataType, path: Sequence[str], name: str,
         return F.exists(value, lambda x: F.coalesce(_any_lost(x, dtype.elementType, path, name, target), F.lit(False)))
     if path:
         return _any_lost(value[path[0]], dtype[path[0]].dataType, path[1:], name, target)
-    return value[name].isNotNull() & value[name].try_cast(target).isNull()
+    source, result = value[name], value[name].try_cast(target)
+    return source.isNotNull() & (result.isNull() | F.coalesce(lossy(source, dtype[name].dataType, result, target), F.lit(False)))
 
 
 def revalidate_fk(frames: dict[str, DataFrame], changes: Sequence[tuple[str, ForeignKey]]) -> DataFrame:
@@ -165,24 +166,29 @@ def evolve(df: DataFrame, plan: Sequence[Step], allow_drops: bool = False) -> tu
     return df, (reduce(DataFrame.unionByName, rejects) if rejects else None), skipped
 
 
-def _kinds(df: DataFrame, json_col: str, side: str) -> DataFrame:
-    """(field, kinds, rows) of a JSON object column; a field has at most six kinds."""
-    fields = F.try_variant_get(F.try_parse_json(json_col), F.lit("$"), "map<string,variant>")
-    values = df.select(F.explode(fields).alias("field", "_v"))
-    counts = values.groupBy("field", variant_kind(F.col("_v")).alias("_kind")).agg(F.count("*").alias("_n"))
+def _kinds(df: DataFrame, json_col: str, side: str, depth: int) -> DataFrame:
+    """(field, kinds, rows) of a JSON object column, with the paths below; a field has at most six kinds."""
+    level = df.select(F.lit("").alias("_at"), F.try_parse_json(json_col).alias("_v"))
+    every = []
+    for _ in range(depth):
+        inside = F.explode(F.try_variant_get("_v", F.lit("$"), "map<string,variant>")).alias("_key", "_v")
+        level = level.select("_at", inside).select(F.concat("_at", "_key").alias("field"), "_v")
+        every.append(level.groupBy("field", variant_kind(F.col("_v")).alias("_kind")).agg(F.count("*").alias("_n")))
+        level = level.select(F.concat("field", F.lit(".")).alias("_at"), "_v")
+    counts = reduce(DataFrame.unionByName, every)
     return counts.groupBy("field").agg(
         F.array_join(F.sort_array(F.collect_set("_kind")), ",").alias(f"{side}_kinds"),
         F.sum("_n").alias(f"{side}_rows"),
     )
 
 
-def field_drift(old: DataFrame, new: DataFrame, json_col: str) -> DataFrame:
+def field_drift(old: DataFrame, new: DataFrame, json_col: str, depth: int = 3) -> DataFrame:
     """(field, change, kinds and rows before and after) of a JSON column in two snapshots.
 
-    Rows are counted per (field, kind) first; what meets in the join are these
+    Fields of nested objects are named by their path, ``depth`` levels down. Rows are counted per (field, kind) first; what meets in the join are these
     few lines.
     """
-    a, b = _kinds(old, json_col, "old"), _kinds(new, json_col, "new")
+    a, b = _kinds(old, json_col, "old", depth), _kinds(new, json_col, "new", depth)
     change = (
         F.when(F.col("old_kinds").isNull(), "added")
         .when(F.col("new_kinds").isNull(), "dropped")

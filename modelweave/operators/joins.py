@@ -13,7 +13,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelweave.plans.keys import Pairs, by_name, lookup, same_keys
+from modelweave.plans.keys import Pairs, by_name, lookup, same_keys, single, tied
 from modelweave.plans.pages import PAGE_ROWS, attach, collect_groups, with_pages
 from modelweave.plans.workspace import store
 
@@ -58,10 +58,10 @@ def not_in(a: DataFrame, b: DataFrame, on: Pairs, sql_nulls: bool = False) -> Da
 def join_view(frames: dict[str, DataFrame], on: str) -> DataFrame:
     """View over several tables; ``on`` holds its join keys as text over the table names.
 
-    The form without keys would be a product of the tables and is refused.
+    Each further table must be tied to an earlier one by an equality of columns;
+    anything else would be a product of the tables and is refused.
     """
-    if not on.strip():
-        raise ValueError("a view over several tables needs join keys")
+    tied(on, list(frames))
     (first, df), *rest = frames.items()
     view = df.alias(first)
     for name, frame in rest:
@@ -150,11 +150,6 @@ def nest_where(
     return attach(with_pages(parent), grouped, [(k, f"_p_{k}") for k in key], name, empty, paged).drop("_pages")
 
 
-def join_self(df: DataFrame, alias_a: str, alias_b: str, on: str) -> DataFrame:
-    """One table under two names, so that ``on`` can tell them apart."""
-    return df.alias(alias_a).join(df.alias(alias_b), F.expr(on), "left")
-
-
 def nest_self(
     df: DataFrame, on: Pairs, fields: Sequence[str], name: str, order: Sequence[str] = (), page_rows: int = PAGE_ROWS
 ) -> DataFrame:
@@ -319,9 +314,9 @@ def resolve_ids(df: DataFrame, id_col: str, dim: DataFrame, dim_id: str, dim_nam
 
     ``flag`` also brings a flag of the row, true when missing.
     """
-    right = dim.select(
-        F.col(dim_id).alias("_id"), F.col(dim_name).alias("_name"), *([F.col(flag).alias("_flag")] if flag else [])
-    )
+    named = F.struct(F.col(dim_name).alias("_name"), *([F.col(flag).alias("_flag")] if flag else []))
+    right = dim.groupBy(F.col(dim_id).alias("_id")).agg(F.count("*").alias("_n"), F.any_value(named).alias("_v"))
+    right = right.select("_id", single("_n", "_v", "_found")).select("_id", "_found.*")
     joined = df.join(right, df[id_col] == right["_id"], "left")
     extra = [F.coalesce("_flag", F.lit(True)).alias(flag)] if flag else []
     return joined.select(*[df[c] for c in df.columns], F.coalesce("_name", df[id_col].cast("string")).alias(name), *extra)
@@ -336,7 +331,8 @@ def resolve_id_array(
     """
     items = df.select(*key, F.posexplode_outer(ids).alias("_pos", "_id"))
     label = F.coalesce(F.col(dim_new_name), F.col(dim_name)) if dim_new_name else F.col(dim_name)
-    right = dim.select(F.col(dim_id).alias("_rid"), label.alias("_name"))
+    right = dim.groupBy(F.col(dim_id).alias("_rid")).agg(F.count("*").alias("_n"), F.any_value(label).alias("_v"))
+    right = right.select("_rid", single("_n", "_v", "_name"))
     named = items.join(right, items["_id"] == right["_rid"], "left")
     entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_name", F.col("_id").cast("string")).alias("_n")))
     lists = named.groupBy(*key).agg(F.sort_array(F.collect_list(entry)).alias("_l"))

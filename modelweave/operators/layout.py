@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modelweave.plans.keys import single
+
 
 def range_name(column: str, bounds: Sequence[tuple[str, Any]], maximum: str | None = None) -> Column:
     """Name of the first partition whose upper bound is above the value; NULL above the last one."""
@@ -31,6 +33,8 @@ def interval_number(column: str, step: float, base: Any, unit: str = "number") -
     if unit == "month":
         start = F.to_date(F.lit(base))
         months = (F.year(c) - F.year(start)) * 12 + F.month(c) - F.month(start)
+        # a month is over when its day of the base comes
+        months = months - F.when(F.add_months(start, months) > F.to_date(c), 1).otherwise(0)
         return F.floor(months / F.lit(step)).cast("bigint")
     distance = F.datediff(c, F.to_date(F.lit(base))) if unit == "day" else c - F.lit(base)
     return F.floor(distance / F.lit(step)).cast("bigint")
@@ -69,11 +73,16 @@ def partition_hash(df: DataFrame, columns: Sequence[str], n: int, name: str = "p
 
 def partition_by_reference(
     child: DataFrame, parent: DataFrame, fk: Sequence[tuple[str, str]], name: str = "p"
-) -> DataFrame:
-    """Child rows in the partition of their parent row (``fk`` pairs child and parent columns)."""
-    where = parent.select(*[F.col(p).alias(f"_k{i}") for i, (_, p) in enumerate(fk)], F.col(name))
+) -> tuple[DataFrame, DataFrame]:
+    """(child rows in the partition of their parent row, rejects without one); ``fk`` pairs child and parent columns.
+
+    A parent key that comes twice raises when it is read.
+    """
+    where = parent.groupBy(*[F.col(p).alias(f"_k{i}") for i, (_, p) in enumerate(fk)]).agg(F.count("*").alias("_n"), F.any_value(name).alias("_v"))
+    where = where.select(*[f"_k{i}" for i in range(len(fk))], single("_n", "_v", name))
     hit = [child[c] == where[f"_k{i}"] for i, (c, _) in enumerate(fk)]
-    return child.join(where, hit).select(*[child[c] for c in child.columns], name)
+    tagged = child.join(where, hit, "left").select(*[child[c] for c in child.columns], name)
+    return tagged.filter(F.col(name).isNotNull()), tagged.filter(F.col(name).isNull()).drop(name)
 
 
 def partition_system(df: DataFrame, n: int) -> DataFrame:

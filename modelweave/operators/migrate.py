@@ -201,38 +201,53 @@ class Rule:
     args: dict[str, Any] = field(default_factory=dict)
 
 
+_LONGEST = 6  # parts of a version that are compared at least
+
 _OPS = {
     f.__name__: f
     for f in (set_where, move_path, rename_block, add_missing_id, add_fields, remove_fields, assign_if)
 }
 
 
-def version_number(c: Column) -> Column:
-    """0.2.17 as 2017: comparable, part by part, up to 999 each."""
-    parts = F.transform(F.split(c, "[.]"), lambda p: p.try_cast("bigint"))
-    return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, p: acc * 1000 + p)
+_VERSION = r"^[0-9]{1,9}([.][0-9]{1,9})*$"
 
 
-def _number(version: str) -> int:
-    return reduce(lambda acc, p: acc * 1000 + int(p), version.split("."), 0)
+def version_parts(c: Column, parts: int) -> Column:
+    """0.2.17 as [0, 2, 17], filled up with zeros to ``parts``; NULL if it is no version. Arrays compare part by part."""
+    numbers = F.transform(F.split(c, "[.]"), lambda p: p.try_cast("bigint"))
+    padded = F.slice(F.concat(numbers, F.array_repeat(F.lit(0).cast("bigint"), parts)), 1, parts)
+    return F.when(c.rlike(_VERSION) & (F.size(numbers) <= parts), padded)
 
 
-_GUARDED = {"set_where", "assign_if", "add_fields", "add_missing_id"}
+def _parts(version: str, parts: int = 0) -> list[int]:
+    numbers = [int(p) for p in version.split(".")]
+    return numbers + [0] * (parts - len(numbers))
 
 
-def migrate(df: DataFrame, version_col: str, target: str, rules: dict[str, Sequence[Rule]]) -> DataFrame:
-    """Each record goes through the rules of all versions after its own, up to ``target``.
+def migrate(df: DataFrame, version_col: str, target: str, rules: dict[str, Sequence[Rule]]) -> tuple[DataFrame, DataFrame]:
+    """(records at their new version, rejects whose version does not parse).
 
-    Versions are applied in numeric order, in one pass over the records. Rules
-    that assign look at the version of the record; rules that move or remove
-    find nothing to do in a newer record.
+    A record goes through the rules of all versions above its own, up to
+    ``target``, in numeric order; no rule touches a record that is as new. The
+    records are split by how many versions they have to go through, so a field
+    that a rule removes stays for the newer records that hold it.
     """
-    for version in sorted(rules, key=_number):
-        if _number(version) > _number(target):
-            break
-        older = version_number(F.col(version_col)) < _number(version)
-        for rule in rules[version]:
-            guard = {"only": older} if rule.op in _GUARDED else {}
-            df = _OPS[rule.op](df, **rule.args, **guard)
-        df = df.withColumn(version_col, F.when(older, F.lit(version)).otherwise(F.col(version_col)))
-    return df
+    parts = max([len(_parts(v)) for v in [target, *rules]] + [_LONGEST])
+    steps = [v for v in sorted(rules, key=lambda v: _parts(v, parts)) if _parts(v, parts) <= _parts(target, parts)]
+    own = version_parts(F.col(version_col), parts)
+    number = [F.array(*[F.lit(p).cast("bigint") for p in _parts(v, parts)]) for v in steps]
+    done = []
+    for k in range(len(steps) + 1):
+        # above version k - 1 and below version k
+        inside = own.isNotNull()
+        if k:
+            inside = inside & (own >= number[k - 1])
+        if k < len(steps):
+            inside = inside & (own < number[k])
+        some = df.filter(inside)
+        for version in steps[k:]:
+            for rule in rules[version]:
+                some = _OPS[rule.op](some, **rule.args)
+        done.append(some.withColumn(version_col, F.lit(steps[-1])) if k < len(steps) else some)
+    rejects = df.filter(own.isNull()).withColumn("reasons", F.array(F.lit(f"{version_col}: no version")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), done), rejects

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from modelweave.functions.scalars import trim_all
 
+from modelweave.plans.keys import tied
+
+
 
 def project(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The named columns; an unknown name gives an empty text column."""
@@ -22,8 +25,7 @@ def view_project(frames: dict[str, DataFrame], columns: Sequence[tuple[str, str,
     """View columns as (table, column, name); several tables need the join text ``on``."""
     used = list(dict.fromkeys(t for t, _, _ in columns))
     view = frames[used[0]].alias(used[0])
-    if len(used) > 1 and not on.strip():
-        raise ValueError("a view over several tables needs join keys")
+    tied(on, used)
     for table in used[1:]:
         view = view.join(frames[table].alias(table))
     if on.strip():

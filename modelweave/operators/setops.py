@@ -51,9 +51,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
 def snapshot_diff_two_keys(old: DataFrame, new: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """(matched_by, old, new): the same item when the id matches, else when the name does.
 
-    Two equi joins, the second over what the first left. Of several old items
-    with one name the one with the smallest id is the partner. An id that comes
-    more than once in a snapshot is ``ambiguous``.
+    Two equi joins, the second over what the first left. An id that comes more
+    than once in a snapshot is ``ambiguous``, and so are the items that are left
+    of a name that more than one old or new item has.
     """
     columns = list(new.columns)
     o = _one_side(old, [id_col], columns, "old").withColumn("_oname", F.col(f"old.{name_col}"))
@@ -67,17 +67,21 @@ def snapshot_diff_two_keys(old: DataFrame, new: DataFrame, id_col: str, name_col
     # what has no partner by id, normally little, is read four times below
     rest = store(sides.filter(~twice & (F.col("_n_old").isNull() | F.col("_n_new").isNull())), "unmatched")
     rest_o, rest_n = rest.filter("_n_new IS NULL"), rest.filter("_n_old IS NULL")
-    first = rest_o.groupBy(F.col("_oname").alias("_name")).agg(F.min_by("old", f"_old_{id_col}").alias("_first"))
-    fresh = rest_n.join(first, F.col("_name") == F.col("_nname"), "left").select(
-        F.when(F.col("_name").isNull(), "added").otherwise("name").alias("matched_by"),
-        F.col("_first").alias("old"),
-        "new",
-    )
-    names = rest_n.select(F.col("_nname").alias("_name")).distinct()
-    removed = rest_o.join(names, F.col("_oname") == F.col("_name"), "left_anti").select(
-        F.lit("removed").alias("matched_by"), "old", "new"
-    )
-    return by_id.unionByName(fresh).unionByName(removed)
+    old_names = rest_o.groupBy(F.col("_oname").alias("_o")).agg(F.count("*").alias("_no"))
+    new_names = rest_n.groupBy(F.col("_nname").alias("_n")).agg(F.count("*").alias("_nn"))
+    names = old_names.join(new_names, F.col("_o") == F.col("_n"))
+    several = names.filter("_no > 1 or _nn > 1").select(F.col("_o").alias("_many"))
+    pairs = names.filter("_no = 1 and _nn = 1").select(F.col("_o").alias("_one"))
+    met = rest_o.join(pairs, F.col("_oname") == F.col("_one")).select("_one", "old")
+    met = met.join(rest_n.select("_nname", "new"), F.col("_one") == F.col("_nname")).select(F.lit("name").alias("matched_by"), "old", "new")
+
+    def alone(side: DataFrame, column: str, label: str) -> DataFrame:
+        marked = side.join(names.select(F.col("_o").alias("_name")), F.col(column) == F.col("_name"), "left")
+        marked = marked.join(several, F.col(column) == F.col("_many"), "left")
+        state = F.when(F.col("_name").isNull(), label).when(F.col("_many").isNotNull(), "ambiguous")
+        return marked.select(state.alias("matched_by"), "old", "new").filter("matched_by is not null")
+
+    return by_id.unionByName(met).unionByName(alone(rest_n, "_nname", "added")).unionByName(alone(rest_o, "_oname", "removed"))
 
 
 def changed_names(columns: Sequence[str]) -> Column:

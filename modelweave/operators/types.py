@@ -10,16 +10,34 @@ from pyspark.sql import types as T
 
 from modelweave.functions.scalars import json_kind
 from modelweave.model import Table
+from modelweave.plans.keys import single
 
 
-def _lossy(source: Column, source_type: T.DataType, result: Column, target: str) -> Column:
+def _plain_number(text: Column) -> Column:
+    """A number written without exponent, in one form: no sign of plus, no zeros that say nothing."""
+    cut = F.regexp_replace(F.trim(text), "^[+]", "")
+    cut = F.regexp_replace(cut, "^(-?)0+(?=[0-9])", "$1")
+    cut = F.when(F.contains(cut, F.lit(".")), F.regexp_replace(cut, "[.]?0+$", "")).otherwise(cut)
+    cut = F.regexp_replace(F.regexp_replace(cut, "^(-?)[.]", "$10."), "[.]$", "")
+    return F.when(cut.isin("-0", "", "-"), F.lit("0")).otherwise(cut)
+
+
+def lossy(source: Column, source_type: T.DataType, result: Column, target: str) -> Column:
     """True when the value came through the cast changed: it differs when cast back."""
-    numeric = target.startswith(("decimal", "int", "bigint", "smallint", "tinyint", "double", "float"))
+    kind = T.DataType.fromDDL(target)
     if isinstance(source_type, T.StringType):
-        if not numeric:
+        if isinstance(kind, T.DateType):
+            # a time of day would be lost
+            return source.try_cast("timestamp_ntz") != result.cast("timestamp_ntz")
+        if not isinstance(kind, T.NumericType):
             return F.lit(False)
-        exact = source.try_cast("decimal(38,18)")
-        return F.coalesce(exact != result.try_cast("decimal(38,18)"), source.try_cast("double") != result.cast("double"))
+        rough = source.try_cast("double") != result.cast("double")
+        if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+            return rough
+        plain = source.rlike(r"^\s*[+-]?[0-9]*[.]?[0-9]*\s*$")
+        return F.when(plain, _plain_number(source) != _plain_number(result.cast("string"))).otherwise(
+            F.coalesce(source.try_cast("decimal(38,18)") != result.try_cast("decimal(38,18)"), rough)
+        )
     if isinstance(source_type, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)) and target != "string":
         return result.try_cast(source_type.simpleString()) != source
     return F.lit(False)
@@ -29,9 +47,9 @@ def cast_check(df: DataFrame, column: str, target: str) -> tuple[Column, Column]
     """(value in the target type, reason it is refused or NULL) of one column."""
     source = F.col(column)
     result = source.try_cast(target)
-    lossy = F.coalesce(_lossy(source, df.schema[column].dataType, result, target), F.lit(False))
+    changed = F.coalesce(lossy(source, df.schema[column].dataType, result, target), F.lit(False))
     reason = F.when(source.isNotNull() & result.isNull(), F.lit(f"{column}: no {target}")).when(
-        lossy, F.lit(f"{column}: changed by {target}")
+        changed, F.lit(f"{column}: changed by {target}")
     )
     return result, reason
 
@@ -40,9 +58,12 @@ def conform(df: DataFrame, table: Table, keep_lossy: bool = False) -> tuple[Data
     """(rows in the declared types, rejected source rows with their ``reasons``).
 
     A row is rejected when a value has no counterpart in the declared type, when
-    the cast changes it (unless ``keep_lossy``), or when it is too long. Comments
-    go along as column metadata.
+    the cast changes it (unless ``keep_lossy``), or when it is too long. A
+    declared column that the rows do not have is NULL. Comments go along as
+    column metadata.
     """
+    absent = {c.name: F.lit(None).cast(c.type) for c in table.columns if c.name not in df.columns}
+    df = df.withColumns(absent) if absent else df
     values, reasons = [], []
     for c in table.columns:
         value, reason = cast_check(df, c.name, c.type)
@@ -243,6 +264,6 @@ def map_codes(df: DataFrame, column: str, mapping: dict[str, str] | DataFrame, d
     if isinstance(mapping, dict):
         table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in (pair[0].lower(), pair[1])])
         return df.withColumn(name, F.coalesce(F.try_element_at(table, text), fallback))
-    codes = mapping.toDF("_code", "_value")
-    joined = df.join(codes, text == F.lower(F.trim("_code")), "left")
+    codes = mapping.toDF("_code", "_value").groupBy(F.lower(F.trim("_code")).alias("_code")).agg(F.count("*").alias("_n"), F.any_value("_value").alias("_v"))
+    joined = df.join(codes.select("_code", single("_n", "_v", "_value")), text == F.col("_code"), "left")
     return joined.select(*df.columns, F.coalesce("_value", fallback).alias(name))

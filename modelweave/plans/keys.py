@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -23,6 +24,33 @@ def by_name(pairs: Pairs, null_safe: bool = False) -> Column:
     return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in cols])
 
 
+def single(count: str, value: str, name: str) -> Column:
+    """``value``, or an error where a lookup key has more than one row."""
+    message = F.lit(f"{name}: a lookup key comes more than once")
+    return F.when(F.col(count) > 1, F.raise_error(message)).otherwise(F.col(value)).alias(name)
+
+
+def tied(on: str, names: Sequence[str]) -> None:
+    """Raise unless the join text ties every table to an earlier one by an equality of columns.
+
+    Only parts that hold in every case count: those joined by AND at the top.
+    """
+    column = r"`?(\w+)`?\s*[.]\s*`?\w+`?"
+    flat, depth, out = [], 0, []
+    for c in on:
+        depth += (c == "(") - (c == ")")
+        out.append(c if depth == 0 else " ")
+    for part in re.split(r"\band\b", "".join(out), flags=re.I):
+        m = re.fullmatch(rf"\s*{column}\s*(?:=|==|<=>)\s*{column}\s*", part)
+        if m:
+            flat.append({m[1], m[2]})
+    if re.search(r"\bor\b", "".join(out), re.I):
+        flat = []
+    for i, name in enumerate(names[1:], 1):
+        if not any(name in pair and len(pair) == 2 and (pair - {name}) <= set(names[:i]) for pair in flat):
+            raise ValueError(f"no equality of columns ties {name} to a table before it")
+
+
 def lookup(
     left: DataFrame, right: DataFrame, pairs: Pairs, how: str, null_safe: bool = False, unique: bool = False
 ) -> DataFrame:

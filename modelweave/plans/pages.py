@@ -17,7 +17,6 @@ from modelweave.plans.positions import running_total
 from modelweave.plans.workspace import store
 
 PAGE_ROWS = 100_000
-BROADCAST_KEYS = 200_000
 
 
 def _lists(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -59,27 +58,26 @@ def collect_groups(
     small = small.withColumns({"_page": F.lit(0).cast("long"), "_pages": F.lit(1).cast("long")})
 
     hot = lookup(rows, big, pairs, "left_semi", null_safe=True, unique=True)
-    hot = running_total(hot, [*keys, "_x"], "_w", "_pos")
-    few = found <= BROADCAST_KEYS
-    paged = _beside(hot, keys, F.min("_pos").alias("_first"), few).withColumn(
+    # range keys are sampled to the driver: the declared order and a hash, not the entries
+    place = [*[F.col(f"_x._o{i}") for i in range(len(order))], F.xxhash64("_x")] if order else ["_x"]
+    hot = running_total(hot, [*keys, *place], "_w", "_pos")
+    paged = _beside(hot, keys, F.min("_pos").alias("_first")).withColumn(
         "_page", F.floor((F.col("_pos") - F.col("_first")) / F.lit(page_rows))
     )
     paged = _lists(paged, [*keys, "_page"], name)
     # a number may stay unused where one entry outweighs a page
-    paged = _beside(paged, keys, (F.max("_page") + 1).alias("_pages"), few)
+    paged = _beside(paged, keys, (F.max("_page") + 1).alias("_pages"))
     paged = paged.select(*[F.col(f"`{k}`") for k in keys], name, "_weight", "_page", "_pages")
     return small.unionByName(paged), True
 
 
-def _beside(df: DataFrame, keys: Sequence[str], total: Column, few: bool) -> DataFrame:
+def _beside(df: DataFrame, keys: Sequence[str], total: Column) -> DataFrame:
     """Every row with an aggregate of its key: a partial aggregate and a join, no window over the group.
 
-    ``few`` keys, counted before, are broadcast, so that the rows of a hot key stay where they are.
+    Spark broadcasts the totals if it measures them as small, and splits a hot key otherwise.
     """
     named = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]
     totals = df.groupBy(*named).agg(total)
-    if few:
-        totals = F.broadcast(totals)
     met = df.join(totals, by_name([(k, f"_k{i}") for i, k in enumerate(keys)], null_safe=True))
     return met.drop(*[f"_k{i}" for i in range(len(keys))])
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from modelweave.plans.positions import in_order
 from modelweave.plans.workspace import new_folder
 
-DUPLICATE_MAX_ROWS = 1_000_000
+DUPLICATE_MAX_BYTES = 64 << 20
 
 
 def create_table_as(df: DataFrame, path: str) -> DataFrame:
@@ -19,13 +22,12 @@ def create_table_as(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def refresh_materialized_view(spark: SparkSession, name: str, select_sql: str, base: str | None = None) -> DataFrame:
-    """Write a full new snapshot, then point the view name at it.
+def refresh_materialized_view(spark: SparkSession, name: str, select_sql: str, base: str) -> DataFrame:
+    """Write a full new snapshot below ``base``, then point the view name at it.
 
     Readers of the old snapshot are not disturbed: it stays where it is.
     """
-    path = new_folder(spark, f"mv_{name}") if base is None else f"{base}/{new_folder(spark, name).rsplit('/', 1)[1]}"
-    result = create_table_as(spark.sql(select_sql), path)
+    result = create_table_as(spark.sql(select_sql), f"{base}/{name}-{uuid4().hex}")
     result.createOrReplaceTempView(name)
     return result
 
@@ -33,15 +35,18 @@ def refresh_materialized_view(spark: SparkSession, name: str, select_sql: str, b
 def append_only(df_new: DataFrame, path: str, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Append rows with a new key; returns (table after, rejected rows).
 
-    A key that is stored, or comes twice in the batch, is refused: stored rows never change.
+    A key that is stored, comes twice in the batch, or has a NULL part is
+    refused: stored rows never change. Of the stored keys only those of the
+    batch are looked at further.
     """
     spark = df_new.sparkSession
     stored = spark.read.schema(df_new.schema).parquet(path)
-    known = stored.select(*key).distinct()
-    twice = df_new.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").select(*key)
-    refused = known.unionByName(twice).distinct()
-    rejects = df_new.join(refused, list(key), "left_semi").select(*df_new.columns)
-    accepted = df_new.join(refused, list(key), "left_anti").select(*df_new.columns)
+    counts = df_new.groupBy(*key).agg(F.count("*").alias("_n"))
+    known = stored.select(*key).join(counts.select(*key), list(key), "left_semi")
+    refused = known.unionByName(counts.filter("_n > 1").select(*key)).distinct()
+    missing = reduce(or_, [F.col(f"`{k}`").isNull() for k in key])
+    rejects = df_new.join(refused, list(key), "left_semi").select(*df_new.columns).unionByName(df_new.filter(missing))
+    accepted = df_new.filter(~missing).join(refused, list(key), "left_anti").select(*df_new.columns)
     # both results are fixed before the table they are compared with grows
     batch = new_folder(spark, "append_rejects")
     rejects.write.parquet(batch)
@@ -60,15 +65,14 @@ def distribute(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
     return df.hint("rebalance", n, *[F.col(k) for k in key])
 
 
-def duplicate(df: DataFrame, max_rows: int = DUPLICATE_MAX_ROWS) -> DataFrame:
+def duplicate(df: DataFrame, max_bytes: int = DUPLICATE_MAX_BYTES) -> DataFrame:
     """A full copy on every executor, when the table is small enough.
 
-    Reads at most ``max_rows`` + 1 rows to check the size; a larger table is
-    returned as it is and joins by shuffle.
+    The size is the sum of the rows' texts, counted over the whole table; a
+    larger table is returned as it is and joins by shuffle.
     """
-    if df.select(F.lit(1)).limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)
+    size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def write_clustered(

@@ -144,9 +144,58 @@ def test_terms_against_a_plain_search(spark, read):
     assert got == want and want
 
 
-def test_join_view_needs_keys(spark):
+@pytest.mark.parametrize("on", ["", "a.v >= 0", "a.v = b.v or a.v > 1", "a.v = a.v", "(a.v = b.v or true)"])
+def test_view_of_a_product_is_refused(spark, on):
+    frames = {"a": one(spark, [1], "int"), "b": one(spark, [1], "int")}
     with pytest.raises(ValueError):
-        J.join_view({"a": one(spark, [1], "int"), "b": one(spark, [1], "int")}, "")
+        J.join_view(frames, on)
+    with pytest.raises(ValueError):
+        P.view_project(frames, [("a", "v", ""), ("b", "v", "w")], on)
+    assert J.join_view(frames, "a.v = b.v and a.v >= 0").count() == 1
+
+
+def test_double_lookup_keys_raise(spark):
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "i int, n string")
+    once = spark.createDataFrame([(1, [1, 2])], "i int, l array<int>")
+    for df in (
+        J.resolve_ids(once, "i", twice, "i", "n", "name"),
+        J.resolve_id_array(once, ["i"], "l", twice, "i", "n"),
+        TY.map_codes(once.withColumn("t", F.lit("1")), "t", twice.select(F.col("i").cast("string"), "n"), "d", "c"),
+        L.partition_by_reference(once, twice.toDF("k", "p"), [("i", "k")])[0],
+    ):
+        with pytest.raises(PySparkException):
+            df.collect()
+
+
+def test_rules_of_the_round(spark):
+    numbers = spark.createDataFrame([(0.3,), (0.7,), (1.1,), (0.25,)], "v double")
+    assert numbers.filter(~A.domain_rule("v", "multiple_of", 0.1)).count() == 1
+    days = one(spark, ["1995-02-01", "1995-02-15", "1995-01-14"]).select(F.to_date("v").alias("v"))
+    assert values(L.partition_interval(days, "v", 1, "1995-01-15", "month"), "p") == [0, 1, -1]
+    record = spark.createDataFrame([((1.9,),), ((2.0,),)], "s struct<x:double>")
+    good, bad = E.change_field_type(record, "s.x", "int")
+    assert good.count() == 1 and bad.count() == 1
+    text = one(spark, ["2024-01-31 23:59:59", "2024-01-31", "123456789012345678901.5", "0012.50", "12.5"])
+    day, long = (TY.conform(text, Table("t", (Column("v", kind),)))[0] for kind in ("date", "decimal(38,1)"))
+    assert day.count() == 1 and long.count() == 3
+    whole, _ = TY.conform(text, Table("t", (Column("v", "decimal(38,0)"), Column("absent", "interval day"))))
+    assert whole.count() == 0
+
+
+def test_append_refuses_null_keys(spark):
+    path = new_folder(spark, "append")
+    one(spark, [1], "int").write.parquet(path)
+    for _ in range(2):
+        after, rejects = sinks.append_only(one(spark, [None], "int"), path, ["v"])
+        assert after.count() == 1 and rejects.count() == 1
+
+
+def test_range_keys_hold_no_payload(spark):
+    from modelweave.plans.positions import in_order
+
+    plan = plan_of(in_order(spark.range(5).withColumn("text", F.concat(F.lit("x"), F.col("id"))), ["id"]))
+    exchange = next(line for line in plan.splitlines() if "rangepartitioning" in line)
+    assert "substring(text#" in exchange and "text#" not in exchange.replace("xxhash64(text#", "").replace("substring(text#", "")
 
 
 def test_cascade_along_a_self_reference(spark):
@@ -336,6 +385,9 @@ def test_diff(spark):
     assert U.snapshot_diff(new, new, ["id"]).count() == 0
     got = rows(U.snapshot_diff(old, new, ["id"]), "id", "change")
     assert got == sorted([(2, "modified"), (3, "removed"), (4, "added"), (5, "modified"), (6, "added"), (8, "ambiguous")], key=repr)
+    several = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, n string"), spark.createDataFrame([(7, "a"), (8, "b"), (9, "b")], "id int, n string")
+    named = U.snapshot_diff_two_keys(*several, "id", "n").select("matched_by", "old.id", "new.id").toDF("m", "o", "n")
+    assert rows(named) == sorted([("ambiguous", i, None) for i in (1, 2, 3)] + [("ambiguous", None, i) for i in (7, 8, 9)], key=repr)
     two = U.snapshot_diff_two_keys(old, new, "id", "n").select("matched_by", "old.id", "new.id").toDF("m", "o", "n")
     assert rows(two) == sorted(
         [("id", 1, 1), ("id", 2, 2), ("id", 5, 5), ("name", 3, 6), ("added", None, 4), ("ambiguous", 8, 8)], key=repr
@@ -387,16 +439,19 @@ def test_moves_make_parents_and_keep_older_values(spark):
     assert values(moved, "g") [2] is None
 
 
-def test_versions_are_numbers(spark):
-    df = one(spark, ["0.1.9", "0.1.23", "0.2.2", "0.10.0"])
-    assert values(df, M.version_number(F.col("v"))) == [1009, 1023, 2002, 10000]
+def test_versions_compare_part_by_part(spark):
+    df = one(spark, ["0.1.9", "0.1.23", "1.0", "x", "1..2", None])
+    assert values(df, M.version_parts(F.col("v"), 3)) == [[0, 1, 9], [0, 1, 23], [1, 0, 0], None, None, None]
 
 
 def test_migrate_leaves_newer_records(spark):
-    df = spark.createDataFrame([("0.1.9", True), ("0.1.50", True)], "ver string, force boolean").withColumn("f", F.lit("x"))
-    rules = {"0.1.23": [M.Rule("set_where", {"match": {"force": True}, "values": {"f": "force"}})]}
-    assert rows(M.migrate(df, "ver", "0.2.0", rules), "ver", "f") == [("0.1.23", "force"), ("0.1.50", "x")]
-    assert rows(M.migrate(df, "ver", "0.1.20", rules), "f") == [("x",), ("x",)]
+    df = spark.createDataFrame([("0.9", True, (1, 2)), ("1.0", True, (1, 2)), ("1.0.1", True, (3, 4)), ("new", True, None)], "ver string, force boolean, b struct<x:int,y:int>")
+    rules = {"1.0": [M.Rule("set_where", {"match": {"force": True}, "values": {"f": "force"}}), M.Rule("remove_fields", {"path": "b", "names": ["x"]})]}
+    done, rejects = M.migrate(df, "ver", "1.0", rules)
+    assert rows(done, "ver", "f", "b.x", "b.y") == [("1.0", "force", None, 2), ("1.0", None, 1, 2), ("1.0.1", None, 3, 4)]
+    assert rows(rejects, "ver", "reasons") == [("new", ["ver: no version"])]
+    older, _ = M.migrate(df, "ver", "0.9.9", rules)
+    assert rows(older, "ver", "b.x") == [("0.9", 1), ("1.0", 1), ("1.0.1", 3)]
 
 
 def test_condition_trees(spark):
@@ -428,8 +483,8 @@ def test_append_refuses_known_and_double_keys(spark):
 
 def test_duplicate_checks_the_size(spark):
     big = spark.range(11)
-    assert "broadcast" not in str(sinks.duplicate(big, 10)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" in str(sinks.duplicate(big, 11)._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(sinks.duplicate(big, 50)._jdf.queryExecution().logical()).lower()
+    assert "broadcast" in str(sinks.duplicate(big, 1000)._jdf.queryExecution().logical()).lower()
 
 
 def test_sample_size(spark):
