@@ -11,6 +11,7 @@ model over the sums of the hits gives the score.
 
 from __future__ import annotations
 
+import math
 import string
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -27,8 +28,10 @@ from modelweave.plans.workspace import store
 
 THRESHOLD = 0.7
 SUPPORT = 3  # toxic texts that hold a term, at least
+SHARE = 0.005  # and at least this share of them: a word of a few copied texts is no term
 ODDS = 20.0  # how many times as often as in clean texts
-TERMS = 20_000  # lexicon size, strongest terms first: bounds what the driver and each task hold
+TERMS = 5_000  # lexicon size, most frequent terms first: bounds what the driver and each task hold
+MISSPELLED = 500  # of these so many may be misspelled, the others are met letter by letter
 SAMPLE = 100_000  # labelled rows the logistic model is fitted on
 WINDOW = 8
 _STEMS = (4, 6)
@@ -58,8 +61,8 @@ class Machine:
     def __post_init__(self) -> None:
         self.next: list[dict[str, int]] = [{}]
         self.limit, self.end, self.stem = [0], [-1], [False]
-        for term, is_stem in [(t, False) for t in self.terms] + [(s, True) for s in self.stems]:
-            node, allowed = 0, 0 if is_stem else edits_allowed(term)
+        for turn, (term, is_stem) in enumerate([(t, False) for t in self.terms] + [(s, True) for s in self.stems]):
+            node, allowed = 0, 0 if is_stem or turn >= MISSPELLED else edits_allowed(term)
             self.limit[0] = max(self.limit[0], allowed)
             for c in term:
                 if c not in self.next[node]:
@@ -73,7 +76,7 @@ class Machine:
             if is_stem:
                 self.stem[node] = True
             else:
-                self.end[node] = allowed
+                self.end[node] = max(self.end[node], allowed)
         self._reset()
 
     def _reset(self) -> None:
@@ -223,6 +226,7 @@ def learn_terms(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS,
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad:
         return Model([], [], [])
+    support = max(support, math.ceil(SHARE * bad))
     counted = labelled.select("toxic", "text").mapInArrow(_counted, "word string, pos long, neg long")
     counted = counted.filter("length(word) between 3 and 64").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     counted = store(counted, "words")
@@ -284,7 +288,10 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     marks = labels.filter(F.col(f"`{toxic}`").isin(0, 1)).select(F.col(f"`{doc_id}`").alias("_l"), F.col(f"`{toxic}`").cast("int").alias("toxic")).distinct()
     rows = docs.select(F.col(f"`{doc_id}`").alias("_d"), F.col(f"`{text}`").alias("text"))
     labelled = store(rows.join(marks, rows["_d"] == marks["_l"]).select("_d", "toxic", "text"), "labelled")
-    model = learn_terms(labelled)
+    # a word of near copies is no evidence for itself: of toxic texts with the same smallest word hash one counts
+    toxic_rows = labelled.filter("toxic = 1").withColumn("_s", F.array_min(F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.xxhash64(w))))
+    toxic_rows = toxic_rows.groupBy("_s").agg(F.min_by("text", "_d").alias("text")).select(F.lit(1).alias("toxic"), "text")
+    model = learn_terms(store(toxic_rows.union(labelled.filter("toxic = 0").select("toxic", "text")), "lexicon_texts"))
     few = labelled.withColumn("_o", F.xxhash64("_d")).orderBy("_o", "_d").limit(sample) if labelled.count() > sample else labelled
     table = few.select("toxic", "text").mapInArrow(_featured(model), "toxic int, x array<double>").toArrow()
     if table.num_rows:
