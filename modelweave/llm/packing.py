@@ -28,7 +28,7 @@ from modelweave.llm.tokens import pieces
 from modelweave.plans.workspace import store
 
 SEQUENCE = 2048
-STEP = 16  # width of a length class in tokens
+STEP = 8  # width of a length class in tokens
 END = 1  # id behind each document
 _ENCODE_BYTES = 1 << 20
 _LONG_PIECE = 4096  # a run without white space beyond this goes to the library that merges it in n log n
