@@ -350,3 +350,16 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Da
     judged = near_duplicates(docs, shingle, percent)
     gone = judged.filter(~F.col("kept")).select(F.col("id").alias("_mw_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_mw_gone"], "left_anti")
+
+
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS s FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_of AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT a, b FROM both_of JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.b FROM reach r JOIN edge e ON e.a = r.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) c USING (doc_id)
+"""

@@ -53,4 +53,9 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_licenses, op4_shards, op5_near_duplicates, op6_pack, op7_substrings, op8_languages, op9_decontaminate, op10_neighbours)}
-SQL: dict[str, str] = {"op3_licenses": licenses.SQL, "op9_decontaminate": decontamination.SQL}
+SQL: dict[str, str] = {
+    "op3_licenses": licenses.SQL,
+    "op5_near_duplicates": near_duplicates.SQL,
+    "op7_substrings": substrings.SQL,
+    "op9_decontaminate": decontamination.SQL,
+}

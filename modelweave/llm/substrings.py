@@ -293,3 +293,16 @@ def remove_repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", te
     keyed = _keyed(docs, doc_id, text, *docs.columns)
     beside = _with_stretches(keyed, repeated_stretches(docs, window, doc_id=doc_id, text=text))
     return beside.mapInArrow(_cut(docs.columns, text, length, window), docs.schema)
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM win) WHERE r > 1),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM rep),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+sums AS (SELECT word.doc_id, count(cov.p) AS n_removed, string_agg(x, ' ' ORDER BY word.p) FILTER (WHERE cov.p IS NULL) AS kept
+         FROM word LEFT JOIN cov ON cov.doc_id = word.doc_id AND cov.p = word.p GROUP BY word.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id)
+"""
