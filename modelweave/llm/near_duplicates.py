@@ -29,6 +29,7 @@ from modelweave.plans.workspace import store
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability 5e-7
 REGISTERS = BANDS * ROWS
 BASE, RATE = 1.001, 20.0
+_POINTS = 300_000  # drawn at once: bounds the memory of a task
 _SURE = 6.0  # a register stays without a point with probability exp(-6)
 _NULL_ID = -(1 << 63)
 _SET_BYTES = 6  # of a shingle's hash in a stored set
@@ -84,8 +85,8 @@ def registers(hashes: np.ndarray, first: np.ndarray, m: int = REGISTERS) -> np.n
         before, inside, table = _block(number)
         if before:
             active = active[need[doc[active]] > before]
-        for at in range(0, len(active), max(1, int(1_000_000 / inside))):
-            part = active[at : at + max(1, int(1_000_000 / inside))]
+        for at in range(0, len(active), max(1, int(_POINTS / inside))):
+            part = active[at : at + max(1, int(_POINTS / inside))]
             seed = mix(hashes[part] + np.uint64((number + 1) * 0x9E3779B97F4A7C15 % 2**64))
             points = np.searchsorted(table, _uniform(seed))
             which = np.repeat(np.arange(len(part)), points)

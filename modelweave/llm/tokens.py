@@ -20,7 +20,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 _BYTE = 0xD1B54A32D192ED03

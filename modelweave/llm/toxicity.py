@@ -168,7 +168,7 @@ class Reader:
     def features(self, text: str | None) -> list[float]:
         words = (text or "").lower().split()
         different = set(words)
-        if len(self.passed) + len(self.hits) > 1_000_000:
+        if len(self.passed) + len(self.hits) > 300_000:
             self.passed.clear()
             self.hits.clear()
         for w in different - self.passed:
@@ -215,7 +215,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text"):
         for kind, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             counts[kind].update({clean_word(w) for w in set((text or "").lower().split())})
-        if len(counts[0]) + len(counts[1]) > 1_000_000:
+        if len(counts[0]) + len(counts[1]) > 500_000:
             yield told()
     yield told()
 
