@@ -29,6 +29,7 @@ from modelweave.plans.workspace import store
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability 5e-7
 REGISTERS = BANDS * ROWS
 BASE, RATE = 1.001, 20.0
+PIVOTS = 4  # of a text in the first round
 _POINTS = 300_000  # drawn at once: bounds the memory of a task
 _SURE = 6.0  # a register stays without a point with probability exp(-6)
 _NULL_ID = -(1 << 63)
@@ -189,8 +190,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int) -> DataFrame:
     """(a, b): each text of a bucket with the bucket's pivot, where they are not in one component yet.
 
-    The ids of a task that meet one pivot in many buckets are put together
-    before they become rows.
+    The buckets of a task come together again before their pairs become rows.
     """
     over = Window.partitionBy("bucket")
     schema = group_schema("bucket long", "comp long", "part long")
@@ -205,9 +205,33 @@ def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int) -> DataFra
         met = met.withColumns({"_x": pivot, "_other": F.min("comp").over(over) != F.max("comp").over(over)})
         met = met.filter(F.col("_other") & (F.col("comp") != F.col("_x.comp"))).withColumn("_p", F.col("_x.id"))
     ids = F.transform(group_places(), lambda x: x["id"])
-    lists = met.select("part", "_p", ids.alias("_ids")).groupBy("part", "_p").agg(F.collect_set("_ids").alias("_ids"))
-    pairs = lists.select(F.explode(F.array_distinct(F.flatten("_ids"))).alias("a"), F.col("_p").alias("b"))
-    return pairs.filter("a != b").distinct()
+    pairs = met.select("part", "_p", ids.alias("_ids")).repartition("part").mapInArrow(_few_pivots(PIVOTS if comps is None else None), "a long, b long")
+    return pairs.distinct()
+
+
+def _few_pivots(most: int | None) -> Callable:
+    """The pivots of each text, in the first round its smallest ones only: what these leave open, later rounds meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            lists = batch.column(2)
+            a.append(lists.flatten().to_numpy(zero_copy_only=False))
+            b.append(np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())))
+        one, two = np.concatenate(a), np.concatenate(b)
+        order = np.lexsort((two, one))
+        one, two = one[order], two[order]
+        new = one != two
+        new[1:] &= (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        one, two = one[new], two[new]
+        if most is not None:
+            few = np.arange(len(one)) - np.searchsorted(one, one) < most
+            # and every pivot once, so that each text of a shared bucket is in some pair
+            few[np.unique(two, return_index=True)[1]] = True
+            one, two = one[few], two[few]
+        yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], ["a", "b"])
+
+    return run
 
 
 def _details(size: int) -> Callable:
