@@ -8,11 +8,14 @@ folder of its own machine.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_open: list[list[str]] = []  # of the blocks of made_here
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,8 +35,29 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
 
 
+@contextmanager
+def made_here() -> Iterator[list[str]]:
+    """The folders of the frames stored inside the block, for ``discard`` when they have been used."""
+    folders: list[str] = []
+    _open.append(folders)
+    try:
+        yield folders
+    finally:
+        _open.remove(folders)
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    """Remove stored frames that nothing reads any more, and forget them."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    folders.clear()
+
+
 def store(df: DataFrame, label: str = "frame") -> DataFrame:
     """Write ``df`` once and read it back; runs one job."""
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
+    for folders in _open:
+        folders.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
