@@ -29,7 +29,7 @@ from modelweave.plans.workspace import store
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability 5e-7
 REGISTERS = BANDS * ROWS
 BASE, RATE = 1.001, 20.0
-PIVOTS = 4  # of a text in the first round
+PIVOTS = 4  # of a text in the first rounds
 _POINTS = 300_000  # drawn at once: bounds the memory of a task
 _SURE = 6.0  # a register stays without a point with probability exp(-6)
 _NULL_ID = -(1 << 63)
@@ -187,7 +187,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from group_rows(both, more, own, np.zeros(len(own), np.int64))
 
 
-def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int) -> DataFrame:
+def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int, most: int | None) -> DataFrame:
     """(a, b): each text of a bucket with the bucket's pivot, where they are not in one component yet.
 
     The buckets of a task come together again before their pairs become rows.
@@ -205,12 +205,12 @@ def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int) -> DataFra
         met = met.withColumns({"_x": pivot, "_other": F.min("comp").over(over) != F.max("comp").over(over)})
         met = met.filter(F.col("_other") & (F.col("comp") != F.col("_x.comp"))).withColumn("_p", F.col("_x.id"))
     ids = F.transform(group_places(), lambda x: x["id"])
-    pairs = met.select("part", "_p", ids.alias("_ids")).repartition("part").mapInArrow(_few_pivots(PIVOTS if comps is None else None), "a long, b long")
+    pairs = met.select("part", "_p", ids.alias("_ids")).repartition("part").mapInArrow(_few_pivots(most, turn), "a long, b long")
     return pairs.distinct()
 
 
-def _few_pivots(most: int | None) -> Callable:
-    """The pivots of each text, in the first round its smallest ones only: what these leave open, later rounds meet."""
+def _few_pivots(most: int | None, turn: int) -> Callable:
+    """``most`` pivots of each text, or all; the smallest ones in the first round, then others each time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -219,7 +219,8 @@ def _few_pivots(most: int | None) -> Callable:
             a.append(lists.flatten().to_numpy(zero_copy_only=False))
             b.append(np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())))
         one, two = np.concatenate(a), np.concatenate(b)
-        order = np.lexsort((two, one))
+        rank = mix(two.view(np.uint64) + np.uint64(turn)) if turn else two
+        order = np.lexsort((rank, one))
         one, two = one[order], two[order]
         new = one != two
         new[1:] &= (one[1:] != one[:-1]) | (two[1:] != two[:-1])
@@ -335,9 +336,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     keyed = store(named.filter("id = rep").select("id", "keys"), "keys")
 
     tested = links = comps = details = None
-    turn = 0
+    turn, most = 0, PIVOTS
     while True:
-        pairs = _candidates(keyed, comps, turn)
+        pairs = _candidates(keyed, comps, turn, most)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = store(pairs, "pairs")
@@ -346,15 +347,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
             wanted = wanted.join(nodes.filter("id = rep").select(F.col("id").alias("_id"), F.col("d1").alias("_d1")), "_id")
             chosen = texts.join(wanted, texts["id"] == wanted["_id"]).select("id", "_t", "_d1")
             details = store(chosen.mapInArrow(_details(shingle), "id long, n long, regs binary, members binary"), "details")
-        elif not pairs.limit(1).count():
+        elif most is None and not pairs.limit(1).count():
             break
         found = store(_true_links(pairs, details, percent), "links")
-        if turn and not found.limit(1).count():
+        new = found.limit(1).count()
+        if turn and most is None and not new:
             break
-        links = found if links is None else links.union(found)
+        # rounds of few pivots join most of a group; only a round with all pivots that finds nothing ends it
+        most = PIVOTS if new and turn < 2 else None
         tested = pairs if tested is None else tested.union(pairs)
-        comps = smallest_reachable(links)
         turn += 1
+        if new or comps is None:
+            links = found if links is None else links.union(found)
+            comps = smallest_reachable(links)
 
     reps = nodes.select(F.col("id").alias("_i"), F.col("d1").alias("_1"), F.col("d2").alias("_2"), "rep")
     own = (base["id"] == reps["_i"]) & (base["d1"] == reps["_1"]) & (base["d2"] == reps["_2"])
