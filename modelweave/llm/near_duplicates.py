@@ -8,7 +8,10 @@ buckets; in a bucket every text is compared with one pivot, so a group of
 copies gives links in proportion to its size. The joint likelihood of the
 registers drops pairs that are far from the threshold, the rest is confirmed on
 the full sets. Buckets that still hold several components are opened again with
-other pivots until a round finds no new link.
+other pivots until a round finds no new link. What is still open then is
+settled pair by pair: every two members of different components of a small
+bucket become a pair, members of a large one meet in blocks that count common
+shingles of all their pairs at once.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ _POINTS = 300_000  # drawn at once: bounds the memory of a task
 _SURE = 6.0  # a register stays without a point with probability exp(-6)
 _NULL_ID = -(1 << 63)
 _SET_BYTES = 6  # of a shingle's hash in a stored set
+SMALL = 8  # members of a bucket whose pairs become rows in the end
+BLOCK = 512  # members of a larger bucket that meet as many others in one piece of work
+_COMMON = 16  # a shingle of more sets of a piece of work is counted by matrix product
+_COLUMNS = 2048  # of such a matrix at once
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -317,6 +324,111 @@ def _true_links(pairs: DataFrame, details: DataFrame, percent: int) -> DataFrame
     return with_sets.mapInArrow(_confirmed(percent), "a long, b long").distinct()
 
 
+def _open_buckets(keyed: DataFrame, comps: DataFrame) -> DataFrame:
+    """Buckets of several components: a row per bucket, component and task, with its ids.
+
+    ``_m`` counts the members, ``_d`` is a large component of the bucket and
+    ``_md`` its members.
+    """
+    over = Window.partitionBy("bucket")
+    named = keyed.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").select("id", "keys", F.coalesce("comp", "id").alias("comp"))
+    met = named.mapInArrow(_buckets, group_schema("bucket long", "comp long", "part long")).withColumn("_s", group_size())
+    met = met.withColumns({"_other": F.min("comp").over(over) != F.max("comp").over(over), "_m": F.sum("_s").over(over), "_d": F.max(F.struct("_s", "comp")).over(over)["comp"]})
+    met = met.filter("_other").withColumn("_md", F.sum(F.when(F.col("comp") == F.col("_d"), F.col("_s"))).over(over))
+    return met.select("bucket", "comp", "_m", "_d", "_md", F.transform(group_places(), lambda x: x["id"]).alias("ids"))
+
+
+def _all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b), a < b: every two members of different components of the small buckets of a task."""
+    for batch in batches:
+        n = np.diff(batch.column(0).offsets.to_numpy())
+        comp, own = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (0, 1))
+        bucket = np.repeat(np.arange(len(n)), n)
+        a, b = [], []
+        for ahead in range(1, int(n.max(initial=1))):
+            at = np.flatnonzero((bucket[:-ahead] == bucket[ahead:]) & (comp[:-ahead] != comp[ahead:]))
+            a.append(np.minimum(own[at], own[at + ahead]))
+            b.append(np.maximum(own[at], own[at + ahead]))
+        if a:
+            both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+
+def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Size of the intersection of each set of ``left`` with each of ``right``."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    code, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    row, column = (np.full(len(sets), -1) for _ in range(2))
+    row[left], column[right] = np.arange(len(left)), np.arange(len(right))
+    out = np.zeros(len(left) * len(right), np.int64)
+
+    order = np.argsort(code, kind="stable")
+    order = order[(df[code[order]] > 1) & (df[code[order]] <= _COMMON)]
+    c, o = code[order], owner[order]
+    for ahead in range(1, _COMMON):
+        same = np.flatnonzero(c[:-ahead] == c[ahead:])
+        if not len(same):
+            break
+        for x, y in ((o[same], o[same + ahead]), (o[same + ahead], o[same])):
+            ok = (row[x] >= 0) & (column[y] >= 0)
+            out += np.bincount(row[x[ok]] * len(right) + column[y[ok]], minlength=len(out))
+    out = out.reshape(len(left), len(right))
+
+    often = np.flatnonzero(df > _COMMON)
+    number = np.full(len(df), -1)
+    number[often] = np.arange(len(often))
+    at = np.flatnonzero(number[code] >= 0)
+    at = at[np.argsort(number[code[at]], kind="stable")]
+    col = number[code[at]]
+    for a in range(0, len(often), _COLUMNS):
+        part = slice(*np.searchsorted(col, [a, a + _COLUMNS]))
+        dense = np.zeros((len(sets), min(_COLUMNS, len(often) - a)), np.float32)
+        dense[owner[at[part]], col[part] - a] = 1
+        out += np.rint(dense[left] @ dense[right].T).astype(np.int64)
+    return out
+
+
+def _settled(percent: int) -> Callable:
+    """Of a piece of work: one true link per text and other component, of any two components one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, comp, block = (table.column(c).to_numpy() for c in ("id", "comp", "block"))
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        links = np.zeros((0, 2), np.int64)
+        if len(left) and len(right):
+            sets = [_unpack(m) for m in table.column("members").to_pylist()]
+            n = np.array([len(m) for m in sets])
+            both = common_counts(sets, left, right)
+            hit = (100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)) & (comp[left][:, None] != comp[right][None, :])
+            i, j = np.nonzero(hit)
+            i, j = left[i], right[j]
+            ends = np.sort(np.stack([comp[i], comp[j]], 1), axis=1)
+            one = np.unique(ends, axis=0, return_index=True)[1]
+            links = np.stack([ids[i[one]], ids[j[one]]], 1)
+        return pa.table({"a": pa.array(links[:, 0]), "b": pa.array(links[:, 1])})
+
+    return run
+
+
+def _large_bucket_links(met: DataFrame, details: DataFrame, percent: int) -> DataFrame:
+    """True links between the components of large buckets, all pairs compared.
+
+    One of two members of different components is outside the component ``_d``:
+    blocks of these others meet each other and blocks of ``_d``, whose members
+    do not meet.
+    """
+    others, large = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("_mo", "_md"))
+    rows = met.withColumns({"_mo": F.col("_m") - F.col("_md"), "_in": F.col("comp") == F.col("_d")}).withColumns({"_go": others, "_gd": large})
+    rows = rows.select("bucket", "comp", "_in", "_go", "_gd", F.explode("ids").alias("id"))
+    own = F.pmod(F.xxhash64("id", "bucket"), F.when(F.col("_in"), F.col("_gd")).otherwise(F.col("_go"))).cast("int")
+    rows = rows.withColumn("block", own + F.when(F.col("_in"), F.col("_go")).otherwise(0))
+    to = F.when(F.col("_in"), F.sequence(F.lit(0), F.col("_go") - 1)).otherwise(F.sequence(F.lit(0), F.col("_go") + F.col("_gd") - 1))
+    rows = rows.select("bucket", "comp", "id", "block", F.explode(to).alias("_to"))
+    rows = rows.select("bucket", "comp", "id", "block", F.least("block", "_to").alias("x"), F.greatest("block", "_to").alias("y"))
+    return rows.join(details.select("id", "members"), "id").groupBy("bucket", "x", "y").applyInArrow(_settled(percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n (shingles), component_id and kept.
 
@@ -360,6 +472,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
         if new or comps is None:
             links = found if links is None else links.union(found)
             comps = smallest_reachable(links)
+    tested = pairs if tested is None else tested.union(pairs)
+
+    # pivots may miss links between members that are none: what is still open is compared pair by pair
+    met = store(_open_buckets(keyed, comps), "open")
+    both_ways = tested.select("a", "b").union(tested.select("b", "a"))
+    lists = F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct(F.col("comp").alias("c"), i.alias("i")))))
+    few = met.filter(F.col("_m") <= SMALL).groupBy("bucket").agg(lists.alias("_l")).select(F.col("_l.c"), F.col("_l.i"))
+    pairs = few.mapInArrow(_all_pairs, "a long, b long").distinct().join(both_ways, ["a", "b"], "left_anti")
+    found = store(_true_links(pairs, details, percent).union(_large_bucket_links(met.filter(F.col("_m") > SMALL), details, percent)), "links")
+    if found.limit(1).count():
+        comps = smallest_reachable(links.union(found))
 
     reps = nodes.select(F.col("id").alias("_i"), F.col("d1").alias("_1"), F.col("d2").alias("_2"), "rep")
     own = (base["id"] == reps["_i"]) & (base["d1"] == reps["_1"]) & (base["d2"] == reps["_2"])

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from modelweave.llm import decontamination, licenses, near_duplicates, substrings
@@ -178,3 +179,41 @@ def test_license_scan(spark):
         key=lambda x: (x[0], x[1]),
     )
     assert licenses.scan_licenses(frame(spark, [])).count() == 0
+
+
+def test_near_duplicates_among_edited_copies(spark):
+    """Copies of one text that are mostly no links: pairs without a bucket of their own are still found."""
+    r = random.Random(11)
+    base = [words(r, 1) + str(i) for i in range(100)]
+    rows, sets = [], []
+    for i in range(3000):
+        sets.append([w if r.random() < 0.85 else f"own{i}x{k}" for k, w in enumerate(base)])
+        rows.append((i, " ".join(sets[-1])))
+    places = np.array([[hash(w) for w in s] for s in sets])
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(sets)):
+        common = (places[:i] == places[i]).sum(1)
+        for j in np.flatnonzero(100 * common >= 80 * (200 - common)):
+            a, b = root(i), root(int(j))
+            parent[max(a, b)] = min(a, b)
+    want = {i: root(i) for i in range(len(sets))}
+    got = {x["id"]: x["component_id"] for x in near_duplicates.near_duplicates(frame(spark, rows), 1).collect()}
+    assert got == want
+    assert len(set(want.values())) < len(sets) - 10
+
+
+def test_common_counts():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 400, 60).astype(np.uint64) ** np.uint64(2)) for _ in range(50)]
+    left, right = np.arange(20), np.arange(10, 50)
+    got = near_duplicates.common_counts(sets, left, right)
+    for i, a in enumerate(left):
+        for j, b in enumerate(right):
+            if a != b:
+                assert got[i, j] == len(np.intersect1d(sets[a], sets[b]))
