@@ -283,16 +283,18 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
+def _distinct_texts(labelled: DataFrame) -> DataFrame:
+    """(toxic, text) of ``labelled``: of a class's rows with the same sequence of words one counts, all others stay."""
+    same = F.sha2(F.regexp_replace(F.trim(F.lower("text")), r"\s+", " "), 256)
+    return labelled.withColumn("_s", same).groupBy("toxic", "_s").agg(F.min_by("text", "_d").alias("text")).select("toxic", "text")
+
+
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: int = SAMPLE) -> Model:
     """Lexicon from all labelled rows, weights from at most ``sample`` of them (the smallest hashes of their ids)."""
     marks = labels.filter(F.col(f"`{toxic}`").isin(0, 1)).select(F.col(f"`{doc_id}`").alias("_l"), F.col(f"`{toxic}`").cast("int").alias("toxic")).distinct()
     rows = docs.select(F.col(f"`{doc_id}`").alias("_d"), F.col(f"`{text}`").alias("text"))
     labelled = store(rows.join(marks, rows["_d"] == marks["_l"]).select("_d", "toxic", "text"), "labelled")
-    # near copies are no evidence for their words: of toxic texts with the same two smallest word hashes one counts
-    hashes = F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.xxhash64(w)))
-    toxic_rows = labelled.filter("toxic = 1").withColumn("_s", F.slice(F.array_sort(hashes), 1, 2))
-    toxic_rows = toxic_rows.groupBy("_s").agg(F.min_by("text", "_d").alias("text")).select(F.lit(1).alias("toxic"), "text")
-    model = learn_terms(store(toxic_rows.union(labelled.filter("toxic = 0").select("toxic", "text")), "lexicon_texts"))
+    model = learn_terms(store(_distinct_texts(labelled), "lexicon_texts"))
     few = labelled.withColumn("_o", F.xxhash64("_d")).orderBy("_o", "_d").limit(sample) if labelled.count() > sample else labelled
     table = few.select("toxic", "text").mapInArrow(_featured(model), "toxic int, x array<double>").toArrow()
     if table.num_rows:

@@ -83,6 +83,24 @@ def test_toxicity_without_labels(spark, labelled):
     assert toxicity.toxicity_digest(docs.limit(0), labels).count() == 0
 
 
+def test_toxic_texts_that_share_small_hashes_all_count(spark):
+    """Only texts of equal words are one; texts that differ count, however many frequent words they share."""
+    r = random.Random(3)
+    rows = [(i, 1, words(r, 400) + f" own{i}") for i in range(40)] + [(i, 0, words(r, 30)) for i in range(40, 80)]
+    rows += [(100, 1, rows[0][2].upper().replace(" ", "\n")), (101, 0, rows[41][2])]
+    got = toxicity._distinct_texts(spark.createDataFrame(rows, "_d long, toxic int, text string")).groupBy("toxic").count().collect()
+    assert {g["toxic"]: g["count"] for g in got} == {1: 40, 0: 40}
+    docs = frame(spark, [(d, t) for d, _, t in rows])
+    labels = spark.createDataFrame([(d, 1, k) for d, k, _ in rows], "doc_id long, quality int, toxic int")
+    seen, learn_terms = [], toxicity.learn_terms
+    toxicity.learn_terms = lambda texts: seen.append(texts.filter("toxic = 1").count()) or learn_terms(texts)
+    try:
+        toxicity.learn(docs, labels)
+    finally:
+        toxicity.learn_terms = learn_terms
+    assert seen == [40]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href=/x>Menu</a></ul></nav><header>Top</header><div class="cookie-notice">We use cookies</div>
 <article class=post><h1>Head &amp; line</h1><p>One <b>two</b>
