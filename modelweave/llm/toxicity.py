@@ -11,7 +11,6 @@ model over the sums of the hits gives the score.
 
 from __future__ import annotations
 
-import math
 import string
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -28,10 +27,8 @@ from modelweave.plans.workspace import store
 
 THRESHOLD = 0.7
 SUPPORT = 3  # toxic texts that hold a term, at least
-SHARE = 0.005  # and at least this share of them: a word of a few copied texts is no term
+SIGNIFICANCE = 10.83  # log likelihood ratio of the counts of a term, at least: one in a thousand by chance
 ODDS = 20.0  # how many times as often as in clean texts
-TERMS = 5_000  # lexicon size, most frequent terms first: bounds what the driver and each task hold
-MISSPELLED = 500  # of these so many may be misspelled, the others are met letter by letter
 SAMPLE = 100_000  # labelled rows the logistic model is fitted on
 WINDOW = 8
 _STEMS = (4, 6)
@@ -61,8 +58,8 @@ class Machine:
     def __post_init__(self) -> None:
         self.next: list[dict[str, int]] = [{}]
         self.limit, self.end, self.stem = [0], [-1], [False]
-        for turn, (term, is_stem) in enumerate([(t, False) for t in self.terms] + [(s, True) for s in self.stems]):
-            node, allowed = 0, 0 if is_stem or turn >= MISSPELLED else edits_allowed(term)
+        for term, is_stem in [(t, False) for t in self.terms] + [(s, True) for s in self.stems]:
+            node, allowed = 0, 0 if is_stem else edits_allowed(term)
             self.limit[0] = max(self.limit[0], allowed)
             for c in term:
                 if c not in self.next[node]:
@@ -220,13 +217,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told()
 
 
-def learn_terms(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS, terms: int = TERMS) -> Model:
-    """Lexicon of (text, toxic) rows: every row counts. Words are counted within a task before they are shuffled."""
+def learn_terms(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS, significance: float = SIGNIFICANCE) -> Model:
+    """Lexicon of (text, toxic) rows: every row counts, and every word whose counts are significant is a term.
+
+    Words are counted within a task before they are shuffled.
+    """
     totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad:
         return Model([], [], [])
-    support = max(support, math.ceil(SHARE * bad))
     counted = labelled.select("toxic", "text").mapInArrow(_counted, "word string, pos long, neg long")
     counted = counted.filter("length(word) between 3 and 64").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     counted = store(counted, "words")
@@ -234,13 +233,23 @@ def learn_terms(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS,
     def ratio(pos: str, neg: str):
         return ((F.col(pos) + 0.5) / (bad + 1)) / ((F.col(neg) + 0.5) / (good + 1))
 
-    strong = counted.filter((F.col("pos") >= support) & (ratio("pos", "neg") >= odds))
-    words = [r[0] for r in strong.orderBy(F.desc("pos"), "word").limit(terms).select("word").collect()]
+    def likelihood():
+        pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+
+        def part(seen, of: int, rows):
+            expected = F.greatest(rows, F.lit(1e-9)) * of / (bad + good)
+            return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+        holds, lacks = pos + neg, bad + good - pos - neg
+        return 2 * (part(pos, bad, holds) + part(neg, good, holds) + part(bad - pos, bad, lacks) + part(good - neg, good, lacks))
+
+    strong = counted.filter((F.col("pos") >= support) & (ratio("pos", "neg") >= odds) & (likelihood() >= significance))
+    words = [r[0] for r in strong.orderBy("word").select("word").collect()]
     cut = F.explode(F.array(*[F.when(F.length("word") > k, F.substring("word", 1, k)) for k in _STEMS])).alias("stem")
     stems = counted.select("pos", "neg", cut).filter("stem is not null").groupBy("stem")
     stems = stems.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count(F.when(F.col("neg") * 20 <= F.col("pos"), 1)).alias("kinds"))
-    stems = stems.filter((F.col("pos") >= 3 * support) & (F.col("kinds") >= 3) & (ratio("pos", "neg") >= odds) & (F.col("neg") * 20 <= F.col("pos")))
-    found = [r[0] for r in stems.orderBy(F.desc("pos"), "stem").limit(terms).select("stem").collect()]
+    stems = stems.filter((F.col("pos") >= 3 * support) & (F.col("kinds") >= 3) & (ratio("pos", "neg") >= odds) & (F.col("neg") * 20 <= F.col("pos")) & (likelihood() >= significance))
+    found = [r[0] for r in stems.orderBy("stem").select("stem").collect()]
     names = set(found)
     model = Model(words, [s for s in found if not any(s[:k] in names for k in range(1, len(s)))], [])
     # the words of clean texts that the machine would take for a misspelled term
@@ -326,7 +335,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("_t"), held_out(doc_id).alias("held_out"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    # bounded by TERMS and by the words within an edit or two of them
+    # the significant terms and the clean words within an edit or two of them
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = rows.mapInArrow(_scored(shared), f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

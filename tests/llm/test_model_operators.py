@@ -101,6 +101,18 @@ def test_toxic_texts_that_share_small_hashes_all_count(spark):
     assert seen == [40]
 
 
+def test_every_significant_term_is_learned_and_may_be_misspelled(spark):
+    """Rare terms of many toxic texts are terms, and each has its edits."""
+    r = random.Random(9)
+    letters = "bcdfghjklmnpqrstvwxz"
+    terms = ["".join(r.choice(letters) for _ in range(9)) for _ in range(700)]
+    rows = [(1, words(r, 10) + " " + terms[i // 6]) for i in range(6 * len(terms))] + [(0, words(r, 10)) for _ in range(9000)]
+    model = toxicity.learn_terms(spark.createDataFrame(rows, "toxic int, text string"))
+    assert set(model.terms) >= set(terms)
+    machine = toxicity.Machine(terms)
+    assert all(machine.edits(t[:4] + "0" + t[5:]) == 1 for t in terms)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href=/x>Menu</a></ul></nav><header>Top</header><div class="cookie-notice">We use cookies</div>
 <article class=post><h1>Head &amp; line</h1><p>One <b>two</b>
