@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelweave.llm import decontamination, languages, licenses, near_duplicates, neighbours, packing, pages, sharding, substrings, toxicity
+from modelweave.llm import byte_pairs, decontamination, hard_negatives, languages, licenses, near_duplicates, neighbours, packing, pages, prefix_tries, sharding, substrings, toxicity
 from modelweave.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,10 +52,24 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.neighbour_digest(read_table(spark, folder, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_licenses, op4_shards, op5_near_duplicates, op6_pack, op7_substrings, op8_languages, op9_decontaminate, op10_neighbours)}
+def op11_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_pairs.encoding_digest(read_table(spark, folder, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_tries.trie_digest(read_table(spark, folder, "conversations"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negative_digest(read_table(spark, folder, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_licenses, op4_shards, op5_near_duplicates, op6_pack, op7_substrings, op8_languages, op9_decontaminate, op10_neighbours, op11_byte_pairs, op12_prefix_trie, op13_hard_negatives)}
 SQL: dict[str, str] = {
     "op3_licenses": licenses.SQL,
     "op5_near_duplicates": near_duplicates.SQL,
     "op7_substrings": substrings.SQL,
     "op9_decontaminate": decontamination.SQL,
+    "op12_prefix_trie": prefix_tries.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
