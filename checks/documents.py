@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from checks.common import Registry, dec
 from modelweave.model import DocField, DocNode, Tags
 from modelweave.operators import documents as D
-from modelweave.plans.workspace import store
+from modelweave.operators.writeback import write_documents
+from modelweave.plans.workspace import new_folder, store
+from modelweave.sources.live import LiveTables, create_tables
 from modelweave.sources.tables import read_table
 
 R = Registry()
@@ -325,6 +327,45 @@ def _(t):
     return rejects.groupBy("table_name", "action").agg(F.count("*").alias("n")).unionByName(lines)
 
 
+def _written(t) -> tuple[LiveTables, DataFrame]:
+    """Orders in process are read with their tags; somebody else closes every tenth of them; then the edits come back."""
+    tables = {"orders": t("orders"), "customer": t("customer"), "lineitem": _one_line_per_key(t)}
+    keys = {"orders": ["o_orderkey"], "customer": ["c_custkey"], "lineitem": ["l_orderkey", "l_linenumber"]}
+    spark = tables["orders"].sparkSession
+    live = create_tables(spark, new_folder(spark, "live"), tables, keys, 16)
+    root = order_node()
+    read = store(D.etag(D.build_documents(root, {n: live.read(n) for n in tables}), root), "read")
+    other = read.filter("status = 'P' and _id % 10 = 0").withColumn("status", F.lit("O"))
+    live, _ = write_documents(live, other, root, tag="_etag")
+    return write_documents(live, _edited(read), root, tag="_etag")
+
+
+@R.add(
+    "d05_write_documents",
+    f"""WITH {_ONE_LINE}, p AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 10 <> 0)
+    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_orderkey IN (FROM p) THEN CAST(l_quantity * 2 AS DECIMAL(18,2)) ELSE l_quantity END AS l_quantity
+      FROM lines WHERE NOT (l_orderkey IN (FROM p) AND l_linenumber = 1)
+    UNION ALL SELECT o_orderkey, 99, 1, CAST(1 AS DECIMAL(18,2)) FROM p
+    UNION ALL SELECT o_orderkey, -1, length(CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey % 10 = 0 THEN 'OO' ELSE 'FFF' END ELSE 'x' END), CAST(0 AS DECIMAL(18,2)) FROM orders""",
+)
+def _(t):
+    live, _ = _written(t)
+    lines = live.read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    before = t("orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("was"))
+    orders = live.read("orders").join(before, F.col("o_orderkey") == F.col("k"))
+    mark = F.when(F.col("was") != "P", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3).cast("bigint")
+    return lines.unionByName(orders.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(-1).alias("l_linenumber"), mark.alias("l_partkey"), F.lit(0).cast("decimal(18,2)").alias("l_quantity")))
+
+
+@R.add(
+    "d05_stale_rejected",
+    """SELECT 'orders' AS table_name, to_json({'o_orderkey': CAST(o_orderkey AS VARCHAR)}) AS row_key, 'stale' AS action
+    FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 10 = 0""",
+)
+def _(t):
+    return _written(t)[1]
+
+
 @R.add(
     "d06_etag_conflicts",
     """SELECT c_custkey AS id, sha256(to_json({'id': CAST(c_custkey AS VARCHAR), 'c_name': c_name || '!', 'nation': {'n_name': n_name}})) AS stored_etag

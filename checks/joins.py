@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.common import Registry, dec
 from modelweave.operators import joins as J
+from modelweave.operators.deletes import delete_rows
 from modelweave.plans.star import STAR
 
 R = Registry()
@@ -133,6 +135,24 @@ def _(t):
     )
 
 
+@R.add(
+    "j10_interval",
+    """WITH p AS (SELECT event_id, value, ts - INTERVAL 90 MINUTE AS since,
+        CASE WHEN event_id % 50 = 0 THEN ts + INTERVAL 5 DAY ELSE ts + INTERVAL 20 MINUTE END AS until FROM events WHERE event_type = 'purchase')
+    SELECT p.event_id, count(c.event_id) AS n, coalesce(string_agg(CAST(c.event_id AS VARCHAR), ',' ORDER BY c.ts, c.event_id), '') AS clicks
+    FROM p LEFT JOIN events c ON c.event_type <> 'purchase' AND c.ts BETWEEN since AND until AND c.value < p.value GROUP BY p.event_id""",
+)
+def _(t):
+    hour = lambda m: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(m))
+    late = F.when(F.col("event_id") % 50 == 0, F.make_dt_interval(F.lit(5))).otherwise(hour(20))
+    bought = t("events").filter("event_type = 'purchase'")
+    bought = bought.select("event_id", F.col("value").alias("limit"), (F.col("ts") - hour(90)).alias("since"), (F.col("ts") + late).alias("until"))
+    others = t("events").filter("event_type <> 'purchase'").select(F.col("event_id").alias("other"), "ts", "value")
+    nested = J.nest_where(bought, others, [], "value < limit", ["event_id"], ["other"], "clicks", ["ts"], between=("ts", "since", "until"))
+    ids = F.transform("clicks", lambda x: x["other"])
+    return nested.select("event_id", F.size("clicks").cast("bigint").alias("n"), F.array_join(ids, ",").alias("clicks"))
+
+
 @R.add(
     "j11_nest_self",
     """SELECT a.conv_id, a.turn, a.role, coalesce(b.role, '') AS answered_by, count(b.role) AS n FROM conversations a
@@ -189,6 +209,47 @@ def _(t):
     return reduce(DataFrame.unionByName, lines)
 
 
+# nations keep their suppliers, and nobody may take away a part that a line still needs
+_ACTIONS = {("supplier", "fk_nation"): "SET NULL", ("lineitem", "fk_part"): "", ("lineitem", "fk_supplier"): ""}
+
+
+@R.add(
+    "j13_delete_actions",
+    """WITH n AS (SELECT n_nationkey FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name = 'ASIA'),
+    c AS (SELECT * FROM customer WHERE c_nationkey NOT IN (FROM n)),
+    s AS (SELECT s_suppkey, CASE WHEN s_nationkey NOT IN (FROM n) THEN s_nationkey END AS s_nationkey FROM supplier),
+    o AS (SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c) AND o_orderkey % 100 <> 3),
+    l AS (SELECT * FROM lineitem WHERE l_partkey % 4 <> 0 AND l_orderkey IN (SELECT o_orderkey FROM o)),
+    p AS (SELECT * FROM part WHERE p_partkey % 8 > 1 OR p_partkey IN (SELECT l_partkey FROM l))
+    SELECT 'region' AS table_name, count(*) AS n, CAST(sum(r_regionkey) AS BIGINT) AS keys FROM region WHERE r_name <> 'ASIA'
+    UNION ALL SELECT 'nation', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation WHERE n_nationkey NOT IN (FROM n)
+    UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM c
+    UNION ALL SELECT 'supplier', count(s_nationkey), CAST(sum(s_suppkey) AS BIGINT) FROM s
+    UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM o
+    UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM l
+    UNION ALL SELECT 'part', count(*), CAST(sum(p_partkey) AS BIGINT) FROM p
+    UNION ALL SELECT 'refused', count(*), 0 FROM part WHERE p_partkey % 8 <= 1 AND p_partkey IN (SELECT l_partkey FROM l)""",
+)
+def _(t):
+    keys = {table.name: list(table.keys[0].columns) for table in STAR.tables}
+    edges = [replace(fk, on_delete=_ACTIONS.get((fk.child, fk.name), fk.on_delete)) for fk in STAR.foreign_keys]
+    frames = {name: t(name) for name in keys}
+    frames["lineitem"] = frames["lineitem"].filter("l_partkey % 4 <> 0")
+    deletes = {
+        "region": frames["region"].filter("r_name = 'ASIA'"),
+        "orders": frames["orders"].filter("o_orderkey % 100 = 3"),
+        "part": frames["part"].filter("p_partkey % 8 <= 1"),
+    }
+    done = delete_rows(frames, edges, deletes, keys)
+    lines = []
+    for name, key in keys.items():
+        counted = F.count("s_nationkey" if name == "supplier" else "*")
+        sums = done.after[name].agg(counted.alias("n"), F.sum(key[0]).cast("bigint").alias("keys"))
+        lines.append(sums.select(F.lit(name).alias("table_name"), "n", "keys"))
+    refused = done.refused.agg(F.count("*").alias("n")).select(F.lit("refused").alias("table_name"), "n", F.lit(0).cast("bigint").alias("keys"))
+    return reduce(DataFrame.unionByName, [*lines, refused])
+
+
 @R.add(
     "j14_set_null_on_delete",
     """SELECT c_custkey, CASE WHEN n_regionkey = 1 THEN NULL ELSE c_nationkey END AS c_nationkey

@@ -7,17 +7,17 @@ per task; lists per key are paged (``modelweave.plans.pages``).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelweave.functions.scalars import json_kind, trim_all
 from modelweave.model import Model, Table
-from modelweave.operators.joins import fk_orphans
-from modelweave.plans.keys import by_name, lookup
+from modelweave.plans.keys import by_name
 from modelweave.plans.pages import PAGE_ROWS, collect_groups
 from modelweave.plans.workspace import store
 
@@ -227,99 +227,161 @@ def _row_tests(table: Table) -> list[tuple[str, str, bool, Column]]:
     return tests
 
 
+@dataclass(frozen=True)
+class _Rule:
+    """A constraint as an entry of the ledger: the values ``ref`` stands for, and what is said of them in ``slot``."""
+
+    name: str
+    kind: str
+    state: str
+    ref: int
+    slot: int
+
+
+# slots of a reference that are not foreign keys: its own rows, checked as PRIMARY KEY or as UNIQUE
+_PRIMARY, _UNIQUE = -1, -2
+
+
+class _Ledger:
+    """All constraints of a model over one stream of (ref, key, slot) entries.
+
+    A ref is a list of columns of a table that is a key or is referred to; each
+    row enters its own key values there, and each row of a child the values it
+    refers to. What fails a rule on single rows is an entry of a ref of its own.
+    One aggregate over (ref, key) then sees duplicates and orphans of all tables.
+    """
+
+    def __init__(self, frames: dict[str, DataFrame], model: Model) -> None:
+        self.frames = frames
+        self.rules: list[_Rule] = []
+        self.idle: list[tuple[str, str, str]] = []
+        self.refs: dict[tuple[str, tuple[str, ...]], int] = {}
+        self.entries: dict[str, list[Column]] = {}
+        self.slots = 1
+        tables = [t for t in model.tables if t.name in frames]
+        edges = [fk for fk in model.foreign_keys if fk.child in frames and fk.parent in frames]
+        live = [fk for fk in edges if fk.validate and fk.active]
+        primary: set[int] = set()
+        for table in tables:
+            for n, kind, validate, ok in _row_tests(table):
+                if not validate:
+                    self.idle.append((n, kind, "NOVALIDATE"))
+                    continue
+                ref = -1 - len(self.rules)
+                self.rules.append(_Rule(n, kind, "VALIDATE", ref, 0))
+                self._add(table.name, F.when(~ok, _entry(ref, None, 0)))
+            for key in table.keys:
+                kind = "PRIMARY KEY" if key.primary else "UNIQUE"
+                state = " ".join(["VALIDATE" if key.validate else "NOVALIDATE", *(["RELY"] if key.rely else []), *(["DEFERRABLE"] if key.deferrable else [])])
+                if not key.validate:
+                    self.idle.append((f"{table.name}.{key.name}", kind, state))
+                    continue
+                ref = self._ref(table.name, key.columns)
+                primary |= {ref} if key.primary else set()
+                self.rules.append(_Rule(f"{table.name}.{key.name}", kind, state, ref, _PRIMARY if key.primary else _UNIQUE))
+        taken: dict[int, int] = {}
+        for fk in edges:
+            name = f"{fk.child}.{fk.name}"
+            if fk not in live:
+                self.idle.append((name, "FOREIGN KEY", "NOVALIDATE"))
+                continue
+            ref = self._ref(fk.parent, fk.parent_columns)
+            slot = taken[ref] = taken.get(ref, -1) + 1
+            self.slots = max(self.slots, slot + 1)
+            self.rules.append(_Rule(name, "FOREIGN KEY", "VALIDATE", ref, slot))
+            types = [frames[fk.parent].schema[c].dataType for c in fk.parent_columns]
+            value = [F.col(f"`{c}`").cast(t).cast("string") for c, t in zip(fk.columns, types)]
+            refers = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in fk.columns])
+            self._add(fk.child, F.when(refers, _entry(ref, F.array(*value), slot)))
+        for (table, columns), ref in self.refs.items():
+            value = F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
+            whole = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in columns])
+            entry = _entry(ref, value, _PRIMARY)
+            # only a primary key has something to say of a NULL part
+            self._add(table, entry if ref in primary else F.when(whole, entry))
+
+    def _ref(self, table: str, columns: Sequence[str]) -> int:
+        return self.refs.setdefault((table, tuple(columns)), len(self.refs))
+
+    def _add(self, table: str, entry: Column) -> None:
+        self.entries.setdefault(table, []).append(entry)
+
+    def of(self, table: str) -> Column:
+        return F.array_compact(F.array(*self.entries[table]))
+
+    def groups(self) -> DataFrame:
+        """(ref, key, n, c0, c1 ...): rows of the referred table and of each reference, per value."""
+        parts = [self.frames[t].select(F.explode(self.of(t)).alias("_e")).select("_e.*") for t in self.entries]
+        counts = [F.count_if(F.col("slot") == j).alias(f"c{j}") for j in range(self.slots)]
+        return reduce(DataFrame.unionByName, parts).groupBy("ref", "key").agg(F.count_if(F.col("slot") < 0).alias("n"), *counts)
+
+    def failures(self) -> DataFrame:
+        """(ref, slot, key, amount): values with failing rows, and how many."""
+        empty = F.coalesce(F.exists("key", lambda x: x.isNull()), F.lit(False))
+        n = F.col("n")
+        found = [(_PRIMARY, F.when((n > 1) | empty, n)), (_UNIQUE, F.when((n > 1) & ~empty, n))]
+        found += [(j, F.when(n == 0, F.col(f"c{j}"))) for j in range(self.slots)]
+        each = F.array(*[F.struct(F.lit(slot).alias("slot"), amount.alias("amount")) for slot, amount in found])
+        return self.groups().select("ref", "key", F.explode(each).alias("_f")).select("ref", "_f.slot", "key", "_f.amount").filter("amount > 0")
+
+
+def _entry(ref: int, key: Column | None, slot: int) -> Column:
+    return F.struct(F.lit(ref).alias("ref"), (F.lit(None).cast("array<string>") if key is None else key).alias("key"), F.lit(slot).alias("slot"))
+
+
+def _listed(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """A few constants as a frame, without a scan."""
+    each = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])
+    return spark.range(1).select(F.explode(each).alias("_r")).select("_r.*")
+
+
 def constraint_report(frames: dict[str, DataFrame], model: Model) -> DataFrame:
     """A10: (constraint, kind, state, violations) over all tables of the model.
 
-    One pass per table for all row rules, one grouped job per key, one anti join
-    per foreign key; what is declared NOVALIDATE is listed with NULL, not run.
-    ``violations`` counts failing rows.
+    One scan per table and one shuffle for all: row rules, keys and references
+    are entries of one ledger, counted within each task first. What is declared
+    NOVALIDATE is listed with NULL, not run. ``violations`` counts failing rows.
     """
-    parts: list[DataFrame] = []
-    idle: list[tuple[str, str, str]] = []
+    ledger = _Ledger(frames, model)
     spark = next(iter(frames.values())).sparkSession
-    for table in model.tables:
-        if table.name not in frames:
-            continue
-        df = frames[table.name]
-        tests = _row_tests(table)
-        live = [t for t in tests if t[2]]
-        idle += [(n, kind, "NOVALIDATE") for n, kind, validate, _ in tests if not validate]
-        if live:
-            row = df.agg(*[F.count(F.when(~ok, 1)).alias(f"_{i}") for i, (_, _, _, ok) in enumerate(live)])
-            entries = [
-                F.struct(
-                    F.lit(n).alias("constraint_name"),
-                    F.lit(kind).alias("kind"),
-                    F.lit("VALIDATE").alias("state"),
-                    F.col(f"_{i}").alias("violations"),
-                )
-                for i, (n, kind, _, _) in enumerate(live)
-            ]
-            parts.append(row.select(F.explode(F.array(*entries)).alias("p")).select("p.*"))
-        for key in table.keys:
-            kind = "PRIMARY KEY" if key.primary else "UNIQUE"
-            state = " ".join(["VALIDATE" if key.validate else "NOVALIDATE", *(["RELY"] if key.rely else []), *(["DEFERRABLE"] if key.deferrable else [])])
-            if not key.validate:
-                idle.append((f"{table.name}.{key.name}", kind, state))
-                continue
-            bad = key_violations(df, key.columns, key.primary)
-            parts.append(_counted(bad, F.coalesce(F.sum("n"), F.lit(0)), f"{table.name}.{key.name}", kind, state))
-    for fk in model.foreign_keys:
-        if fk.child not in frames or fk.parent not in frames:
-            continue
-        state = "VALIDATE" if fk.validate and fk.active else "NOVALIDATE"
-        if state == "NOVALIDATE":
-            idle.append((f"{fk.child}.{fk.name}", "FOREIGN KEY", state))
-            continue
-        lost = fk_orphans(frames[fk.child], frames[fk.parent], fk.columns, fk.parent_columns)
-        parts.append(_counted(lost, F.count("*"), f"{fk.child}.{fk.name}", "FOREIGN KEY", state))
-    if idle:
-        rows = [F.struct(F.lit(n).alias("constraint_name"), F.lit(k).alias("kind"), F.lit(st).alias("state")) for n, k, st in idle]
-        listed = spark.range(1).select(F.explode(F.array(*rows)).alias("p")).select("p.*")
-        parts.append(listed.withColumn("violations", F.lit(None).cast("bigint")))
+    parts: list[DataFrame] = []
+    if ledger.rules:
+        sums = ledger.failures().groupBy(F.col("ref").alias("_ref"), F.col("slot").alias("_slot")).agg(F.sum("amount").alias("_n"))
+        named = _listed(spark, [(r.name, r.kind, r.state, r.ref, r.slot) for r in ledger.rules], ("constraint_name", "kind", "state", "ref", "slot"))
+        met = named.join(sums, (F.col("ref") == F.col("_ref")) & (F.col("slot") == F.col("_slot")), "left")
+        parts.append(met.select("constraint_name", "kind", "state", F.coalesce("_n", F.lit(0)).cast("bigint").alias("violations")))
+    if ledger.idle:
+        parts.append(_listed(spark, ledger.idle, ("constraint_name", "kind", "state")).withColumn("violations", F.lit(None).cast("bigint")))
+    if not parts:
+        return spark.createDataFrame([], "constraint_name string, kind string, state string, violations long")
     return reduce(DataFrame.unionByName, parts)
 
 
-def _counted(df: DataFrame, amount: Column, name: str, kind: str, state: str) -> DataFrame:
-    return df.agg(amount.cast("bigint").alias("violations")).select(
-        F.lit(name).alias("constraint_name"), F.lit(kind).alias("kind"), F.lit(state).alias("state"), "violations"
-    )
-
-
 def exceptions_table(frames: dict[str, DataFrame], model: Model, row: dict[str, Sequence[str]]) -> DataFrame:
     """(table, constraint, row) of every failing row; ``row`` names the columns kept per table, as JSON.
 
-    Row rules of a table are tested in one scan: each row is exploded into the names of the rules it breaks.
+    The values that fail a key or a reference come from the ledger of
+    ``constraint_report`` and are stored; then each table is scanned once, its
+    rows exploded into what they enter there and joined with these values.
     """
+    ledger = _Ledger(frames, model)
+    spark = next(iter(frames.values())).sparkSession
+    if not ledger.rules:
+        return spark.createDataFrame([], "table_name string, constraint_name string, row string")
+    bad = store(ledger.failures().filter("ref >= 0").select("ref", "slot", "key"), "failures")
+    names = {(r.ref, r.slot): r.name for r in ledger.rules}
     parts: list[DataFrame] = []
-    for table in model.tables:
-        if table.name not in frames:
-            continue
-        df = frames[table.name]
-        text = F.to_json(F.struct(*row[table.name]), {"ignoreNullFields": "false"}).alias("row")
-        tests = [t for t in _row_tests(table) if t[2]]
-        if tests:
-            broken = F.array_compact(F.array(*[F.when(~ok, F.lit(n)) for n, _, _, ok in tests]))
-            parts.append(
-                df.select(F.explode(broken).alias("constraint_name"), text).select(
-                    F.lit(table.name).alias("table_name"), "constraint_name", "row"
-                )
-            )
-        for key in table.keys:
-            if not key.validate:
-                continue
-            bad = key_violations(df, key.columns, key.primary)
-            hit = lookup(df, bad, [(c, c) for c in key.columns], "left_semi", null_safe=True, unique=True)
-            parts.append(_tagged(hit, table.name, f"{table.name}.{key.name}", text))
-    for fk in model.foreign_keys:
-        if fk.child in frames and fk.parent in frames and fk.validate and fk.active:
-            lost = fk_orphans(frames[fk.child], frames[fk.parent], fk.columns, fk.parent_columns)
-            text = F.to_json(F.struct(*row[fk.child]), {"ignoreNullFields": "false"}).alias("row")
-            parts.append(_tagged(lost, fk.child, f"{fk.child}.{fk.name}", text))
+    for table, entries in ledger.entries.items():
+        columns = dict.fromkeys(row[table])
+        own = frames[table].select(F.explode(ledger.of(table)).alias("_e"), *[F.col(f"`{c}`") for c in columns])
+        # a row of a key enters once, and may fail it as PRIMARY KEY and as UNIQUE
+        met = (F.col("_e.ref") == F.col("ref")) & F.col("_e.key").eqNullSafe(F.col("key"))
+        met = met & ((F.col("_e.slot") == F.col("slot")) | ((F.col("_e.slot") < 0) & (F.col("slot") < 0)))
+        wanted = bad.filter(F.col("ref").isin([ref for (t, _), ref in ledger.refs.items() if t == table] + [r.ref for r in ledger.rules if r.slot >= 0 and r.ref >= 0]))
+        hit = own.join(wanted, met, "left").filter((F.col("_e.ref") < 0) | F.col("ref").isNotNull())
+        label = F.create_map(*[F.lit(x) for (ref, slot), name in names.items() for x in (f"{ref}/{slot}", name)])
+        place = F.when(F.col("_e.ref") < 0, F.concat(F.col("_e.ref").cast("string"), F.lit("/0"))).otherwise(F.concat_ws("/", F.col("ref").cast("string"), F.col("slot").cast("string")))
+        text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+        named = hit.select(F.lit(table).alias("table_name"), F.try_element_at(label, place).alias("constraint_name"), text.alias("row"))
+        parts.append(named.filter("constraint_name is not null"))
     return reduce(DataFrame.unionByName, parts)
-
-
-def _tagged(df: DataFrame, table: str, name: str, text: Column) -> DataFrame:
-    return df.select(F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"), text)
-
-

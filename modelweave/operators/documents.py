@@ -289,6 +289,20 @@ def _may_update(node: DocNode, column: str) -> bool:
     return tags.update if tags is not None else node.tags.update
 
 
+def refusal(node: DocNode, columns: Sequence[str]) -> Column:
+    """Condition on a row of ``snapshot_diff``: the rights of the node do not allow the change."""
+    fixed = [c for c in columns if c not in node.key and not _may_update(node, c)]
+    blocked = F.lit(False)
+    if fixed:
+        blocked = reduce(or_, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in fixed])
+    return (
+        F.when(F.col("change") == "added", F.lit(not node.tags.insert))
+        .when(F.col("change") == "removed", F.lit(not node.tags.delete))
+        .when(F.col("change") == "modified", blocked)
+        .otherwise(F.lit(True))
+    )
+
+
 def apply_documents(
     tables: dict[str, DataFrame], docs: DataFrame, root: DocNode, deleted: DataFrame | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -318,16 +332,7 @@ def apply_documents(
         fresh = new_rows[node.table]
         columns = list(fresh.columns)
         diff = store(snapshot_diff(stored_scope.select(*columns), _typed(fresh, stored_scope), key), "changes")
-        fixed = [c for c in columns if c not in key and not _may_update(node, c)]
-        blocked = F.lit(False)
-        if fixed:
-            blocked = reduce(or_, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in fixed])
-        refused = (
-            F.when(F.col("change") == "added", F.lit(not node.tags.insert))
-            .when(F.col("change") == "removed", F.lit(not node.tags.delete))
-            .when(F.col("change") == "modified", blocked)
-            .otherwise(F.lit(True))
-        )
+        refused = refusal(node, columns)
         label = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in key])).alias("row_key")
         rejects.append(diff.filter(refused).select(F.lit(node.table).alias("table_name"), label, F.col("change").alias("action")))
         allowed = diff.filter(~refused)

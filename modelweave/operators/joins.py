@@ -13,6 +13,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modelweave.operators.intervals import interval_join
 from modelweave.plans.keys import Pairs, by_name, lookup, same_keys, single, tied
 from modelweave.plans.pages import PAGE_ROWS, attach, collect_groups, with_pages
 from modelweave.plans.workspace import store
@@ -135,16 +136,23 @@ def nest_where(
     name: str,
     order: Sequence[str] = (),
     page_rows: int = PAGE_ROWS,
+    between: tuple[str, str, str] | None = None,
 ) -> DataFrame:
     """Like ``nest_many`` with any further predicate ``where`` over both tables.
 
-    ``key`` identifies a parent row. The equality pairs carry the join, the
-    rest filters it; without a pair it would compare all rows, and is refused.
+    ``key`` identifies a parent row. The equality pairs ``on``, or ``between``
+    (child column, low and high column of the parent), carry the join; the rest
+    filters it. Without either it would compare all rows, and is refused.
     """
-    if not on:
-        raise ValueError("the subquery needs at least one pair of equal columns")
+    if not on and not between:
+        raise ValueError("the subquery needs a pair of equal columns or a range")
     left = parent.select("*", *[F.col(k).alias(f"_p_{k}") for k in key])
-    met = left.join(child, same_keys(left, child, on)).filter(F.expr(where))
+    if between:
+        point, low, high = between
+        met = interval_join(left, child, low, high, point, on)
+    else:
+        met = left.join(child, same_keys(left, child, on))
+    met = met.filter(F.expr(where)) if where else met
     grouped, paged = collect_groups(met, [f"_p_{k}" for k in key], F.struct(*fields), order, name, page_rows=page_rows)
     empty = F.array().cast(grouped.schema[name].dataType)
     return attach(with_pages(parent), grouped, [(k, f"_p_{k}") for k in key], name, empty, paged).drop("_pages")

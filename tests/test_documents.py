@@ -2,12 +2,15 @@
 
 import dataclasses
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from modelweave.model import DocField, DocNode, Tags
 from modelweave.operators import documents as D
+from modelweave.operators.writeback import write_documents
+from modelweave.sources.live import create_tables, open_tables
 from tests.conftest import rows
 
 ALL = Tags(insert=True, update=True, delete=True)
@@ -196,3 +199,92 @@ def test_a_table_at_two_places_is_not_written_back(frames):
     twice = dataclasses.replace(spec(), children=(*spec().children, dataclasses.replace(spec().children[0], name="seller")))
     with pytest.raises(ValueError, match="two places"):
         D.apply_documents(frames, frames["orders"], twice)
+
+
+def live_frames(spark, frames, tmp_path, partitions=3):
+    keys = {"orders": ["id"], "customer": ["c"], "lines": ["o", "n"]}
+    return create_tables(spark, str(tmp_path / "live"), frames, keys, partitions)
+
+
+def times(live):
+    return {f: os.stat(f"{live.folder}/{f}").st_mtime_ns for names in live.files.values() for f in names}
+
+
+def test_only_touched_files_are_written_anew(spark, frames, tmp_path):
+    live = live_frames(spark, frames, tmp_path)
+    before = times(live)
+
+    def edit(doc):
+        if doc["_id"] != 2:
+            return None
+        doc["lines"] = [{"n": 1, "qty": 31}, {"n": 5, "qty": 1}]
+        return doc
+
+    after, rejects = write_documents(live, edited(spark, frames, spec(), edit), spec())
+    assert rejects.count() == 0
+    assert rows(after.read("lines")) == [(1, 1, 10), (1, 2, 20), (2, 1, 31), (2, 5, 1)]
+    assert after.files["orders"] == live.files["orders"] and after.files["customer"] == live.files["customer"]
+    kept = set(live.files["lines"]) & set(after.files["lines"])
+    assert len(kept) == len(live.files["lines"]) - 1 and len(live.files["lines"]) == 3
+    assert all(os.stat(f"{live.folder}/{f}").st_mtime_ns == before[f] for f in kept)
+    # the old version still reads as it was, and the new one is what a reader finds
+    assert rows(live.read("lines")) == rows(frames["lines"])
+    assert rows(open_tables(spark, live.folder).read("lines")) == rows(after.read("lines"))
+    with pytest.raises(Exception, match="(?i)exist"):
+        live.commit({}, {})
+
+
+def test_writing_is_applying(spark, frames, tmp_path):
+    docs = edited(spark, frames, spec(), change)
+    want, _ = D.apply_documents(frames, docs, spec(line=dataclasses.replace(ALL, delete=False)))
+    live, rejects = write_documents(live_frames(spark, frames, tmp_path), docs, spec(line=dataclasses.replace(ALL, delete=False)))
+    assert rows(rejects, "table_name", "action") == [("lines", "removed")]
+    for name in frames:
+        assert rows(live.read(name), *frames[name].columns) == rows(want[name], *frames[name].columns)
+
+
+def test_stale_documents_are_refused_whole(spark, frames, tmp_path):
+    root = spec()
+    live = live_frames(spark, frames, tmp_path)
+    read = D.etag(D.build_documents(root, frames), root)
+    lines = F.transform("lines", lambda x: x.withField("qty", x["qty"] + 1))
+    first = read.filter("_id = 1").withColumn("lines", lines)
+    live, rejects = write_documents(live, first, root, tag="_etag")
+    assert rejects.count() == 0 and rows(live.read("lines")) == [(1, 1, 11), (1, 2, 21), (2, 1, 30)]
+    late = read.withColumn("state", F.lit("late"))
+    live, rejects = write_documents(live, late, root, tag="_etag")
+    assert rows(rejects) == [("orders", '{"id":"1"}', "stale")]
+    assert rows(live.read("orders")) == [(1, 7, "new"), (2, 7, "late"), (3, 8, "late")]
+    # without a tag a stored document is not overwritten; deleted meanwhile is stale as well
+    gone = spark.createDataFrame([(3,)], "id int")
+    live, _ = write_documents(live, read.limit(0), root, gone)
+    assert rows(live.read("orders"), "id") == [(1,), (2,)]
+    again = read.withColumn("_etag", F.when(F.col("_id") == 3, F.col("_etag")))
+    live, rejects = write_documents(live, again, root, tag="_etag")
+    assert rows(rejects, "row_key", "action") == [('{"id":"1"}', "stale"), ('{"id":"2"}', "stale"), ('{"id":"3"}', "stale")]
+
+
+def test_hidden_rows_are_not_deleted(spark, frames, tmp_path):
+    root = dataclasses.replace(spec(), children=(spec().children[0], dataclasses.replace(spec().children[1], where="qty < 20")))
+    docs = D.build_documents(root, frames).withColumn("lines", F.filter("lines", lambda x: x["n"] > 1))
+    live, rejects = write_documents(live_frames(spark, frames, tmp_path), docs, root)
+    assert rejects.count() == 0 and rows(live.read("lines")) == [(1, 2, 20), (2, 1, 30)]
+
+
+def test_a_scan_reads_the_range_of_the_keys(spark, frames, tmp_path):
+    wide = {**frames, "orders": spark.range(1000).selectExpr("cast(id as int) id", "7 as cust", "'new' as state")}
+    live = live_frames(spark, wide, tmp_path, 20)
+    docs = D.build_documents(spec(), {**wide, "orders": wide["orders"].filter("id in (500, 501)")}).withColumn("state", F.lit("x"))
+    after, _ = write_documents(live, docs, spec())
+    assert len(set(live.files["orders"]) - set(after.files["orders"])) <= 2
+    assert after.read("orders").filter("state = 'x'").count() == 2 and after.read("orders").count() == 1000
+
+
+def test_empty_live_tables(spark, frames, tmp_path):
+    none = {n: df.limit(0) for n, df in frames.items()}
+    live = live_frames(spark, none, tmp_path)
+    assert live.read("lines").count() == 0
+    live, rejects = write_documents(live, D.build_documents(spec(), frames), spec())
+    assert rejects.count() == 0 and rows(live.read("lines")) == rows(frames["lines"])
+    with pytest.raises(ValueError, match="already"):
+        create_tables(spark, live.folder, frames, {})
