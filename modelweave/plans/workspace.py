@@ -43,7 +43,7 @@ def made_here() -> Iterator[list[str]]:
     try:
         yield folders
     finally:
-        _open.remove(folders)
+        del _open[next(i for i, own in enumerate(_open) if own is folders)]
 
 
 def discard(spark: SparkSession, folders: list[str]) -> None:
@@ -54,10 +54,22 @@ def discard(spark: SparkSession, folders: list[str]) -> None:
     folders.clear()
 
 
-def store(df: DataFrame, label: str = "frame") -> DataFrame:
-    """Write ``df`` once and read it back; runs one job."""
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Frames stored inside the block are removed at its end, but for those stored with ``keep``.
+
+    For a function whose result is one small stored frame or a value: nothing
+    else may read what it stored on the way.
+    """
+    with made_here() as folders:
+        yield
+    discard(spark, folders)
+
+
+def store(df: DataFrame, label: str = "frame", keep: bool = False) -> DataFrame:
+    """Write ``df`` once and read it back; runs one job. ``keep`` leaves it out of the innermost block of ``made_here``."""
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    for folders in _open:
+    for folders in _open[:-1] if keep else _open:
         folders.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
