@@ -67,6 +67,23 @@ def _(t):
     return A.json_column_profile(t("events"), ["event_type", "props", "value"], ["event_id"])
 
 
+@R.add(
+    "a06_all",
+    """WITH d AS (SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS e FROM events)
+    SELECT 'doc' AS column_name, p AS path, 'json' || kind AS kind, count(*) AS n FROM (
+      SELECT unnest(['', 'a', 'a.b', 'a.b.c', 'list']) AS p, unnest(['Object', 'Object', 'Object', CASE WHEN e = 'click' THEN 'String' ELSE 'Number' END, 'Array']) AS kind FROM d
+      UNION ALL SELECT 'list[]', CASE WHEN e = 'view' THEN 'Null' ELSE 'Number' END FROM d
+      UNION ALL SELECT 'list[]', 'Object' FROM d UNION ALL SELECT 'list[].k', 'Boolean' FROM d) GROUP BY p, kind""",
+)
+def _(t):
+    k = F.get_json_object("props", "$.k")
+    deep = F.when(F.col("event_type") == "click", F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k)
+    first = F.when(F.col("event_type") == "view", F.lit("null")).otherwise(k)
+    doc = F.concat(F.lit('{"a":{"b":{"c":'), deep, F.lit('}},"list":['), first, F.lit(',{"k":true}]}'))
+    made = t("events").select(doc.alias("doc"), F.lit("{bad").alias("bad"), "value")
+    return A.json_column_profile(made, ["doc", "bad", "value"], mode="all")
+
+
 @R.add(
     "a07_json_schema",
     """WITH k AS (SELECT DISTINCT unnest(json_keys(props)) AS k, props FROM events),

@@ -166,7 +166,7 @@ def _(t):
         .otherwise(F.concat(F.lit('{"k":'), value, F.lit("}")))
         .alias("props")
     )
-    return E.field_drift(old, new, "props")
+    return E.field_drift(old, new, "props", depth=1)
 
 
 @R.add(
@@ -339,6 +339,34 @@ def _(t):
     return E.field_drift(old, new, "props")
 
 
+_MADE = "WITH o AS (SELECT count(*) AS n FROM events)"
+
+
+@R.add(
+    "e11_lists",
+    f"""{_MADE} SELECT '[]' AS field, 'same' AS change, 'object' AS old_kinds, 'object' AS new_kinds, n + n AS old_rows, n + n AS new_rows FROM o
+    UNION ALL SELECT '[].b', 'type changed', 'number', 'number,string', n + n, n + n FROM o""",
+)
+def _(t):
+    k = F.get_json_object("props", "$.k")
+    text = F.when(F.col("event_type") == "click", F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k)
+    old = t("events").select(F.concat(F.lit('[{"b":'), k, F.lit('},{"b":1}]')).alias("props"))
+    new = t("events").select(F.concat(F.lit('[{"b":'), text, F.lit('},{"b":1}]')).alias("props"))
+    return E.field_drift(old, new, "props")
+
+
+@R.add(
+    "e11_deep",
+    f"""{_MADE} SELECT unnest(['a', 'a.b', 'a.b.c', 'a.b.c.d']) AS field, 'same' AS change, 'object' AS old_kinds, 'object' AS new_kinds, n AS old_rows, n AS new_rows FROM o
+    UNION ALL SELECT 'a.b.c.d.e', 'type changed', 'number', 'array', n, n FROM o
+    UNION ALL SELECT 'a.b.c.d.e[]', 'added', NULL, 'number', NULL, n FROM o""",
+)
+def _(t):
+    k = F.get_json_object("props", "$.k")
+    deep = lambda v: F.concat(F.lit('{"a":{"b":{"c":{"d":{"e":'), v, F.lit("}}}}}")).alias("props")
+    return E.field_drift(t("events").select(deep(k)), t("events").select(deep(F.concat(F.lit("["), k, F.lit("]")))), "props")
+
+
 @R.add("m09_rejects", f"SELECT c_custkey, 'version: no version' AS reason FROM customer WHERE {_VERSIONS} = 'draft'")
 def _(t):
     _, rejects = _migrated(t, "2.0")

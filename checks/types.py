@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.common import Registry, dec
-from modelweave.model import Column, Generated, Sequence, Table
+from modelweave.model import Check, Column, Generated, Sequence, Table
 from modelweave.operators import sequences as Q
 from modelweave.operators import types as T
 from modelweave.operators.joins import nest_many
+from modelweave.operators.load import load_table
 
 R = Registry()
 
@@ -56,6 +57,48 @@ def _(t):
     return T.conform(lines, table)[1].drop("reasons")
 
 
+_LOADED = Table(
+    "orders",
+    (
+        Column("level", "string", generated=Generated(expression="CASE WHEN net > 200000 THEN 'high' ELSE lower(o_orderpriority) END")),
+        Column("id", "bigint", generated=Generated(as_identity=True, start=100, increment=10)),
+        Column("net", "decimal(14,2)", nullable=False, generated=Generated(expression="gross * 0.9")),
+        Column("gross", "decimal(12,2)", rules={"minimum": 2000}),
+        Column("o_orderkey", "bigint", nullable=False),
+        Column("o_orderpriority", "string", default="'NONE'", default_on_null=True, length=8),
+        Column("origin", "string", default="'import'"),
+        Column("code", "string", generated=Generated(expression="concat('N', id)")),
+    ),
+    checks=(Check("net_high", "net < 400000"),),
+)
+_LOAD_SQL = """WITH s AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS prio, CAST(o_totalprice AS DECIMAL(12,2)) AS gross,
+      CAST(90 + 10 * row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS id FROM orders),
+    l AS (SELECT *, CAST(gross * 0.9 AS DECIMAL(14,2)) AS net, coalesce(prio, 'NONE') AS p FROM s),
+    j AS (SELECT *, concat_ws('; ', CASE WHEN length(p) > 8 THEN 'o_orderpriority: longer than 8' END, CASE WHEN gross < 2000 THEN 'orders.gross.minimum' END,
+      CASE WHEN NOT net < 400000 THEN 'orders.net_high' END) AS why FROM l)"""
+
+
+def _to_load(t):
+    """Orders without their identity; NULL priorities where the order is in process."""
+    prio = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("o_orderpriority")
+    return t("orders").select("o_orderkey", prio, F.col("o_totalprice").alias("gross"), "o_custkey")
+
+
+@R.add(
+    "t01_load_table",
+    f"""{_LOAD_SQL} SELECT CASE WHEN net > 200000 THEN 'high' ELSE lower(p) END AS level, id, net, gross, o_orderkey, p AS o_orderpriority, 'import' AS origin,
+    'N' || id AS code FROM j WHERE why = ''""",
+)
+def _(t):
+    return load_table(_to_load(t), _LOADED, ["o_orderkey"], unique=True)[0]
+
+
+@R.add("t01_load_table_rejects", f"{_LOAD_SQL} SELECT o_orderkey, why AS reasons FROM j WHERE why <> ''")
+def _(t):
+    rejects = load_table(_to_load(t), _LOADED, ["o_orderkey"], unique=True)[1]
+    return rejects.select("o_orderkey", F.array_join("reasons", "; ").alias("reasons"))
+
+
 @R.add(
     "t02_length_violations",
     """SELECT doc_id, 'BYTE' AS semantics FROM documents WHERE octet_length(encode(text)) > 4000

@@ -19,6 +19,7 @@ from modelweave.functions.scalars import json_kind, trim_all
 from modelweave.model import Model, Table
 from modelweave.plans.keys import by_name
 from modelweave.plans.pages import PAGE_ROWS, collect_groups
+from modelweave.plans.paths import path_kinds
 from modelweave.plans.workspace import store
 
 
@@ -72,9 +73,17 @@ def first_non_empty(df: DataFrame, key: Sequence[str], column: str, order: Seque
     return df.filter(_full(column)).groupBy(*key).agg(F.min_by(column, F.struct(*order)).alias(column))
 
 
-def json_column_profile(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """(column, kind) of the first value that is not NULL and parses; columns without one are left out."""
+def json_column_profile(df: DataFrame, columns: Sequence[str], order: Sequence[str] = (), mode: str = "first") -> DataFrame:
+    """(column, kind) of the first value that is not NULL and parses; columns without one are left out.
+
+    ``mode="all"`` gives (column, path, kind, n) over all values instead, at
+    every path through objects and lists; the value itself has the path ''.
+    """
     texts = [c for c in columns if df.schema[c].dataType.simpleString() == "string"]
+    if mode == "all":
+        return path_kinds(df, texts).withColumn("kind", F.concat(F.lit("json"), F.initcap("kind")))
+    if mode != "first" or not order:
+        raise ValueError("mode is 'first', with an order, or 'all'")
     position = F.struct(*order)
     first = [F.min_by(json_kind(c), F.when(json_kind(c).isNotNull(), position)).alias(c) for c in texts]
     row = df.agg(*first)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modelweave.functions.scalars import variant_kind
+from modelweave.plans.paths import json_depth, path_kinds
 from modelweave.model import Column as ColumnDef
 from modelweave.model import ForeignKey, Step
 from modelweave.operators.joins import fk_orphans
@@ -167,27 +167,24 @@ def evolve(df: DataFrame, plan: Sequence[Step], allow_drops: bool = False) -> tu
 
 
 def _kinds(df: DataFrame, json_col: str, side: str, depth: int) -> DataFrame:
-    """(field, kinds, rows) of a JSON object column, with the paths below; a field has at most six kinds."""
-    level = df.select(F.lit("").alias("_at"), F.try_parse_json(json_col).alias("_v"))
-    every = []
-    for _ in range(depth):
-        inside = F.explode(F.try_variant_get("_v", F.lit("$"), "map<string,variant>")).alias("_key", "_v")
-        level = level.select("_at", inside).select(F.concat("_at", "_key").alias("field"), "_v")
-        every.append(level.groupBy("field", variant_kind(F.col("_v")).alias("_kind")).agg(F.count("*").alias("_n")))
-        level = level.select(F.concat("field", F.lit(".")).alias("_at"), "_v")
-    counts = reduce(DataFrame.unionByName, every)
-    return counts.groupBy("field").agg(
-        F.array_join(F.sort_array(F.collect_set("_kind")), ",").alias(f"{side}_kinds"),
-        F.sum("_n").alias(f"{side}_rows"),
+    """(field, kinds, rows) of all paths of a JSON column; a path has at most six kinds."""
+    counts = path_kinds(df, [json_col], depth).filter("path <> ''")
+    return counts.groupBy(F.col("path").alias("field")).agg(
+        F.array_join(F.sort_array(F.collect_set("kind")), ",").alias(f"{side}_kinds"),
+        F.sum("n").alias(f"{side}_rows"),
     )
 
 
-def field_drift(old: DataFrame, new: DataFrame, json_col: str, depth: int = 3) -> DataFrame:
+def field_drift(old: DataFrame, new: DataFrame, json_col: str, depth: int | None = None) -> DataFrame:
     """(field, change, kinds and rows before and after) of a JSON column in two snapshots.
 
-    Fields of nested objects are named by their path, ``depth`` levels down. Rows are counted per (field, kind) first; what meets in the join are these
-    few lines.
+    Fields of nested objects are named by their path, entries of a list by
+    ``[]`` behind it, at every depth; ``depth`` stops there instead, and saves
+    the pass that measures it. Entries are counted per (field, kind) first; what
+    meets in the join are these few lines.
     """
+    if depth is None:
+        depth = max(json_depth(old, [json_col]), json_depth(new, [json_col]))
     a, b = _kinds(old, json_col, "old", depth), _kinds(new, json_col, "new", depth)
     change = (
         F.when(F.col("old_kinds").isNull(), "added")

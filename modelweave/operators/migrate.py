@@ -201,8 +201,6 @@ class Rule:
     args: dict[str, Any] = field(default_factory=dict)
 
 
-_LONGEST = 6  # parts of a version that are compared at least
-
 _OPS = {
     f.__name__: f
     for f in (set_where, move_path, rename_block, add_missing_id, add_fields, remove_fields, assign_if)
@@ -212,16 +210,17 @@ _OPS = {
 _VERSION = r"^[0-9]{1,9}([.][0-9]{1,9})*$"
 
 
-def version_parts(c: Column, parts: int) -> Column:
-    """0.2.17 as [0, 2, 17], filled up with zeros to ``parts``; NULL if it is no version. Arrays compare part by part."""
-    numbers = F.transform(F.split(c, "[.]"), lambda p: p.try_cast("bigint"))
-    padded = F.slice(F.concat(numbers, F.array_repeat(F.lit(0).cast("bigint"), parts)), 1, parts)
-    return F.when(c.rlike(_VERSION) & (F.size(numbers) <= parts), padded)
+def version_parts(c: Column) -> Column:
+    """0.2.17 as [0, 2, 17], without zeros at the end; NULL if it is no version. Arrays compare part by part, whatever their lengths."""
+    significant = F.regexp_replace(c, "([.]0+)+$", "")
+    return F.when(c.rlike(_VERSION), F.transform(F.split(significant, "[.]"), lambda p: p.try_cast("bigint")))
 
 
-def _parts(version: str, parts: int = 0) -> list[int]:
+def _parts(version: str) -> list[int]:
     numbers = [int(p) for p in version.split(".")]
-    return numbers + [0] * (parts - len(numbers))
+    while len(numbers) > 1 and not numbers[-1]:
+        numbers.pop()
+    return numbers
 
 
 def migrate(df: DataFrame, version_col: str, target: str, rules: dict[str, Sequence[Rule]]) -> tuple[DataFrame, DataFrame]:
@@ -232,10 +231,9 @@ def migrate(df: DataFrame, version_col: str, target: str, rules: dict[str, Seque
     records are split by how many versions they have to go through, so a field
     that a rule removes stays for the newer records that hold it.
     """
-    parts = max([len(_parts(v)) for v in [target, *rules]] + [_LONGEST])
-    steps = [v for v in sorted(rules, key=lambda v: _parts(v, parts)) if _parts(v, parts) <= _parts(target, parts)]
-    own = version_parts(F.col(version_col), parts)
-    number = [F.array(*[F.lit(p).cast("bigint") for p in _parts(v, parts)]) for v in steps]
+    steps = [v for v in sorted(rules, key=_parts) if _parts(v) <= _parts(target)]
+    own = version_parts(F.col(version_col))
+    number = [F.array(*[F.lit(p).cast("bigint") for p in _parts(v)]) for v in steps]
     done = []
     for k in range(len(steps) + 1):
         # above version k - 1 and below version k

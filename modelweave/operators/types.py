@@ -22,6 +22,11 @@ def _plain_number(text: Column) -> Column:
     return F.when(cut.isin("-0", "", "-"), F.lit("0")).otherwise(cut)
 
 
+def _shortest(result: Column) -> Column:
+    """The number that a float is written as: 0.1 for the float nearest to 0.1."""
+    return result.cast("string").try_cast("double")
+
+
 def lossy(source: Column, source_type: T.DataType, result: Column, target: str) -> Column:
     """True when the value came through the cast changed: it differs when cast back."""
     kind = T.DataType.fromDDL(target)
@@ -31,13 +36,17 @@ def lossy(source: Column, source_type: T.DataType, result: Column, target: str)
             return source.try_cast("timestamp_ntz") != result.cast("timestamp_ntz")
         if not isinstance(kind, T.NumericType):
             return F.lit(False)
-        rough = source.try_cast("double") != result.cast("double")
         if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
-            return rough
+            return source.try_cast("double") != _shortest(result)
+        rough = source.try_cast("double") != result.cast("double")
         plain = source.rlike(r"^\s*[+-]?[0-9]*[.]?[0-9]*\s*$")
-        return F.when(plain, _plain_number(source) != _plain_number(result.cast("string"))).otherwise(
+        written = F.when(plain, _plain_number(source) != _plain_number(result.cast("string"))).otherwise(
             F.coalesce(source.try_cast("decimal(38,18)") != result.try_cast("decimal(38,18)"), rough)
         )
+        # the patterns are for the few texts that do not come back as they were
+        return F.when(result.cast("string") == source, F.lit(False)).otherwise(written)
+    if isinstance(kind, T.FloatType) and isinstance(source_type, (T.DoubleType, T.DecimalType)):
+        return _shortest(result) != source.cast("double")
     if isinstance(source_type, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)) and target != "string":
         return result.try_cast(source_type.simpleString()) != source
     return F.lit(False)
@@ -54,6 +63,12 @@ def cast_check(df: DataFrame, column: str, target: str) -> tuple[Column, Column]
     return result, reason
 
 
+def too_long(c) -> Column:
+    """Reason, or NULL, of a text above the declared length of its column."""
+    size = F.octet_length(c.name) if c.length_semantics == "BYTE" else F.char_length(c.name)
+    return F.when(size > c.length, F.lit(f"{c.name}: longer than {c.length}"))
+
+
 def conform(df: DataFrame, table: Table, keep_lossy: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows in the declared types, rejected source rows with their ``reasons``).
 
@@ -72,8 +87,7 @@ def conform(df: DataFrame, table: Table, keep_lossy: bool = False) -> tuple[Data
             reason = F.when(F.col(c.name).isNotNull() & value.isNull(), F.lit(f"{c.name}: no {c.type}"))
         reasons.append(reason)
         if c.length is not None:
-            size = F.octet_length(c.name) if c.length_semantics == "BYTE" else F.char_length(c.name)
-            reasons.append(F.when(size > c.length, F.lit(f"{c.name}: longer than {c.length}")))
+            reasons.append(too_long(c))
     why = F.array_compact(F.array(*reasons))
     return df.filter(F.size(why) == 0).select(*values), df.filter(F.size(why) > 0).withColumn("reasons", why)
 

@@ -440,8 +440,10 @@ def test_moves_make_parents_and_keep_older_values(spark):
 
 
 def test_versions_compare_part_by_part(spark):
-    df = one(spark, ["0.1.9", "0.1.23", "1.0", "x", "1..2", None])
-    assert values(df, M.version_parts(F.col("v"), 3)) == [[0, 1, 9], [0, 1, 23], [1, 0, 0], None, None, None]
+    df = one(spark, ["0.1.9", "0.1.23", "1.0", "1.0.0.0.0.0.1", "0.0", "x", "1..2", None])
+    assert values(df, M.version_parts(F.col("v"))) == [[0, 1, 9], [0, 1, 23], [1], [1, 0, 0, 0, 0, 0, 1], [0], None, None, None]
+    done, rejects = M.migrate(df, "v", "1.0.0.0.0.0.2", {"1.0.0.0.0.0.1": [], "1.0.0.0.0.0.2": []})
+    assert rows(done) == [("1.0.0.0.0.0.2",)] * 5 and rejects.count() == 3
 
 
 def test_migrate_leaves_newer_records(spark):
