@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 
 from modelweave.plans.workspace import store
 
-SHARD_ROWS = 4096
+SHARD_ROWS = 16_384
 BLOCK_ROWS = 1024
 WAYS = 8
-LEAF = 64
+LEAF = 512
 _SLACK = 1e-6  # of the radius, for distances taken from differences of large numbers
 _NEVER = -(1 << 62)  # no score
 _NOBODY = (1 << 63) - 1
@@ -87,11 +87,11 @@ def build(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray, ways: int =
     return Tree(ids[by], labels[by], vectors[by], float(np.sqrt(most)), root)
 
 
-def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole-number vectors; more than 64 bits raise an error."""
+def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of whole-number vectors, exact also where a double is not; more than 64 bits raise an error."""
     bound = float(np.abs(a.astype(float)).max(initial=0)) * float(np.abs(b.astype(float)).max(initial=0)) * max(a.shape[1], 1)
     if bound < 2**53:
-        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
+        return a.astype(float) @ b.astype(float).T
     return (a.astype(object) @ b.astype(object).T).astype(np.int64)
 
 
@@ -107,22 +107,30 @@ def search(
     inner = distance(np.arange(len(asked)), high)
     names = np.full((len(asked), wanted), _NOBODY)
     best = np.full((len(asked), wanted), _NEVER)
+    least = low.copy()  # a row below it cannot be among the best any more
 
     def scan(begin: int, end: int, who: np.ndarray) -> None:
         for a in range(begin, end, 4096):
             part = slice(a, min(a + 4096, end))
-            score = _scores(vectors[who], tree.vectors[part])
-            fits = (score >= low[who, None]) & (score <= high[who, None]) & (tree.ids[part] != ids[who, None])
-            fits &= (tree.labels[part] == labels[who, None]) == same
-            fits &= score >= best[who, -1:]
-            some = fits.any(1)
-            if not some.any():
+            score = _exact(vectors[who], tree.vectors[part])
+            query, row = np.nonzero(score >= least[who, None])  # few, once something is found
+            score, query, row = score[query, row].astype(np.int64), who[query], row + a
+            fits = (score <= high[query]) & (tree.ids[row] != ids[query]) & ((tree.labels[row] == labels[query]) == same)
+            # against rounding of the bound in a double
+            fits &= score >= least[query]
+            score, query, row = score[fits], query[fits], row[fits]
+            if not len(query):
                 continue
-            at = who[some]
-            both = np.hstack([best[at], np.where(fits[some], score[some], _NEVER)])
-            who_is = np.hstack([names[at], np.where(fits[some], tree.ids[part], _NOBODY)])
-            first = np.lexsort((who_is, -both), axis=-1)[:, :wanted]
-            best[at], names[at] = np.take_along_axis(both, first, 1), np.take_along_axis(who_is, first, 1)
+            at = np.unique(query)
+            both = np.concatenate([best[at].reshape(-1), score])
+            name = np.concatenate([names[at].reshape(-1), tree.ids[row]])
+            owner = np.concatenate([np.repeat(at, wanted), query])
+            order = np.lexsort((name, -both, owner))
+            owner = owner[order]
+            turn = np.arange(len(owner)) - np.searchsorted(owner, owner)
+            first = order[turn < wanted]
+            best[at], names[at] = both[first].reshape(-1, wanted), name[first].reshape(-1, wanted)
+            least[at] = np.maximum(low[at], best[at, -1])
 
     def visit(node: tuple, who: np.ndarray) -> None:
         if len(node) == 2:
@@ -130,18 +138,20 @@ def search(
             return
         splits, nearest, farthest, children = node
         to = distance(who[:, None], asked[who] @ splits.T)
-        least = np.maximum(to[:, :, None] - farthest, nearest - to[:, :, None]).max(1)
-        most = (to[:, :, None] + farthest).min(1)
-        reached = most + slack[who, None] >= inner[who, None]
-        for turn in np.argsort(to, axis=1, kind="stable").T:
-            for j, child in enumerate(children):
-                mine = (turn == j) & reached[:, j]
-                if not mine.any():
-                    continue
-                outer = distance(who, np.maximum(low[who], best[who, -1]))
-                mine &= least[:, j] - slack[who] <= outer
-                if mine.any():
-                    visit(child, who[mine])
+        nearer = np.maximum(to[:, :, None] - farthest, nearest - to[:, :, None]).max(1)
+        farther = (to[:, :, None] + farthest).min(1)
+        reached = farther + slack[who, None] >= inner[who, None]
+        # first the cell that begins nearest to the inner edge, for a close bound; then all others at once
+        begin = np.where(reached, np.maximum(nearer, inner[who, None]), np.inf) + 1e-3 * to
+        first = begin.argmin(1)
+        for j, child in enumerate(children):
+            mine = (first == j) & reached[:, j] & (nearer[:, j] - slack[who] <= distance(who, least[who]))
+            if mine.any():
+                visit(child, who[mine])
+        for j, child in enumerate(children):
+            mine = (first != j) & reached[:, j] & (nearer[:, j] - slack[who] <= distance(who, least[who]))
+            if mine.any():
+                visit(child, who[mine])
 
     if len(asked) and len(tree.ids):
         visit(tree.root, np.arange(len(asked)))

@@ -211,12 +211,12 @@ def test_trees_leave_out_cells():
     scores = asked @ v.T
     low, high = np.quantile(scores, 0.95, axis=1).astype(int), np.quantile(scores, 0.99, axis=1).astype(int)
     looked = []
-    plain = hard_negatives._scores
+    plain = hard_negatives._exact
     try:
-        hard_negatives._scores = lambda a, b: looked.append(len(a) * len(b)) or plain(a, b)
+        hard_negatives._exact = lambda a, b: looked.append(len(a) * len(b)) or plain(a, b)
         names, best = hard_negatives.search(tree, ids[::100], labels[::100], asked, low, high, True, 5)
     finally:
-        hard_negatives._scores = plain
+        hard_negatives._exact = plain
     for q in range(len(asked)):
         fits = sorted((-s, i) for i, s in enumerate(scores[q].tolist()) if low[q] <= s <= high[q] and i != 100 * q)[:5]
         assert list(zip((-best[q]).tolist(), names[q].tolist())) == fits
@@ -225,4 +225,4 @@ def test_trees_leave_out_cells():
 
 def test_large_components_stay_exact():
     v = np.array([[2**31, 1], [2**31, 2], [-(2**31), 3]])
-    assert hard_negatives._scores(v, v).tolist() == [[int(a[0]) * int(b[0]) + int(a[1]) * int(b[1]) for b in v] for a in v]
+    assert hard_negatives._exact(v, v).tolist() == [[int(a[0]) * int(b[0]) + int(a[1]) * int(b[1]) for b in v] for a in v]
