@@ -26,7 +26,8 @@ BLOCK_ROWS = 1024
 LEAF = 64
 FACTOR = 1.0
 _SLACK = 1e-9
-_TIES = 8  # different directions kept beyond the wanted number, for ties
+_TIES = 8  # different vectors kept beyond the wanted number, for ties
+_TIE = 1e-7  # distances that may belong to one cosine
 
 
 @dataclass
@@ -45,6 +46,13 @@ class Tree:
         return self.vectors / np.linalg.norm(self.vectors, axis=1, keepdims=True)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector by a power of two near 1: no cosine changes in any bit, and no square overflows."""
+    vectors = vectors.astype(float)
+    exponent = np.frexp(np.abs(vectors).max(axis=1, initial=0))[1]
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 def build(ids: np.ndarray, vectors: np.ndarray, keep: int) -> Tree:
     """Tree of a shard; of equal vectors only the ``keep`` smallest ids can ever be among the nearest."""
     raw = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).reshape(-1)
@@ -53,7 +61,7 @@ def build(ids: np.ndarray, vectors: np.ndarray, keep: int) -> Tree:
     begin = np.searchsorted(where[order], np.arange(len(one)))
     turn = np.arange(len(order)) - begin[where[order]]
     order = order[turn < keep]
-    tree = Tree(vectors[one].astype(float), ids[order], np.searchsorted(where[order], np.arange(len(one) + 1)), [])
+    tree = Tree(scaled(vectors[one]), ids[order], np.searchsorted(where[order], np.arange(len(one) + 1)), [])
     units = tree.units()
 
     def grow(points: np.ndarray) -> int:
@@ -116,10 +124,31 @@ def search(tree: Tree, queries: np.ndarray, wanted: int, factor: float = FACTOR)
     return which, near
 
 
-def _found(tree: Tree, names: np.ndarray, queries: np.ndarray, which: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query number, id and cosine of the ``k`` best rows of a tree for each query, its own id left out."""
+def _points(tree: Tree, queries: np.ndarray, which: np.ndarray, near: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
+    """Query number and vector of all that may be among the nearest ``wanted``.
+
+    Where even the last place kept is a tie of the last one wanted, all vectors
+    of the shard are looked at once more.
+    """
     number, slot = np.nonzero(which >= 0)
     point = which[number, slot]
+    full = np.flatnonzero((which[:, -1] >= 0) & (near[:, -1] <= near[:, wanted - 1] + _TIE))
+    if len(full):
+        keep = ~np.isin(number, full)
+        numbers, points = [number[keep]], [point[keep]]
+        units, asked = tree.units(), queries[full] / np.linalg.norm(queries[full], axis=1, keepdims=True)
+        for a in range(0, len(full), 256):
+            far = np.sqrt(np.maximum(2 - 2 * (asked[a : a + 256] @ units.T), 0))
+            q, p = np.nonzero(far <= near[full[a : a + 256], wanted - 1][:, None] + _TIE)
+            numbers.append(full[a + q])
+            points.append(p)
+        number, point = np.concatenate(numbers), np.concatenate(points)
+    return number, point
+
+
+def _found(tree: Tree, names: np.ndarray, queries: np.ndarray, which: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query number, id and cosine of the ``k`` best rows of a tree for each query, its own id left out."""
+    number, point = _points(tree, queries, which, near, k + 1)
     a, b = queries[number], tree.vectors[point]
     score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
     count = np.diff(tree.first)[point]
@@ -158,9 +187,9 @@ def _searched(k: int, factor: float) -> Callable:
         for batch in batches:
             for tree, block in zip(batch.column(0), batch.column(1)):
                 tree, (names, queries) = pickle.loads(tree.as_py()), pickle.loads(block.as_py())
-                queries = queries.astype(float)
-                which, _ = search(tree, queries, k + 1, factor)
-                number, ids, score = _found(tree, names, queries, which, k)
+                queries = scaled(queries)
+                which, near = search(tree, queries, k + 1, factor)
+                number, ids, score = _found(tree, names, queries, which, near, k)
                 yield pa.RecordBatch.from_arrays([pa.array(names[number]), pa.array(ids), pa.array(score)], ["query_id", "vec_id", "score"])
 
     return run
