@@ -2,10 +2,16 @@
 
 Every language has a tree of byte contexts up to three bytes long, with the
 counts of what follows. The tree is frozen after learning: the cost of a byte in
-a context is its code length with escapes (method C) down to a uniform order.
-Contexts, languages and costs become one table, and a text's code length under
-every language is a sum of table rows over all its bytes. The shortest code
+a context is its code length with escapes (method C) down to a uniform order
+over all 256 bytes. Spark joins the costs order by order into one sparse table:
+a row per byte seen in a context, and a row per context for its escape. A text's
+code length under a language is the sum over all its bytes; the shortest code
 wins.
+
+The table grows with the corpus. Tasks get it in parts of bounded size, cut by
+the last two bytes of the context, so that all rows a byte may need stand in one
+part (contexts of up to one byte stand in all). With one part a text is read
+once; with more it is read once for each, and the sums are added.
 """
 
 from __future__ import annotations
@@ -16,17 +22,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelweave.llm.tokens import pieces
+from modelweave.plans.workspace import scratch, store
 
-SYMBOLS = 128  # the 127 most frequent bytes, and one symbol for the others: the same for all languages
-CONTEXTS = 1 << 16  # longest contexts kept, the most frequent ones; the others are coded by their shorter ones
+ORDER = 3
+PART_ROWS = 2_000_000  # rows of the longer contexts in a part, 12 bytes each in a task
 UNKNOWN = "und"
-_LETTER = regex.compile(r"\p{L}")
-_PLAIN = regex.compile(r"[A-Za-z]")
+_TEXT_BYTES = 1 << 20
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -84,120 +89,152 @@ def _codes(data: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-@dataclass
-class Model:
-    """langs: names; symbol: byte to symbol; row: three symbols to a table row; cost: bits per row, symbol and language."""
-
-    langs: list[str]
-    symbol: np.ndarray
-    row: np.ndarray
-    cost: np.ndarray
-
-
-def learn(docs: DataFrame, contexts: int = CONTEXTS, lang: str = "lang", text: str = "text") -> Model | None:
-    """Model of all rows with a language and a text; None if there are none.
+def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """Costs of all rows with a language and a text: (lang, ord, escape, code, bits), stored.
 
-    The counts of a task are one row per language and four bytes; the driver
-    gets the summed counts of four-byte runs only, whose number is bounded by
-    the scripts in use, not by the rows.
+    code is the context and the byte after it, or the context alone where
+    ``escape``. A text begins behind three zero bytes. No rows, no costs.
     """
     rows = docs.filter(F.col(f"`{lang}`").isNotNull() & (F.length(F.col(f"`{text}`")) > 0))
     rows = rows.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     counted = rows.mapInArrow(_grams, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    table = counted.toArrow()
-    if not table.num_rows:
-        return None
-    langs = sorted(set(table.column("lang").to_pylist()))
-    which = np.searchsorted(langs, table.column("lang").to_numpy())
-    code, n = table.column("code").to_numpy().astype(np.int64), table.column("n").to_numpy().astype(float)
-    return freeze(langs, which, code, n, contexts)
-
-
-def freeze(langs: list[str], which: np.ndarray, code: np.ndarray, n: np.ndarray, contexts: int = CONTEXTS) -> Model:
-    """Code lengths from counts of (language, four bytes)."""
-    size = len(langs)
-    by_byte = np.bincount(code & 255, n, 256)
-    symbol = np.full(256, SYMBOLS - 1, np.int64)
-    common = np.argsort(-by_byte, kind="stable")[: SYMBOLS - 1]
-    symbol[common] = np.arange(len(common))
-    s3, s2, s1, s0 = (symbol[(code >> shift) & 255] for shift in (24, 16, 8, 0))
-
-    def escape(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
-        """Method C: a new symbol costs an escape, whose chance is the number of different symbols seen."""
-        total, kinds = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
-        all_ = np.maximum(total + kinds, 1)
-        lower = np.where(total > 0, kinds / all_, 1.0) * below
-        return np.where(counts > 0, counts / all_, 0) + lower
-
-    def counts_of(context: np.ndarray, rows: int) -> np.ndarray:
-        flat = (which * rows + context) * SYMBOLS + s0
-        return np.bincount(flat, n, size * rows * SYMBOLS).reshape(size, rows, SYMBOLS)
-
-    order0 = escape(counts_of(np.zeros_like(s0), 1), np.full((size, 1, SYMBOLS), 1 / SYMBOLS))
-    order1 = escape(counts_of(s1, SYMBOLS), order0)
-    pair = s2 * SYMBOLS + s1
-    order2 = escape(counts_of(pair, SYMBOLS**2), np.tile(order1, (1, SYMBOLS, 1)))
-    triple = s3 * SYMBOLS**2 + pair
-    seen, where = np.unique(triple, return_inverse=True)
-    if len(seen) > contexts:
-        keep = np.sort(np.argsort(-np.bincount(where, n), kind="stable")[:contexts])
-        seen = seen[keep]
-        mine = np.searchsorted(seen, triple).clip(max=len(seen) - 1)
-        inside = seen[mine] == triple
-        which, s0, n, where = which[inside], s0[inside], n[inside], mine[inside]
-    flat = (which * len(seen) + where) * SYMBOLS + s0
-    top = np.bincount(flat, n, size * len(seen) * SYMBOLS).reshape(size, len(seen), SYMBOLS)
-    order3 = escape(top, order2[:, seen % SYMBOLS**2, :])
-    # shorter contexts stand behind the longest ones, and are met where no longest one is known
-    used = np.unique(pair)
-    shorter = np.full(SYMBOLS**2, -1, np.int64)
-    shorter[used] = np.arange(len(used))
-    single = len(seen) + len(used)
-    row = np.where(shorter >= 0, len(seen) + shorter, single + np.arange(SYMBOLS**2) % SYMBOLS)
-    row = np.tile(row, SYMBOLS).astype(np.int32)
-    row[seen] = np.arange(len(seen))
-    chances = np.concatenate([order3, order2[:, used, :], order1], axis=1)
-    cost = np.ascontiguousarray((-np.log2(chances)).transpose(1, 2, 0).reshape(-1, size), np.float32)
-    return Model(langs, symbol.astype(np.int32), row, cost)
-
-
-def code_lengths(model: Model, texts: pa.Array) -> np.ndarray:
-    """Bits of each whole text under each language."""
+    with scratch(docs.sparkSession):
+        return freeze(counted)
+
+
+def freeze(counted: DataFrame) -> DataFrame:
+    """Costs from the counts of (lang, four bytes), from the shortest context up.
+
+    Method C: a byte has the share n / (total + kinds) of its context, and the
+    context's escape kinds / (total + kinds) times its chance in the next
+    shorter one. What was seen in a context was seen in all shorter ones, so
+    each order is an inner join with the one below.
+    """
+    counts = {ORDER: store(counted, "counts")}
+    for k in reversed(range(ORDER)):
+        shorter = F.col("code").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("code")
+        counts[k] = counts[k + 1].groupBy("lang", shorter).agg(F.sum("n").alias("n"))
+    out = []
+    below = None
+    for k in range(ORDER + 1):
+        seen = counts[k].withColumn("ctx", F.shiftright("code", 8))
+        contexts = seen.groupBy("lang", "ctx").agg(F.sum("n").alias("_total"), F.count("*").alias("_kinds"))
+        seen = seen.join(contexts, ["lang", "ctx"])
+        whole = F.col("_total") + F.col("_kinds")
+        if below is None:
+            lower = F.lit(1 / 256)
+        else:
+            seen = seen.withColumn("_short", F.col("code").bitwiseAND(F.lit((1 << 8 * k) - 1))).join(below, ["lang", "_short"])
+            lower = F.col("_chance")
+        chance = F.col("n") / whole + F.col("_kinds") / whole * lower
+        seen = store(seen.select("lang", "code", chance.alias("chance")), "chances")
+        out.append(seen.select("lang", F.lit(k).alias("ord"), F.lit(False).alias("escape"), "code", (-F.log2("chance")).alias("bits")))
+        escapes = contexts.select("lang", F.lit(k).alias("ord"), F.lit(True).alias("escape"), F.col("ctx").alias("code"), F.log2(whole / F.col("_kinds")).alias("bits"))
+        out.append(escapes)
+        below = seen.select("lang", F.col("code").alias("_short"), F.col("chance").alias("_chance"))
+    costs = out[0]
+    for more in out[1:]:
+        costs = costs.unionByName(more)
+    return store(costs, "costs", keep=True)
+
+
+@dataclass
+class Part:
+    """Costs of the contexts whose last two bytes lie in low:high; keys are language number << 32 | code, sorted."""
+
+    langs: list[str]
+    low: int
+    high: int
+    keys: list[np.ndarray]
+    bits: list[np.ndarray]
+    escape_keys: list[np.ndarray]
+    escape_bits: list[np.ndarray]
+
+    def costs(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of each four-byte run under each language."""
+        out = np.zeros((len(codes), len(self.langs)))
+        for i in range(len(self.langs)):
+            open_ = np.arange(len(codes))
+            for k in range(ORDER, -1, -1):
+                key = (np.uint64(i) << np.uint64(32)) | (codes[open_].astype(np.uint64) & np.uint64((1 << 8 * (k + 1)) - 1))
+                hit, found = _find(self.keys[k], self.bits[k], key)
+                out[open_[hit], i] += found[hit]
+                open_, key = open_[~hit], key[~hit]
+                context = (key >> np.uint64(32) << np.uint64(32)) | ((key & np.uint64(0xFFFFFFFF)) >> np.uint64(8))
+                hit, found = _find(self.escape_keys[k], self.escape_bits[k], context)
+                out[open_[hit], i] += found[hit]
+            out[open_, i] += 8
+        return out
+
+
+def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted))
+    at = np.searchsorted(keys, wanted).clip(max=len(keys) - 1)
+    return keys[at] == wanted, values[at]
+
+
+def parts(costs: DataFrame, part_rows: int = PART_ROWS) -> Iterator[Part]:
+    """The table in parts of bounded size: ``part_rows`` rows, what one pair of bytes has beyond that (at most 65,792 a language), and the short contexts.
+
+    The driver sees the number of rows per pair of bytes (65,536 at most) and one part at a time.
+    """
+    langs = sorted(r[0] for r in costs.filter("ord = 0").select("lang").distinct().collect())
+    if not langs:
+        return
+    pair = F.when(F.col("escape"), F.col("code")).otherwise(F.shiftright("code", 8)).bitwiseAND(F.lit(0xFFFF))
+    sizes = np.zeros(1 << 16, np.int64)
+    for r in costs.filter("ord >= 2").groupBy(pair.alias("p")).count().collect():
+        sizes[r["p"]] = r["count"]
+    edges, held = [0], 0
+    for p in np.flatnonzero(sizes).tolist():
+        if held and held + sizes[p] > part_rows:
+            edges.append(p)
+            held = 0
+        held += int(sizes[p])
+    number = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1
+    for low, high in zip(edges, [*edges[1:], 1 << 16]):
+        mine = costs.filter((F.col("ord") < 2) | (pair >= low) & (pair < high))
+        table = mine.select("ord", "escape", (F.shiftleft(number, 32) + F.col("code")).alias("key"), F.col("bits").cast("float").alias("bits")).toArrow()
+        order, escape = table.column("ord").to_numpy(), table.column("escape").to_numpy(zero_copy_only=False)
+        key, bits = table.column("key").to_numpy().astype(np.uint64), table.column("bits").to_numpy()
+        lists: dict[bool, list[list[np.ndarray]]] = {False: [[], []], True: [[], []]}
+        for kind, (keys, values) in lists.items():
+            for k in range(ORDER + 1):
+                mask = (order == k) & (escape == kind)
+                by = np.argsort(key[mask])
+                keys.append(key[mask][by])
+                values.append(bits[mask][by])
+        yield Part(langs, low, high, *lists[False], *lists[True])
+
+
+def code_lengths(part: Part, texts: pa.Array) -> np.ndarray:
+    """Bits of each whole text under each language, as far as the part has the contexts of its bytes."""
     data, first = _bytes(texts)
-    code = _codes(data, first)
-    s = model.symbol
-    context = (s[code >> 24] * SYMBOLS + s[(code >> 16) & 255]) * SYMBOLS + s[(code >> 8) & 255]
-    at = model.row[context].astype(np.int64) * SYMBOLS + s[code & 255]
-    out = np.zeros((len(first) - 1, len(model.langs)))
+    out = np.zeros((len(first) - 1, len(part.langs)))
+    codes, where = np.unique(_codes(data, first), return_inverse=True)
+    pair = (codes >> np.uint32(8)) & np.uint32(0xFFFF)
+    inside = (pair >= part.low) & (pair < part.high)
+    cost = np.zeros((len(codes), len(part.langs)))
+    cost[inside] = part.costs(codes[inside])
     if len(data):
         full = np.flatnonzero(np.diff(first) > 0)
-        for k in range(len(model.langs)):
-            out[full, k] = np.add.reduceat(model.cost[:, k][at].astype(float), first[full])
+        for i in range(len(part.langs)):
+            out[full, i] = np.add.reduceat(cost[:, i][where], first[full])
     return out
 
 
-def has_letter(text: str | None) -> bool:
-    return bool(text) and (_PLAIN.search(text) is not None or _LETTER.search(text) is not None)
-
-
 def _scored(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        model.cost = np.asfortranarray(model.cost)
-        for batch in pieces(batches, "_t", 1 << 20):
-            bits = code_lengths(model, batch.column(1))
-            best = bits.argmin(1)
-            gap = np.minimum((bits - bits.min(1, keepdims=True)) * np.log(2), 700)
-            score = 1 / np.exp(-gap).sum(1)
-            texts = batch.column(1).to_pylist()
-            names = [model.langs[b] if has_letter(t) else UNKNOWN for b, t in zip(best, texts)]
-            score = np.where([n == UNKNOWN for n in names], 0.0, score)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(names), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
+        for batch in pieces(batches, "_t", _TEXT_BYTES):
+            bits = code_lengths(shared.value, batch.column(batch.num_columns - 1))
+            ends = pa.array(np.arange(len(bits) + 1) * bits.shape[1], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(bits.reshape(-1)))], [*batch.schema.names[:-1], "bits"])
 
     return run
 
 
-def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, costs: DataFrame, doc_id: str = "doc_id", text: str = "text", part_rows: int = PART_ROWS) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, lang_pred, score.
 
     score is the share of the best language in the likelihood of all. A null
@@ -205,13 +242,38 @@ def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
     nothing was learned. Ties go to the name that comes first; repeated rows
     and ids give a row each.
     """
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("_t"), held_out(doc_id).alias("held_out"))
-    if model is None:
-        return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    own = F.col(f"`{text}`")
+    rows = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), held_out(doc_id).alias("held_out"), F.coalesce(own.rlike(r"\p{L}"), F.lit(False)).alias("_letter"), F.coalesce(own, F.lit("")).alias("_t")
+    )
+    context = docs.sparkSession.sparkContext
     kind = docs.schema[doc_id].dataType.simpleString()
-    # bounded: CONTEXTS rows of costs, whatever the corpus
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(_scored(shared), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    langs: list[str] = []
+    scored: list[DataFrame] = []
+    keyed = rows.withColumn("_h", F.xxhash64("_t", F.length("_t")))
+    for part in parts(costs, part_rows):
+        langs = part.langs
+        shared = context.broadcast(part)  # bounded, see ``parts``
+        named = keyed.select("doc_id", "held_out", "_letter", "_h", "_t")
+        scored.append(named.mapInArrow(_scored(shared), f"doc_id {kind}, held_out boolean, _letter boolean, _h long, bits array<double>"))
+    if not scored:
+        return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    if len(scored) == 1:
+        sums = scored[0]
+    else:
+        # one row per text and part, added up and put back to every row of the text
+        each = [df.select("_h", F.lit(i).alias("_part"), "bits") for i, df in enumerate(scored)]
+        stacked = each[0]
+        for more in each[1:]:
+            stacked = stacked.unionByName(more)
+        one = stacked.groupBy("_h", "_part").agg(F.first("bits").alias("bits"))
+        totals = one.groupBy("_h").agg(*[F.sum(F.get("bits", F.lit(i))).alias(f"_b{i}") for i in range(len(langs))])
+        totals = totals.select(F.col("_h").alias("_k"), F.array(*[F.col(f"_b{i}") for i in range(len(langs))]).alias("bits"))
+        sums = keyed.select("doc_id", "held_out", "_letter", "_h").join(totals, F.col("_h") == F.col("_k"))
+    least = F.array_min("bits")
+    best = F.element_at(F.array(*[F.lit(x) for x in langs]), F.array_position("bits", least).cast("int"))
+    likely = F.aggregate(F.transform("bits", lambda b: F.exp(-F.least((b - least) * float(np.log(2)), F.lit(700.0)))), F.lit(0.0), lambda a, x: a + x)
+    return sums.select("doc_id", "held_out", F.when(F.col("_letter"), best).otherwise(F.lit(UNKNOWN)).alias("lang_pred"), F.when(F.col("_letter"), 1 / likely).otherwise(F.lit(0.0)).alias("score"))
 
 
 def language_digest(docs: DataFrame) -> DataFrame:
