@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from modelweave.llm.languages import held_out
 from modelweave.llm.tokens import pieces
-from modelweave.plans.workspace import store
+from modelweave.plans.workspace import scratch, store
 
 THRESHOLD = 0.7
 SUPPORT = 3  # toxic texts that hold a term, at least
@@ -217,13 +217,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told()
 
 
-def learn_terms(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS, significance: float = SIGNIFICANCE) -> Model:
-    """Lexicon of (text, toxic) rows: every row counts, and every word whose counts are significant is a term.
+def learn_terms(labelled: DataFrame, bad: int, good: int, support: int = SUPPORT, odds: float = ODDS, significance: float = SIGNIFICANCE) -> Model:
+    """Lexicon of (text, toxic) rows, ``bad`` toxic and ``good`` clean ones: every word whose counts are significant is a term.
 
-    Words are counted within a task before they are shuffled.
+    Words are counted within a task before they are shuffled; the rows are read once.
     """
-    totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad:
         return Model([], [], [])
     counted = labelled.select("toxic", "text").mapInArrow(_counted, "word string, pos long, neg long")
@@ -292,24 +290,41 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def _distinct_texts(labelled: DataFrame) -> DataFrame:
-    """(toxic, text) of ``labelled``: of a class's rows with the same sequence of words one counts, all others stay."""
-    same = F.sha2(F.regexp_replace(F.trim(F.lower("text")), r"\s+", " "), 256)
-    return labelled.withColumn("_s", same).groupBy("toxic", "_s").agg(F.min_by("text", "_d").alias("text")).select("toxic", "text")
+def _words_hash(text: str):
+    """Hash of the sequence of words of a text."""
+    return F.unhex(F.md5(F.regexp_replace(F.trim(F.lower(F.col(text))), r"\s+", " ")))
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: int = SAMPLE) -> Model:
-    """Lexicon from all labelled rows, weights from at most ``sample`` of them (the smallest hashes of their ids)."""
-    marks = labels.filter(F.col(f"`{toxic}`").isin(0, 1)).select(F.col(f"`{doc_id}`").alias("_l"), F.col(f"`{toxic}`").cast("int").alias("toxic")).distinct()
-    rows = docs.select(F.col(f"`{doc_id}`").alias("_d"), F.col(f"`{text}`").alias("text"))
-    labelled = store(rows.join(marks, rows["_d"] == marks["_l"]).select("_d", "toxic", "text"), "labelled")
-    model = learn_terms(store(_distinct_texts(labelled), "lexicon_texts"))
-    few = labelled.withColumn("_o", F.xxhash64("_d")).orderBy("_o", "_d").limit(sample) if labelled.count() > sample else labelled
-    table = few.select("toxic", "text").mapInArrow(_featured(model), "toxic int, x array<double>").toArrow()
-    if table.num_rows:
-        x = np.array(table.column("x").to_pylist()).reshape(-1, FEATURES)
-        model.weights = fit(x, table.column("toxic").to_numpy().astype(float))
-    return model
+    """Lexicon from all labelled rows, weights from at most ``sample`` of them (the smallest hashes of their ids).
+
+    Of a class's rows with the same sequence of words one counts for the
+    lexicon. They are told apart by (id, hash of the words), without texts; the
+    texts then meet the chosen ones in one shuffle, straight into the counts,
+    and are never stored. Labels grow with the documents, so the join is a merge
+    at any size.
+    """
+    with scratch(docs.sparkSession):
+        marks = labels.filter(F.col(f"`{toxic}`").isin(0, 1)).select(F.col(f"`{doc_id}`").alias("_l"), F.col(f"`{toxic}`").cast("int").alias("toxic")).distinct()
+        rows = docs.select(F.col(f"`{doc_id}`").alias("_d"), F.col(f"`{text}`").alias("text")).withColumn("_h", _words_hash("text"))
+        narrow = rows.select("_d", "_h").join(marks.hint("merge"), F.col("_d") == F.col("_l")).select("_d", "_h", "toxic")
+        labelled = store(narrow, "labelled")
+        one = store(labelled.groupBy("toxic", "_h").agg(F.min("_d").alias("_c")), "chosen")
+        totals = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        # a null text has no hash and no words
+        chosen = one.filter("_h is not null").select(F.col("_c"), F.col("_h").alias("_g"), "toxic")
+        met = rows.join(chosen.hint("merge"), (F.col("_d") == F.col("_c")) & (F.col("_h") == F.col("_g")))
+        texts = met.dropDuplicates(["_d", "_h", "toxic"]).select("toxic", "text")  # rows that are repeated with their id
+        model = learn_terms(texts, totals.get(1, 0), totals.get(0, 0))
+        few = labelled.distinct().withColumn("_o", F.xxhash64("_d")).orderBy("_o", "_d", "_h").limit(sample)
+        # at most ``sample`` rows; a row that is repeated with its id counts as often as it stands there
+        few = F.broadcast(store(few.select(F.col("_d").alias("_i"), F.col("_h").alias("_g"), "toxic"), "sample"))
+        fitted = rows.join(few, (F.col("_d") == F.col("_i")) & F.col("_h").eqNullSafe(F.col("_g"))).select("toxic", "text")
+        table = fitted.mapInArrow(_featured(model), "toxic int, x array<double>").limit(sample).toArrow()
+        if table.num_rows:
+            x = np.array(table.column("x").to_pylist()).reshape(-1, FEATURES)
+            model.weights = fit(x, table.column("toxic").to_numpy().astype(float))
+        return model
 
 
 def _scored(shared) -> Callable:
