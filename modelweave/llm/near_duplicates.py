@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from modelweave.llm.components import smallest_reachable
 from modelweave.llm.tokens import find_words, group_places, group_rows, group_schema, group_size, mix, pieces, run_hashes
-from modelweave.plans.workspace import store
+from modelweave.plans.workspace import scratch, store
 
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability 5e-7
 REGISTERS = BANDS * ROWS
@@ -208,7 +208,8 @@ def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int, most: int
     else:
         named = keyed.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").select("id", "keys", F.coalesce("comp", "id").alias("comp"))
         met = named.mapInArrow(_buckets, schema)
-        pivot = F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn)).alias("h"), "id", "comp")).over(over)
+        # one order of all texts, so that a text is the pivot of every bucket it shares with the same others
+        pivot = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "comp")).over(over)
         met = met.withColumns({"_x": pivot, "_other": F.min("comp").over(over) != F.max("comp").over(over)})
         met = met.filter(F.col("_other") & (F.col("comp") != F.col("_x.comp"))).withColumn("_p", F.col("_x.id"))
     ids = F.transform(group_places(), lambda x: x["id"])
@@ -436,8 +437,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     runs of ``shingle`` words. Texts whose sets share ``percent`` hundredths of
     their union are linked; component_id is the smallest id reachable. A text
     without words is linked with nothing. A null id counts as the smallest;
-    rows that share an id are one document with several sets.
+    rows that share an id are one document with several sets. The result is a
+    stored frame; what led to it is removed.
     """
+    with scratch(docs.sparkSession):
+        return store(_classes(docs, shingle, percent, doc_id, text), "classes", keep=True)
+
+
+def _classes(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str) -> DataFrame:
     texts = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(f"`{text}`").alias("_t"))
     base = store(texts.mapInArrow(_banded(shingle), "id long, n long, d1 long, d2 long, keys array<long>"), "bands")
     # equal sets are one node, named by the smallest id
