@@ -68,17 +68,19 @@ def _sliding(x: np.ndarray, width: int, of: Callable, fill: int) -> np.ndarray:
     return pad[: len(x)]
 
 
-def _tags(words: Words) -> np.ndarray:
-    """A tag of each text, so that rows which share an id stay apart."""
-    h = run_hashes(words.sums(), words.first[:-1], words.first[1:])
-    return (h >> np.uint64(64 - _TAG)).astype(np.int64)
+def _find(batch: pa.RecordBatch) -> tuple[Words, np.ndarray]:
+    """The words of a batch, and the tag of each text, which keeps rows that share an id apart."""
+    words = find_words(batch.column(1))
+    if len(words.first) > 1 and np.diff(words.first).max() >= 1 << _POSITION:
+        raise ValueError(f"a text has more than {(1 << _POSITION) - 1} words")
+    return words, batch.column(2).to_numpy(zero_copy_only=False)
 
 
 def _occurrences(window: int, mer: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nexts, ids, places = [], [], [], []
         for batch in pieces(batches, "_mw_text"):
-            words = find_words(batch.column(1))
+            words, tags = _find(batch)
             x, _, _, at = _anchors(words, window, mer)
             doc = np.searchsorted(words.first, at, "right") - 1
             follows = np.zeros(len(at), np.uint64)
@@ -87,7 +89,7 @@ def _occurrences(window: int, mer: int) -> Callable:
             keys.append(x[at])
             nexts.append(follows.view(np.int64))
             ids.append(batch.column(0).to_numpy(zero_copy_only=False)[doc])
-            places.append(((at - words.first[doc]) << _TAG) + _tags(words)[doc])
+            places.append(((at - words.first[doc]) << _TAG) + tags[doc])
         if keys:
             yield from group_rows(np.concatenate(keys), {"follows": np.concatenate(nexts)}, np.concatenate(ids), np.concatenate(places), "follows")
 
@@ -106,19 +108,18 @@ def _crossing(window: int, mer: int) -> Callable:
             places.append(p)
 
         for batch in pieces(batches, "_mw_text"):
-            words = find_words(batch.column(1))
+            words, tags = _find(batch)
             x, low, starts, at = _anchors(words, window, mer)
             if not len(at):
                 continue
-            tags, own = _tags(words), batch.column(0).to_numpy(zero_copy_only=False)
+            own = batch.column(0).to_numpy(zero_copy_only=False)
             doc = np.searchsorted(words.first, at, "right") - 1
             # what the first shuffle found, laid beside the anchors
-            owner, told = _list(batch.column(2))
-            _, code = _list(batch.column(3))
-            valid = (told & _MASK) == tags[owner]
-            spot = np.searchsorted(at, words.first[owner[valid]] + (told[valid] >> _TAG))
+            owner, told = _list(batch.column(3))
+            _, code = _list(batch.column(4))
+            spot = np.searchsorted(at, words.first[owner] + (told >> _TAG))
             times, goes_on, is_first = np.zeros(len(at), np.int64), np.zeros(len(at), bool), np.zeros(len(at), bool)
-            times[spot], goes_on[spot], is_first[spot] = code[valid] >> 2, code[valid] & 2, code[valid] & 1
+            times[spot], goes_on[spot], is_first[spot] = code >> 2, code & 2, code & 1
 
             link = (times[:-1] > 1) & goes_on[:-1] & (times[:-1] == times[1:]) & (doc[:-1] == doc[1:])
             head = np.concatenate([[True], ~link])
@@ -162,17 +163,19 @@ def _meet(rows: DataFrame, *more: tuple[str, object]) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
+    """Rows as (id, text, tag of the text), and further columns by number."""
     key = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NULL_ID)).alias("_mw_id")
-    return docs.select(key, F.col(f"`{text}`").alias("_mw_text"), *[F.col(f"`{c}`").alias(f"_mw_{i}") for i, c in enumerate(more)])
+    tag = F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(1 << _TAG)).alias("_mw_tag")
+    return docs.select(key, F.col(f"`{text}`").alias("_mw_text"), tag, *[F.col(f"`{c}`").alias(f"_mw_{i}") for i, c in enumerate(more)])
 
 
-def repeated_stretches(docs: DataFrame, window: int = 20, mer: int = MER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_mw_key, _mw_spans): per id the stretches to remove, as (at, words).
+def repeated_stretches(texts: DataFrame, window: int = 20, mer: int = MER) -> DataFrame:
+    """(_mw_key, _mw_mark, _mw_spans): per id and tag of ``_keyed`` rows the stretches to remove.
 
-    at holds the position of the first word and a tag of the text. Lazy; two
-    shuffles of anchors and windows, one of the texts.
+    A stretch is the position of its first word with the tag, and its number of
+    words. Lazy; two shuffles of anchors and windows, one of the texts, with all
+    columns of ``texts`` so that a later join can use the same one.
     """
-    texts = _keyed(docs, doc_id, text)
     over = Window.partitionBy("key")
     seen = texts.mapInArrow(_occurrences(window, mer), group_schema("follows long"))
     lo, hi = F.min("follows").over(over), F.max("follows").over(over)
@@ -181,22 +184,26 @@ def repeated_stretches(docs: DataFrame, window: int = 20, mer: int = MER, doc_id
     code = F.col("_n") * 4 + F.when(F.col("_go"), 2).otherwise(0) + F.when(F.col("_p") == F.col("_first"), 1).otherwise(0)
     flat = flat.select(F.col("_p.id").alias("_k"), F.col("_p.at").alias("_at"), code.cast("long").alias("_code"))
     # two lists of one aggregate keep one order
-    per_doc = flat.groupBy("_k").agg(F.collect_list("_at").alias("_at"), F.collect_list("_code").alias("_code"))
+    own_tag = F.col("_at").bitwiseAND(F.lit(_MASK)).alias("_t")
+    per_doc = flat.groupBy("_k", own_tag).agg(F.collect_list("_at").alias("_at"), F.collect_list("_code").alias("_code"))
     none = F.array().cast("array<long>")
-    beside = texts.join(per_doc, texts["_mw_id"] == per_doc["_k"], "left")
-    beside = beside.select("_mw_id", "_mw_text", F.coalesce("_at", none).alias("_at"), F.coalesce("_code", none).alias("_code"))
+    beside = texts.join(per_doc, (texts["_mw_id"] == per_doc["_k"]) & (texts["_mw_tag"] == per_doc["_t"]), "left")
+    others = [F.col(f"`{c}`") for c in texts.columns[3:]]
+    beside = beside.select("_mw_id", "_mw_text", "_mw_tag", F.coalesce("_at", none).alias("_at"), F.coalesce("_code", none).alias("_code"), *others)
     windows = beside.mapInArrow(_crossing(window, mer), group_schema())
     judged = _meet(windows).select("_first", F.explode("_p").alias("_p"))
     path = F.shiftright(F.col("_p.at"), _TAG + _POSITION) > 0
     gone = judged.filter(path | (F.col("_p") != F.col("_first"))).select(F.col("_p.id").alias("_mw_key"), F.col("_p.at").alias("_at"))
-    return gone.groupBy("_mw_key").agg(F.collect_list("_at").alias("_mw_spans"))
+    return gone.groupBy("_mw_key", F.col("_at").bitwiseAND(F.lit(_MASK)).alias("_mw_mark")).agg(F.collect_list("_at").alias("_mw_spans"))
 
 
-def _with_stretches(texts: DataFrame, gone: DataFrame) -> DataFrame:
-    """The keyed rows with their stretches as third column."""
+def _with_stretches(texts: DataFrame, window: int) -> DataFrame:
+    """The keyed rows with their stretches as fourth column."""
+    gone = repeated_stretches(texts, window)
     none = F.array().cast("array<long>")
-    others = [F.col(f"`{c}`") for c in texts.columns[2:]]
-    return texts.join(gone, texts["_mw_id"] == gone["_mw_key"], "left").select("_mw_id", "_mw_text", F.coalesce("_mw_spans", none).alias("_mw_spans"), *others)
+    others = [F.col(f"`{c}`") for c in texts.columns[3:]]
+    met = texts.join(gone, (texts["_mw_id"] == gone["_mw_key"]) & (texts["_mw_tag"] == gone["_mw_mark"]), "left")
+    return met.select("_mw_id", "_mw_text", "_mw_tag", F.coalesce("_mw_spans", none).alias("_mw_spans"), *others)
 
 
 def _list(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,11 +212,8 @@ def _list(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gone(words: Words, spans: pa.ListArray, window: int) -> np.ndarray:
-    """True for each word of a batch that a stretch of its own text covers."""
-    tags = _tags(words)
+    """True for each word of a batch that a stretch of its text covers."""
     owner, at = _list(spans)
-    own = (at & _MASK) == tags[owner]
-    owner, at = owner[own], at[own]
     length = at >> (_TAG + _POSITION)
     length[length == 0] = window
     begin = words.first[owner] + ((at >> _TAG) & ((1 << _POSITION) - 1))
@@ -223,7 +227,7 @@ def _digest(window: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_mw_text"):
             words = find_words(batch.column(1))
-            gone = _gone(words, batch.column(2), window)
+            gone = _gone(words, batch.column(3), window)
             sums = np.concatenate([[0], np.cumsum(gone)])
             removed = sums[words.first[1:]] - sums[words.first[:-1]]
             hashes = []
@@ -244,11 +248,12 @@ def _digest(window: int) -> Callable:
 def substring_digest(docs: DataFrame, window: int = 20) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and the SHA-256 of the words kept, joined by a space.
 
-    Null and empty texts have no words. Rows that share an id are ordered by
-    their texts; equal rows count as one document. Ids must be whole numbers or
-    null, which comes before all others.
+    Null and empty texts have no words. Rows that share an id and differ in text
+    are documents of their own, told apart by a hash of 22 bits; equal rows count
+    as one document. Ids must be whole numbers or null, which comes before all
+    others.
     """
-    found = _with_stretches(_keyed(docs, "doc_id", "text"), repeated_stretches(docs, window)).mapInArrow(_digest(window), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    found = _with_stretches(_keyed(docs, "doc_id", "text"), window).mapInArrow(_digest(window), "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return found.withColumn("doc_id", F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")))
 
 
@@ -260,10 +265,12 @@ def _kept_text(raw: bytes, begin: np.ndarray, drop: np.ndarray) -> str:
 
 
 def _cut(names: list[str], text: str, length: str | None, window: int) -> Callable:
+    others = [n for n in names if n != text]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_mw_text"):
             words = find_words(batch.column(1))
-            gone = _gone(words, batch.column(2), window)
+            gone = _gone(words, batch.column(3), window)
             texts = batch.column(1).to_pylist()
             sums = np.concatenate([[0], np.cumsum(gone)])
             touched = np.flatnonzero(sums[words.first[1:]] > sums[words.first[:-1]])
@@ -271,7 +278,7 @@ def _cut(names: list[str], text: str, length: str | None, window: int) -> Callab
                 raw, a, b = texts[d].encode(), words.first[d], words.first[d + 1]
                 lead = len(raw) - len(raw.lstrip())
                 texts[d] = _kept_text(raw, words.start[a:b] - words.start[a] + lead, gone[a:b])
-            columns = {n: batch.column(3 + i) for i, n in enumerate(names)}
+            columns = {n: None if n == text else batch.column(4 + others.index(n)) for n in names}
             columns[text] = pa.array(texts, pa.string())
             if length in columns:
                 sizes = columns[length].to_pylist()
@@ -290,8 +297,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", te
     it is a column, is counted anew there. Other texts stay as they are, byte
     for byte. A text of which nothing is left is empty.
     """
-    keyed = _keyed(docs, doc_id, text, *docs.columns)
-    beside = _with_stretches(keyed, repeated_stretches(docs, window, doc_id=doc_id, text=text))
+    keyed = _keyed(docs, doc_id, text, *[c for c in docs.columns if c != text])
+    beside = _with_stretches(keyed, window)
     return beside.mapInArrow(_cut(docs.columns, text, length, window), docs.schema)
 
 
