@@ -9,7 +9,6 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,49 +23,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL: str | None = None
 
 
-_left: list[str] = []  # frames of the last stage
-
-
-def _stage(stage: Stage) -> Stage:
-    """The stage, which first removes the frames that the stage before it stored: its result is a table by now."""
-
-    @wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        discard(spark, _left)
-        with made_here() as folders:
-            out = stage(spark, docs, sf_dir)
-        _left.extend(folders)
-        return out
-
-    return run_stage
-
-
-@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of the labels calls toxic go; held-out labels teach nothing."""
     labels = read_table(spark, sf_dir, "labels").filter(~held_out())
     return toxicity.drop_toxic(docs, toxicity.learn(docs.filter(~held_out()), labels))
 
 
-@_stage
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts that share four fifths of their five-word shingles the smallest id stays."""
     return near_duplicates.keep_one_of_each(docs)
 
 
-@_stage
 def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of windows of 20 that also stand earlier go, the rest of the text and the document stay."""
     return substrings.remove_repeats(docs)
 
 
-@_stage
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which at least a twentieth stands in windows of the benchmark go."""
     return decontamination.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return packing.pack(docs)
@@ -82,8 +59,18 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table of documents."""
+    """All stages over the whole table of documents.
+
+    What a stage stored, and the table it read, are removed once its own table
+    is written. A run touches its own folders only; the last table stays with
+    the result, which reads it.
+    """
     docs = read_table(spark, sf_dir, "documents")
+    read: list[str] = []
     for _, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), "stage")
+        with made_here() as folders:
+            docs = store(stage(spark, docs, sf_dir), "stage")
+        own = folders.pop()
+        discard(spark, [*folders, *read])
+        read = [own]
     return STAGES[-1][1](spark, docs, sf_dir)

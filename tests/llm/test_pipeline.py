@@ -39,7 +39,7 @@ def corpus(spark, tmp_path_factory):
 def test_stages_are_the_dealt_ones():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near-duplicates", "repeated substrings", "benchmark decontamination", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(SQL) <= set(QUERIES)
 
 
 def test_each_stage(spark, corpus):
@@ -76,6 +76,12 @@ def test_run_gives_the_last_stage(spark, corpus):
     assert max(map(sum, by.values())) <= 2048 and np.mean(list(map(sum, by.values()))) > 1900
 
 
+def test_runs_of_one_session_do_not_meet(spark, corpus):
+    one, two = corpus_pipeline.run(spark, corpus[0]), corpus_pipeline.run(spark, corpus[0])
+    assert one.count() == two.count() > 0
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
 def test_empty_tables(spark, corpus, tmp_path):
     folder = corpus[0]
     for name in ("documents", "labels", "benchmark"):

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from modelweave.llm import decontamination, licenses, near_duplicates, substrings
 from tests.llm.conftest import frame, words
@@ -217,3 +218,33 @@ def test_common_counts():
         for j, b in enumerate(right):
             if a != b:
                 assert got[i, j] == len(np.intersect1d(sets[a], sets[b]))
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    """Rows that share an id, null too, repeat each other like any others, and cost no more."""
+    r = random.Random(4)
+    passage = words(r, 25)
+    texts = [words(r, 20) + f" own{i} " + passage + f" end{i}" for i in range(50)]
+    shared = {x["n_removed"] for x in substrings.substring_digest(frame(spark, [(None, t) for t in texts])).collect()}
+    assert shared == {0, 25}
+    got = substrings.substring_digest(frame(spark, [(7, t) for t in texts])).groupBy("n_removed").count().collect()
+    assert {x["n_removed"]: x["count"] for x in got} == {0: 1, 25: 49}
+    docs = frame(spark, [(7, t) for t in texts]).withColumn("text_2", F.col("text")).withColumn("_k", F.lit(1))
+    kept = substrings.remove_repeats(docs)
+    assert kept.columns == docs.columns
+    assert kept.filter(F.col("text") == F.col("text_2")).count() == 1
+    assert kept.filter("n_chars = length(text)").count() == 50
+
+
+def test_texts_are_shuffled_once(spark):
+    passage = words(random.Random(6), 30)
+    docs = frame(spark, [(i, f"a {i} {passage} b c {i}") for i in range(10)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (substrings.remove_repeats(docs), substrings.substring_digest(docs)):
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+            assert "ReusedExchange" in final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
