@@ -226,6 +226,34 @@ def _(t):
     return index.select("value", F.array_join("ids", ",").alias("ids"), "page")
 
 
+def _word_list(column: str):
+    return F.regexp_extract_all(column, F.lit("[A-Za-z0-9_]+"), F.lit(0))
+
+
+@R.add(
+    "a13_posting_blocks",
+    """WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9_]+')) AS value FROM documents)
+    SELECT value, CAST(doc_id // 100 AS BIGINT) AS block, min(doc_id) AS first, max(doc_id) AS last, CAST(count(*) AS INTEGER) AS n,
+    string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM w GROUP BY value, doc_id // 100""",
+)
+def _(t):
+    blocks = A.posting_blocks(t("documents"), "doc_id", _word_list("text"), span=100)
+    ids = F.transform("offsets", lambda o: F.col("first") + o)
+    return blocks.select("value", "block", "first", "last", "n", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
+
+
+@R.add(
+    "a13_lookup",
+    """WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9_]+')) AS value FROM documents),
+    b AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z0-9_]+')) AS value FROM benchmark)
+    SELECT value, doc_id AS id FROM w WHERE value IN (SELECT value FROM b) AND doc_id BETWEEN 50 AND 449""",
+)
+def _(t):
+    blocks = A.posting_blocks(t("documents"), "doc_id", _word_list("text"), span=100)
+    asked = t("benchmark").select(F.explode(_word_list("text")).alias("v"))
+    return A.lookup_postings(blocks, asked, 50, 449)
+
+
 _RULES = {
     "l_discount": {"maximum": 0.05, "minimum": 0, "multiple_of": 0.02},
     "l_quantity": {"exclusive_maximum": 50, "exclusive_minimum": 1, "multiple_of": 2},

@@ -197,6 +197,33 @@ def _(t):
     return D.build_documents(DocNode("events", fields, key=("event_id",)), {"events": t("events")}, as_json=True)
 
 
+def _events_node() -> DocNode:
+    """A customer with the events of that user; what an event holds beside its columns stands in it."""
+    events = (DocField("event_id", key="id"), DocField("event_type", key="type"), DocField("props", flex=True))
+    below = DocNode("events", events, "events", "array", (("c_custkey", "user_id"),), order=("event_id",), key=("event_id",))
+    return DocNode("customer", _fields("c_custkey:id c_name:name"), key=("c_custkey",), children=(below,))
+
+
+@R.add(
+    "d02_flex_nested",
+    """SELECT c_custkey AS id, '{"id":' || c_custkey || ',"name":"' || c_name || '","events":[' || coalesce(string_agg('{"id":' || event_id || ',"type":"' || event_type || '",'
+      || replace(substring(props, 2), ': ', ':'), ',' ORDER BY event_id), '') || ']}' AS doc, CAST(0 AS BIGINT) AS _page
+    FROM customer LEFT JOIN events ON user_id = c_custkey GROUP BY c_custkey, c_name""",
+)
+def _(t):
+    return D.build_documents(_events_node(), {"customer": t("customer"), "events": t("events")}, as_json=True)
+
+
+@R.add(
+    "d02_flex_back",
+    """SELECT event_id, event_type, replace(props, ': ', ':') AS props, user_id FROM events WHERE user_id IN (SELECT c_custkey FROM customer)""",
+)
+def _(t):
+    tables = {"customer": t("customer"), "events": t("events")}
+    docs = D.build_documents(_events_node(), tables, as_json=True)
+    return D.shred(D.parse_documents(docs, _events_node(), tables), _events_node())[0]["events"]
+
+
 @R.add(
     "d03_etag",
     """SELECT c_custkey AS id, sha256(to_json({'id': CAST(c_custkey AS VARCHAR), 'c_name': c_name, 'nation': {'n_name': n_name}})) AS _etag

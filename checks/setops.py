@@ -62,6 +62,21 @@ def _(t):
     return diff.select("c_custkey", "change", F.col("old.c_acctbal").alias("before"), F.col("new.c_acctbal").alias("after"))
 
 
+@R.add(
+    "u03_snapshot_diff_large",
+    """SELECT o_orderkey, 'removed' AS change, o_orderstatus AS before, CAST(NULL AS VARCHAR) AS after FROM orders WHERE o_orderkey % 5000 = 17
+    UNION ALL SELECT o_orderkey, 'modified', o_orderstatus, 'X' FROM orders WHERE o_orderkey % 3000 = 5 AND o_orderkey % 5000 <> 17
+    UNION ALL SELECT o_orderkey + 1000000000, 'added', NULL, 'N' FROM orders WHERE o_orderkey % 7000 = 9""",
+)
+def _(t):
+    old = t("orders")
+    status = F.when(F.col("o_orderkey") % 3000 == 5, "X").otherwise(F.col("o_orderstatus"))
+    fresh = old.filter("o_orderkey % 7000 = 9").withColumn("o_orderkey", F.col("o_orderkey") + 1000000000).withColumn("o_orderstatus", F.lit("N"))
+    new = old.filter("o_orderkey % 5000 <> 17").withColumn("o_orderstatus", status).unionByName(fresh)
+    diff = U.snapshot_diff_large(old, new, ["o_orderkey"])
+    return diff.select("o_orderkey", "change", F.col("old.o_orderstatus").alias("before"), F.col("new.o_orderstatus").alias("after"))
+
+
 @R.add(
     "u04_snapshot_diff_two_keys",
     """SELECT CASE WHEN c_acctbal < 0 THEN 'name' ELSE 'id' END AS matched_by, c_custkey AS old_id,

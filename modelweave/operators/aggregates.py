@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from modelweave.functions.scalars import json_kind, trim_all
 from modelweave.model import Model, Table
-from modelweave.plans.keys import by_name
+from modelweave.plans.keys import by_name, lookup
 from modelweave.plans.pages import PAGE_ROWS, collect_groups
 from modelweave.plans.paths import path_kinds
 from modelweave.plans.workspace import store
@@ -211,6 +211,53 @@ def inverted_index(
     return grouped.select("value", "ids", F.col("_page").alias("page"))
 
 
+def posting_blocks(df: DataFrame, id_col: str, members: Column, span: int = 1 << 16) -> DataFrame:
+    """A13 as blocks: (value, block, first, last, n, offsets), one row per member and range of ``span`` ids.
+
+    ``id_col`` is a whole number and a key of ``df``. A block holds its ids as
+    offsets from the first one, ``span`` at most, so a member that is in a third
+    of all rows fills many blocks, in many tasks; nothing is counted or stored
+    before. Written in order of (value, first), a lookup reads few of them.
+    """
+    pairs = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("_id"), F.explode(F.array_distinct(members)).alias("value"))
+    block = F.floor(F.col("_id") / span)
+    wide = pairs.select("value", block.alias("block"), (F.col("_id") - block * span).cast("int").alias("_o"))
+    lists = wide.groupBy("value", "block").agg(F.sort_array(F.collect_list("_o")).alias("_l"))
+    least = F.get("_l", F.lit(0))
+    return lists.select(
+        "value",
+        "block",
+        (F.col("block") * span + least).alias("first"),
+        (F.col("block") * span + F.element_at("_l", -1)).alias("last"),
+        F.size("_l").alias("n"),
+        F.transform("_l", lambda o: o - least).alias("offsets"),
+    )
+
+
+def lookup_postings(blocks: DataFrame, values: DataFrame | Sequence[str], low: int | None = None, high: int | None = None) -> DataFrame:
+    """(value, id) of some members within low..high; only blocks whose range meets it are opened.
+
+    A list of values and the range are filters on the files; a frame of values
+    (one column) is joined.
+    """
+    kept = blocks
+    if low is not None:
+        kept = kept.filter(F.col("last") >= low)
+    if high is not None:
+        kept = kept.filter(F.col("first") <= high)
+    if isinstance(values, DataFrame):
+        kept = lookup(kept, values, [("value", values.columns[0])], "left_semi")
+    else:
+        kept = kept.filter(F.col("value").isin(list(values)))
+    ids = kept.select("value", F.explode(F.transform("offsets", lambda o: F.col("first") + o)).alias("id"))
+    inside = F.lit(True)
+    if low is not None:
+        inside = inside & (F.col("id") >= low)
+    if high is not None:
+        inside = inside & (F.col("id") <= high)
+    return ids.filter(inside)
+
+
 def cardinality_violations(
     parent: DataFrame, child: DataFrame, on: Sequence[tuple[str, str]], low: int, high: int | None = None
 ) -> DataFrame:

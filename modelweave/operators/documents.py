@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -133,11 +134,17 @@ def build_documents(
     """Whole documents under their output keys; ``as_json`` gives (root key fields, doc, _page).
 
     A flex column is a JSON text under its own key; in the text form of a
-    document the entries of the root's flex column stand beside the fields.
+    document its entries stand beside the fields of its node, at any level
+    (``parse_documents`` takes them back).
     """
     docs = nest(root, tables, page_rows)
     if not as_json:
         return docs
+    if any(f.flex for child in root.children for node in _walk(child) for f in node.fields):
+        keys = [f.label for f in root.fields if f.column in root.key]
+        page = ["_page"] if "_page" in docs.columns else []
+        text = F.concat(F.lit("{"), _inner_text(root, lambda label: F.col(f"`{label}`")), F.lit("}"))
+        return docs.select(*keys, text.alias("doc"), *page)
     flex = [f.label for f in root.fields if f.flex]
     body = [c for c in docs.columns if c != "_page" and c not in flex]
     keys = [f.label for f in root.fields if f.column in root.key]
@@ -156,6 +163,87 @@ def _beside(doc: Column, flex: str, taken: Sequence[str]) -> Column:
     return F.when(F.size(free) > 0, more).otherwise(doc)
 
 
+def _cut(text: Column) -> Column:
+    """The text of an object without its braces."""
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
+def _inner_text(node: DocNode, get) -> Column:
+    """What stands between the braces of a node: fields, subqueries, then the entries of its flex columns; a field wins."""
+    plain = [get(f.label).alias(f.label) for f in node.fields if not f.flex]
+    if has_arrays(node) and node.kind != "root":
+        plain.append(get("_page").alias("_page"))
+    parts = [_cut(F.to_json(F.struct(*plain), {"ignoreNullFields": "false"}))] if plain else []
+    for child in node.children:
+        if child.kind == "object" and child.unnest:
+            parts.append(_inner_text(child, get))
+            continue
+        value = get(child.name)
+        whole = lambda get, c=child: F.concat(F.lit("{"), _inner_text(c, get), F.lit("}"))
+        if child.kind == "object":
+            text = F.when(value.isNull(), F.lit("null")).otherwise(whole(value.getItem))
+        else:
+            text = F.concat(F.lit("["), F.array_join(F.transform(value, lambda x: whole(x.getItem)), ","), F.lit("]"))
+        parts.append(F.concat(F.lit(json.dumps(child.name, ensure_ascii=False) + ":"), text))
+    taken = _level_names(node)
+    for f in node.fields:
+        if f.flex:
+            entries = F.try_variant_get(F.try_parse_json(get(f.label)), F.lit("$"), "map<string,variant>")
+            free = F.map_filter(entries, lambda k, _: ~k.isin(*taken))
+            parts.append(F.when(F.size(free) > 0, _cut(F.to_json(free))))
+    # a part without entries is NULL and left out
+    return F.concat_ws(",", *[F.nullif(p, F.lit("")) for p in parts])
+
+
+def _level_names(node: DocNode) -> list[str]:
+    """Keys that are no flex entries on the level of a node."""
+    names = [f.label for f in node.fields if not f.flex]
+    for child in node.children:
+        names += _level_names(child) if child.kind == "object" and child.unnest else [child.name]
+    return [*names, "_page"]
+
+
+def parse_documents(docs: DataFrame, root: DocNode, tables: dict[str, DataFrame], doc: str = "doc") -> DataFrame:
+    """The column form of documents in text form, for ``shred``; types are those of ``tables``.
+
+    Entries that are no field of their node go back into its flex column (the
+    last one, if it has several; NULL without entries). Without a flex column
+    they are dropped. Texts that do not parse give NULL fields.
+    """
+
+    def member(v: Column, name: str, kind: str) -> Column:
+        return F.try_variant_get(v, F.lit(f"$[{json.dumps(name, ensure_ascii=False)}]"), kind)
+
+    def entries(node: DocNode, v: Column, taken: Sequence[str]) -> list[Column]:
+        types = tables[node.table].schema
+        flex = [f for f in node.fields if f.flex]
+        out = []
+        for f in node.fields:
+            if not f.flex:
+                out.append(member(v, f.label, types[f.column].dataType.simpleString()).alias(f.label))
+            elif f is flex[-1]:
+                free = F.map_filter(F.try_variant_get(v, F.lit("$"), "map<string,variant>"), lambda k, _: ~k.isin(*taken))
+                out.append(F.when(F.size(free) > 0, F.to_json(free)).alias(f.label))
+            else:
+                out.append(F.lit(None).cast("string").alias(f.label))
+        for child in node.children:
+            if child.kind == "object" and child.unnest:
+                out += entries(child, v, taken)
+                continue
+            below = lambda x, c=child: F.struct(*entries(c, x, _level_names(c)), *([member(x, "_page", "bigint").alias("_page")] if has_arrays(c) else []))
+            if child.kind == "object":
+                inside = member(v, child.name, "variant")
+                out.append(F.when(inside.isNotNull() & ~F.is_variant_null(inside), below(inside)).alias(child.name))
+            else:
+                items = F.coalesce(member(v, child.name, "array<variant>"), F.array().cast("array<variant>"))
+                out.append(F.transform(items, lambda x: below(x)).alias(child.name))
+        return out
+
+    rows = docs.withColumn("_v", F.try_parse_json(doc))
+    page = [F.col("_page")] if has_arrays(root) else []
+    return rows.select(*entries(root, F.col("_v"), _level_names(root)), *page)
+
+
 def rename_fields(columns: dict[str, str]) -> Column:
     """A struct of columns under other keys ({column: key})."""
     return F.struct(*[F.col(c).alias(k) for c, k in columns.items()])

@@ -48,6 +48,47 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
     return both.select(*keys, change.alias("change"), "old", "new").filter("change IS NOT NULL")
 
 
+def _digests(df: DataFrame, place: Sequence[Column], columns: Sequence[str], side: str) -> DataFrame:
+    """Per place the number of rows and order-free sums over hashes of whole rows, in 126 bits."""
+    low = F.lit((1 << 31) - 1)
+    rows = df.select(*[p.alias(f"_{side}{i}") for i, p in enumerate(place)], F.xxhash64(*columns).alias("_h"), F.xxhash64(F.lit(7), *columns).alias("_g"))
+    sums = [F.count("*"), F.bit_xor("_h"), F.sum(F.col("_h").bitwiseAND(low)), F.sum(F.col("_g").bitwiseAND(low))]
+    return rows.groupBy(*[f"_{side}{i}" for i in range(len(place))]).agg(F.struct(*[x.alias(f"s{i}") for i, x in enumerate(sums)]).alias(f"_{side}"))
+
+
+def _differing(old: DataFrame, new: DataFrame, place: Sequence[Column], columns: Sequence[str]) -> DataFrame:
+    """(p0, p1 ...): places whose digests are not the same on both sides."""
+    a, b = _digests(old, place, columns, "a"), _digests(new, place, columns, "b")
+    both = a.join(b, by_name([(f"_a{i}", f"_b{i}") for i in range(len(place))], null_safe=True), "full_outer")
+    names = [F.coalesce(f"_a{i}", f"_b{i}").alias(f"p{i}") for i in range(len(place))]
+    return both.filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(*names)
+
+
+def snapshot_diff_large(old: DataFrame, new: DataFrame, key: Sequence[str], buckets: int = 1 << 14, parts: int = 256) -> DataFrame:
+    """U03 for large snapshots that are nearly equal: the rows of ``snapshot_diff``, for keys that come once.
+
+    A key that comes more than once, alike on both sides, is no change here and
+    may not be reported as ``ambiguous``. Digests of ``buckets`` by key are compared first, then those of ``parts`` of
+    the buckets that differ; only rows of differing parts are shuffled whole.
+    The rest of both snapshots costs two scans and a row of sums per task and
+    bucket. Where most buckets differ the parts are not looked at.
+    """
+    columns = list(dict.fromkeys([*key, *new.columns]))
+    old = old.select(*columns)
+    wide = [F.pmod(F.xxhash64(*key), F.lit(buckets)), F.pmod(F.xxhash64(F.lit(3), *key), F.lit(parts))]
+    first = store(_differing(old, new, wide[:1], columns), "buckets")
+    if 2 * first.count() > buckets:
+        return snapshot_diff(old.select(*new.columns), new, key)
+
+    def inside(df: DataFrame, places: DataFrame, n: int) -> DataFrame:
+        marked = df.select("*", *[p.alias(f"_w{i}") for i, p in enumerate(wide[:n])])
+        return lookup(marked, places, [(f"_w{i}", f"p{i}") for i in range(n)], "left_semi", unique=True).select(*df.columns)
+
+    near = inside(old, first, 1), inside(new, first, 1)
+    second = store(_differing(*near, wide, columns), "parts")
+    return snapshot_diff(inside(old, second, 2).select(*new.columns), inside(new, second, 2), key)
+
+
 def snapshot_diff_two_keys(old: DataFrame, new: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """(matched_by, old, new): the same item when the id matches, else when the name does.
 

@@ -288,3 +288,33 @@ def test_empty_live_tables(spark, frames, tmp_path):
     assert rejects.count() == 0 and rows(live.read("lines")) == rows(frames["lines"])
     with pytest.raises(ValueError, match="already"):
         create_tables(spark, live.folder, frames, {})
+
+
+def test_flex_at_every_level_and_back(spark):
+    tables = {
+        "a": spark.createDataFrame([(1, 7, '{"z":[1,{"q":null}],"id":5}'), (2, None, None), (3, 8, "{}")], "id int, up int, more string"),
+        "u": spark.createDataFrame([(7, 'x"y', '{"free":true,"l":1}'), (8, None, None)], "k int, name string, extra string"),
+        "i": spark.createDataFrame([(1, 1, "1.50", '{"deep":{"m":[[]]}}'), (1, 2, None, None), (3, 1, "2.00", '{"n":9,"o":"é"}')], "o int, n int, p string, rest string"),
+        "j": spark.createDataFrame([(1, 1, '{"w":1}'), (2, 1, None)], "j int, own int, f string"),
+    }
+    tables["i"] = tables["i"].withColumn("p", F.col("p").cast("decimal(8,2)"))
+    leaf = DocNode("j", (DocField("j"), DocField("f", flex=True)), "leaves", "array", (("n", "own"),), order=("j",), key=("j",))
+    for unnest in (False, True):
+        up = DocNode("u", (DocField("k"), DocField("name"), DocField("extra", flex=True)) if not unnest else (DocField("k"), DocField("name")), "buyer", "object", (("up", "k"),), key=("k",), unnest=unnest)
+        items = DocNode("i", (DocField("n"), DocField("p", key="price"), DocField("rest", flex=True)), "items", "array", (("id", "o"),), order=("n",), key=("o", "n"), children=(leaf,))
+        root = DocNode("a", (DocField("id"), DocField("up"), DocField("more", flex=True)), key=("id",), children=(up, items))
+        texts = D.build_documents(root, tables, as_json=True)
+        docs = {r["id"]: json.loads(r["doc"]) for r in texts.collect()}
+        assert docs[1]["z"] == [1, {"q": None}] and docs[1]["id"] == 1
+        assert docs[1]["items"][0]["deep"] == {"m": [[]]} and docs[1]["items"][0]["leaves"] == [{"j": 1, "w": 1}, {"j": 2}]
+        assert docs[3]["items"][0] == {"n": 1, "price": 2.0, "_page": 0, "leaves": [{"j": 1, "w": 1}, {"j": 2}], "o": "é"}
+        if not unnest:
+            assert docs[1]["buyer"] == {"k": 7, "name": 'x"y', "free": True, "l": 1} and docs[2]["buyer"] is None
+        back = D.parse_documents(texts, root, tables)
+        got, _ = D.shred(back, root)
+        assert rows(got["i"], "o", "n", "p") == rows(tables["i"], "o", "n", "p")
+        assert rows(got["i"], "o", "n", "rest") == [(1, 1, '{"deep":{"m":[[]]}}'), (1, 2, None), (3, 1, '{"o":"é"}')]
+        assert rows(got["u"], "k", "name") == rows(tables["u"], "k", "name")
+        # an entry that a field hides, and an empty object, do not come back
+        assert rows(got["a"], "id", "more") == [(1, '{"z":[1,{"q":null}]}'), (2, None), (3, None)]
+        assert D.parse_documents(texts.withColumn("doc", F.lit("{bad")), root, tables).filter("id is not null").count() == 0

@@ -1,5 +1,7 @@
 """Edge cases on small frames, against values worked out by hand or by a plain loop."""
 
+import re
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -509,3 +511,20 @@ def test_range_rejects_and_lists(spark):
     kept, rejects = L.partition_range(df, "v", [("a", 5), ("b", 10)])
     assert rows(kept) == [(1, "a"), (5, "b")] and rejects.count() == 2
     assert rows(L.partition_interval(df.dropna(), "v", 4, 2), "p") == [(-1,), (0,), (2,)]
+
+
+def test_posting_blocks(spark, tmp_path):
+    df = spark.range(-30, 1000).select(F.col("id").alias("k"), F.array(F.lit("all"), (F.col("id") % 97).cast("string"), F.lit("all")).alias("m")).unionByName(
+        spark.sql("select cast(null as bigint) k, array('all') m union all select 5000, null")
+    )
+    blocks = A.posting_blocks(df, "k", F.col("m"), span=64)
+    plan = plan_of(blocks)
+    assert plan[: plan.index("(1)")].count("Exchange") == 1
+    hot = rows(blocks.filter("value = 'all'"), "first", "last", "n")
+    assert len(hot) == 17 and sum(r[2] for r in hot) == 1030 and max(r[2] for r in hot) == 64 and hot.count((-30, -1, 30)) == 1
+    stored = sinks.write_clustered(blocks, [("value", "asc"), ("first", "asc")], str(tmp_path / "blocks"))
+    found = A.lookup_postings(stored, ["all", "3"], 100, 202)
+    assert rows(found) == sorted([("all", i) for i in range(100, 203)] + [("3", 100), ("3", 197)], key=repr)
+    pushed = re.search(r"PushedFilters: .*", plan_of(found))[0]
+    assert "LessThanOrEqual(first,202)" in pushed and "GreaterThanOrEqual(last,100)" in pushed and "In(value" in pushed
+    assert A.lookup_postings(stored, []).count() == 0
