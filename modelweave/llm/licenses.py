@@ -32,6 +32,7 @@ TEMPLATES = {
     "spdx-mit": "SPDX-License-Identifier: MIT",
 }
 THRESHOLD = 0.8
+LINES = 5  # the longest notice at 50 letters a line
 
 
 def _tokens(text: str) -> list[str]:
@@ -64,12 +65,15 @@ def scan_licenses(
     phrases: dict[str, str] | None = None,
     threshold: float = THRESHOLD,
     block: str = "\n",
+    lines: int = LINES,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """One row per row of ``docs``: n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    A block is a piece of the text between two ``block`` marks. labels adds to
+    A block is a run of ``lines`` pieces of the text between ``block`` marks, one
+    run from each piece on, so that a notice that is wrapped stands in one block;
+    a text of fewer pieces is one block. labels adds to
     the phrases' labels those of the templates of which some block holds at
     least ``threshold``; score is the largest such share, 1 where a phrase
     stands, else 0. Null and empty texts have no words and no labels. Repeated
@@ -107,15 +111,18 @@ def scan_licenses(
     )
     scanned = store(scanned, "license_scan")
 
-    lines = scanned.filter("_t is not null").dropDuplicates(key).select(*key, F.explode(F.array_distinct(F.split("_t", block))).alias("_b"))
-    lines = lines.withColumn("_b", F.array_distinct(words_of(F.col("_b"))))
-    lines = lines.filter(F.arrays_overlap("_b", literal_array(sorted(prefix)))) if prefix else lines.filter("false")
+    split = scanned.filter("_t is not null").dropDuplicates(key).select(*key, F.split("_t", block).alias("_l"))
+    begin = F.sequence(F.lit(1), F.greatest(F.size("_l") - (lines - 1), F.lit(1)))
+    runs = F.transform(begin, lambda i: F.array_join(F.slice("_l", i, F.lit(lines)), " "))
+    blocks = split.select(*key, F.explode(F.array_distinct(runs)).alias("_b"))
+    blocks = blocks.withColumn("_b", F.array_distinct(words_of(F.col("_b"))))
+    blocks = blocks.filter(F.arrays_overlap("_b", literal_array(sorted(prefix)))) if prefix else blocks.filter("false")
     # the shared tokens of a block in global order, rarest first
-    lines = lines.withColumn("_v", F.array_intersect(literal_array(order), F.col("_b")))
-    lines = lines.select(*key, "_v", F.size("_b").alias("_n"), F.posexplode("_v").alias("_q", "w"))
+    blocks = blocks.withColumn("_v", F.array_intersect(literal_array(order), F.col("_b")))
+    blocks = blocks.select(*key, "_v", F.size("_b").alias("_n"), F.posexplode("_v").alias("_q", "w"))
     table = docs.sparkSession.createDataFrame(rows, "w string, label string, p int, size int, need int, tokens array<string>")
     # broadcast is bounded by the template list given in code
-    met = lines.join(F.broadcast(table), "w").filter("_n >= need and size - p >= need and size(_v) - _q >= need")
+    met = blocks.join(F.broadcast(table), "w").filter("_n >= need and size - p >= need and size(_v) - _q >= need")
     shared = F.size(F.array_intersect("_v", "tokens"))
     met = met.filter(shared >= F.col("need")).select(*key, "label", (shared / F.col("size")).alias("score"))
     met = met.groupBy(*key).agg(F.collect_set("label").alias("_more"), F.max("score").alias("_s"))
@@ -135,7 +142,7 @@ _WORDS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTU
 
 
 def _sql() -> str:
-    """The same rows by comparing every line with every template."""
+    """The same rows by comparing every run of lines with every template."""
     sets = ", ".join(f"('{label}', {_tokens(t)!r}, {_needed(len(_tokens(t)), THRESHOLD)})" for label, t in TEMPLATES.items())
     phrases = ", ".join(f"('{label}', {name.split()!r})" for name, label in PHRASES.items())
     return f"""
@@ -144,7 +151,8 @@ t(label, tokens, need) AS (VALUES {sets}),
 p(label, words) AS (VALUES {phrases}),
 hit AS (SELECT doc_id, label, i - 1 AS pos FROM (SELECT doc_id, w, label, words, unnest(range(1, len(w) + 1)) AS i FROM d, p WHERE list_contains(w, words[1])) WHERE w[i:i + len(words) - 1] = words),
 base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM hit GROUP BY doc_id),
-line AS (SELECT DISTINCT doc_id, {_WORDS.format("line")} AS b FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
+line AS (SELECT DISTINCT doc_id, {_WORDS.format("line")} AS b FROM (
+  SELECT doc_id, array_to_string(l[i:i + {LINES - 1}], ' ') AS line FROM (SELECT doc_id, l, unnest(range(1, greatest(len(l) - {LINES - 1}, 1) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM d)))),
 sim AS (SELECT doc_id, label, len(list_intersect(b, tokens)) AS n, len(tokens) AS size, need FROM line, t WHERE len(b) > 0),
 met AS (SELECT doc_id, label, n / size AS score FROM sim WHERE n >= need),
 best AS (SELECT doc_id, max(score) AS s FROM met GROUP BY doc_id),

@@ -248,3 +248,16 @@ def test_texts_are_shuffled_once(spark):
             assert "ReusedExchange" in final
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_wrapped_notices(spark):
+    """A notice that is broken over lines is found; one whose words lie lines apart is not."""
+    tail = ", to deal in the Software without restriction"
+    mit = (licenses.TEMPLATES["mit"] + tail).split()
+    wrap = lambda k: "\n".join(" ".join(mit[i : i + k]) for i in range(0, len(mit), k))
+    docs = [(1, "head\nline\nmore\n" + wrap(12) + "\nend"), (2, "\n".join(mit)), (3, wrap(30)), (4, "\n" * 9 + wrap(9)), (5, wrap(6).replace("\n", "\n" * 6))]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan_licenses(frame(spark, docs)).collect()}
+    assert got[1] == got[3] == got[4] == ("mit", 1.0)
+    assert got[2] == got[5] == ("", 0.0)
+    one = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(frame(spark, docs), lines=1).collect()}
+    assert one == {1: "", 2: "", 3: "mit", 4: "", 5: ""}
