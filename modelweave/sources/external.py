@@ -23,7 +23,9 @@ def read_external(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows and rejected lines; fails when more lines are rejected than ``reject_limit`` (None: no limit).
 
-    The parsed lines are stored once, since both results and the count read them.
+    One pass finds the rejected lines and stores them. Rows are read from the
+    files themselves; whatever columns of them are used, a line is parsed whole,
+    so that a fault in another column rejects it all the same.
     """
     parsed = (
         spark.read.format(fmt)
@@ -31,8 +33,11 @@ def read_external(
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, **options)
         .load(list(paths))
     )
-    parsed = store(parsed, "external")
-    rejects = parsed.filter(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
-    if reject_limit is not None and (found := rejects.count()) > reject_limit:
-        raise ValueError(f"{found} rejected lines, limit is {reject_limit}")
+    # always true, but only known from all columns
+    fields = [F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in schema.fields]
+    parsed = parsed.filter(F.xxhash64(*fields) >= -(1 << 63))
+    found = parsed.filter(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
+    rejects = store(found, "rejects")
+    if reject_limit is not None and (count := rejects.count()) > reject_limit:
+        raise ValueError(f"{count} rejected lines, limit is {reject_limit}")
     return parsed.filter(F.col(_BAD).isNull()).drop(_BAD), rejects

@@ -474,6 +474,13 @@ def test_reject_limit(spark, read):
     schema = T.StructType().add("n_nationkey", "integer").add("n_name", "string")
     fetched, rejects = external.read_external(spark, [path], "csv", schema, 2)
     assert fetched.count() == 25 and sorted(values(rejects, "line")) == ["x,bad", "y,bad"]
+    # a line is bad whatever columns are read of it, and good rows come from the files themselves
+    assert fetched.select("n_name").filter("n_name = 'bad'").count() == 0 and fetched.select("n_name").distinct().count() == 25
+    assert "FileScan csv" in plan_of(fetched) or "Scan csv" in plan_of(fetched)
+    lines = new_folder(spark, "json")
+    spark.createDataFrame([('{"a":1,"b":2}',), ('{"a":1,"b":"x"}',), ("{",)], "v string").write.text(lines)
+    fetched, bad = external.read_external(spark, [lines], "json", T.StructType().add("a", "integer").add("b", "integer"))
+    assert fetched.count() == fetched.select("a").count() == 1 and bad.count() == 2
     with pytest.raises(ValueError, match="2 rejected lines"):
         external.read_external(spark, [path], "csv", schema, 1)
 
