@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 from checks.common import Registry, dec
 from modelweave.operators import projections as P
 from modelweave.plans.workspace import new_folder
+from modelweave.operators.appends import append_rows
 from modelweave.sources import external, sinks, tables
+from modelweave.sources.live import create_tables
 
 R = Registry()
 
@@ -117,6 +119,22 @@ def _(t):
     return line(after, "table").unionByName(line(rejects, "rejects"))
 
 
+@R.add(
+    "s07_append_rows",
+    """SELECT 'table' AS part, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders WHERE o_orderkey % 4 < 3
+    UNION ALL SELECT 'rejects', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderkey % 4 = 1 AND o_totalprice > 400000""",
+)
+def _(t):
+    orders = t("orders")
+    spark = orders.sparkSession
+    live = create_tables(spark, new_folder(spark, "live"), {"orders": orders.filter("o_orderkey % 4 < 2")}, {"orders": ["o_orderkey"]}, 16)
+    batch = orders.filter("o_orderkey % 4 = 2 or (o_orderkey % 4 = 1 and o_totalprice > 400000)")
+    live, rejects = append_rows(live, "orders", batch, ["o_orderkey"])
+    sums = [F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")]
+    parts = [df.agg(*sums).select(F.lit(part).alias("part"), "n", "keys") for part, df in (("table", live.read("orders")), ("rejects", rejects))]
+    return parts[0].unionByName(parts[1])
+
+
 @R.add(
     "s08_retention_check",
     """SELECT event_id, ts FROM events WHERE event_type = 'error' AND ts + INTERVAL 16 DAY > TIMESTAMP '2024-01-31 00:00:00'""",

@@ -3,23 +3,27 @@
 The lists are versions below ``_live`` of one folder for all its tables, so one
 new list makes a change of several tables visible at once. A version counts when
 it is complete; two writers that start from one version cannot both make the
-next. Files that no version lists any more are left to a clean-up.
+next. Files that no version lists any more are left to a clean-up. A list also
+keeps the range of the first key column of each file, where it is a number or a
+time, so that a reader of some keys opens the files that may hold them.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from math import inf, nextafter
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from modelweave.plans.lines import as_number, on_a_line
 from modelweave.plans.positions import in_order
 
-_LIST = "table_name string, file_name string, schema string"
+_LIST = "table_name string, file_name string, schema string, low double, high double"
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -36,6 +40,7 @@ class LiveTables:
     version: int
     files: dict[str, list[str]]
     schemas: dict[str, T.StructType]
+    ranges: dict[str, tuple[float, float]] = field(default_factory=dict)  # by file name without folder
 
     def read(self, table: str, only: Iterable[str] | None = None) -> DataFrame:
         """Rows of the live files, or of those named in ``only``."""
@@ -57,7 +62,14 @@ class LiveTables:
         place = f"{table}/{uuid4().hex}"
         (in_order(rows, list(keys), partitions=partitions) if keys else rows).write.parquet(f"{self.folder}/{place}")
         system, path = _hadoop(self.spark, f"{self.folder}/{place}")
-        return [f"{place}/{s.getPath().getName()}" for s in system.listStatus(path) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+        names = [s.getPath().getName() for s in system.listStatus(path) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+        if names and keys and on_a_line(rows.schema[keys[0]].dataType):
+            stored = self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{place}")
+            at = as_number(F.col(f"`{keys[0]}`"), rows.schema[keys[0]].dataType)
+            ends = stored.select(F.col("_metadata.file_name").alias("f"), at.alias("x")).groupBy("f").agg(F.min("x"), F.max("x"))
+            # one step wider, as a long may lie between two doubles
+            self.ranges |= {r[0]: (nextafter(r[1], -inf), nextafter(r[2], inf)) for r in ends.collect() if r[1] is not None}
+        return [f"{place}/{name}" for name in names]
 
     def commit(self, gone: dict[str, Iterable[str]], added: dict[str, list[str]], schemas: dict[str, T.StructType] | None = None) -> "LiveTables":
         """The next version: without the files named in ``gone``, with those in ``added``."""
@@ -67,10 +79,11 @@ class LiveTables:
             lost = set(gone.get(table, ()))
             kept = [f for f in self.files.get(table, []) if f.rpartition("/")[2] not in lost]
             files[table] = kept + added.get(table, [])
-        rows = [(t, f, None) for t, names in files.items() for f in names] + [(t, None, s.json()) for t, s in schemas.items()]
+        ends = lambda f: self.ranges.get(f.rpartition("/")[2], (None, None))
+        rows = [(t, f, None, *ends(f)) for t, names in files.items() for f in names] + [(t, None, s.json(), None, None) for t, s in schemas.items()]
         path = f"{self.folder}/_live/{self.version + 1:010d}"
         self.spark.createDataFrame(rows, _LIST).coalesce(1).write.mode("errorifexists").parquet(path)
-        return LiveTables(self.spark, self.folder, self.version + 1, files, schemas)
+        return LiveTables(self.spark, self.folder, self.version + 1, files, schemas, dict(self.ranges))
 
 
 def open_tables(spark: SparkSession, folder: str) -> LiveTables:
@@ -88,7 +101,8 @@ def open_tables(spark: SparkSession, folder: str) -> LiveTables:
     for r in rows:
         if r["file_name"]:
             files[r["table_name"]].append(r["file_name"])
-    return LiveTables(spark, folder, int(last), {t: sorted(f) for t, f in files.items()}, schemas)
+    ranges = {r["file_name"].rpartition("/")[2]: (r["low"], r["high"]) for r in rows if r["low"] is not None}
+    return LiveTables(spark, folder, int(last), {t: sorted(f) for t, f in files.items()}, schemas, ranges)
 
 
 def create_tables(spark: SparkSession, folder: str, tables: dict[str, DataFrame], keys: dict[str, Sequence[str]], partitions: int | None = None) -> LiveTables:
