@@ -33,6 +33,7 @@ BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability
 REGISTERS = BANDS * ROWS
 BASE, RATE = 1.001, 20.0
 PIVOTS = 4  # of a text in the first rounds
+WORTH = 200  # pairs of a round per link, at most, for another round to follow
 _POINTS = 300_000  # drawn at once: bounds the memory of a task
 _SURE = 6.0  # a register stays without a point with probability exp(-6)
 _NULL_ID = -(1 << 63)
@@ -466,20 +467,17 @@ def _classes(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
             wanted = wanted.join(nodes.filter("id = rep").select(F.col("id").alias("_id"), F.col("d1").alias("_d1")), "_id")
             chosen = texts.join(wanted, texts["id"] == wanted["_id"]).select("id", "_t", "_d1")
             details = store(chosen.mapInArrow(_details(shingle), "id long, n long, regs binary, members binary"), "details")
-        elif most is None and not pairs.limit(1).count():
-            break
         found = store(_true_links(pairs, details, percent), "links")
-        new = found.limit(1).count()
-        if turn and most is None and not new:
-            break
-        # rounds of few pivots join most of a group; only a round with all pivots that finds nothing ends it
-        most = PIVOTS if new and turn < 2 else None
+        new, asked = found.count(), pairs.count()
         tested = pairs if tested is None else tested.union(pairs)
-        turn += 1
         if new or comps is None:
             links = found if links is None else links.union(found)
             comps = smallest_reachable(links)
-    tested = pairs if tested is None else tested.union(pairs)
+        # a round that links few of its pairs costs more than it saves below
+        if turn and new * WORTH <= asked:
+            break
+        most = PIVOTS if new and turn < 2 else None
+        turn += 1
 
     # pivots may miss links between members that are none: what is still open is compared pair by pair
     met = store(_open_buckets(keyed, comps), "open")
