@@ -313,6 +313,7 @@ class _Ledger:
         self.idle: list[tuple[str, str, str]] = []
         self.refs: dict[tuple[str, tuple[str, ...]], int] = {}
         self.entries: dict[str, list[Column]] = {}
+        self.used: dict[str, set[int]] = {}  # refs that the rows of a table enter
         self.slots = 1
         tables = [t for t in model.tables if t.name in frames]
         edges = [fk for fk in model.foreign_keys if fk.child in frames and fk.parent in frames]
@@ -325,7 +326,7 @@ class _Ledger:
                     continue
                 ref = -1 - len(self.rules)
                 self.rules.append(_Rule(n, kind, "VALIDATE", ref, 0))
-                self._add(table.name, F.when(~ok, _entry(ref, None, 0)))
+                self._add(table.name, ref, F.when(~ok, _entry(ref, None, 0)))
             for key in table.keys:
                 kind = "PRIMARY KEY" if key.primary else "UNIQUE"
                 state = " ".join(["VALIDATE" if key.validate else "NOVALIDATE", *(["RELY"] if key.rely else []), *(["DEFERRABLE"] if key.deferrable else [])])
@@ -348,19 +349,20 @@ class _Ledger:
             types = [frames[fk.parent].schema[c].dataType for c in fk.parent_columns]
             value = [F.col(f"`{c}`").cast(t).cast("string") for c, t in zip(fk.columns, types)]
             refers = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in fk.columns])
-            self._add(fk.child, F.when(refers, _entry(ref, F.array(*value), slot)))
+            self._add(fk.child, ref, F.when(refers, _entry(ref, F.array(*value), slot)))
         for (table, columns), ref in self.refs.items():
             value = F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
             whole = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in columns])
             entry = _entry(ref, value, _PRIMARY)
             # only a primary key has something to say of a NULL part
-            self._add(table, entry if ref in primary else F.when(whole, entry))
+            self._add(table, ref, entry if ref in primary else F.when(whole, entry))
 
     def _ref(self, table: str, columns: Sequence[str]) -> int:
         return self.refs.setdefault((table, tuple(columns)), len(self.refs))
 
-    def _add(self, table: str, entry: Column) -> None:
+    def _add(self, table: str, ref: int, entry: Column) -> None:
         self.entries.setdefault(table, []).append(entry)
+        self.used.setdefault(table, set()).add(ref)
 
     def of(self, table: str) -> Column:
         return F.array_compact(F.array(*self.entries[table]))
@@ -418,23 +420,28 @@ def exceptions_table(frames: dict[str, DataFrame], model: Model, row: dict[str,
 
     The values that fail a key or a reference come from the ledger of
     ``constraint_report`` and are stored; then each table is scanned once, its
-    rows exploded into what they enter there and joined with these values.
+    rows exploded into what they enter there and joined with these values, if
+    any of them is its own.
     """
     ledger = _Ledger(frames, model)
     spark = next(iter(frames.values())).sparkSession
     if not ledger.rules:
         return spark.createDataFrame([], "table_name string, constraint_name string, row string")
     bad = store(ledger.failures().filter("ref >= 0").select("ref", "slot", "key"), "failures")
+    failing = {r[0] for r in bad.select("ref").distinct().collect()}  # a few numbers of the model
     names = {(r.ref, r.slot): r.name for r in ledger.rules}
     parts: list[DataFrame] = []
-    for table, entries in ledger.entries.items():
+    for table in ledger.entries:
         columns = dict.fromkeys(row[table])
         own = frames[table].select(F.explode(ledger.of(table)).alias("_e"), *[F.col(f"`{c}`") for c in columns])
-        # a row of a key enters once, and may fail it as PRIMARY KEY and as UNIQUE
-        met = (F.col("_e.ref") == F.col("ref")) & F.col("_e.key").eqNullSafe(F.col("key"))
-        met = met & ((F.col("_e.slot") == F.col("slot")) | ((F.col("_e.slot") < 0) & (F.col("slot") < 0)))
-        wanted = bad.filter(F.col("ref").isin([ref for (t, _), ref in ledger.refs.items() if t == table] + [r.ref for r in ledger.rules if r.slot >= 0 and r.ref >= 0]))
-        hit = own.join(wanted, met, "left").filter((F.col("_e.ref") < 0) | F.col("ref").isNotNull())
+        mine = failing & ledger.used[table]
+        if mine:
+            # a row of a key enters once, and may fail it as PRIMARY KEY and as UNIQUE
+            met = (F.col("_e.ref") == F.col("ref")) & F.col("_e.key").eqNullSafe(F.col("key"))
+            met = met & ((F.col("_e.slot") == F.col("slot")) | ((F.col("_e.slot") < 0) & (F.col("slot") < 0)))
+            hit = own.join(bad.filter(F.col("ref").isin(list(mine))), met, "left").filter((F.col("_e.ref") < 0) | F.col("ref").isNotNull())
+        else:
+            hit = own.filter("_e.ref < 0").withColumns({"ref": F.lit(None).cast("int"), "slot": F.lit(None).cast("int")})
         label = F.create_map(*[F.lit(x) for (ref, slot), name in names.items() for x in (f"{ref}/{slot}", name)])
         place = F.when(F.col("_e.ref") < 0, F.concat(F.col("_e.ref").cast("string"), F.lit("/0"))).otherwise(F.concat_ws("/", F.col("ref").cast("string"), F.col("slot").cast("string")))
         text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
