@@ -35,6 +35,9 @@ BASE, RATE = 1.001, 20.0
 PIVOTS = 4  # of a text in the first rounds
 WORTH = 200  # pairs of a round per link, at most, for another round to follow
 _POINTS = 300_000  # drawn at once: bounds the memory of a task
+_SETS = 1024  # texts whose registers a task holds as floating numbers at once
+_OPEN_KEYS = 1 << 18  # band keys that a task groups at once
+_TASK_BITS = 32  # of the number of a part of a task
 _SURE = 6.0  # a register stays without a point with probability exp(-6)
 _NULL_ID = -(1 << 63)
 _SET_BYTES = 6  # of a shingle's hash in a stored set
@@ -105,9 +108,13 @@ def registers(hashes: np.ndarray, first: np.ndarray, m: int = REGISTERS) -> np.n
             slot = (mix(drawn) % np.uint64(m)).astype(np.int64)
             np.minimum.at(flat, doc[part][which] * m + slot, time)
         number += 1
-    with np.errstate(divide="ignore"):
-        value = np.floor(1 - np.log(low) / np.log(BASE))
-    return np.clip(np.where(np.isfinite(low), value, 0), 0, 65535).astype(np.uint16)
+    out = np.empty((len(count), m), np.uint16)
+    for at in range(0, len(count), _SETS):
+        part = low[at : at + _SETS]
+        with np.errstate(divide="ignore"):
+            value = np.floor(1 - np.log(part) / np.log(BASE))
+        out[at : at + _SETS] = np.clip(np.where(np.isfinite(part), value, 0), 0, 65535)
+    return out
 
 
 def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -163,7 +170,7 @@ def _list(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
 
 def _banded(size: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_t"):
+        for batch in pieces(batches, "_t", rows=_SETS):
             hashes, first = shingle_sets(batch.column(1), size)
             n = np.diff(first)
             one, two = _digests(hashes, first)
@@ -177,28 +184,44 @@ def _banded(size: int) -> Callable:
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The buckets of a task: one row per bucket and component, with all its ids.
+    """The buckets of a part of a task: one row per bucket and component, with all its ids.
 
-    However many copies a task holds, a bucket that they share is one row.
+    However many copies a part holds, a bucket that they share is one row. All
+    keys of a text are in one part; a task goes on with the next part when it
+    holds _OPEN_KEYS, however many texts its split has.
     """
-    keys, ids, comps = [], [], []
+    texts = max(1, _OPEN_KEYS // BANDS)
+    held: list[pa.RecordBatch] = []
+    room, number = texts, 0
     for batch in batches:
-        lists = batch.column(1)
-        n = np.diff(lists.offsets.to_numpy())
-        keys.append(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-        ids.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n))
-        comps.append(np.repeat(batch.column(2).to_numpy(zero_copy_only=False), n))
-    if keys:
-        key, own, comp = np.concatenate(keys), np.concatenate(ids), np.concatenate(comps)
-        both = mix(key + mix(comp.view(np.uint64)))
-        more = {"bucket": key.view(np.int64), "comp": comp, "part": np.full(len(key), TaskContext.get().partitionId())}
-        yield from group_rows(both, more, own, np.zeros(len(own), np.int64))
+        at = 0
+        while at < batch.num_rows:
+            held.append(batch.slice(at, room))
+            at += held[-1].num_rows
+            room -= held[-1].num_rows
+            if not room:
+                yield from _grouped(held, number)
+                held, room, number = [], texts, number + 1
+    if held:
+        yield from _grouped(held, number)
+
+
+def _grouped(held: list[pa.RecordBatch], number: int) -> Iterator[pa.RecordBatch]:
+    table = pa.Table.from_batches(held).combine_chunks()
+    lists = table.column(1).combine_chunks()
+    n = np.diff(lists.offsets.to_numpy())
+    key = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    own, comp = (np.repeat(table.column(i).to_numpy(), n) for i in (0, 2))
+    part = (number << _TASK_BITS) + TaskContext.get().partitionId()
+    both = mix(key + mix(comp.view(np.uint64)))
+    more = {"bucket": key.view(np.int64), "comp": comp, "part": np.full(len(key), part)}
+    yield from group_rows(both, more, own, np.zeros(len(own), np.int64))
 
 
 def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int, most: int | None) -> DataFrame:
     """(a, b): each text of a bucket with the bucket's pivot, where they are not in one component yet.
 
-    The buckets of a task come together again before their pairs become rows.
+    The buckets of a part of a task come together again before their pairs become rows.
     """
     over = Window.partitionBy("bucket")
     schema = group_schema("bucket long", "comp long", "part long")
@@ -249,7 +272,7 @@ def _details(size: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # repeated rows meet in one task
-        for batch in pieces(batches, "_t"):
+        for batch in pieces(batches, "_t", rows=_SETS):
             hashes, first = shingle_sets(batch.column(1), size)
             one, _ = _digests(hashes, first)
             new = np.zeros(batch.num_rows, bool)
@@ -278,13 +301,13 @@ def _likely(threshold: float) -> Callable:
     least = threshold - 5 * np.sqrt(threshold * (1 - threshold) / REGISTERS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (2, 3))
-            na, nb = (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (4, 5))
-            keep = (np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-6) & (joint_similarity(a, b, na, nb) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+        for whole in batches:
+            for at in range(0, whole.num_rows, _SETS):
+                batch = whole.slice(at, _SETS)
+                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (2, 3))
+                na, nb = (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (4, 5))
+                keep = (np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-6) & (joint_similarity(a, b, na, nb) >= least)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
     return run
 
@@ -302,10 +325,11 @@ def _confirmed(percent: int) -> Callable:
         last, pivot = None, np.zeros(0, np.uint64)
         for batch in batches:
             keep = []
-            for b, one, two in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            # a pair at a time: sets of a whole batch would be a second copy of it
+            for row, b in enumerate(batch.column(1).to_pylist()):
                 if b != last:
-                    last, pivot = b, _unpack(two)
-                other = _unpack(one)
+                    last, pivot = b, _unpack(batch.column(3)[row].as_py())
+                other = _unpack(batch.column(2)[row].as_py())
                 at = np.searchsorted(pivot, other)
                 both = int((pivot[np.minimum(at, len(pivot) - 1)] == other).sum())
                 keep.append(100 * both >= percent * (len(pivot) + len(other) - both))
@@ -327,7 +351,7 @@ def _true_links(pairs: DataFrame, details: DataFrame, percent: int) -> DataFrame
 
 
 def _open_buckets(keyed: DataFrame, comps: DataFrame) -> DataFrame:
-    """Buckets of several components: a row per bucket, component and task, with its ids.
+    """Buckets of several components: a row per bucket, component and part of a task, with its ids.
 
     ``_m`` counts the members, ``_d`` is a large component of the bucket and
     ``_md`` its members.

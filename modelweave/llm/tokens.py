@@ -111,14 +111,15 @@ def find_words(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, start, end, np.searchsorted(start, offsets), hashes)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with at most ``limit`` bytes of text each, or with one row."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with at most ``limit`` bytes of text each, or with one row; of ``rows`` rows at most."""
     for batch in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.names.index(column))), 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < batch.num_rows:
             before = sizes[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(sizes, before + limit, "right")))
+            to = to if rows is None else min(to, at + rows)
             yield batch.slice(at, to - at)
             at = to
 

@@ -127,6 +127,38 @@ def test_registers_merge_and_estimate():
     assert abs(got - 1000 / 1200) < 0.08
 
 
+def test_buckets_are_grouped_part_by_part(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    class Task:
+        get = staticmethod(lambda: type("Context", (), {"partitionId": lambda self: 5})())
+
+    monkeypatch.setattr(near_duplicates, "TaskContext", Task)
+    monkeypatch.setattr(near_duplicates, "_OPEN_KEYS", 48 * 10, raising=False)
+    read = []
+
+    def batches():
+        for at in range(0, 70, 7):
+            read.append(at)
+            ids = np.arange(at, at + 7)
+            keys = pa.ListArray.from_arrays(pa.array(np.arange(8) * 48, pa.int32()), pa.array(np.concatenate([np.arange(48) + 1000 * (i % 3) for i in ids])))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), keys, pa.array(ids % 2)], ["id", "keys", "comp"])
+
+    out = near_duplicates._buckets(batches())
+    first = next(out)
+    # a task of any size holds a part of its texts at once
+    assert len(read) <= 2
+    found, parts = [], set()
+    for batch in [first, *out]:
+        for r in batch.to_pylist():
+            more = r["more"][::2] if r["more"] else []
+            found += [(r["bucket"], r["comp"], i) for i in (r["id"], *more)]
+            parts.add(r["part"])
+    assert sorted(found) == sorted((k + 1000 * (i % 3), i % 2, i) for i in range(70) for k in range(48))
+    assert len(parts) == 7 and {p % 2**32 for p in parts} == {5}
+
+
 def test_decontamination(spark):
     r = random.Random(3)
     item, short = words(r, 40), "unusualone unusualtwo"
