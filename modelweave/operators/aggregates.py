@@ -14,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from modelweave.functions.scalars import json_kind, trim_all
 from modelweave.model import Model, Table
@@ -299,12 +300,14 @@ _PRIMARY, _UNIQUE = -1, -2
 
 
 class _Ledger:
-    """All constraints of a model over one stream of (ref, key, slot) entries.
+    """All constraints of a model over one stream of (ref, k0, k1, rest, slot) entries.
 
     A ref is a list of columns of a table that is a key or is referred to; each
     row enters its own key values there, and each row of a child the values it
     refers to. What fails a rule on single rows is an entry of a ref of its own.
-    One aggregate over (ref, key) then sees duplicates and orphans of all tables.
+    One aggregate over ref and value then sees duplicates and orphans of all tables.
+    The first two whole numbers of a value are ``k0`` and ``k1``, all else is text
+    in ``rest``: a few bytes per entry, also in a join.
     """
 
     def __init__(self, frames: dict[str, DataFrame], model: Model) -> None:
@@ -312,8 +315,8 @@ class _Ledger:
         self.rules: list[_Rule] = []
         self.idle: list[tuple[str, str, str]] = []
         self.refs: dict[tuple[str, tuple[str, ...]], int] = {}
-        self.entries: dict[str, list[Column]] = {}
-        self.used: dict[str, set[int]] = {}  # refs that the rows of a table enter
+        self.entries: dict[str, list[tuple[int, Column]]] = {}  # of a table: refs that its rows enter, and how
+        self.tests: dict[str, list[Column]] = {}  # of a table: names of the rules that a row fails by itself
         self.slots = 1
         tables = [t for t in model.tables if t.name in frames]
         edges = [fk for fk in model.foreign_keys if fk.child in frames and fk.parent in frames]
@@ -326,7 +329,8 @@ class _Ledger:
                     continue
                 ref = -1 - len(self.rules)
                 self.rules.append(_Rule(n, kind, "VALIDATE", ref, 0))
-                self._add(table.name, ref, F.when(~ok, _entry(ref, None, 0)))
+                self._add(table.name, ref, F.when(~ok, _entry(ref, [], 0)))
+                self.tests.setdefault(table.name, []).append(F.when(~ok, F.lit(n)))
             for key in table.keys:
                 kind = "PRIMARY KEY" if key.primary else "UNIQUE"
                 state = " ".join(["VALIDATE" if key.validate else "NOVALIDATE", *(["RELY"] if key.rely else []), *(["DEFERRABLE"] if key.deferrable else [])])
@@ -347,11 +351,11 @@ class _Ledger:
             self.slots = max(self.slots, slot + 1)
             self.rules.append(_Rule(name, "FOREIGN KEY", "VALIDATE", ref, slot))
             types = [frames[fk.parent].schema[c].dataType for c in fk.parent_columns]
-            value = [F.col(f"`{c}`").cast(t).cast("string") for c, t in zip(fk.columns, types)]
+            value = [(F.col(f"`{c}`").cast(t), t) for c, t in zip(fk.columns, types)]
             refers = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in fk.columns])
-            self._add(fk.child, ref, F.when(refers, _entry(ref, F.array(*value), slot)))
+            self._add(fk.child, ref, F.when(refers, _entry(ref, value, slot)))
         for (table, columns), ref in self.refs.items():
-            value = F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
+            value = [(F.col(f"`{c}`"), frames[table].schema[c].dataType) for c in columns]
             whole = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in columns])
             entry = _entry(ref, value, _PRIMARY)
             # only a primary key has something to say of a NULL part
@@ -361,30 +365,49 @@ class _Ledger:
         return self.refs.setdefault((table, tuple(columns)), len(self.refs))
 
     def _add(self, table: str, ref: int, entry: Column) -> None:
-        self.entries.setdefault(table, []).append(entry)
-        self.used.setdefault(table, set()).add(ref)
+        self.entries.setdefault(table, []).append((ref, entry))
 
-    def of(self, table: str) -> Column:
-        return F.array_compact(F.array(*self.entries[table]))
+    def enter(self, table: str, refs: set[int] | None = None, beside: Sequence[Column] = ()) -> DataFrame:
+        """(ref, k0, k1, rest, slot) that the rows of a table enter, or enter at some refs, with the columns ``beside`` as ``_r``."""
+        each = F.array(*[e for ref, e in self.entries[table] if refs is None or ref in refs])
+        entered = self.frames[table].select(F.explode(each).alias("_e"), *([F.struct(*beside).alias("_r")] if beside else []))
+        return entered.filter("_e is not null").select("_e.*", *(["_r"] if beside else []))
 
     def groups(self) -> DataFrame:
-        """(ref, key, n, c0, c1 ...): rows of the referred table and of each reference, per value."""
-        parts = [self.frames[t].select(F.explode(self.of(t)).alias("_e")).select("_e.*") for t in self.entries]
+        """(ref, k0, k1, rest, n, c0, c1 ...): rows of the referred table and of each reference, per value."""
+        parts = [self.enter(t) for t in self.entries]
         counts = [F.count_if(F.col("slot") == j).alias(f"c{j}") for j in range(self.slots)]
-        return reduce(DataFrame.unionByName, parts).groupBy("ref", "key").agg(F.count_if(F.col("slot") < 0).alias("n"), *counts)
+        return reduce(DataFrame.unionByName, parts).groupBy("ref", *_VALUE).agg(F.count_if(F.col("slot") < 0).alias("n"), *counts)
 
     def failures(self) -> DataFrame:
-        """(ref, slot, key, amount): values with failing rows, and how many."""
-        empty = F.coalesce(F.exists("key", lambda x: x.isNull()), F.lit(False))
+        """(ref, slot, k0, k1, rest, amount): values with failing rows, and how many."""
+        empty = F.startswith("rest", F.lit(_GAP))
         n = F.col("n")
         found = [(_PRIMARY, F.when((n > 1) | empty, n)), (_UNIQUE, F.when((n > 1) & ~empty, n))]
         found += [(j, F.when(n == 0, F.col(f"c{j}"))) for j in range(self.slots)]
         each = F.array(*[F.struct(F.lit(slot).alias("slot"), amount.alias("amount")) for slot, amount in found])
-        return self.groups().select("ref", "key", F.explode(each).alias("_f")).select("ref", "_f.slot", "key", "_f.amount").filter("amount > 0")
+        # most values fail nothing and end before they become rows
+        wrong = reduce(or_, [F.coalesce(amount > 0, F.lit(False)) for _, amount in found])
+        rows = self.groups().filter(wrong).select("ref", *_VALUE, F.explode(each).alias("_f"))
+        return rows.select("ref", "_f.slot", *_VALUE, "_f.amount").filter("amount > 0")
 
 
-def _entry(ref: int, key: Column | None, slot: int) -> Column:
-    return F.struct(F.lit(ref).alias("ref"), (F.lit(None).cast("array<string>") if key is None else key).alias("key"), F.lit(slot).alias("slot"))
+_VALUE = ("k0", "k1", "rest")
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_GAP = "?"  # begins the rest of a value with a NULL part, which has all its parts there
+
+
+def _entry(ref: int, value: Sequence[tuple[Column, T.DataType]], slot: int) -> Column:
+    numbers = [i for i, (_, kind) in enumerate(value) if isinstance(kind, _WHOLE)][:2]
+    k0, k1 = [*[value[i][0].cast("bigint") for i in numbers], F.lit(0).cast("bigint"), F.lit(0).cast("bigint")][:2]
+    text = lambda parts: F.to_json(F.array(*[c.cast("string") for c in parts]))
+    others = [c for i, (c, _) in enumerate(value) if i not in numbers]
+    rest = text(others) if others else F.lit("")
+    if value:
+        gap = reduce(or_, [c.isNull() for c, _ in value])
+        rest = F.when(gap, F.concat(F.lit(_GAP), text([c for c, _ in value]))).otherwise(rest)
+        k0, k1 = (F.when(gap, F.lit(0).cast("bigint")).otherwise(k) for k in (k0, k1))
+    return F.struct(F.lit(ref).alias("ref"), k0.alias("k0"), k1.alias("k1"), rest.alias("rest"), F.lit(slot).alias("slot"))
 
 
 def _listed(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
@@ -419,32 +442,37 @@ def exceptions_table(frames: dict[str, DataFrame], model: Model, row: dict[str,
     """(table, constraint, row) of every failing row; ``row`` names the columns kept per table, as JSON.
 
     The values that fail a key or a reference come from the ledger of
-    ``constraint_report`` and are stored; then each table is scanned once, its
-    rows exploded into what they enter there and joined with these values, if
-    any of them is its own.
+    ``constraint_report`` and are stored. A row then meets them with what it
+    enters at a key or reference that fails somewhere; rules on single rows
+    need no join.
     """
     ledger = _Ledger(frames, model)
     spark = next(iter(frames.values())).sparkSession
     if not ledger.rules:
         return spark.createDataFrame([], "table_name string, constraint_name string, row string")
-    bad = store(ledger.failures().filter("ref >= 0").select("ref", "slot", "key"), "failures")
+    names = {f"{r.ref}/{r.slot}": r.name for r in ledger.rules if r.ref >= 0}
+    place = F.concat_ws("/", F.col("ref").cast("string"), F.col("slot").cast("string"))
+    bad = store(ledger.failures().filter((F.col("ref") >= 0) & place.isin(list(names))).select("ref", "slot", *_VALUE), "failures")
     failing = {r[0] for r in bad.select("ref").distinct().collect()}  # a few numbers of the model
-    names = {(r.ref, r.slot): r.name for r in ledger.rules}
     parts: list[DataFrame] = []
     for table in ledger.entries:
-        columns = dict.fromkeys(row[table])
-        own = frames[table].select(F.explode(ledger.of(table)).alias("_e"), *[F.col(f"`{c}`") for c in columns])
-        mine = failing & ledger.used[table]
+        columns = [F.col(f"`{c}`") for c in dict.fromkeys(row[table])]
+        found: list[DataFrame] = []
+        if table in ledger.tests:
+            failed = frames[table].select(F.explode(F.array(*ledger.tests[table])).alias("constraint_name"), F.struct(*columns).alias("_r"))
+            found.append(failed.filter("constraint_name is not null"))
+        mine = failing & {ref for ref, _ in ledger.entries[table]}
         if mine:
+            own = ledger.enter(table, mine, columns)
+            own = own.select("_r", *[F.col(c).alias(f"_{c}") for c in ("ref", "slot", *_VALUE)])
             # a row of a key enters once, and may fail it as PRIMARY KEY and as UNIQUE
-            met = (F.col("_e.ref") == F.col("ref")) & F.col("_e.key").eqNullSafe(F.col("key"))
-            met = met & ((F.col("_e.slot") == F.col("slot")) | ((F.col("_e.slot") < 0) & (F.col("slot") < 0)))
-            hit = own.join(bad.filter(F.col("ref").isin(list(mine))), met, "left").filter((F.col("_e.ref") < 0) | F.col("ref").isNotNull())
-        else:
-            hit = own.filter("_e.ref < 0").withColumns({"ref": F.lit(None).cast("int"), "slot": F.lit(None).cast("int")})
-        label = F.create_map(*[F.lit(x) for (ref, slot), name in names.items() for x in (f"{ref}/{slot}", name)])
-        place = F.when(F.col("_e.ref") < 0, F.concat(F.col("_e.ref").cast("string"), F.lit("/0"))).otherwise(F.concat_ws("/", F.col("ref").cast("string"), F.col("slot").cast("string")))
-        text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
-        named = hit.select(F.lit(table).alias("table_name"), F.try_element_at(label, place).alias("constraint_name"), text.alias("row"))
-        parts.append(named.filter("constraint_name is not null"))
+            met = reduce(and_, [F.col(f"_{c}") == F.col(c) for c in ("ref", *_VALUE)])
+            met = met & ((F.col("_slot") == F.col("slot")) | ((F.col("_slot") < 0) & (F.col("slot") < 0)))
+            label = F.create_map(*[F.lit(x) for at_name in names.items() for x in at_name])
+            hit = own.join(bad.filter(F.col("ref").isin(list(mine))), met)
+            found.append(hit.select(F.element_at(label, place).alias("constraint_name"), "_r"))
+        text = F.to_json("_r", {"ignoreNullFields": "false"})
+        parts += [f.select(F.lit(table).alias("table_name"), "constraint_name", text.alias("row")) for f in found]
+    if not parts:
+        return spark.createDataFrame([], "table_name string, constraint_name string, row string")
     return reduce(DataFrame.unionByName, parts)

@@ -18,6 +18,7 @@ from modelweave.operators import projections as P
 from modelweave.operators import sequences as Q
 from modelweave.operators import setops as U
 from modelweave.operators import types as TY
+from modelweave.plans.star import STAR
 from modelweave.plans.workspace import new_folder
 from modelweave.sources import external, sinks, tables
 from tests.conftest import plan_of, rows
@@ -83,6 +84,31 @@ def test_exceptions_match_the_report(spark, keys_null):
     assert counts == {k: v[2] for k, v in report.items() if v[2]}
 
 
+def test_exceptions_meet_only_the_keys_that_fail(spark, read):
+    keys = {t.name: list(t.keys[0].columns) for t in STAR.tables}
+    stored = A.exceptions_table({name: read(name) for name in keys}, STAR, keys)
+    assert stored.filter("constraint_name = 'lineitem.pk'").count() > 0
+    # its references hold, so no row is carried to their values again
+    assert "l_partkey" not in plan_of(stored) and "l_suppkey" not in plan_of(stored)
+
+
+def test_values_of_a_key_of_several_kinds(spark):
+    kinds = "a int, b string, c bigint, d double"
+    whole = [(1, "x", 2, 0.5), (1, "x", 2, 0.5), (1, "", 2, 0.5), (0, '","', 0, 1.5), (0, "", 0, 1.5)]
+    gaps = [(None, "x", 2, 0.5), (None, "x", 2, 0.5), (0, None, 0, 1.5), (1, "x", None, 0.5), (1, "x", 2, None)]
+    columns = ("a", "b", "c", "d")
+    model = Model(
+        (Table("p", tuple(Column(c, "string") for c in columns), (Key("pk", columns, primary=True), Key("u", ("b", "d")))), Table("q", tuple(Column(c, "string") for c in columns))),
+        (ForeignKey("fk", "q", columns, "p", columns), ForeignKey("wide", "q", ("c",), "p", ("a",))),
+    )
+    children = [(1, "x", 2, 0.5), (1, "x", 3, 0.5), (0, '"', 0, 1.5), (0, "", 0, 1.5), (None, "z", 9, 9.0), (0, "", None, 1.5)]
+    frames = {"p": spark.createDataFrame(whole + gaps, kinds), "q": spark.createDataFrame(children, kinds)}
+    report = {r[0]: r[3] for r in A.constraint_report(frames, model).collect()}
+    assert report == {"p.pk": 2 + len(gaps), "p.u": 5, "q.fk": 2, "q.wide": 3}
+    found = A.exceptions_table(frames, model, {"p": columns, "q": columns})
+    assert {r[0]: r[1] for r in found.groupBy("constraint_name").count().collect()} == report
+
+
 def test_cardinality(spark):
     parent = one(spark, [1, 2, 3], "int")
     child = one(spark, [1, 1, 1, 2], "int")
