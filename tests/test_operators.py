@@ -92,6 +92,11 @@ def test_exceptions_meet_only_the_keys_that_fail(spark, read):
     assert "l_partkey" not in plan_of(stored) and "l_suppkey" not in plan_of(stored)
 
 
+def test_report_enters_whole_numbers_as_they_are(spark, read):
+    plan = plan_of(A.constraint_report({t.name: read(t.name) for t in STAR.tables}, STAR))
+    assert "lambdafunction" not in plan and "k0#" in plan
+
+
 def test_values_of_a_key_of_several_kinds(spark):
     kinds = "a int, b string, c bigint, d double"
     whole = [(1, "x", 2, 0.5), (1, "x", 2, 0.5), (1, "", 2, 0.5), (0, '","', 0, 1.5), (0, "", 0, 1.5)]
