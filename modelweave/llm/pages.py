@@ -6,27 +6,30 @@ are concatenated and sorted as suffixes; long substrings that stand on several
 distinct pages and mostly outside articles are boilerplate. Furniture goes; of
 text that the page does not mark as its article, boilerplate goes and unique
 runs stay. A host with many pages is split by
-bytes into groups that fit a task; boilerplate stands on so many of its pages
-that every group sees it.
+bytes into slices that fit a task; what their suffix arrays cannot decide alone
+is counted over all slices of the host.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modelweave.llm.tokens import mix
+from modelweave.plans.workspace import store
+
 GROUP_BYTES = 4 << 20  # of html per group of a host
 HOT_HOSTS = 100_000  # broadcast while fewer hosts than this are split
 LEAST = 8  # tokens of a repeated substring
 DEPTH = 64  # tokens by which suffixes are sorted
 PAGES = 3  # distinct pages a boilerplate substring stands on, at least
-_PIECE_PAGES = 4096
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<more>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -78,8 +81,11 @@ def _inside(name: str, more: str, before: int) -> int:
     return kind
 
 
-def blocks_of(page: str) -> list[tuple[str, int, float]]:
-    """(text, place, share of link text) of each block in page order; place as in ``_inside``."""
+def blocks_of(page: str, to_article: bool = False) -> list[tuple[str, int, float]]:
+    """(text, place, share of link text) of each block in page order; place as in ``_inside``.
+
+    ``to_article`` ends with the first block of an article.
+    """
     out: list[tuple[str, int, float]] = []
     text: list[str] = []
     links = 0
@@ -104,6 +110,8 @@ def blocks_of(page: str) -> list[tuple[str, int, float]]:
         links = 0
 
     while at < size:
+        if to_article and out and out[-1][1] == 1:
+            return out
         m = _TAG.search(page, at)
         if m is None:
             put(page[at:])
@@ -206,68 +214,177 @@ def repeated(tokens: np.ndarray, page: np.ndarray, outside: np.ndarray, least: i
     return np.cumsum(cover[:n]) > 0
 
 
+class _Stream:
+    """Blocks of some pages as one row of tokens; a mark of its own behind each page: no substring goes on into the next."""
+
+    def __init__(self, pages: Iterable[str | None]) -> None:
+        self.parsed = [blocks_of(p or "") for p in pages]
+        self.ids: dict[str, int] = {}
+        self.bounds: list[tuple[int, int]] = []
+        tokens, owner, outside, asked = [], [], [], []
+        for number, blocks in enumerate(self.parsed):
+            has_article = _has_article(blocks)
+            for text, place, links in blocks:
+                begin = len(tokens)
+                for w in text.split():
+                    tokens.append(self.ids.setdefault(w, len(self.ids)))
+                size = len(tokens) - begin
+                self.bounds.append((begin, len(tokens)))
+                owner += [number] * size
+                outside += [place != 1] * size
+                asked += [_undecided(place, links, has_article)] * size
+            tokens.append(-1 - number)
+            owner.append(number)
+            outside.append(False)
+            asked.append(False)
+        self.tokens, self.owner = np.array(tokens, np.int64), np.array(owner, np.int64)
+        self.outside, self.asked = np.array(outside, bool), np.array(asked, bool)
+
+    def texts(self, gone: np.ndarray) -> list[str]:
+        """Main text of each page, without the tokens that are ``gone`` from what is not its article."""
+        lost = gone.tolist()
+        out, at = [], 0
+        for blocks in self.parsed:
+            has_article = _has_article(blocks)
+            kept = []
+            for text, place, links in blocks:
+                begin, end = self.bounds[at]
+                at += 1
+                undecided = _undecided(place, links, has_article)
+                run = lost[begin:end] if undecided else []
+                # a line of an article may also stand in an advert: what the page marks as its article stays
+                if place == 1 or (undecided and not any(run)):
+                    kept.append(text)
+                elif undecided and not all(run):
+                    # the unique runs of a block stay
+                    kept.append(" ".join(w for w, g in zip(text.split(), run) if not g))
+            out.append("\n".join(kept))
+        return out
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where the runs of LEAST tokens inside a page begin, and their hashes, which all slices of a host share."""
+        code = np.array([int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest()) for w in self.ids] or [0], np.uint64)
+        own = code[np.maximum(self.tokens, 0)]
+        starts = np.arange(max(0, len(own) - LEAST + 1))
+        last = starts + LEAST - 1
+        starts = starts[(self.owner[starts] == self.owner[last]) & (self.tokens[last] >= 0)]
+        h = np.zeros(len(starts), np.uint64)
+        for j in range(LEAST):
+            h = mix(h + own[starts + j])
+        return starts, h.view(np.int64)
+
+
+def _has_article(blocks: list[tuple[str, int, float]]) -> bool:
+    return any(place == 1 for _, place, _ in blocks)
+
+
+def _undecided(place: int, links: float, has_article: bool) -> bool:
+    return place == 0 and not has_article and links <= 0.5
+
+
 def main_texts(pages: Iterable[str | None]) -> list[str]:
     """Main text of each page of one host, empty where there is none."""
-    parsed = [blocks_of(p or "") for p in pages]
-    ids: dict[str, int] = {}
-    tokens, owner, outside, bounds = [], [], [], []
-    for number, blocks in enumerate(parsed):
-        for text, place, _ in blocks:
-            begin = len(tokens)
-            for w in text.split():
-                tokens.append(ids.setdefault(w, len(ids)))
-            bounds.append((begin, len(tokens)))
-            owner += [number] * (len(tokens) - begin)
-            outside += [place != 1] * (len(tokens) - begin)
-        # a mark of its own behind each page: no substring goes on into the next
-        tokens.append(-1 - number)
-        owner.append(number)
-        outside.append(False)
-    gone = repeated(np.array(tokens, np.int64), np.array(owner, np.int64), np.array(outside, bool)).tolist()
-    out, at = [], 0
-    for blocks in parsed:
-        has_article = any(place == 1 for _, place, _ in blocks)
-        kept = []
-        for text, place, links in blocks:
-            begin, end = bounds[at]
-            at += 1
-            if place == 2 or (place == 0 and (has_article or links > 0.5)):
-                continue
-            run = gone[begin:end]
-            # a line of an article may also stand in an advert: what the page marks as its article stays
-            if place == 1 or not any(run):
-                kept.append(text)
-            elif not all(run):
-                # the unique runs of a block stay
-                kept.append(" ".join(w for w, g in zip(text.split(), run) if not g))
-        out.append("\n".join(kept))
-    return out
+    stream = _Stream(pages)
+    return stream.texts(repeated(stream.tokens, stream.owner, stream.outside))
+
+
+def _rows(table: pa.Table, texts: list[str]) -> pa.Table:
+    return pa.table({"page_id": table.column("page_id"), "url": table.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
 
 def _of_group(table: pa.Table) -> pa.Table:
-    parts = []
-    for a in range(0, max(table.num_rows, 1), _PIECE_PAGES):
-        part = table.slice(a, _PIECE_PAGES)
-        texts = main_texts(part.column("_html").to_pylist())
-        parts.append(
-            pa.table({"page_id": part.column("page_id"), "url": part.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
-        )
-    return pa.concat_tables(parts)
+    return _rows(table, main_texts(table.column("_html").to_pylist()))
+
+
+def _asks(page: str | None) -> bool:
+    """Whether the page has text that only boilerplate decides about."""
+    blocks = blocks_of(page or "", to_article=True)
+    has_article = _has_article(blocks)
+    return any(_undecided(place, links, has_article) for _, place, links in blocks)
+
+
+def _asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hosts of pages that ask."""
+    known: set[str] = set()
+    for batch in batches:
+        for host, page in zip(batch.column(0), batch.column(1)):
+            name = host.as_py()
+            if name not in known and _asks(page.as_py()):
+                known.add(name)
+                yield pa.RecordBatch.from_arrays([pa.array([name], pa.string())], ["_asks"])
+
+
+def _runs_of_slice(table: pa.Table) -> pa.Table:
+    """Runs of LEAST tokens of a slice: pages, places, places outside articles, and whether a page asks about it."""
+    stream = _Stream(table.column("_html").to_pylist())
+    starts, run = stream.runs()
+    order, shared = suffix_order(stream.tokens)
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(shared < LEAST)
+    first, which = np.unique(group[starts], return_index=True, return_inverse=True)[1:]
+    code = run[first]
+    asked = np.concatenate([[0], np.cumsum(stream.asked)])
+    many = lambda x: np.bincount(which, x, minlength=len(code)).astype(np.int64)
+    owners = np.unique(which * max(1, len(stream.parsed)) + stream.owner[starts]) // max(1, len(stream.parsed))
+    return pa.table(
+        {
+            "_host": pa.array([table.column("_host")[0].as_py()] * len(code), pa.string()),
+            "_part": pa.array([table.column("_part")[0].as_py()] * len(code), pa.int64()),
+            "run": pa.array(code),
+            "pages": pa.array(np.bincount(owners, minlength=len(code)).astype(np.int64)),
+            "places": pa.array(many(np.ones(len(starts)))),
+            "outside": pa.array(many(stream.outside[starts])),
+            "asked": pa.array(many(asked[starts + LEAST] > asked[starts]) > 0),
+        }
+    )
+
+
+def _of_slice(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Main texts of a slice, by the boilerplate runs of its whole host."""
+    stream = _Stream(left.column("_html").to_pylist())
+    starts, run = stream.runs()
+    cover = np.zeros(len(stream.tokens) + 1, np.int64)
+    found = starts[np.isin(run, right.column("run").to_numpy())]
+    np.add.at(cover, found, 1)
+    np.add.at(cover, found + LEAST, -1)
+    return _rows(left, stream.texts(np.cumsum(cover[:-1]) > 0))
 
 
 def extract_main_text(pages: DataFrame, group_bytes: int = GROUP_BYTES, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """Per row of ``pages``: page_id, url, text and n_chars.
 
     Pages meet the others of their host; a null or odd address is a host of its
-    own kind, a null page has no text. Repeated rows give a row each.
+    own kind, a null page has no text. Repeated rows give a row each. A host
+    above ``group_bytes`` is split into slices. If any of its pages has text that
+    boilerplate decides about, the runs of tokens that the suffix arrays of its
+    slices find are counted over all of them, so that a host gives the same
+    texts in any number of slices; a first look at the split hosts, page by page
+    and as far as the article, finds these hosts.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(f"`{url}`"), _HOST, 1)), F.lit(""))
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{page}`").alias("_html"), host.alias("_host"))
     sizes = rows.groupBy("_host").agg(F.sum(F.coalesce(F.octet_length("_html"), F.lit(0)) + 64).alias("_n"))
     hot = sizes.filter(F.col("_n") > group_bytes).select(F.col("_host").alias("_hot"), F.ceil(F.col("_n") / group_bytes).alias("_parts"))
-    if hot.limit(HOT_HOSTS + 1).count() <= HOT_HOSTS:
+    split = hot.limit(HOT_HOSTS + 1).count()
+    if split <= HOT_HOSTS:
         hot = F.broadcast(hot)
     spread = F.pmod(F.xxhash64("page_id", "url", F.length("_html")), F.coalesce("_parts", F.lit(1)))
-    rows = rows.join(hot, rows["_host"] == hot["_hot"], "left").select("page_id", "url", "_html", "_host", spread.alias("_part"))
+    rows = rows.join(hot, rows["_host"] == hot["_hot"], "left").select("page_id", "url", "_html", "_host", spread.alias("_part"), F.coalesce("_parts", F.lit(1)).alias("_parts"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    return rows.groupBy("_host", "_part").applyInArrow(_of_group, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
+    schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
+    place = ["_host", "_part"]
+    if not split:
+        return rows.drop("_parts").groupBy(*place).applyInArrow(_of_group, schema)
+
+    asking = rows.filter("_parts > 1").select("_host", "_html").mapInArrow(_asking, "_asks string")
+    hosts = store(asking.distinct(), "hosts")
+    if hosts.isEmpty():
+        return rows.drop("_parts").groupBy(*place).applyInArrow(_of_group, schema)
+    alone = rows.join(hosts, F.col("_host") == F.col("_asks"), "left_anti").drop("_parts").groupBy(*place).applyInArrow(_of_group, schema)
+    again = rows.join(hosts, F.col("_host") == F.col("_asks"), "left_semi").drop("_parts")
+    runs = again.groupBy(*place).applyInArrow(_runs_of_slice, "_host string, _part long, run long, pages long, places long, outside long, asked boolean")
+    runs = store(runs, "runs")
+    sums = runs.groupBy("_host", "run").agg(*[F.sum(c).alias(c) for c in ("pages", "places", "outside")], F.bool_or("asked").alias("asked"))
+    found = sums.filter(F.col("asked") & (F.col("pages") >= PAGES) & (2 * F.col("outside") > F.col("places"))).select("_host", "run")
+    gone = runs.filter("asked").select(*place, "run").join(found, ["_host", "run"]).select(*place, "run")
+    return alone.unionByName(again.groupBy(*place).cogroup(gone.groupBy(*place)).applyInArrow(_of_slice, schema))

@@ -142,6 +142,32 @@ def test_boilerplate_without_article(spark):
     assert pages.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_main_text_of_a_host_in_slices(spark):
+    line = "follow our weekly letter for more stories like this one every friday"
+    rare = "this passage stands on two pages only and so it is no boilerplate"
+    r = random.Random(5)
+    rows = []
+    for i in range(60):
+        own = f"<div>{words(r, 30)} {i}</div>"
+        shared = {0: line, 20: line, 40: line, 50: "now " + line + " indeed", 5: rare, 35: rare}.get(i, "")
+        article = f"<article>{words(r, 20)}</article>" if i % 7 == 3 else ""
+        rows.append((i, f"http://Big.org/{i}", f"<div>{shared}</div>{own}{article}"))
+    rows += [(100 + i, "http://small.org/", f"<p>{line} {i}</p>") for i in range(2)] + [(200, "http://big.org/x", None), (0, *rows[0][1:])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted((tuple(x) for x in pages.extract_main_text(df).collect()), key=repr)
+    assert sum(rare in x[2] for x in whole) == 2 and [x[0] for x in whole if line in x[2]] == [100, 101]
+    assert next(x[2] for x in whole if x[0] == 50).startswith("now indeed\n")
+    for size in (500, 3000):
+        assert sorted((tuple(x) for x in pages.extract_main_text(df, group_bytes=size).collect()), key=repr) == whole
+
+
+def test_main_text_of_many_small_pages(spark):
+    line = "a b c d e f g h i j"
+    html = [f"<p>{line}</p>" if i in (0, 4500, 9000) else f"<p>{i}</p>" for i in range(9001)]
+    df = spark.createDataFrame([(i, "http://h.org/", x) for i, x in enumerate(html)], "page_id long, url string, html string")
+    assert pages.extract_main_text(df).filter(f"contains(text, '{line}')").count() == 0
+
+
 def test_suffix_order_is_sorted():
     r = np.random.default_rng(3)
     tokens = r.integers(0, 3, 300)
