@@ -114,6 +114,16 @@ def test_values_of_a_key_of_several_kinds(spark):
     assert {r[0]: r[1] for r in found.groupBy("constraint_name").count().collect()} == report
 
 
+def test_edges_meet_only_the_pairs_that_are_mutual(spark, read):
+    edges = [(1, 2), (2, 1), (2, 1), (3, 3), (3, 3), (4, 5), (None, 1), (1, None), (None, None), (7, 6), (6, 7)]
+    df = spark.createDataFrame([(*e, i) for i, e in enumerate(edges)], "s bigint, d int, i int")
+    assert rows(J.mutual_edges(df, "s", "d"), "i") == [(0,), (1,), (10,), (2,), (9,)]
+    assert rows(J.without_mutual_edges(df, "s", "d"), "i") == [(i,) for i in (3, 4, 5, 6, 7, 8)]
+    # the other side holds the mutual pairs, not all edges turned round
+    lines = read("lineitem").select(F.col("l_partkey").alias("s"), F.col("l_suppkey").alias("d"))
+    assert "least(" in plan_of(J.mutual_edges(lines, "s", "d")) and "least(" in plan_of(J.without_mutual_edges(lines, "s", "d"))
+
+
 def test_cardinality(spark):
     parent = one(spark, [1, 2, 3], "int")
     child = one(spark, [1, 1, 1, 2], "int")
