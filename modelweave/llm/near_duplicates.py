@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modelweave.llm.components import smallest_reachable
-from modelweave.llm.tokens import find_words, group_places, group_rows, group_schema, group_size, mix, pieces, run_hashes
+from modelweave.llm.tokens import find_words, group_places, group_rows, group_schema, group_size, mix, pieces, run_hashes, tidy
 from modelweave.plans.workspace import scratch, store
 
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability 5e-7
@@ -227,17 +227,17 @@ def _candidates(keyed: DataFrame, comps: DataFrame | None, turn: int, most: int
     schema = group_schema("bucket long", "comp long", "part long")
     if comps is None:
         # the first round: all ids are open, the pivot is the smallest
-        met = keyed.select("id", "keys", F.lit(0).cast("long").alias("comp")).mapInArrow(_buckets, schema)
+        met = keyed.select("id", "keys", F.lit(0).cast("long").alias("comp")).mapInArrow(tidy(_buckets), schema)
         met = met.withColumns({"_n": F.sum(group_size()).over(over), "_p": F.min("id").over(over)}).filter("_n > 1")
     else:
         named = keyed.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").select("id", "keys", F.coalesce("comp", "id").alias("comp"))
-        met = named.mapInArrow(_buckets, schema)
+        met = named.mapInArrow(tidy(_buckets), schema)
         # one order of all texts, so that a text is the pivot of every bucket it shares with the same others
         pivot = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "comp")).over(over)
         met = met.withColumns({"_x": pivot, "_other": F.min("comp").over(over) != F.max("comp").over(over)})
         met = met.filter(F.col("_other") & (F.col("comp") != F.col("_x.comp"))).withColumn("_p", F.col("_x.id"))
     ids = F.transform(group_places(), lambda x: x["id"])
-    pairs = met.select("part", "_p", ids.alias("_ids")).repartition("part").mapInArrow(_few_pivots(most, turn), "a long, b long")
+    pairs = met.select("part", "_p", ids.alias("_ids")).repartition("part").mapInArrow(tidy(_few_pivots(most, turn)), "a long, b long")
     return pairs.distinct()
 
 
@@ -345,9 +345,9 @@ def _true_links(pairs: DataFrame, details: DataFrame, percent: int) -> DataFrame
         return details.select(F.col("id").alias(name), F.col(column).alias(f"_{name}"), F.col("n").alias(f"_n{name}"))
 
     with_regs = pairs.join(side("a", "regs"), "a").join(side("b", "regs"), "b").select("a", "b", "_a", "_b", "_na", "_nb")
-    likely = with_regs.mapInArrow(_likely(percent / 100), "a long, b long")
+    likely = with_regs.mapInArrow(tidy(_likely(percent / 100)), "a long, b long")
     with_sets = likely.join(side("a", "members"), "a").join(side("b", "members"), "b").select("a", "b", "_a", "_b")
-    return with_sets.mapInArrow(_confirmed(percent), "a long, b long").distinct()
+    return with_sets.mapInArrow(tidy(_confirmed(percent)), "a long, b long").distinct()
 
 
 def _open_buckets(keyed: DataFrame, comps: DataFrame) -> DataFrame:
@@ -358,7 +358,7 @@ def _open_buckets(keyed: DataFrame, comps: DataFrame) -> DataFrame:
     """
     over = Window.partitionBy("bucket")
     named = keyed.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").select("id", "keys", F.coalesce("comp", "id").alias("comp"))
-    met = named.mapInArrow(_buckets, group_schema("bucket long", "comp long", "part long")).withColumn("_s", group_size())
+    met = named.mapInArrow(tidy(_buckets), group_schema("bucket long", "comp long", "part long")).withColumn("_s", group_size())
     met = met.withColumns({"_other": F.min("comp").over(over) != F.max("comp").over(over), "_m": F.sum("_s").over(over), "_d": F.max(F.struct("_s", "comp")).over(over)["comp"]})
     met = met.filter("_other").withColumn("_md", F.sum(F.when(F.col("comp") == F.col("_d"), F.col("_s"))).over(over))
     return met.select("bucket", "comp", "_m", "_d", "_md", F.transform(group_places(), lambda x: x["id"]).alias("ids"))
@@ -471,7 +471,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
 
 def _classes(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str) -> DataFrame:
     texts = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(f"`{text}`").alias("_t"))
-    base = store(texts.mapInArrow(_banded(shingle), "id long, n long, d1 long, d2 long, keys array<long>"), "bands")
+    base = store(texts.mapInArrow(tidy(_banded(shingle)), "id long, n long, d1 long, d2 long, keys array<long>"), "bands")
     # equal sets are one node, named by the smallest id
     sets = base.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     named = base.filter("n > 0").join(sets, ["d1", "d2"])
@@ -490,7 +490,7 @@ def _classes(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
             wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
             wanted = wanted.join(nodes.filter("id = rep").select(F.col("id").alias("_id"), F.col("d1").alias("_d1")), "_id")
             chosen = texts.join(wanted, texts["id"] == wanted["_id"]).select("id", "_t", "_d1")
-            details = store(chosen.mapInArrow(_details(shingle), "id long, n long, regs binary, members binary"), "details")
+            details = store(chosen.mapInArrow(tidy(_details(shingle)), "id long, n long, regs binary, members binary"), "details")
         found = store(_true_links(pairs, details, percent), "links")
         new, asked = found.count(), pairs.count()
         tested = pairs if tested is None else tested.union(pairs)
@@ -508,7 +508,7 @@ def _classes(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
     both_ways = tested.select("a", "b").union(tested.select("b", "a"))
     lists = F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct(F.col("comp").alias("c"), i.alias("i")))))
     few = met.filter(F.col("_m") <= SMALL).groupBy("bucket").agg(lists.alias("_l")).select(F.col("_l.c"), F.col("_l.i"))
-    pairs = few.mapInArrow(_all_pairs, "a long, b long").distinct().join(both_ways, ["a", "b"], "left_anti")
+    pairs = few.mapInArrow(tidy(_all_pairs), "a long, b long").distinct().join(both_ways, ["a", "b"], "left_anti")
     found = store(_true_links(pairs, details, percent).union(_large_bucket_links(met.filter(F.col("_m") > SMALL), details, percent)), "links")
     if found.limit(1).count():
         comps = smallest_reachable(links.union(found))

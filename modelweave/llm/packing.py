@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelweave.llm.tokens import pieces
+from modelweave.llm.tokens import pieces, tidy
 from modelweave.plans.workspace import store
 
 SEQUENCE = 2048
@@ -190,7 +190,7 @@ def pack(docs: DataFrame, length: int = SEQUENCE, step: int = STEP, path: str |
     columns = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("_t"))
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, kind int, task int, turn long"
-    made = store(columns.mapInArrow(_pieces(path or vocabulary_path(), length, step), schema), "pieces")
+    made = store(columns.mapInArrow(tidy(_pieces(path or vocabulary_path(), length, step)), schema), "pieces")
 
     # rank of a piece in its class: pieces of the tasks before, then its number in its own task
     per_task = made.groupBy("kind", "task").agg(F.count("*").alias("_n"))

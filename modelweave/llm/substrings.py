@@ -27,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelweave.llm.tokens import Words, find_words, group_places, group_rows, group_schema, group_size, mix, pieces, run_hashes
+from modelweave.llm.tokens import Words, find_words, group_places, group_rows, group_schema, group_size, mix, pieces, run_hashes, tidy
 
 MER = 4
+_PIECE_BYTES = 1 << 18  # arrays over the bytes of a piece are many times as large
 # a place: a tag of the text, above it the position of the first word, above it the words of a path (0: a window)
 _TAG, _POSITION, _WORDS = 22, 28, 13
 _MASK = (1 << _TAG) - 1
@@ -79,7 +80,7 @@ def _find(batch: pa.RecordBatch) -> tuple[Words, np.ndarray]:
 def _occurrences(window: int, mer: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nexts, ids, places = [], [], [], []
-        for batch in pieces(batches, "_mw_text"):
+        for batch in pieces(batches, "_mw_text", _PIECE_BYTES):
             words, tags = _find(batch)
             x, _, _, at = _anchors(words, window, mer)
             doc = np.searchsorted(words.first, at, "right") - 1
@@ -107,7 +108,7 @@ def _crossing(window: int, mer: int) -> Callable:
             ids.append(i)
             places.append(p)
 
-        for batch in pieces(batches, "_mw_text"):
+        for batch in pieces(batches, "_mw_text", _PIECE_BYTES):
             words, tags = _find(batch)
             x, low, starts, at = _anchors(words, window, mer)
             if not len(at):
@@ -177,7 +178,7 @@ def repeated_stretches(texts: DataFrame, window: int = 20, mer: int = MER) -> Da
     columns of ``texts`` so that a later join can use the same one.
     """
     over = Window.partitionBy("key")
-    seen = texts.mapInArrow(_occurrences(window, mer), group_schema("follows long"))
+    seen = texts.mapInArrow(tidy(_occurrences(window, mer)), group_schema("follows long"))
     lo, hi = F.min("follows").over(over), F.max("follows").over(over)
     met = _meet(seen, ("_go", (lo == hi) & (lo != 0))).filter("_n > 1")
     flat = met.select("_n", "_go", "_first", F.explode("_p").alias("_p"))
@@ -190,7 +191,7 @@ def repeated_stretches(texts: DataFrame, window: int = 20, mer: int = MER) -> Da
     beside = texts.join(per_doc, (texts["_mw_id"] == per_doc["_k"]) & (texts["_mw_tag"] == per_doc["_t"]), "left")
     others = [F.col(f"`{c}`") for c in texts.columns[3:]]
     beside = beside.select("_mw_id", "_mw_text", "_mw_tag", F.coalesce("_at", none).alias("_at"), F.coalesce("_code", none).alias("_code"), *others)
-    windows = beside.mapInArrow(_crossing(window, mer), group_schema())
+    windows = beside.mapInArrow(tidy(_crossing(window, mer)), group_schema())
     judged = _meet(windows).select("_first", F.explode("_p").alias("_p"))
     path = F.shiftright(F.col("_p.at"), _TAG + _POSITION) > 0
     gone = judged.filter(path | (F.col("_p") != F.col("_first"))).select(F.col("_p.id").alias("_mw_key"), F.col("_p.at").alias("_at"))
@@ -225,7 +226,7 @@ def _gone(words: Words, spans: pa.ListArray, window: int) -> np.ndarray:
 
 def _digest(window: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_mw_text"):
+        for batch in pieces(batches, "_mw_text", _PIECE_BYTES):
             words = find_words(batch.column(1))
             gone = _gone(words, batch.column(3), window)
             sums = np.concatenate([[0], np.cumsum(gone)])
@@ -253,7 +254,7 @@ def substring_digest(docs: DataFrame, window: int = 20) -> DataFrame:
     as one document. Ids must be whole numbers or null, which comes before all
     others.
     """
-    found = _with_stretches(_keyed(docs, "doc_id", "text"), window).mapInArrow(_digest(window), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    found = _with_stretches(_keyed(docs, "doc_id", "text"), window).mapInArrow(tidy(_digest(window)), "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return found.withColumn("doc_id", F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")))
 
 
@@ -268,7 +269,7 @@ def _cut(names: list[str], text: str, length: str | None, window: int) -> Callab
     others = [n for n in names if n != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_mw_text"):
+        for batch in pieces(batches, "_mw_text", _PIECE_BYTES):
             words = find_words(batch.column(1))
             gone = _gone(words, batch.column(3), window)
             texts = batch.column(1).to_pylist()
@@ -299,7 +300,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", te
     """
     keyed = _keyed(docs, doc_id, text, *[c for c in docs.columns if c != text])
     beside = _with_stretches(keyed, window)
-    return beside.mapInArrow(_cut(docs.columns, text, length, window), docs.schema)
+    return beside.mapInArrow(tidy(_cut(docs.columns, text, length, window)), docs.schema)
 
 
 SQL = r"""

@@ -7,8 +7,10 @@ hashes of its words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +126,24 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
             at = to
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; the memory of its task goes back to the system at the end.
+
+    A Python worker waits for the next task with all that its allocators keep,
+    beside an executor whose other stages need the room.
+    """
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:  # only the GNU library has it
+            trim(0)
+
+    return tidied
+
+
 def group_rows(
     key: np.ndarray, columns: dict[str, np.ndarray], ids: np.ndarray, places: np.ndarray, same: str | None = None
 ) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelweave.llm.languages import held_out
-from modelweave.llm.tokens import pieces
+from modelweave.llm.tokens import pieces, tidy
 from modelweave.plans.workspace import scratch, store
 
 THRESHOLD = 0.7
@@ -224,7 +224,7 @@ def learn_terms(labelled: DataFrame, bad: int, good: int, support: int = SUPPORT
     """
     if not bad:
         return Model([], [], [])
-    counted = labelled.select("toxic", "text").mapInArrow(_counted, "word string, pos long, neg long")
+    counted = labelled.select("toxic", "text").mapInArrow(tidy(_counted), "word string, pos long, neg long")
     counted = counted.filter("length(word) between 3 and 64").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     counted = store(counted, "words")
 
@@ -251,7 +251,7 @@ def learn_terms(labelled: DataFrame, bad: int, good: int, support: int = SUPPORT
     names = set(found)
     model = Model(words, [s for s in found if not any(s[:k] in names for k in range(1, len(s)))], [])
     # the words of clean texts that the machine would take for a misspelled term
-    near = counted.filter("neg > 0").select("word").mapInArrow(_near(model), "word string")
+    near = counted.filter("neg > 0").select("word").mapInArrow(tidy(_near(model)), "word string")
     model.spared = sorted(r[0] for r in near.collect())
     return model
 
@@ -320,7 +320,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         # at most ``sample`` rows; a row that is repeated with its id counts as often as it stands there
         few = F.broadcast(store(few.select(F.col("_d").alias("_i"), F.col("_h").alias("_g"), "toxic"), "sample"))
         fitted = rows.join(few, (F.col("_d") == F.col("_i")) & F.col("_h").eqNullSafe(F.col("_g"))).select("toxic", "text")
-        table = fitted.mapInArrow(_featured(model), "toxic int, x array<double>").limit(sample).toArrow()
+        table = fitted.mapInArrow(tidy(_featured(model)), "toxic int, x array<double>").limit(sample).toArrow()
         if table.num_rows:
             x = np.array(table.column("x").to_pylist()).reshape(-1, FEATURES)
             model.weights = fit(x, table.column("toxic").to_numpy().astype(float))
@@ -352,7 +352,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     kind = docs.schema[doc_id].dataType.simpleString()
     # the significant terms and the clean words within an edit or two of them
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = rows.mapInArrow(_scored(shared), f"doc_id {kind}, held_out boolean, score double")
+    scored = rows.mapInArrow(tidy(_scored(shared)), f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -375,4 +375,4 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
                 batch = batch.filter(pa.array(logit < np.log(THRESHOLD / (1 - THRESHOLD))))
             yield pa.RecordBatch.from_arrays(batch.columns, names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

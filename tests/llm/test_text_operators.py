@@ -3,6 +3,9 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -293,3 +296,36 @@ def test_wrapped_notices(spark):
     assert got[2] == got[5] == ("", 0.0)
     one = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(frame(spark, docs), lines=1).collect()}
     assert one == {1: "", 2: "", 3: "mit", 4: "", 5: ""}
+
+
+_KEPT = """
+import re
+import numpy as np, pyarrow as pa
+from modelweave.llm.substrings import _occurrences
+from modelweave.llm.tokens import tidy
+
+def own():
+    return int(re.search("Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read()).group(1)) / 1024
+
+rng = np.random.default_rng(1)
+texts = [" ".join(f"w{x}" for x in rng.integers(0, 50_000, 300)) for _ in range(10_000)]
+batch = pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array(texts), pa.array(range(10_000))], ["_mw_id", "_mw_text", "_mw_tag"])
+sink = pa.BufferOutputStream()
+with pa.ipc.new_stream(sink, batch.schema) as out:
+    out.write_batch(batch)
+stream = sink.getvalue().to_pybytes()
+del texts, batch, sink, out
+list(tidy(lambda batches: batches)(iter([])))
+before = own()
+for _ in range(2):
+    for _ in tidy(_occurrences(20, 4))(iter(pa.ipc.open_stream(stream))):
+        pass
+print(own() - before)
+"""
+
+
+def test_a_worker_gives_back_what_a_task_took():
+    # MB that a Python worker keeps beside the JVM of its executor when the next stage runs there
+    folder = str(Path(__file__).resolve().parents[2])
+    said = subprocess.run([sys.executable, "-c", _KEPT], cwd=folder, capture_output=True, text=True, timeout=120)
+    assert float(said.stdout) < 30, said.stderr
