@@ -265,11 +265,15 @@ def set_null_on_delete(child: DataFrame, deletes: DataFrame, fk: Sequence[str],
 def _facing(edges: DataFrame, src: str, dst: str, how: str) -> DataFrame:
     """Edges that have, or have not, their reverse; self loops are not mutual.
 
-    One aggregate over the two ends finds the pairs that are there both ways,
-    without a sort; the edges then meet these pairs only.
+    Only edges from what is an end somewhere, to what is a start somewhere, can
+    have a reverse: two joins with single vertices leave these. One aggregate
+    over their two ends finds the pairs that are there both ways, without a
+    sort; the edges then meet these pairs only.
     """
     a, b = F.col(f"`{src}`"), F.col(f"`{dst}`")
-    ends = edges.filter(a != b).select(F.least(a, b).alias("_lo"), F.greatest(a, b).alias("_hi"), (a < b).alias("_up"))
+    ends = lookup(edges.filter(a != b), edges, [(src, dst)], "left_semi")
+    ends = lookup(ends, edges, [(dst, src)], "left_semi")
+    ends = ends.select(F.least(a, b).alias("_lo"), F.greatest(a, b).alias("_hi"), (a < b).alias("_up"))
     both = ends.groupBy("_lo", "_hi").agg(F.min("_up").alias("_min"), F.max("_up").alias("_max")).filter("_min <> _max")
     ways = F.array(F.struct(F.col("_lo").alias("a"), F.col("_hi").alias("b")), F.struct(F.col("_hi").alias("a"), F.col("_lo").alias("b")))
     pairs = both.select(F.explode(ways).alias("_w")).select("_w.a", "_w.b")

@@ -19,7 +19,7 @@ from modelweave.operators import sequences as Q
 from modelweave.operators import setops as U
 from modelweave.operators import types as TY
 from modelweave.plans.star import STAR
-from modelweave.plans.workspace import new_folder
+from modelweave.plans.workspace import new_folder, store
 from modelweave.sources import external, sinks, tables
 from tests.conftest import plan_of, rows
 
@@ -124,6 +124,17 @@ def test_edges_meet_only_the_pairs_that_are_mutual(spark, read):
     assert "least(" in plan_of(J.mutual_edges(lines, "s", "d")) and "least(" in plan_of(J.without_mutual_edges(lines, "s", "d"))
 
 
+def test_only_edges_that_may_have_a_reverse_are_paired(spark):
+    # 5,000 starts of which 10 are an end: the aggregate over pairs sees the edges among these
+    lines = spark.range(5_000).selectExpr("id as s", "id % 10 as d").union(spark.range(10).selectExpr("id as s", "(id + 1) % 10 as d"))
+    lines = store(lines, "edges")
+    assert rows(J.mutual_edges(lines, "s", "d")) == []
+    back = store(lines.union(spark.createDataFrame([(0, 9), (7, 4_007)], "s bigint, d bigint")), "edges")
+    found = J.mutual_edges(back, "s", "d")
+    assert rows(found) == [(0, 9), (4007, 7), (7, 4007), (9, 0)]
+    assert plan_of(found).count("LeftSemi") >= 3
+
+
 def test_cardinality(spark):
     parent = one(spark, [1, 2, 3], "int")
     child = one(spark, [1, 1, 1, 2], "int")
