@@ -359,10 +359,11 @@ def _written(t) -> tuple[LiveTables, DataFrame]:
     tables = {"orders": t("orders"), "customer": t("customer"), "lineitem": _one_line_per_key(t)}
     keys = {"orders": ["o_orderkey"], "customer": ["c_custkey"], "lineitem": ["l_orderkey", "l_linenumber"]}
     spark = tables["orders"].sparkSession
-    live = create_tables(spark, new_folder(spark, "live"), tables, keys, 16)
+    live = create_tables(spark, new_folder(spark, "live"), tables, keys, unique=True)
     root = order_node()
-    read = store(D.etag(D.build_documents(root, {n: live.read(n) for n in tables}), root), "read")
-    other = read.filter("status = 'P' and _id % 10 = 0").withColumn("status", F.lit("O"))
+    docs = D.build_documents(root, {n: live.read(n) for n in tables}).filter("status = 'P'")
+    read = store(D.etag(docs, root), "read")
+    other = read.filter("_id % 10 = 0").withColumn("status", F.lit("O"))
     live, _ = write_documents(live, other, root, tag="_etag")
     return write_documents(live, _edited(read), root, tag="_etag")
 

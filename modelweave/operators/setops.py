@@ -7,11 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from modelweave.plans.keys import by_name, lookup
 from modelweave.plans.workspace import store
 
 
+_FIXED = (T.IntegralType, T.FractionalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def combine(frames: dict[str, DataFrame], tag: str = "origin") -> DataFrame:
     """All rows of all frames, duplicates kept, with the name of their frame."""
     tagged = [df.withColumn(tag, F.lit(name)) for name, df in frames.items()]
@@ -23,20 +27,30 @@ def subtract_by_key(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFram
     return lookup(a, b, [(k, k) for k in keys], "left_anti", null_safe=True)
 
 
-def _one_side(df: DataFrame, key: Sequence[str], columns: Sequence[str], side: str) -> DataFrame:
+def _one_side(df: DataFrame, key: Sequence[str], columns: Sequence[str], side: str, carry: Sequence[str] = ()) -> DataFrame:
     # grouped before the join: copies of a key meet as one row, never pair by pair
-    return df.groupBy(*[F.col(k).alias(f"_{side}_{k}") for k in key]).agg(
-        F.count("*").alias(f"_n_{side}"), F.any_value(F.struct(*columns)).alias(side)
-    )
-
-
-def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    names = [f"_k{i}" for i in range(len(key))]
+    flat = df.select(*[F.col(k).alias(n) for k, n in zip(key, names)], *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)], *carry)
+    fixed = all(isinstance(flat.schema[f"_c{i}"].dataType, _FIXED) for i in range(len(columns)))
+    if fixed:
+        # values of a fixed width are aggregated in a hash table; the first row gives them all
+        values = [F.any_value(f"_c{i}").alias(f"_c{i}") for i in range(len(columns))]
+        whole = F.struct(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)])
+    else:
+        values = [F.any_value(F.struct(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)])).alias("_c")]
+        whole = F.col("_c")
+    one = flat.groupBy(*names).agg(F.count("*").alias("_n"), *values, *[F.any_value(c).alias(c) for c in carry])
+    return one.select(*[F.col(n).alias(f"_{side}_{k}") for k, n in zip(key, names)], F.col("_n").alias(f"_n_{side}"), whole.alias(side), *carry)
+
+
+def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """(key, change, old, new) of rows that are added, removed or modified.
 
     A key that comes more than once in a snapshot is reported as ``ambiguous``.
+    ``carry`` names further columns of ``old`` that are not compared and stand beside.
     """
     columns = list(new.columns)
-    a, b = _one_side(old, key, columns, "old"), _one_side(new, key, columns, "new")
+    a, b = _one_side(old, key, columns, "old", carry), _one_side(new, key, columns, "new")
     both = a.join(b, by_name([(f"_old_{k}", f"_new_{k}") for k in key], null_safe=True), "full_outer")
     change = (
         F.when((F.coalesce("_n_old", F.lit(0)) > 1) | (F.coalesce("_n_new", F.lit(0)) > 1), "ambiguous")
@@ -45,7 +59,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
         .when(~F.col("old").eqNullSafe(F.col("new")), "modified")
     )
     keys = [F.when(F.col("_n_new").isNull(), F.col(f"_old_{k}")).otherwise(F.col(f"_new_{k}")).alias(k) for k in key]
-    return both.select(*keys, change.alias("change"), "old", "new").filter("change IS NOT NULL")
+    return both.select(*keys, change.alias("change"), "old", "new", *carry).filter("change IS NOT NULL")
 
 
 def _digests(df: DataFrame, place: Sequence[Column], columns: Sequence[str], side: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,20 +112,21 @@ def write_documents(live: LiveTables, docs: DataFrame, root: DocNode, deleted: D
         key = list(node.key)
         columns = list(new_rows[node.table].columns)
         fresh = D._typed(new_rows[node.table], stored)
-        diff = store(snapshot_diff(stored.select(*columns), fresh, key), "changes")
+        # the file as a number of fixed width; two names with one number only write a file more
+        old = stored.select(*columns, F.crc32(_FILE).alias(_FILE))
+        diff = store(snapshot_diff(old, fresh, key, [_FILE]), "changes")
         refused = D.refusal(node, columns)
         rejects.append(diff.filter(refused).select(F.lit(node.table).alias("table_name"), _row_key(key), F.col("change").alias("action")))
         if node.table in conflicts:
             clash = conflicts[node.table].select(*key).distinct()
             rejects.append(clash.select(F.lit(node.table).alias("table_name"), _row_key(key), F.lit("conflict").alias("action")))
         allowed = diff.filter(~refused)
-        edits = allowed.filter("change <> 'added'")
-        where = stored.select(*[F.col(k).alias(f"_w_{k}") for k in key], _FILE)
-        touched = edits.select(*key).join(where, by_name([(k, f"_w_{k}") for k in key], null_safe=True))
-        names = [r[0] for r in touched.select(_FILE).distinct().collect()]  # as many as there are files at most
+        touched = allowed.filter("change <> 'added'").select(_FILE).distinct()
+        marks = {r[0] for r in touched.collect()}  # as many as there are files at most
+        names = [f for f in (f.rpartition("/")[2] for f in live.files[node.table]) if crc32(f.encode()) in marks]
         whole = live.read(node.table, names)
         new = D._merge(whole, allowed, key, columns)
-        files = live.add(node.table, new, key, max(1, len(names))) if names or not allowed.isEmpty() else []
+        files = live.add(node.table, new, key, max(1, len(names)), unique=True) if names or not allowed.isEmpty() else []
         gone[node.table], added[node.table] = names, files
         for child in node.children:
             below = scope[child.table]

@@ -57,10 +57,15 @@ class LiveTables:
         rows = self.read(table)
         return rows.select("*", F.col("_metadata.file_name").alias(name))
 
-    def add(self, table: str, rows: DataFrame, keys: Sequence[str] = (), partitions: int | None = None) -> list[str]:
-        """Write rows as new files, in ranges of ``keys``; they are not live before ``commit``."""
+    def add(self, table: str, rows: DataFrame, keys: Sequence[str] = (), partitions: int | None = None, unique: bool = False) -> list[str]:
+        """Write rows as new files, in ranges of ``keys``; they are not live before ``commit``.
+
+        Without ``partitions`` the number of files follows the size. ``unique``
+        trusts that keys seldom come twice and saves the sorts that spread ties;
+        rows of one key then stay in one file.
+        """
         place = f"{table}/{uuid4().hex}"
-        (in_order(rows, list(keys), partitions=partitions) if keys else rows).write.parquet(f"{self.folder}/{place}")
+        (in_order(rows, list(keys), unique, partitions) if keys else rows).write.parquet(f"{self.folder}/{place}")
         system, path = _hadoop(self.spark, f"{self.folder}/{place}")
         names = [s.getPath().getName() for s in system.listStatus(path) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
         if names and keys and on_a_line(rows.schema[keys[0]].dataType):
@@ -105,10 +110,10 @@ def open_tables(spark: SparkSession, folder: str) -> LiveTables:
     return LiveTables(spark, folder, int(last), {t: sorted(f) for t, f in files.items()}, schemas, ranges)
 
 
-def create_tables(spark: SparkSession, folder: str, tables: dict[str, DataFrame], keys: dict[str, Sequence[str]], partitions: int | None = None) -> LiveTables:
-    """First version of ``tables``, each in files of ranges of its keys."""
+def create_tables(spark: SparkSession, folder: str, tables: dict[str, DataFrame], keys: dict[str, Sequence[str]], partitions: int | None = None, unique: bool = False) -> LiveTables:
+    """First version of ``tables``, each in files of ranges of its keys; see ``LiveTables.add``."""
     empty = open_tables(spark, folder)
     if empty.version:
         raise ValueError(f"{folder} has tables already")
-    added = {name: empty.add(name, df, keys.get(name, ()), partitions) for name, df in tables.items()}
+    added = {name: empty.add(name, df, keys.get(name, ()), partitions, unique) for name, df in tables.items()}
     return empty.commit({}, added, {name: df.schema for name, df in tables.items()})

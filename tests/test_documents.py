@@ -318,3 +318,14 @@ def test_flex_at_every_level_and_back(spark):
         # an entry that a field hides, and an empty object, do not come back
         assert rows(got["a"], "id", "more") == [(1, '{"z":[1,{"q":null}]}'), (2, None), (3, None)]
         assert D.parse_documents(texts.withColumn("doc", F.lit("{bad")), root, tables).filter("id is not null").count() == 0
+
+
+def test_files_of_unique_keys_follow_the_size(spark, tmp_path):
+    wide = F.concat(F.sha2(F.col("id").cast("string"), 256), F.sha2((-F.col("id")).cast("string"), 256))
+    lines = spark.range(0, 200_000).select((F.col("id") % 50_000).alias("o"), (F.col("id") % 7).cast("int").alias("n"), wide.alias("t"))
+    small = spark.range(5).select("id")
+    live = create_tables(spark, str(tmp_path / "live"), {"lines": lines, "small": small}, {"lines": ["o", "n"], "small": ["id"]}, unique=True)
+    assert len(live.files["lines"]) > len(live.files["small"]) == 1
+    assert live.read("lines").exceptAll(lines).isEmpty() and live.read("lines").count() == 200_000
+    ends = live.read_with_file("lines").groupBy("_file").agg(F.min("o").alias("low"), F.max("o").alias("high")).orderBy("low").collect()
+    assert all(a["high"] <= b["low"] for a, b in zip(ends, ends[1:]))

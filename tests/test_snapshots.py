@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from modelweave.operators import setops as U
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 
 
 def written(spark):
@@ -41,3 +41,16 @@ def test_null_and_double_keys(spark, buckets):
     # a key that comes twice with the same rows on both sides is found only where its part differs anyway
     assert [r for r in got if r[0] != 6] == want
     assert U.snapshot_diff_large(old.limit(0), new.limit(0), ["id"], buckets).count() == 0
+
+
+def test_values_of_fixed_width_meet_in_hash_tables(spark):
+    old = spark.createDataFrame([(1, 10, 5), (2, 20, 5), (3, 30, 6), (3, 31, 7)], "k long, a int, f long")
+    new = spark.createDataFrame([(1, 11), (2, 20), (3, 30), (4, 40)], "k long, a int")
+    diff = U.snapshot_diff(old, new, ["k"], ["f"])
+    assert "SortAggregate" not in plan_of(diff) and "SortAggregate" not in plan_of(U.snapshot_diff(new, new, ["k"]))
+    assert rows(diff, "k", "change", "new.a") == [(1, "modified", 11), (3, "ambiguous", 30), (4, "added", 40)]
+    # what stands beside, and all values of a row, come from one row
+    assert rows(diff.filter("k <> 3"), "k", "old.a", "f") == [(1, 10, 5), (4, None, None)]
+    assert rows(diff.filter("k = 3"), "old.a", "f") in ([(30, 6)], [(31, 7)])
+    texts = U.snapshot_diff(old.withColumn("a", F.col("a").cast("string")), new.withColumn("a", F.col("a").cast("string")), ["k"])
+    assert rows(texts, "k", "change") == rows(diff, "k", "change")
