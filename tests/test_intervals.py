@@ -54,3 +54,12 @@ def test_days_empty_sides_and_refusals(spark):
         J.nest_where(a, b, [], "day > low", ["k"], ["day"], "days")
     with pytest.raises(ValueError, match="both"):
         interval_join(a, a, "low", "high", "low")
+
+
+def test_pairs_of_one_file_are_met_in_many_tasks(spark):
+    a = spark.range(200).coalesce(1).select(F.col("id").alias("k"), F.lit(0).alias("low"), F.lit(50).alias("high"))
+    b = spark.range(100).coalesce(1).select(F.col("id").alias("x"))
+    met = interval_join(a, b, "low", "high", "x")
+    tasks = met.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    assert sum(t["n"] for t in tasks) == 200 * 51
+    assert len(tasks) > 4 and max(t["n"] for t in tasks) < 200 * 51 / 2
