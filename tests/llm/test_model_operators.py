@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from modelweave.llm import components, languages, neighbours, packing, pages, sharding, toxicity
+from tests.conftest import plan_of
 from tests.llm.conftest import frame, words
 
 
@@ -378,3 +379,29 @@ def test_relaxed_search_keeps_recall():
         assert {order[i] for i in best.tolist()} == set(exact[n, :6].tolist())
     recall = np.mean([len(set(a[:6]) & set(b[:6])) / 6 for a, b in zip(exact.tolist(), relaxed.tolist())])
     assert recall >= 0.9
+
+
+def test_neighbours_of_many_blocks_and_shards(spark):
+    r = np.random.default_rng(5)
+    v = np.vstack([r.normal(size=(400, 8)), r.normal(size=(1, 8)) + r.normal(size=(200, 8)) * 0.01]).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, [float(x) for x in v[i]]) for i in range(600)] + [(600, [1.0, 2.0]), (603, [2.0, 1.0])], "vec_id long, embedding array<float>")
+    found = neighbours.nearest(df, df.filter("vec_id % 3 = 0"), shard_rows=16, block_rows=8)
+    # blocks in copies for each shard were taken for small and sent to the driver
+    assert "Join" not in plan_of(found)
+    got = {}
+    for g in found.collect():
+        got.setdefault(g["query_id"], []).append((g["rank"], g["vec_id"]))
+    norms = np.linalg.norm(v, axis=1)
+    assert got.pop(600) == [(1, 603)] and got.pop(603) == [(1, 600)]
+    assert sorted(got) == list(range(0, 600, 3))
+    for q, rows in got.items():
+        score = (v * v[q]).sum(1) / (norms * norms[q])
+        assert sorted(rows) == [(n + 1, i) for n, i in enumerate([int(i) for i in np.lexsort((np.arange(600), -score)) if i != q][:5])]
+
+
+def test_copies_for_cells_stay_few():
+    assert neighbours._cells(12, 13e6, 2.6e5, 13, 2) == (1, 12)
+    across, down = neighbours._cells(600, 4e9, 8e7, 3800, 303)
+    assert across * 4e9 + down * 8e7 <= 16e9 and across * down >= 100
+    across, down = neighbours._cells(200, 4e9, 4e9, 3800, 15000)
+    assert 4e9 / across <= neighbours.GROUP_BYTES and down >= 1
